@@ -11,7 +11,6 @@ from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampNTZType
 
 # Fixed values of the data model: the open-ended validity bound and the version flags.
 INF_TEXT = "9999-12-31 00:00:00"
@@ -25,7 +24,7 @@ def ntz(value: str | dt.datetime | dt.date) -> Column:
         value = value.strftime("%Y-%m-%d %H:%M:%S.%f")
     elif isinstance(value, dt.date):
         value = value.strftime("%Y-%m-%d 00:00:00")
-    return F.lit(value).cast(TimestampNTZType())
+    return F.expr(f"TIMESTAMP_NTZ '{value}'")
 
 
 def inf() -> Column:
@@ -53,7 +52,9 @@ def day_bounds(day: str | dt.date) -> tuple[Column, Column]:
 
 def on_day(ts: Column | str, day: str | dt.date) -> Column:
     """``cast(ts as date) = day`` written as a half-open range so it reaches the Parquet scan."""
-    ts = F.col(ts) if isinstance(ts, str) else ts
+    d = as_date(day)
+    if isinstance(ts, str):
+        return F.expr(f"{ts} >= TIMESTAMP_NTZ '{d} 00:00:00' AND {ts} < TIMESTAMP_NTZ '{d + dt.timedelta(days=1)} 00:00:00'")
     lo, hi = day_bounds(day)
     return (ts >= lo) & (ts < hi)
 

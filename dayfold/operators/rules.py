@@ -37,19 +37,17 @@ EXPIRED_PASSPORT, EXPIRED_CONTRACT, IMPOSSIBLE_TRAVEL, AMOUNT_PROBING = "1", "2"
 REPORT_COLS = ["event_dt", "passport", "fio", "phone", "event_type", "report_dt"]
 
 
-def report_rows(df: DataFrame, event_dt: str, event_type: str, report_dt: Column) -> DataFrame:
-    return df.select(
-        F.col(event_dt).alias("event_dt"),
-        F.col("passport_num").alias("passport"),
-        full_name().alias("fio"),
-        F.col("phone"),
-        F.lit(event_type).alias("event_type"),
-        report_dt.alias("report_dt"),
-    )
+FIO_SQL = "last_name || ' ' || first_name || ' ' || patronymic"
+
+
+def report_rows(df: DataFrame, event_dt: str, event_type: str, report_dt: str) -> DataFrame:
+    """Project rule hits to the report's columns (``report_dt``: a SQL expression)."""
+    return df.selectExpr(f"{event_dt} AS event_dt", "passport_num AS passport", f"{FIO_SQL} AS fio", "phone",
+                         f"'{event_type}' AS event_type", f"{report_dt} AS report_dt")
 
 
-def _report_dt(run_date, at: str) -> Column:
-    return F.lit(as_date(run_date)) if run_date is not None else F.to_date(F.col(at))
+def _report_dt(run_date, at: str) -> str:
+    return f"DATE '{as_date(run_date)}'" if run_date is not None else f"to_date({at})"
 
 
 def facts_of_day(facts: DataFrame, run_date, ts: str = "trans_date") -> DataFrame:
@@ -172,7 +170,7 @@ def build_report(facts: DataFrame, cards: DataFrame, accounts: DataFrame, client
     day = facts if run_date is None else facts_of_day(facts, run_date)
     enriched = enrich(day, cards, accounts, clients, terminals)
     flagged = with_blacklist(enriched, blacklist)
-    rd = _report_dt(run_date, "trans_date")
+    rd = F.expr(_report_dt(run_date, "trans_date"))
     fio = full_name()
 
     def hit(flag: Column, code: str) -> Column:

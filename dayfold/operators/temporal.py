@@ -21,21 +21,15 @@ def dim_view(dim: DataFrame, key: str, attrs: list[str], prefix: str, trim_key:
     false in Spark), validity becomes ``{prefix}_from``/``{prefix}_to``; only ``attrs`` are carried, so the
     scan reads just those columns.
     """
-    k = F.trim(F.col(key)) if trim_key else F.col(key)
-    return dim.select(
-        k.alias(f"{prefix}_key"),
-        *[F.col(a) for a in attrs],
-        F.col("effective_from").alias(f"{prefix}_from"),
-        F.col("effective_to").alias(f"{prefix}_to"),
-    )
+    k = f"trim({key})" if trim_key else key
+    return dim.selectExpr(f"{k} AS {prefix}_key", *attrs, f"effective_from AS {prefix}_from",
+                          f"effective_to AS {prefix}_to")
 
 
-def temporal_join(facts: DataFrame, view: DataFrame, fact_key: str | Column, at: str | Column, prefix: str,
+def temporal_join(facts: DataFrame, view: DataFrame, fact_key: str, at: str, prefix: str,
                   how: str = "left", keep_validity: bool = False) -> DataFrame:
     """Join each fact to the dimension version(s) valid at ``at`` (inclusive bounds)."""
-    fk = F.col(fact_key) if isinstance(fact_key, str) else fact_key
-    t = F.col(at) if isinstance(at, str) else at
-    cond = (fk == F.col(f"{prefix}_key")) & t.between(F.col(f"{prefix}_from"), F.col(f"{prefix}_to"))
+    cond = F.expr(f"{fact_key} = {prefix}_key AND {at} BETWEEN {prefix}_from AND {prefix}_to")
     out = facts.join(view, cond, how)
     drop = [f"{prefix}_key"] + ([] if keep_validity else [f"{prefix}_from", f"{prefix}_to"])
     return out.drop(*drop)

@@ -31,8 +31,30 @@ SCD2_UPDATED_2 = "2024-01-03 09:30:00"
 SCD2_RUN_2 = "2024-01-04 00:00:00"
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+
+
+def _memo(fn):
+    """Derive each fixture once per session and scale factor (like registering a view once)."""
+    def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (fn.__name__, id(spark), sf_dir)
+        df = _TABLES.get(key)
+        if df is None or df.sparkSession is not spark:
+            df = _TABLES[key] = fn(spark, sf_dir)
+        return df
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The driver's table, read once per session (file listing and footer reads are not repeated)."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (id(spark), path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def _str(c: Column) -> Column:
@@ -43,6 +65,7 @@ def _plus_days(day: str, n: Column) -> Column:
     return F.date_add(F.lit(dt.date.fromisoformat(day)), n.cast("int"))
 
 
+@_memo
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     return e.select(
@@ -56,6 +79,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_memo
 def transactions_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The transactions as the daily text drop carries them: every field text, amounts with a decimal comma."""
     t = transactions(spark, sf_dir)
@@ -75,6 +99,7 @@ def _validity(frm: Column, to: Column, flag: str = FLAG_LIVE) -> list[Column]:
     return [frm.alias("effective_from"), to.alias("effective_to"), F.lit(flag).alias("deleted_flg")]
 
 
+@_memo
 def cards_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _customer(spark, sf_dir)
     k = F.col("c_custkey")
@@ -92,6 +117,7 @@ def cards_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(second)
 
 
+@_memo
 def accounts_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     return _customer(spark, sf_dir).select(
@@ -102,6 +128,7 @@ def accounts_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_memo
 def clients_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     return _customer(spark, sf_dir).select(
@@ -117,6 +144,7 @@ def clients_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_memo
 def terminals_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
@@ -129,6 +157,7 @@ def terminals_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_memo
 def blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     return _customer(spark, sf_dir).where(k % 11 == 0).select(
@@ -137,6 +166,7 @@ def blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_memo
 def src_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operational clients table with create/update times spread over January 2024."""
     k = F.col("c_custkey")
@@ -151,6 +181,7 @@ def src_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- generic SCD2 fixture: key k, attributes a (string) and b (double) ---------------------------------
 
+@_memo
 def scd2_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _customer(spark, sf_dir).where(F.col("c_custkey") % 10 != 0)
     k = F.col("c_custkey")
@@ -163,6 +194,7 @@ def scd2_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(tomb)
 
 
+@_memo
 def scd2_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     a = (F.when(k % 19 == 0, F.lit(None).cast("string")).when(k % 3 == 0, F.lit("NEW"))
@@ -174,10 +206,12 @@ def scd2_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_memo
 def scd2_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _customer(spark, sf_dir).where(F.col("c_custkey") % 23 != 0).select(F.col("c_custkey").alias("k"))
 
 
+@_memo
 def scd2_changes_2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Second day's changes: some keys move to 'TWO', some balances grow by one, others are re-sent unchanged."""
     k = F.col("c_custkey")
@@ -189,5 +223,6 @@ def scd2_changes_2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_memo
 def scd2_keys_2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _customer(spark, sf_dir).where(F.col("c_custkey") % 29 != 0).select(F.col("c_custkey").alias("k"))
