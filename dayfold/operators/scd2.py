@@ -96,6 +96,15 @@ def merge(history: DataFrame, changes: DataFrame, keys: DataFrame | None, key: s
     ``created``/``updated`` None means a full snapshot without timestamps: ``run_ts`` supplies all bounds,
     and ``keys`` defaults to the snapshot's own keys. ``keys`` None otherwise means "no delete detection".
     """
+    untouched, written = merge_parts(history, changes, keys, key, attrs, run_ts, created, updated, reopen)
+    return untouched.unionByName(written)
+
+
+def merge_parts(history: DataFrame, changes: DataFrame, keys: DataFrame | None, key: str, attrs: Sequence[str],
+                run_ts, created: str | None = "create_dt", updated: str | None = "update_dt",
+                reopen: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``merge`` split into (versions that were already closed: unchanged, versions this run writes: the
+    complete current set plus the versions it closed). A versioned store appends only the second part."""
     attrs = list(attrs)
     run = _ts(run_ts)
     snapshot = created is None
@@ -164,7 +173,7 @@ def merge(history: DataFrame, changes: DataFrame, keys: DataFrame | None, key: s
     merged = state.select(F.inline(F.filter(versions, lambda v: v.isNotNull())))
     cols = [key, *attrs, "effective_from", "effective_to", "deleted_flg"]
     closed = history.where(~tracked).select(*cols)
-    return closed.unionByName(merged.select(*cols))
+    return closed, merged.select(*cols)
 
 
 def merge_snapshot(history: DataFrame, snapshot: DataFrame, key: str, attrs: Sequence[str], run_ts) -> DataFrame:
