@@ -70,6 +70,8 @@ def null_safe_differs(pairs: list[tuple[Column, Column]]) -> Column:
 
 
 def epoch_seconds(ts: Column | str) -> Column:
-    """Whole seconds since 1970-01-01 00:00:00 of an NTZ timestamp, without any time zone."""
+    """Whole seconds since 1970-01-01 00:00:00 of an NTZ timestamp, from its date and clock fields only
+    (``timestampdiff``/``unix_timestamp`` would pass through the session time zone and its DST shifts)."""
     ts = F.col(ts) if isinstance(ts, str) else ts
-    return F.timestamp_diff("SECOND", ntz("1970-01-01 00:00:00"), ts)
+    days = F.datediff(F.to_date(ts), F.lit(dt.date(1970, 1, 1))).cast("long")
+    return days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.floor(F.second(ts)).cast("long")

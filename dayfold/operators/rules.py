@@ -97,31 +97,54 @@ def contract_expired(enriched: DataFrame, run_date=None) -> DataFrame:
     return report_rows(df, "trans_date", EXPIRED_CONTRACT, _report_dt(run_date, "trans_date"))
 
 
-def travel_hits(enriched: DataFrame, within: dt.timedelta = TRAVEL_WITHIN, per_day: bool = False) -> DataFrame:
-    """Rows whose next transaction of the same card is in a different city no later than ``within``."""
+def travel_neighbours(enriched: DataFrame, within: dt.timedelta = TRAVEL_WITHIN, per_day: bool = False) -> DataFrame:
+    """Adds the next transaction's city and time (same card; per day in the accumulated form) and ``_hit``."""
     keys = ["card_num"] + (["_day"] if per_day else [])
-    df = enriched.withColumn("_day", F.to_date("trans_date")) if per_day else enriched
+    df = enriched.withColumn("_day", F.to_date("trans_date"))
     n = neighbours_within(df, keys, "trans_date", "trans_id", ["terminal_city", "trans_date"], 1, within)
     hit = (F.col("terminal_city") != F.col("next1_terminal_city")) & (
         F.col("next1_trans_date") - F.col("trans_date") <= F.lit(within))
-    return n.where(hit)
+    return n.withColumn("_hit", F.coalesce(hit, F.lit(False)))
+
+
+def travel_hits(enriched: DataFrame, within: dt.timedelta = TRAVEL_WITHIN, per_day: bool = False) -> DataFrame:
+    """Rows whose next transaction of the same card is in a different city no later than ``within``."""
+    return travel_neighbours(enriched, within, per_day).where(F.col("_hit"))
+
+
+HIT_COLS = ["trans_date", "passport_num", "last_name", "first_name", "patronymic", "phone"]
 
 
 def travel_last_hit(hits: DataFrame, per_day: bool = False) -> DataFrame:
     """Latest hit time per displayed full name (NULL names form one group, as GROUP BY does)."""
-    hits = hits.withColumn("fio", full_name())
     keys = ["fio"] + (["_day"] if per_day else [])
-    return hits.groupBy(*keys).agg(F.max("trans_date").alias("last_hit"))
+    return hits.withColumn("fio", full_name()).groupBy(*keys).agg(F.max("trans_date").alias("last_hit"))
+
+
+def keep_latest_hits(hits: DataFrame, per_day: bool, cols: list[str] | None = None) -> DataFrame:
+    """``trans_date IN (SELECT max(trans_date) ... GROUP BY fio)`` — not tied to the person (parity, Q10).
+
+    The latest times come from a hash aggregate with map-side partial aggregation (a hot name, e.g. all
+    NULL names, is collapsed before the shuffle). Both consumers of ``hits`` reference the same columns
+    (``count(struct(cols))`` reads them all), so Spark plans the enrichment and the window once and
+    reuses its exchange for the aggregate instead of computing the day twice."""
+    cols = cols or (HIT_COLS + (["_day"] if per_day else []))
+    # explicit, so the join's inferred `IS NOT NULL` constraints add nothing that makes the branches differ
+    hits = hits.select(*cols).where(F.col("trans_date").isNotNull())
+    keys = [full_name().alias("fio")] + (["_day"] if per_day else [])
+    last = hits.groupBy(*keys).agg(F.max("trans_date").alias("_last"), F.count(F.struct(*cols)).alias("_n"))
+    cond = F.col("trans_date") == F.col("_last")
+    if per_day:
+        last = last.withColumnRenamed("_day", "_last_day")
+        cond = cond & (F.col("_day") == F.col("_last_day"))
+    return hits.join(last.select("_last", *(["_last_day"] if per_day else [])), cond, "left_semi")
 
 
 def impossible_travel(enriched: DataFrame, run_date=None, within: dt.timedelta = TRAVEL_WITHIN) -> DataFrame:
     """R3. ``enriched`` needs ``terminal_city``. Daily form: pass the enriched facts of ``run_date``."""
     per_day = run_date is None
     df = enriched if per_day else facts_of_day(enriched, run_date)
-    hits = travel_hits(df, within, per_day)
-    last = travel_last_hit(hits, per_day).select(F.col("last_hit"))
-    # `trans_date IN (SELECT max(...) GROUP BY fio)`: not tied to the person (kept for parity).
-    kept = hits.join(last, F.col("trans_date") == F.col("last_hit"), "left_semi")
+    kept = keep_latest_hits(travel_hits(df, within, per_day), per_day)
     return report_rows(kept, "trans_date", IMPOSSIBLE_TRAVEL, _report_dt(run_date, "trans_date"))
 
 
@@ -164,25 +187,43 @@ def build_report(facts: DataFrame, cards: DataFrame, accounts: DataFrame, client
                  travel_within: dt.timedelta = TRAVEL_WITHIN, probe_within: dt.timedelta = PROBE_WITHIN) -> DataFrame:
     """R5: all four rules for ``run_date`` (or accumulated over all facts when ``run_date`` is None).
 
-    R1 and R2 are emitted from one scan of the enriched facts (``inline`` of per-row hits) instead of two
-    enrichments, which Spark would not share across a union.
+    R1-R3 share one pass: the day's facts are enriched once (terminal, card, account, client, blacklist),
+    the travel window runs once, and the hits of all three rules are emitted from the same rows with
+    ``inline`` of per-row hits (Spark does not share an enrichment across a union of separately written
+    rules). The terminal lookup cannot multiply rows because merged terminal versions never overlap. R4 reads its own window
+    of facts and enriches only the chains it finds.
     """
-    day = facts if run_date is None else facts_of_day(facts, run_date)
-    enriched = enrich(day, cards, accounts, clients, terminals)
-    flagged = with_blacklist(enriched, blacklist)
+    per_day = run_date is None
+    day = facts if per_day else facts_of_day(facts, run_date)
+    enriched = with_blacklist(enrich(day, cards, accounts, clients, terminals), blacklist)
+    cols = HIT_COLS + (["_day"] if per_day else []) + ["_r1", "_r2", "_hit"]
+    flagged = (travel_neighbours(enriched, travel_within, per_day)
+               .withColumn("_r1", F.coalesce(passport_flag(blacklist), F.lit(False)))
+               .withColumn("_r2", F.coalesce(F.col("valid_to") < F.col("trans_date"), F.lit(False)))
+               .where(F.col("_r1") | F.col("_r2") | F.col("_hit"))
+               .select(*cols).where(F.col("trans_date").isNotNull()))
+    # Latest hit time per person (per day), distinct so the left join below cannot multiply rows. The
+    # aggregate takes the latest whole row (max of a struct led by the time), so both consumers of
+    # `flagged` need the same columns, are the same plan up to the window, and Spark reuses that
+    # exchange instead of enriching the day twice. It only sees hit rows, with map-side partial merging.
+    keys = [full_name().alias("fio")] + (["_day"] if per_day else [])
+    last = (flagged.where(F.col("_hit")).groupBy(*keys).agg(F.max(F.struct(*cols)).alias("_m"))
+            .select(F.col("_m.trans_date").alias("_last"),
+                    *([F.col("_m._day").alias("_last_day")] if per_day else [])).distinct())
+    cond = F.col("trans_date") == F.col("_last")
+    if per_day:
+        cond = cond & (F.col("_day") == F.col("_last_day"))
+    marked = flagged.join(last, cond, "left").withColumn("_r3", F.col("_hit") & F.col("_last").isNotNull())
     rd = F.expr(_report_dt(run_date, "trans_date"))
     fio = full_name()
 
-    def hit(flag: Column, code: str) -> Column:
-        return F.when(flag, F.struct(
+    def hit(flag: str, code: str) -> Column:
+        return F.when(F.col(flag), F.struct(
             F.col("trans_date").alias("event_dt"), F.col("passport_num").alias("passport"), fio.alias("fio"),
             F.col("phone").alias("phone"), F.lit(code).alias("event_type"), rd.alias("report_dt")))
 
-    r1 = passport_flag(blacklist)
-    r2 = F.col("valid_to") < F.col("trans_date")
-    r12 = (flagged.where(r1 | r2)
-           .select(F.inline(F.filter(F.array(hit(r1, EXPIRED_PASSPORT), hit(r2, EXPIRED_CONTRACT)),
-                                     lambda x: x.isNotNull()))))
-    r3 = impossible_travel(enriched, None if run_date is None else run_date, travel_within)
+    r123 = marked.select(F.inline(F.filter(
+        F.array(hit("_r1", EXPIRED_PASSPORT), hit("_r2", EXPIRED_CONTRACT), hit("_r3", IMPOSSIBLE_TRAVEL)),
+        lambda x: x.isNotNull())))
     r4 = amount_probing(facts, cards, accounts, clients, run_date, probe_within)
-    return r12.unionByName(r3).unionByName(r4)
+    return r123.unionByName(r4)
