@@ -15,8 +15,8 @@ horizon (end of the bucket + ``within``), so a lead that lies within ``within``
 true lead; a lead beyond the horizon comes back NULL. Every rule condition requires the neighbour to be
 within ``within``, so the result is exact, and a hot key is spread over ``span / (split*within)`` tasks.
 
-``lead_all`` is the unconditional ``LEAD`` (one window per key) for reports that need the next row at
-any distance.
+``lead_split`` is the unconditional ``LEAD`` at any distance, also split by time (two-level: inside a
+bucket, then across buckets through a small per-group table); ``lead_all`` is the plain single window.
 """
 
 from __future__ import annotations
@@ -71,3 +71,45 @@ def lead_all(df: DataFrame, keys: str | Sequence[str], ts: str, tiebreak: str |
     w = Window.partitionBy(*[F.col(k) for k in _cols(keys)]).orderBy(*order)
     return df.select("*", *[F.lead(c, i).over(w).alias(f"{prefix}{i}_{c}")
                             for i in range(1, offsets + 1) for c in cols])
+
+
+def lead_split(df: DataFrame, keys: str | Sequence[str], ts: str, tiebreak: str | None, cols: Sequence[str],
+               offsets: int, bucket: dt.timedelta = dt.timedelta(days=1), prefix: str = "next") -> DataFrame:
+    """Unconditional LEAD(c, 1..offsets) per ``keys`` ordered by ``(ts, tiebreak)``, exact at any distance,
+    with a hot key split into ``(key, time bucket)`` groups.
+
+    1. ``LEAD`` inside each ``(key, bucket)`` group (the only shuffle of the full data);
+    2. the first ``offsets`` rows of every group (bounded) are collected per group;
+    3. a window over that per-group table (one row per key and non-empty bucket) gives each group the
+       heads of its next ``offsets`` non-empty groups — enough rows, since each non-empty group has one;
+    4. rows near the end of their group take the missing leads from that continuation, joined on
+       ``(key, bucket)``, which is already the partitioning of step 1.
+    """
+    keys = _cols(keys)
+    k = offsets
+    b_sec = int(bucket.total_seconds())
+    order = [F.col(ts)] + ([F.col(tiebreak)] if tiebreak else [])
+    base = df.withColumn("_b", F.floor(epoch_seconds(ts) / F.lit(b_sec)).cast("long"))
+    w = Window.partitionBy(*[F.col(c) for c in keys], F.col("_b")).orderBy(*order)
+    head = F.struct(F.col(ts).alias("_t"), *([F.col(tiebreak).alias("_tb")] if tiebreak else []),
+                    *[F.col(c).alias(f"_c{j}") for j, c in enumerate(cols)])
+    within = base.select(
+        "*", F.row_number().over(w).alias("_rn"),
+        *[F.lead(F.lit(1), i).over(w).alias(f"_has{i}") for i in range(1, k + 1)],
+        *[F.lead(c, i).over(w).alias(f"_in{i}_{j}") for i in range(1, k + 1) for j, c in enumerate(cols)],
+    )
+    # `row_number <= k` is planned as a group limit on both sides of its exchange, so this branch
+    # shuffles at most k rows per group and map task, not the data.
+    heads = (within.where(F.col("_rn") <= k).groupBy(*keys, "_b")
+             .agg(F.array_sort(F.collect_list(head)).alias("_heads")))
+    gw = Window.partitionBy(*[F.col(c) for c in keys]).orderBy("_b").rowsBetween(1, k)
+    cont = heads.select(*keys, "_b", F.slice(F.flatten(F.collect_list("_heads").over(gw)), 1, k).alias("_cont"))
+    joined = within.join(cont, [*keys, "_b"], "left")
+    inside = sum((F.col(f"_has{i}").isNotNull().cast("int") for i in range(1, k + 1)), F.lit(0))
+    leads = []
+    for i in range(1, k + 1):
+        for j, c in enumerate(cols):
+            spill = F.get(F.col("_cont"), F.lit(i - 1) - inside)[f"_c{j}"]
+            leads.append(F.when(F.col(f"_has{i}").isNotNull(), F.col(f"_in{i}_{j}")).otherwise(spill)
+                         .alias(f"{prefix}{i}_{c}"))
+    return joined.select(*df.columns, *leads)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from dayfold.functions import full_name, inf, ntz, one_second, on_day
 from dayfold.operators import rules, scd2, watermark
-from dayfold.operators.sequence import lead_all
+from dayfold.operators.sequence import lead_split
 from dayfold.operators.temporal import dim_view, enrich, temporal_join
 from dayfold.plans import fixtures as fx
 from dayfold.schemas import TRANSACTIONS
@@ -155,7 +155,7 @@ def _with_city(spark, sf_dir):
 
 
 def lead_next_event(spark, sf_dir):
-    n = lead_all(_with_city(spark, sf_dir), "card_num", "trans_date", "trans_id",
+    n = lead_split(_with_city(spark, sf_dir), "card_num", "trans_date", "trans_id",
                  ["terminal_city", "trans_date", "oper_result", "amt"], 1)
     return n.select("trans_id", F.col("next1_terminal_city").alias("next_city"),
                     F.col("next1_trans_date").alias("next_date"), F.col("next1_oper_result").alias("next_result"),
@@ -164,7 +164,7 @@ def lead_next_event(spark, sf_dir):
 
 def lead_sequence(spark, sf_dir):
     cols = ["oper_result", "amt", "trans_date"]
-    n = lead_all(fx.transactions(spark, sf_dir), "card_num", "trans_date", "trans_id", cols, 3)
+    n = lead_split(fx.transactions(spark, sf_dir), "card_num", "trans_date", "trans_id", cols, 3)
     return n.select("trans_id", *[f"next{i}_{c}" for i in (1, 2, 3) for c in cols])
 
 
@@ -188,7 +188,7 @@ def validity_bounds(spark, sf_dir):
 
 
 def gap_to_next(spark, sf_dir):
-    n = lead_all(fx.transactions(spark, sf_dir), "card_num", "trans_date", "trans_id", ["trans_date"], 1)
+    n = lead_split(fx.transactions(spark, sf_dir), "card_num", "trans_date", "trans_id", ["trans_date"], 1)
     nxt, cur = F.col("next1_trans_date"), F.col("trans_date")
     return n.select("trans_id", F.timestamp_diff("MICROSECOND", cur, nxt).alias("gap_us"),
                     ((nxt - cur) <= F.lit(dt.timedelta(hours=1))).alias("within_hour"))

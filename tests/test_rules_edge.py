@@ -189,3 +189,19 @@ def test_time_split_window_equals_plain_lead_on_a_hot_card(spark):
 
     assert within_rows(got) == within_rows(ref)
     assert got.count() == 600 and set(got.columns) == set(df.columns) | set(cols)
+
+
+@pytest.mark.parametrize("bucket_min", [7, 60, 24 * 60])
+def test_split_lead_equals_single_window_at_any_distance(spark, bucket_min):
+    """A hot card spread over many buckets (some empty) plus a quiet one: split lead == plain window."""
+    from dayfold.operators.sequence import lead_all, lead_split
+
+    base = ts("2021-03-01 00:00:00")
+    rows = [(str(i), base + dt.timedelta(seconds=(i * i * 37) % 200000 + i), Decimal(i % 13), "HOT", "P",
+             "REJECT" if i % 4 else "SUCCESS", "T1") for i in range(500)]
+    rows += [(f"q{i}", base + dt.timedelta(hours=5 * i), Decimal(i), "QUIET", "P", "SUCCESS", "T1") for i in range(4)]
+    df = spark.createDataFrame(rows, TRANSACTIONS)
+    cols = ["amt", "trans_date", "oper_result"]
+    got = lead_split(df, "card_num", "trans_date", "trans_id", cols, 3, dt.timedelta(minutes=bucket_min))
+    ref = lead_all(df, "card_num", "trans_date", "trans_id", cols, 3)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, ref.select(*got.columns).collect()))
