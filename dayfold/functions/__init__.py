@@ -3,8 +3,10 @@ from dayfold.functions.scalar import (  # noqa: F401
     day_bounds,
     as_date,
     epoch_seconds,
+    epoch_seconds_sql,
     FLAG_DELETED,
     FLAG_LIVE,
+    FULL_NAME_SQL,
     full_name,
     inf,
     ntz,

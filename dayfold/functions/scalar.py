@@ -59,9 +59,12 @@ def on_day(ts: Column | str, day: str | dt.date) -> Column:
     return (ts >= lo) & (ts < hi)
 
 
-def full_name(last: str = "last_name", first: str = "first_name", middle: str = "patronymic") -> Column:
-    """``last || ' ' || first || ' ' || middle``: NULL if any part is NULL (not ``concat_ws``)."""
-    return F.concat(F.col(last), F.lit(" "), F.col(first), F.lit(" "), F.col(middle))
+FULL_NAME_SQL = "last_name || ' ' || first_name || ' ' || patronymic"
+
+
+def full_name() -> Column:
+    """``last || ' ' || first || ' ' || middle``: NULL if any part is NULL (``||`` is ``concat``, not ``concat_ws``)."""
+    return F.expr(FULL_NAME_SQL)
 
 
 def null_safe_differs(pairs: list[tuple[Column, Column]]) -> Column:
@@ -69,9 +72,12 @@ def null_safe_differs(pairs: list[tuple[Column, Column]]) -> Column:
     return reduce(or_, [~a.eqNullSafe(b) for a, b in pairs], F.lit(False))
 
 
-def epoch_seconds(ts: Column | str) -> Column:
-    """Whole seconds since 1970-01-01 00:00:00 of an NTZ timestamp, from its date and clock fields only
-    (``timestampdiff``/``unix_timestamp`` would pass through the session time zone and its DST shifts)."""
-    ts = F.col(ts) if isinstance(ts, str) else ts
-    days = F.datediff(F.to_date(ts), F.lit(dt.date(1970, 1, 1))).cast("long")
-    return days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.floor(F.second(ts)).cast("long")
+def epoch_seconds_sql(ts: str) -> str:
+    """Whole seconds since 1970-01-01 00:00:00 of an NTZ timestamp column, from its date and clock fields
+    only (``timestampdiff``/``unix_timestamp`` would pass through the session time zone and its DST)."""
+    return (f"(CAST(datediff(to_date({ts}), DATE'1970-01-01') AS BIGINT) * 86400 + hour({ts}) * 3600"
+            f" + minute({ts}) * 60 + CAST(floor(second({ts})) AS BIGINT))")
+
+
+def epoch_seconds(ts: str) -> Column:
+    return F.expr(epoch_seconds_sql(ts))

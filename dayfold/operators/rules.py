@@ -100,11 +100,11 @@ def contract_expired(enriched: DataFrame, run_date=None) -> DataFrame:
 def travel_neighbours(enriched: DataFrame, within: dt.timedelta = TRAVEL_WITHIN, per_day: bool = False) -> DataFrame:
     """Adds the next transaction's city and time (same card; per day in the accumulated form) and ``_hit``."""
     keys = ["card_num"] + (["_day"] if per_day else [])
-    df = enriched.withColumn("_day", F.to_date("trans_date"))
+    df = enriched.selectExpr("*", "to_date(trans_date) AS _day")
     n = neighbours_within(df, keys, "trans_date", "trans_id", ["terminal_city", "trans_date"], 1, within)
-    hit = (F.col("terminal_city") != F.col("next1_terminal_city")) & (
-        F.col("next1_trans_date") - F.col("trans_date") <= F.lit(within))
-    return n.withColumn("_hit", F.coalesce(hit, F.lit(False)))
+    secs = int(within.total_seconds())
+    return n.selectExpr("*", "coalesce(terminal_city <> next1_terminal_city AND next1_trans_date - trans_date"
+                             f" <= make_dt_interval(0, 0, 0, {secs}), false) AS _hit")
 
 
 def travel_hits(enriched: DataFrame, within: dt.timedelta = TRAVEL_WITHIN, per_day: bool = False) -> DataFrame:

@@ -27,7 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dayfold.functions import epoch_seconds
+from dayfold.functions import epoch_seconds, epoch_seconds_sql
 
 
 def _cols(x: str | Sequence[str]) -> list[str]:
@@ -46,22 +46,16 @@ def neighbours_within(df: DataFrame, keys: str | Sequence[str], ts: str, tiebrea
     if w_sec <= 0 or within.total_seconds() != w_sec:
         raise ValueError("within must be a positive whole number of seconds")
     width = w_sec * split
-    sec = epoch_seconds(ts)
-    bucket = F.floor(sec / F.lit(width)).cast("long")
-    lookahead = (sec - bucket * F.lit(width)) < F.lit(w_sec)
-    staged = (
-        df.withColumn("_bucket", bucket)
-        .withColumn("_grp", F.explode(F.when(lookahead, F.array(F.col("_bucket"), F.col("_bucket") - 1))
-                                      .otherwise(F.array(F.col("_bucket")))))
-    )
-    order = [F.col(ts)] + ([F.col(tiebreak)] if tiebreak else [])
-    w = Window.partitionBy(*[F.col(k) for k in keys], F.col("_grp")).orderBy(*order)
-    leads = [F.lead(c, i).over(w).alias(f"{prefix}{i}_{c}") for i in range(1, offsets + 1) for c in cols]
-    return (
-        staged.select("*", *leads)
-        .where(F.col("_grp") == F.col("_bucket"))
-        .drop("_bucket", "_grp")
-    )
+    sec = epoch_seconds_sql(ts)
+    order = ", ".join([ts] + ([tiebreak] if tiebreak else []))
+    over = f"OVER (PARTITION BY {', '.join(keys)}, _grp ORDER BY {order})"
+    staged = df.selectExpr("*", f"{sec} AS _sec").selectExpr(
+        "*", f"explode(IF(_sec - floor(_sec / {width}) * {width} < {w_sec},"
+             f" array(floor(_sec / {width}), floor(_sec / {width}) - 1), array(floor(_sec / {width})))) AS _grp")
+    leads = [f"lead({c}, {i}) {over} AS {prefix}{i}_{c}" for i in range(1, offsets + 1) for c in cols]
+    return (staged.selectExpr("*", *leads)
+            .where(F.expr(f"_grp = floor(_sec / {width})"))
+            .drop("_sec", "_grp"))
 
 
 def lead_all(df: DataFrame, keys: str | Sequence[str], ts: str, tiebreak: str | None,
