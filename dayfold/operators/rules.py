@@ -187,21 +187,57 @@ def build_report(facts: DataFrame, cards: DataFrame, accounts: DataFrame, client
                  travel_within: dt.timedelta = TRAVEL_WITHIN, probe_within: dt.timedelta = PROBE_WITHIN) -> DataFrame:
     """R5: all four rules for ``run_date`` (or accumulated over all facts when ``run_date`` is None).
 
-    R1-R3 share one pass: the day's facts are enriched once (terminal, card, account, client, blacklist),
-    the travel window runs once, and the hits of all three rules are emitted from the same rows with
-    ``inline`` of per-row hits (Spark does not share an enrichment across a union of separately written
-    rules). The terminal lookup cannot multiply rows because merged terminal versions never overlap. R4 reads its own window
-    of facts and enriches only the chains it finds.
+    Daily form, one pass: facts from ``run_date - probe_within`` are enriched once (terminal, card,
+    account, client, blacklist, each as of the operation) and one time-split window with horizon
+    ``max(travel_within, probe_within)`` serves R3 and R4 (exact for both). R1-R3 flag rows of the day;
+    R4 flags chain starts and takes the client of the chain's last operation as ``LEAD(..., 3)`` of the
+    enriched rows, which is the client as of that operation. The hits of all rules are emitted from the
+    same rows with ``inline`` (Spark does not share an enrichment across a union of separately written
+    rules). The terminal lookup cannot multiply rows because merged terminal versions never overlap.
+
+    Accumulated form: R1-R3 in one pass with the travel window per (day, card); R4 separately, since its
+    chains may cross midnight.
     """
     per_day = run_date is None
-    day = facts if per_day else facts_of_day(facts, run_date)
-    enriched = with_blacklist(enrich(day, cards, accounts, clients, terminals), blacklist)
-    cols = HIT_COLS + (["_day"] if per_day else []) + ["_r1", "_r2", "_hit"]
-    flagged = (travel_neighbours(enriched, travel_within, per_day)
-               .withColumn("_r1", F.coalesce(passport_flag(blacklist), F.lit(False)))
-               .withColumn("_r2", F.coalesce(F.col("valid_to") < F.col("trans_date"), F.lit(False)))
-               .where(F.col("_r1") | F.col("_r2") | F.col("_hit"))
-               .select(*cols).where(F.col("trans_date").isNotNull()))
+    if per_day:
+        enriched = with_blacklist(enrich(facts, cards, accounts, clients, terminals), blacklist)
+        n = travel_neighbours(enriched, travel_within, per_day=True)
+        r4 = amount_probing(facts, cards, accounts, clients, None, probe_within)
+        return _emit(n, blacklist, [], True, None).unionByName(r4)
+
+    d = as_date(run_date)
+    start = ntz(d)
+    window_facts = facts_until(facts, d, since=probe_within)
+    enriched = with_blacklist(enrich(window_facts, cards, accounts, clients, terminals), blacklist)
+    probe_cols = ["oper_result", "amt", "trans_date"]
+    client_cols = ["passport_num", "last_name", "first_name", "patronymic", "phone"]
+    n = neighbours_within(enriched.selectExpr("*", "to_date(trans_date) AS _day"), "card_num", "trans_date",
+                          "trans_id", ["terminal_city", *probe_cols, *client_cols], 3,
+                          max(travel_within, probe_within))
+    on_day = F.col("trans_date") >= start
+    c = F.col
+    chain = (
+        (c("oper_result") == REJECT) & (c("next1_oper_result") == REJECT)
+        & (c("next2_oper_result") == REJECT) & (c("next3_oper_result") == SUCCESS)
+        & (c("next1_amt") < c("amt")) & (c("next2_amt") < c("next1_amt")) & (c("next3_amt") < c("next2_amt"))
+        & (c("next3_trans_date") - c("trans_date") <= F.lit(probe_within)) & (c("next3_trans_date") >= start)
+    )
+    travel = on_day & (c("terminal_city") != c("next1_terminal_city")) & (
+        c("next1_trans_date") - c("trans_date") <= F.lit(travel_within))
+    n = n.withColumn("_hit", F.coalesce(travel, F.lit(False))).withColumn("_r4", F.coalesce(chain, F.lit(False)))
+    r4_cols = ["next3_trans_date"] + [f"next3_{x}" for x in client_cols]
+    return _emit(n, blacklist, r4_cols, False, d, on_day)
+
+
+def _emit(n: DataFrame, blacklist: DataFrame | None, r4_cols: list[str], per_day: bool, run_date,
+          on_day: Column | None = None) -> DataFrame:
+    """R1-R3 (and the fused R4) rows from windowed, enriched facts carrying ``_hit`` (and ``_r4``)."""
+    day_only = on_day if on_day is not None else F.lit(True)
+    cols = HIT_COLS + (["_day"] if per_day else []) + ["_r1", "_r2", "_hit"] + (["_r4", *r4_cols] if r4_cols else [])
+    flag_any = F.col("_r1") | F.col("_r2") | F.col("_hit") | (F.col("_r4") if r4_cols else F.lit(False))
+    flagged = (n.withColumn("_r1", F.coalesce(day_only & passport_flag(blacklist), F.lit(False)))
+               .withColumn("_r2", F.coalesce(day_only & (F.col("valid_to") < F.col("trans_date")), F.lit(False)))
+               .where(flag_any).select(*cols).where(F.col("trans_date").isNotNull()))
     # Latest hit time per person (per day), distinct so the left join below cannot multiply rows. The
     # aggregate takes the latest whole row (max of a struct led by the time), so both consumers of
     # `flagged` need the same columns, are the same plan up to the window, and Spark reuses that
@@ -215,15 +251,14 @@ def build_report(facts: DataFrame, cards: DataFrame, accounts: DataFrame, client
         cond = cond & (F.col("_day") == F.col("_last_day"))
     marked = flagged.join(last, cond, "left").withColumn("_r3", F.col("_hit") & F.col("_last").isNotNull())
     rd = F.expr(_report_dt(run_date, "trans_date"))
-    fio = full_name()
 
-    def hit(flag: str, code: str) -> Column:
+    def hit(flag: str, code: str, p: str = "", at: str = "trans_date") -> Column:
+        fio = F.concat(F.col(f"{p}last_name"), F.lit(" "), F.col(f"{p}first_name"), F.lit(" "), F.col(f"{p}patronymic"))
         return F.when(F.col(flag), F.struct(
-            F.col("trans_date").alias("event_dt"), F.col("passport_num").alias("passport"), fio.alias("fio"),
-            F.col("phone").alias("phone"), F.lit(code).alias("event_type"), rd.alias("report_dt")))
-
-    r123 = marked.select(F.inline(F.filter(
-        F.array(hit("_r1", EXPIRED_PASSPORT), hit("_r2", EXPIRED_CONTRACT), hit("_r3", IMPOSSIBLE_TRAVEL)),
-        lambda x: x.isNotNull())))
-    r4 = amount_probing(facts, cards, accounts, clients, run_date, probe_within)
-    return r123.unionByName(r4)
+            F.col(at).alias("event_dt"), F.col(f"{p}passport_num").alias("passport"), fio.alias("fio"),
+            F.col(f"{p}phone").alias("phone"), F.lit(code).alias("event_type"), rd.alias("report_dt")))
+
+    hits = [hit("_r1", EXPIRED_PASSPORT), hit("_r2", EXPIRED_CONTRACT), hit("_r3", IMPOSSIBLE_TRAVEL)]
+    if r4_cols:
+        hits.append(hit("_r4", AMOUNT_PROBING, "next3_", "next3_trans_date"))
+    return marked.select(F.inline(F.filter(F.array(*hits), lambda x: x.isNotNull())))
