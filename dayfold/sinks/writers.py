@@ -7,6 +7,7 @@ Layout under a warehouse root (shared storage, e.g. the cluster's object store):
 * ``dim_<name>_hist/run=D/state=open|closed``  versions written by run D: ``closed`` holds versions the
   run closed, ``open`` the complete current set. History as of run R = closed parts of runs <= R plus
   the open part of run R, so old closed versions are never rewritten.
+* ``dim_card_profile/run=D``                 card -> account -> client validity segments of run D
 * ``rep_fraud/report_dt=D/event_type=k``      report rows
 * ``_watermarks/run_date=D``                  watermark rows, written **last**: the commit marker.
 
