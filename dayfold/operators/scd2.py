@@ -102,9 +102,13 @@ def merge(history: DataFrame, changes: DataFrame, keys: DataFrame | None, key: s
 
 def merge_parts(history: DataFrame, changes: DataFrame, keys: DataFrame | None, key: str, attrs: Sequence[str],
                 run_ts, created: str | None = "create_dt", updated: str | None = "update_dt",
-                reopen: bool = False) -> tuple[DataFrame, DataFrame]:
+                reopen: bool = False, closed: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """``merge`` split into (versions that were already closed: unchanged, versions this run writes: the
-    complete current set plus the versions it closed). A versioned store appends only the second part."""
+    complete current set plus the versions it closed). A versioned store appends only the second part.
+
+    ``closed``: when the store keeps closed versions apart, pass them here and only the current versions
+    as ``history``; the closed ones are then read for their key column only."""
+
     attrs = list(attrs)
     run = _ts(run_ts)
     snapshot = created is None
@@ -135,6 +139,10 @@ def merge_parts(history: DataFrame, changes: DataFrame, keys: DataFrame | None,
         F.col(key), null_ver.alias("_o"), null_ver.alias("_y"), null_chg.alias("_s"), t.alias("_seen"),
         f.alias("_alive"))
     tagged_h = tagged_open.unionByName(tagged_closed)
+    if closed is not None:
+        tagged_h = tagged_h.unionByName(closed.select(
+            F.col(key), null_ver.alias("_o"), null_ver.alias("_y"), null_chg.alias("_s"), t.alias("_seen"),
+            f.alias("_alive")))
     tagged_s = changes.select(F.col(key), null_ver.alias("_o"), null_ver.alias("_y"), chg.alias("_s"),
                               f.alias("_seen"), f.alias("_alive"))
     parts = tagged_h.unionByName(tagged_s)
@@ -172,8 +180,10 @@ def merge_parts(history: DataFrame, changes: DataFrame, keys: DataFrame | None,
     )
     merged = state.select(F.inline(F.filter(versions, lambda v: v.isNotNull())))
     cols = [key, *attrs, "effective_from", "effective_to", "deleted_flg"]
-    closed = history.where(~tracked).select(*cols)
-    return closed, merged.select(*cols)
+    untouched = history.where(~tracked).select(*cols)
+    if closed is not None:
+        untouched = untouched.unionByName(closed.select(*cols))
+    return untouched, merged.select(*cols)
 
 
 def merge_snapshot(history: DataFrame, snapshot: DataFrame, key: str, attrs: Sequence[str], run_ts) -> DataFrame:

@@ -65,12 +65,12 @@ def _empty(spark: SparkSession, schema) -> DataFrame:
 def load_dimension(spark: SparkSession, wh: Warehouse, spec: DimSpec, staged: DataFrame, keys: DataFrame | None,
                    prev_run: dt.date | None, run_date: dt.date, reopen: bool = False) -> None:
     path = wh.path(f"dim_{spec.name}_hist")
-    history = W.read_history(spark, path, prev_run)
-    if history is None:
-        history = _empty(spark, DIM_SCHEMAS[spec.name])
+    parts = W.read_history_parts(spark, path, prev_run)
+    current, closed = parts if parts is not None else (_empty(spark, DIM_SCHEMAS[spec.name]), None)
     cols = [spec.key, *spec.attrs] + ([c for c in (spec.created, spec.updated) if c] if spec.created else [])
-    _, written = scd2.merge_parts(history, staged.select(*cols), keys, spec.key, spec.attrs, run_date,
-                                  spec.created, spec.updated, reopen)
+    # the current set is read whole; closed history only for its key column
+    _, written = scd2.merge_parts(current, staged.select(*cols), keys, spec.key, spec.attrs, run_date,
+                                  spec.created, spec.updated, reopen, closed=closed)
     W.write_history(written, path, run_date)
 
 

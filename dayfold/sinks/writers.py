@@ -60,12 +60,19 @@ def write_history(new_versions: DataFrame, path: str, run_date) -> None:
 
 def read_history(spark: SparkSession, path: str, as_of_run: dt.date | None, schema=None) -> DataFrame | None:
     """History as of a committed run (partition-pruned); None when nothing was written yet."""
+    parts = read_history_parts(spark, path, as_of_run)
+    return None if parts is None else parts[0].unionByName(parts[1])
+
+
+def read_history_parts(spark: SparkSession, path: str, as_of_run: dt.date | None):
+    """(current versions, closed versions) as of a committed run, each read from its own partitions."""
     if as_of_run is None:
         return None
     r = F.lit(as_of_run)
     df = spark.read.parquet(path)
-    keep = ((F.col("state") == "closed") & (F.col("run") <= r)) | ((F.col("state") == "open") & (F.col("run") == r))
-    return df.where(keep).drop("run", "state")
+    current = df.where((F.col("state") == "open") & (F.col("run") == r)).drop("run", "state")
+    closed = df.where((F.col("state") == "closed") & (F.col("run") <= r)).drop("run", "state")
+    return current, closed
 
 
 def write_report(report: DataFrame, path: str) -> None:

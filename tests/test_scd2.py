@@ -170,3 +170,17 @@ def test_merge_equals_per_key_fold_and_keeps_invariants(spark, sc):
         spans = sorted((r[3], r[4]) for r in versions)
         assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))   # versions do not overlap
     assert run(spark, out, chg, keys) == out                          # re-applying the batch changes nothing
+
+
+def test_merge_with_closed_history_apart_equals_merge_of_whole_history(spark):
+    hist = [(1, "x", 1.0, T0, dt.datetime(2023, 6, 30, 23, 59, 59), "n"), (1, "x", 1.0, dt.datetime(2023, 7, 1), INF, "y"),
+            (2, "p", 1.0, T0, dt.datetime(2023, 5, 1), "n"), (2, "q", 1.0, dt.datetime(2023, 5, 1, 0, 0, 1), INF, "n"),
+            (3, "z", 2.0, T0, dt.datetime(2023, 2, 1), "n")]  # key 3: closed only, no current version
+    chg = [(2, "r", 1.0, T0, dt.datetime(2024, 1, 2)), (3, "w", 1.0, T0, None), (4, "n", 1.0, T0, None)]
+    whole = run(spark, hist, chg, [1, 2, 4])
+    h = spark.createDataFrame(hist, HIST)
+    cur, closed = h.where("effective_to = TIMESTAMP_NTZ'9999-12-31 00:00:00'"), h.where("effective_to < TIMESTAMP_NTZ'9999-12-31 00:00:00'")
+    k = spark.createDataFrame([(x,) for x in [1, 2, 4]], KEYS)
+    untouched, written = scd2.merge_parts(cur, spark.createDataFrame(chg, CHG), k, "k", ["a", "b"], RUN, closed=closed)
+    assert srt(tuple(r) for r in untouched.unionByName(written).collect()) == whole
+    assert not any(r[0] == 3 and r[5] == "n" and r[4] == INF for r in whole)  # seen in closed history: not new
