@@ -57,14 +57,6 @@ def enrich(facts: DataFrame, cards: DataFrame, accounts: DataFrame, clients: Dat
     return out
 
 
-def as_of(history: DataFrame, ts) -> DataFrame:
-    """Versions valid at ``ts`` (point-in-time view of a history dimension)."""
-    from dayfold.functions import ntz
-
-    t = ts if isinstance(ts, Column) else ntz(ts)
-    return history.where(t.between(F.col("effective_from"), F.col("effective_to")))
-
-
 # --- card profile: card -> account -> client pre-joined as validity segments -------------------------
 
 _US = dt.timedelta(microseconds=1)

@@ -104,7 +104,7 @@ def run_day(spark: SparkSession, wh: Warehouse, inputs: DailyInputs, run_date=No
     # 2. blacklist entries newer than the watermark, filed under the run date
     staged_bl = inputs.blacklist(d)
     new_bl = W.new_entries(staged_bl, wm.get("passport_blacklist", seed)).withColumn("load_date", F.lit(d))
-    W._overwrite(new_bl, wh.path("fact_passport_blacklist"), "load_date")
+    W.overwrite_partitions(new_bl, wh.path("fact_passport_blacklist"), "load_date")
 
     # 3. history dimensions: increments against the per-source watermark, keys for delete detection
     marks_out = []
@@ -119,7 +119,7 @@ def run_day(spark: SparkSession, wh: Warehouse, inputs: DailyInputs, run_date=No
     #    so the day's facts need one temporal join on the card instead of three chained ones
     dims = [read_dimension(spark, wh, n, d) for n in ("cards", "accounts", "clients", "terminals")]
     profile_path = wh.path("dim_card_profile")
-    W._overwrite(card_profile(*dims[:3]).withColumn("run", F.lit(d)), profile_path, "run")
+    W.overwrite_partitions(card_profile(*dims[:3]).withColumn("run", F.lit(d)), profile_path, "run")
     profile = spark.read.parquet(profile_path).where(F.col("run") == F.lit(d)).drop("run")
 
     # 5. report: facts of the day (and the probing window before it), dimensions as of this run

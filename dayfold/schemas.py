@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql.types import (
     DateType,
@@ -67,7 +67,6 @@ class DimSpec:
     attrs: tuple[str, ...]
     created: str | None = "create_dt"
     updated: str | None = "update_dt"
-    extra: dict = field(default_factory=dict)
 
 
 CARDS = DimSpec("cards", "card_num", ("account_num",))

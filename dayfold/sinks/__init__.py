@@ -3,8 +3,10 @@
 from dayfold.sinks.writers import (  # noqa: F401
     commit_marker,
     new_entries,
+    overwrite_partitions,
     read_committed,
     read_history,
+    read_history_parts,
     replace_day,
     write_day_partition,
     write_history,

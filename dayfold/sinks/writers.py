@@ -26,7 +26,8 @@ from pyspark.sql.utils import AnalysisException
 from dayfold.functions import as_date, inf
 
 
-def _overwrite(df: DataFrame, path: str, *partition_by: str) -> None:
+def overwrite_partitions(df: DataFrame, path: str, *partition_by: str) -> None:
+    """Replace exactly the partitions present in ``df`` (dynamic overwrite): a re-run rewrites its own."""
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).parquet(path))
 
@@ -48,13 +49,13 @@ def new_entries(staged: DataFrame, watermark, at: str = "entry_dt") -> DataFrame
 # --- writers ------------------------------------------------------------------------------------------
 
 def write_day_partition(drop: DataFrame, path: str, at: str = "trans_date", day_col: str = "trans_day") -> None:
-    _overwrite(drop.withColumn(day_col, F.to_date(at)), path, day_col)
+    overwrite_partitions(drop.withColumn(day_col, F.to_date(at)), path, day_col)
 
 
 def write_history(new_versions: DataFrame, path: str, run_date) -> None:
     """Write the versions a merge produced for run D (newly closed + complete open set)."""
     state = F.when(F.col("effective_to") == inf(), "open").otherwise("closed")
-    _overwrite(new_versions.withColumn("run", F.lit(as_date(run_date))).withColumn("state", state),
+    overwrite_partitions(new_versions.withColumn("run", F.lit(as_date(run_date))).withColumn("state", state),
                path, "run", "state")
 
 
@@ -76,12 +77,12 @@ def read_history_parts(spark: SparkSession, path: str, as_of_run: dt.date | None
 
 
 def write_report(report: DataFrame, path: str) -> None:
-    _overwrite(report, path, "report_dt", "event_type")
+    overwrite_partitions(report, path, "report_dt", "event_type")
 
 
 def commit_marker(watermarks: DataFrame, path: str, run_date) -> None:
     """Write the run's watermark rows; their presence marks run D as committed."""
-    _overwrite(watermarks.withColumn("run_date", F.lit(as_date(run_date))), path, "run_date")
+    overwrite_partitions(watermarks.withColumn("run_date", F.lit(as_date(run_date))), path, "run_date")
 
 
 def read_committed(spark: SparkSession, path: str, before=None) -> tuple[dt.date | None, DataFrame | None]:
