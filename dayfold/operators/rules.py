@@ -185,7 +185,7 @@ def amount_probing(facts: DataFrame, cards: DataFrame, accounts: DataFrame, clie
 def build_report(facts: DataFrame, cards: DataFrame, accounts: DataFrame, clients: DataFrame,
                  terminals: DataFrame, blacklist: DataFrame | None, run_date=None,
                  travel_within: dt.timedelta = TRAVEL_WITHIN, probe_within: dt.timedelta = PROBE_WITHIN,
-                 profile: DataFrame | None = None) -> DataFrame:
+                 profile: DataFrame | None = None, fuse_probing: bool = True) -> DataFrame:
     """R5: all four rules for ``run_date`` (or accumulated over all facts when ``run_date`` is None).
 
     Daily form, one pass: facts from ``run_date - probe_within`` are enriched once (terminal, card,
@@ -201,6 +201,10 @@ def build_report(facts: DataFrame, cards: DataFrame, accounts: DataFrame, client
 
     ``profile`` (a ``temporal.card_profile`` of the same dimensions) replaces the card -> account -> client
     join chain by one temporal join; the result is the same.
+
+    Fusing R4 into the enriched window assumes a fact matches at most one version per dimension (versions
+    of a key never overlap — what ``scd2.merge`` maintains); the original rule runs its window on the raw
+    facts. ``fuse_probing=False`` runs R4 on its own (exact for any dimension contents).
     """
 
     def enriched_of(df: DataFrame) -> DataFrame:
@@ -216,6 +220,10 @@ def build_report(facts: DataFrame, cards: DataFrame, accounts: DataFrame, client
 
     d = as_date(run_date)
     start = ntz(d)
+    if not fuse_probing:
+        n = travel_neighbours(enriched_of(facts_of_day(facts, d)), travel_within)
+        r4 = amount_probing(facts, cards, accounts, clients, d, probe_within)
+        return _emit(n, blacklist, [], False, d).unionByName(r4)
     window_facts = facts_until(facts, d, since=probe_within)
     enriched = enriched_of(window_facts)
     probe_cols = ["oper_result", "amt", "trans_date"]

@@ -205,3 +205,14 @@ def test_split_lead_equals_single_window_at_any_distance(spark, bucket_min):
     got = lead_split(df, "card_num", "trans_date", "trans_id", cols, 3, dt.timedelta(minutes=bucket_min))
     ref = lead_all(df, "card_num", "trans_date", "trans_id", cols, 3)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, ref.select(*got.columns).collect()))
+
+
+def test_report_with_separate_probing_equals_fused(spark):
+    """The daily report with R4 run on its own gives the same rows as the fused pass."""
+    from conftest import SF_SMALL
+    from dayfold.plans import contract
+    from helpers import spark_rows
+
+    b = contract.Bank(spark, SF_SMALL)
+    args = (b.tx, *b.dims(), b.terminals, b.blacklist, contract.D, rules.TRAVEL_WITHIN, contract.PROBE)
+    assert spark_rows(rules.build_report(*args, fuse_probing=False)) == spark_rows(rules.build_report(*args))
