@@ -24,12 +24,14 @@ never shuffled: they only contribute their key to "seen" and pass through unchan
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType, TimestampNTZType
 
-from dayfold.functions import FLAG_DELETED, FLAG_LIVE, inf, ntz, null_safe_differs, one_second
+from dayfold.functions import FLAG_DELETED, FLAG_LIVE, INF_TEXT, inf, ntz, null_safe_differs
 
 
 def _ts(v) -> Column:
@@ -100,6 +102,18 @@ def merge(history: DataFrame, changes: DataFrame, keys: DataFrame | None, key: s
     return untouched.unionByName(written)
 
 
+def _sql_ts(v) -> str:
+    if isinstance(v, dt.datetime):
+        v = v.strftime("%Y-%m-%d %H:%M:%S.%f")
+    elif isinstance(v, dt.date):
+        v = v.strftime("%Y-%m-%d 00:00:00")
+    return f"TIMESTAMP_NTZ '{v}'"
+
+
+def _q(name: str) -> str:
+    return f"`{name}`"
+
+
 def merge_parts(history: DataFrame, changes: DataFrame, keys: DataFrame | None, key: str, attrs: Sequence[str],
                 run_ts, created: str | None = "create_dt", updated: str | None = "update_dt",
                 reopen: bool = False, closed: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
@@ -107,80 +121,77 @@ def merge_parts(history: DataFrame, changes: DataFrame, keys: DataFrame | None,
     complete current set plus the versions it closed). A versioned store appends only the second part.
 
     ``closed``: when the store keeps closed versions apart, pass them here and only the current versions
-    as ``history``; the closed ones are then read for their key column only."""
+    as ``history``; the closed ones are then read for their key column only.
 
+    The per-key logic is generated as SQL expressions (one call each, parsed JVM-side)."""
     attrs = list(attrs)
-    run = _ts(run_ts)
+    run, inf_ = _sql_ts(run_ts), _sql_ts(INF_TEXT)
     snapshot = created is None
     if snapshot and keys is None:
         keys = changes.select(key)
+    k = _q(key)
 
-    ver = F.struct(F.col("effective_from"), *[F.col(a) for a in attrs])
-    chg_fields = [F.coalesce(F.col(updated), F.col(created)).alias("_ord") if not snapshot else F.lit(0).alias("_ord")]
+    htypes = {f.name: f.dataType for f in history.schema.fields}
+    ctypes = {f.name: f.dataType for f in changes.schema.fields}
+    ver_t = StructType([StructField("effective_from", htypes["effective_from"])] +
+                       [StructField(a, htypes[a]) for a in attrs]).simpleString()
+    chg_fields = [StructField("_ord", TimestampNTZType() if not snapshot else IntegerType())]
     if not snapshot:
-        chg_fields += [F.col(created).alias("_created"), F.col(updated).alias("_updated")]
-    chg = F.struct(*chg_fields, *[F.col(a) for a in attrs])
-
-    ver_t = history.select(ver.alias("v")).schema["v"].dataType
-    chg_t = changes.select(chg.alias("c")).schema["c"].dataType
-    null_ver, null_chg = F.lit(None).cast(ver_t), F.lit(None).cast(chg_t)
-    t, f = F.lit(True), F.lit(False)
-
-    open_ = F.col("effective_to") == inf()
-    tracked = F.coalesce(open_ & F.col("deleted_flg").isin(FLAG_LIVE, FLAG_DELETED), f)
+        chg_fields += [StructField("_created", ctypes[created]), StructField("_updated", ctypes[updated])]
+    chg_t = StructType(chg_fields + [StructField(a, ctypes[a]) for a in attrs]).simpleString()
+    no_ver, no_chg = f"CAST(NULL AS {ver_t})", f"CAST(NULL AS {chg_t})"
+    attr_fields = ", ".join(f"'{a}', {_q(a)}" for a in attrs)
+    ver = f"named_struct('effective_from', effective_from, {attr_fields})"
+    if snapshot:
+        chg = f"named_struct('_ord', 0, {attr_fields})"
+    else:
+        c, u = _q(created), _q(updated)
+        chg = f"named_struct('_ord', coalesce({u}, {c}), '_created', {c}, '_updated', {u}, {attr_fields})"
+
+    def tag(o: str, y: str, s_: str, seen: str, alive: str) -> list[str]:
+        return [k, f"{o} AS _o", f"{y} AS _y", f"{s_} AS _s", f"{seen} AS _seen", f"{alive} AS _alive"]
+
+    tracked = f"coalesce(effective_to = {inf_} AND deleted_flg IN ('{FLAG_LIVE}', '{FLAG_DELETED}'), false)"
     # Current versions travel whole; every other version contributes only its key (column pruning).
-    tagged_open = history.where(tracked).select(
-        F.col(key),
-        F.when(F.col("deleted_flg") == FLAG_LIVE, ver).otherwise(null_ver).alias("_o"),
-        F.when(F.col("deleted_flg") == FLAG_DELETED, ver).otherwise(null_ver).alias("_y"),
-        null_chg.alias("_s"), t.alias("_seen"), f.alias("_alive"),
-    )
-    tagged_closed = history.where(~tracked).select(
-        F.col(key), null_ver.alias("_o"), null_ver.alias("_y"), null_chg.alias("_s"), t.alias("_seen"),
-        f.alias("_alive"))
-    tagged_h = tagged_open.unionByName(tagged_closed)
+    parts = (history.where(tracked).selectExpr(*tag(f"IF(deleted_flg = '{FLAG_LIVE}', {ver}, {no_ver})",
+                                                    f"IF(deleted_flg = '{FLAG_DELETED}', {ver}, {no_ver})",
+                                                    no_chg, "true", "false"))
+             .unionByName(history.where(f"NOT {tracked}").selectExpr(*tag(no_ver, no_ver, no_chg, "true", "false"))))
     if closed is not None:
-        tagged_h = tagged_h.unionByName(closed.select(
-            F.col(key), null_ver.alias("_o"), null_ver.alias("_y"), null_chg.alias("_s"), t.alias("_seen"),
-            f.alias("_alive")))
-    tagged_s = changes.select(F.col(key), null_ver.alias("_o"), null_ver.alias("_y"), chg.alias("_s"),
-                              f.alias("_seen"), f.alias("_alive"))
-    parts = tagged_h.unionByName(tagged_s)
+        parts = parts.unionByName(closed.selectExpr(*tag(no_ver, no_ver, no_chg, "true", "false")))
+    parts = parts.unionByName(changes.selectExpr(*tag(no_ver, no_ver, chg, "false", "false")))
     if keys is not None:
-        parts = parts.unionByName(keys.select(F.col(key), null_ver.alias("_o"), null_ver.alias("_y"),
-                                              null_chg.alias("_s"), f.alias("_seen"), t.alias("_alive")))
-    state = parts.groupBy(key).agg(
-        F.max("_o").alias("o"), F.max("_y").alias("y"), F.max("_s").alias("s"),
-        F.max("_seen").alias("seen"), F.max("_alive").alias("alive"),
+        parts = parts.unionByName(keys.selectExpr(*tag(no_ver, no_ver, no_chg, "false", "true")))
+    state = parts.groupBy(key).agg(*[F.expr(f"max(_{n}) AS {n}") for n in ("o", "y", "s", "seen", "alive")])
+
+    differs = " OR ".join(f"NOT (o.{_q(a)} <=> s.{_q(a)})" for a in attrs) or "false"
+    flags = state.selectExpr(
+        "*",
+        "s IS NOT NULL AND NOT seen AS _new",
+        f"s IS NOT NULL AND o IS NOT NULL AND ({differs}) AS _chg",
+        f"{'s IS NOT NULL AND o IS NULL AND y IS NOT NULL' if reopen else 'false'} AS _re",
+        f"{run if snapshot else f'coalesce(s._updated, {run})'} AS _at",
+    ).selectExpr(
+        "*", "_new OR _chg OR _re AS _opens",
+        f"NOT {'alive' if keys is not None else 'true'} AND (o IS NOT NULL OR _new OR _chg OR _re) AS _del",
     )
 
-    o, y, s = F.col("o"), F.col("y"), F.col("s")
-    has_open, has_chg = o.isNotNull(), s.isNotNull()
-    alive = F.col("alive") if keys is not None else t
-    is_new = has_chg & ~F.col("seen")
-    is_chg = has_chg & has_open & null_safe_differs([(o[a], s[a]) for a in attrs])
-    is_re = (has_chg & ~has_open & y.isNotNull()) if reopen else f
-    opens = is_new | is_chg | is_re
-    is_del = ~alive & (has_open | opens)
-    change_at = run if snapshot else F.coalesce(s["_updated"], run)
-    new_from = F.when(is_new, run if snapshot else s["_created"]).otherwise(change_at)
-    closed_at = change_at - one_second()
-    deleted_at = run - one_second()
-
-    def version(src: Column, frm: Column, to: Column, flag: str) -> Column:
-        return F.struct(F.col(key).alias(key), *[src[a].alias(a) for a in attrs], frm.alias("effective_from"),
-                        to.alias("effective_to"), F.lit(flag).alias("deleted_flg"))
-
-    versions = F.array(
-        F.when(y.isNotNull(), version(y, y["effective_from"], F.when(is_re, closed_at).otherwise(inf()), FLAG_DELETED)),
-        F.when(has_open, version(o, o["effective_from"],
-                                 F.when(is_chg, closed_at).when(is_del, deleted_at).otherwise(inf()), FLAG_LIVE)),
-        F.when(opens, version(s, new_from, F.when(is_del, deleted_at).otherwise(inf()), FLAG_LIVE)),
-        F.when(is_del, F.when(opens, version(s, run, inf(), FLAG_DELETED)).otherwise(version(o, run, inf(), FLAG_DELETED))),
-    )
-    merged = state.select(F.inline(F.filter(versions, lambda v: v.isNotNull())))
+    def version(src: str, frm: str, to: str, flag: str) -> str:
+        fields = ", ".join(f"'{a}', {src}.{_q(a)}" for a in attrs)
+        return (f"named_struct('{key}', {k}, {fields}, 'effective_from', {frm}, 'effective_to', {to}, "
+                f"'deleted_flg', '{flag}')")
+
+    one_s = "INTERVAL 1 SECOND"
+    new_from = f"IF(_new, {run if snapshot else 's._created'}, _at)"
+    versions = ", ".join([
+        f"IF(y IS NOT NULL, {version('y', 'y.effective_from', f'IF(_re, _at - {one_s}, {inf_})', FLAG_DELETED)}, NULL)",
+        f"IF(o IS NOT NULL, {version('o', 'o.effective_from', f'CASE WHEN _chg THEN _at - {one_s} WHEN _del THEN {run} - {one_s} ELSE {inf_} END', FLAG_LIVE)}, NULL)",
+        f"IF(_opens, {version('s', new_from, f'IF(_del, {run} - {one_s}, {inf_})', FLAG_LIVE)}, NULL)",
+        f"IF(_del, IF(_opens, {version('s', run, inf_, FLAG_DELETED)}, {version('o', run, inf_, FLAG_DELETED)}), NULL)",
+    ])
+    merged = flags.selectExpr(f"inline(filter(array({versions}), v -> v IS NOT NULL))")
     cols = [key, *attrs, "effective_from", "effective_to", "deleted_flg"]
-    untouched = history.where(~tracked).select(*cols)
+    untouched = history.where(f"NOT {tracked}").select(*cols)
     if closed is not None:
         untouched = untouched.unionByName(closed.select(*cols))
     return untouched, merged.select(*cols)
