@@ -24,7 +24,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dayfold.functions import as_date, full_name, ntz, on_day
+from dayfold.functions import FULL_NAME_SQL, as_date, full_name, ntz, on_day
 from dayfold.operators.sequence import neighbours_within
 from dayfold.operators.temporal import enrich, enrich_profile
 
@@ -219,7 +219,6 @@ def build_report(facts: DataFrame, cards: DataFrame, accounts: DataFrame, client
         return _emit(n, blacklist, [], True, None).unionByName(r4)
 
     d = as_date(run_date)
-    start = ntz(d)
     if not fuse_probing:
         n = travel_neighbours(enriched_of(facts_of_day(facts, d)), travel_within)
         r4 = amount_probing(facts, cards, accounts, clients, d, probe_within)
@@ -231,51 +230,50 @@ def build_report(facts: DataFrame, cards: DataFrame, accounts: DataFrame, client
     n = neighbours_within(enriched.selectExpr("*", "to_date(trans_date) AS _day"), "card_num", "trans_date",
                           "trans_id", ["terminal_city", *probe_cols, *client_cols], 3,
                           max(travel_within, probe_within))
-    on_day = F.col("trans_date") >= start
-    c = F.col
-    chain = (
-        (c("oper_result") == REJECT) & (c("next1_oper_result") == REJECT)
-        & (c("next2_oper_result") == REJECT) & (c("next3_oper_result") == SUCCESS)
-        & (c("next1_amt") < c("amt")) & (c("next2_amt") < c("next1_amt")) & (c("next3_amt") < c("next2_amt"))
-        & (c("next3_trans_date") - c("trans_date") <= F.lit(probe_within)) & (c("next3_trans_date") >= start)
-    )
-    travel = on_day & (c("terminal_city") != c("next1_terminal_city")) & (
-        c("next1_trans_date") - c("trans_date") <= F.lit(travel_within))
-    n = n.withColumn("_hit", F.coalesce(travel, F.lit(False))).withColumn("_r4", F.coalesce(chain, F.lit(False)))
+    day_sql = f"trans_date >= TIMESTAMP_NTZ '{d} 00:00:00'"
+    probe_s, travel_s = int(probe_within.total_seconds()), int(travel_within.total_seconds())
+    chain = (f"oper_result = '{REJECT}' AND next1_oper_result = '{REJECT}' AND next2_oper_result = '{REJECT}'"
+             f" AND next3_oper_result = '{SUCCESS}' AND next1_amt < amt AND next2_amt < next1_amt"
+             f" AND next3_amt < next2_amt AND next3_trans_date - trans_date <= make_dt_interval(0, 0, 0, {probe_s})"
+             f" AND next3_trans_date >= TIMESTAMP_NTZ '{d} 00:00:00'")
+    travel = (f"{day_sql} AND terminal_city <> next1_terminal_city"
+              f" AND next1_trans_date - trans_date <= make_dt_interval(0, 0, 0, {travel_s})")
+    n = n.selectExpr("*", f"coalesce({travel}, false) AS _hit", f"coalesce({chain}, false) AS _r4")
     r4_cols = ["next3_trans_date"] + [f"next3_{x}" for x in client_cols]
-    return _emit(n, blacklist, r4_cols, False, d, on_day)
+    return _emit(n, blacklist, r4_cols, False, d, day_sql)
 
 
 def _emit(n: DataFrame, blacklist: DataFrame | None, r4_cols: list[str], per_day: bool, run_date,
-          on_day: Column | None = None) -> DataFrame:
-    """R1-R3 (and the fused R4) rows from windowed, enriched facts carrying ``_hit`` (and ``_r4``)."""
-    day_only = on_day if on_day is not None else F.lit(True)
+          day_sql: str | None = None) -> DataFrame:
+    """R1-R3 (and the fused R4) rows from windowed, enriched facts carrying ``_hit`` (and ``_r4``).
+
+    Built from SQL expressions: one driver call per step instead of one per column expression."""
+    day_only = day_sql or "true"
+    passport = "passport_valid_to IS NOT NULL AND passport_valid_to < trans_date"
+    if blacklist is not None:
+        passport = f"({passport}) OR _bl_first <= trans_date"
     cols = HIT_COLS + (["_day"] if per_day else []) + ["_r1", "_r2", "_hit"] + (["_r4", *r4_cols] if r4_cols else [])
-    flag_any = F.col("_r1") | F.col("_r2") | F.col("_hit") | (F.col("_r4") if r4_cols else F.lit(False))
-    flagged = (n.withColumn("_r1", F.coalesce(day_only & passport_flag(blacklist), F.lit(False)))
-               .withColumn("_r2", F.coalesce(day_only & (F.col("valid_to") < F.col("trans_date")), F.lit(False)))
-               .where(flag_any).select(*cols).where(F.col("trans_date").isNotNull()))
+    flag_any = "_r1 OR _r2 OR _hit" + (" OR _r4" if r4_cols else "")
+    flagged = (n.selectExpr("*", f"coalesce({day_only} AND ({passport}), false) AS _r1",
+                            f"coalesce({day_only} AND valid_to < trans_date, false) AS _r2")
+               .where(flag_any).select(*cols).where("trans_date IS NOT NULL"))
     # Latest hit time per person (per day), distinct so the left join below cannot multiply rows. The
     # aggregate takes the latest whole row (max of a struct led by the time), so both consumers of
     # `flagged` need the same columns, are the same plan up to the window, and Spark reuses that
     # exchange instead of enriching the day twice. It only sees hit rows, with map-side partial merging.
-    keys = [full_name().alias("fio")] + (["_day"] if per_day else [])
-    last = (flagged.where(F.col("_hit")).groupBy(*keys).agg(F.max(F.struct(*cols)).alias("_m"))
-            .select(F.col("_m.trans_date").alias("_last"),
-                    *([F.col("_m._day").alias("_last_day")] if per_day else [])).distinct())
-    cond = F.col("trans_date") == F.col("_last")
-    if per_day:
-        cond = cond & (F.col("_day") == F.col("_last_day"))
-    marked = flagged.join(last, cond, "left").withColumn("_r3", F.col("_hit") & F.col("_last").isNotNull())
-    rd = F.expr(_report_dt(run_date, "trans_date"))
-
-    def hit(flag: str, code: str, p: str = "", at: str = "trans_date") -> Column:
-        fio = F.concat(F.col(f"{p}last_name"), F.lit(" "), F.col(f"{p}first_name"), F.lit(" "), F.col(f"{p}patronymic"))
-        return F.when(F.col(flag), F.struct(
-            F.col(at).alias("event_dt"), F.col(f"{p}passport_num").alias("passport"), fio.alias("fio"),
-            F.col(f"{p}phone").alias("phone"), F.lit(code).alias("event_type"), rd.alias("report_dt")))
+    keys = [F.expr(f"{FULL_NAME_SQL} AS fio")] + ([F.col("_day")] if per_day else [])
+    last = (flagged.where("_hit").groupBy(*keys).agg(F.expr(f"max(struct({', '.join(cols)})) AS _m"))
+            .selectExpr("_m.trans_date AS _last", *(["_m._day AS _last_day"] if per_day else [])).distinct())
+    cond = "trans_date = _last" + (" AND _day = _last_day" if per_day else "")
+    marked = flagged.join(last, F.expr(cond), "left").selectExpr("*", "_hit AND _last IS NOT NULL AS _r3")
+    rd = _report_dt(run_date, "trans_date")
+
+    def hit(flag: str, code: str, p: str = "", at: str = "trans_date") -> str:
+        fio = f"{p}last_name || ' ' || {p}first_name || ' ' || {p}patronymic"
+        return (f"IF({flag}, named_struct('event_dt', {at}, 'passport', {p}passport_num, 'fio', {fio}, "
+                f"'phone', {p}phone, 'event_type', '{code}', 'report_dt', {rd}), NULL)")
 
     hits = [hit("_r1", EXPIRED_PASSPORT), hit("_r2", EXPIRED_CONTRACT), hit("_r3", IMPOSSIBLE_TRAVEL)]
     if r4_cols:
         hits.append(hit("_r4", AMOUNT_PROBING, "next3_", "next3_trans_date"))
-    return marked.select(F.inline(F.filter(F.array(*hits), lambda x: x.isNotNull())))
+    return marked.selectExpr(f"inline(filter(array({', '.join(hits)}), x -> x IS NOT NULL))")
