@@ -15,7 +15,6 @@ from xml.etree import ElementTree as ET
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampNTZType
 
 from dayfold.sources.delimited import parse_text_columns
