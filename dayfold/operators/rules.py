@@ -71,10 +71,9 @@ def first_listing(blacklist: DataFrame) -> DataFrame:
 
 
 def passport_flag(blacklist: DataFrame | None) -> Column:
-    expired = F.col("passport_valid_to").isNotNull() & (F.col("passport_valid_to") < F.col("trans_date"))
-    if blacklist is None:
-        return expired
-    return expired | (F.col("_bl_first") <= F.col("trans_date"))
+    """Passport expired before the operation (a date compares as its midnight), or listed no later."""
+    expired = "passport_valid_to IS NOT NULL AND passport_valid_to < trans_date"
+    return F.expr(expired if blacklist is None else f"({expired}) OR _bl_first <= trans_date")
 
 
 def with_blacklist(enriched: DataFrame, blacklist: DataFrame | None) -> DataFrame:
@@ -124,20 +123,18 @@ def travel_last_hit(hits: DataFrame, per_day: bool = False) -> DataFrame:
 def keep_latest_hits(hits: DataFrame, per_day: bool, cols: list[str] | None = None) -> DataFrame:
     """``trans_date IN (SELECT max(trans_date) ... GROUP BY fio)`` — not tied to the person (parity, Q10).
 
-    The latest times come from a hash aggregate with map-side partial aggregation (a hot name, e.g. all
-    NULL names, is collapsed before the shuffle). Both consumers of ``hits`` reference the same columns
-    (``count(struct(cols))`` reads them all), so Spark plans the enrichment and the window once and
-    reuses its exchange for the aggregate instead of computing the day twice."""
+    The latest time per person comes from the max of a struct led by the time (map-side partial
+    aggregation, so a hot name such as all NULL names collapses before the shuffle). Both consumers of
+    ``hits`` reference the same columns, so Spark plans the enrichment and the window once and reuses
+    its exchange for the aggregate instead of computing the day twice."""
     cols = cols or (HIT_COLS + (["_day"] if per_day else []))
     # explicit, so the join's inferred `IS NOT NULL` constraints add nothing that makes the branches differ
-    hits = hits.select(*cols).where(F.col("trans_date").isNotNull())
-    keys = [full_name().alias("fio")] + (["_day"] if per_day else [])
-    last = hits.groupBy(*keys).agg(F.max("trans_date").alias("_last"), F.count(F.struct(*cols)).alias("_n"))
-    cond = F.col("trans_date") == F.col("_last")
-    if per_day:
-        last = last.withColumnRenamed("_day", "_last_day")
-        cond = cond & (F.col("_day") == F.col("_last_day"))
-    return hits.join(last.select("_last", *(["_last_day"] if per_day else [])), cond, "left_semi")
+    hits = hits.select(*cols).where("trans_date IS NOT NULL")
+    keys = [F.expr(f"{FULL_NAME_SQL} AS fio")] + ([F.col("_day")] if per_day else [])
+    last = hits.groupBy(*keys).agg(F.expr(f"max(struct({', '.join(cols)})) AS _m")).selectExpr(
+        "_m.trans_date AS _last", *(["_m._day AS _last_day"] if per_day else []))
+    cond = "trans_date = _last" + (" AND _day = _last_day" if per_day else "")
+    return hits.join(last, F.expr(cond), "left_semi")
 
 
 def impossible_travel(enriched: DataFrame, run_date=None, within: dt.timedelta = TRAVEL_WITHIN) -> DataFrame:
@@ -153,16 +150,13 @@ def probing_chains(facts: DataFrame, within: dt.timedelta = PROBE_WITHIN, since=
     previous, last no later than ``within`` after the first. One row per chain, at its first operation."""
     n = neighbours_within(facts, "card_num", "trans_date", "trans_id",
                           ["oper_result", "amt", "trans_date"], 3, within)
-    c = F.col
-    cond = (
-        (c("oper_result") == REJECT) & (c("next1_oper_result") == REJECT)
-        & (c("next2_oper_result") == REJECT) & (c("next3_oper_result") == SUCCESS)
-        & (c("next1_amt") < c("amt")) & (c("next2_amt") < c("next1_amt")) & (c("next3_amt") < c("next2_amt"))
-        & (c("next3_trans_date") - c("trans_date") <= F.lit(within))
-    )
+    cond = (f"oper_result = '{REJECT}' AND next1_oper_result = '{REJECT}' AND next2_oper_result = '{REJECT}'"
+            f" AND next3_oper_result = '{SUCCESS}' AND next1_amt < amt AND next2_amt < next1_amt"
+            f" AND next3_amt < next2_amt"
+            f" AND next3_trans_date - trans_date <= make_dt_interval(0, 0, 0, {int(within.total_seconds())})")
     if since is not None:
-        cond = cond & (c("next3_trans_date") >= since)
-    return n.where(cond).select("card_num", c("next3_trans_date").alias("event_ts"))
+        cond += f" AND next3_trans_date >= TIMESTAMP_NTZ '{since} 00:00:00'"
+    return n.where(cond).selectExpr("card_num", "next3_trans_date AS event_ts")
 
 
 def amount_probing(facts: DataFrame, cards: DataFrame, accounts: DataFrame, clients: DataFrame,
@@ -174,7 +168,7 @@ def amount_probing(facts: DataFrame, cards: DataFrame, accounts: DataFrame, clie
     """
     if run_date is not None:
         facts = facts_until(facts, run_date, since=within)
-        since = ntz(as_date(run_date))
+        since = as_date(run_date)
     else:
         since = None
     chains = probing_chains(facts, within, since)
