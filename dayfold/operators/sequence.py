@@ -27,7 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dayfold.functions import epoch_seconds, epoch_seconds_sql
+from dayfold.functions import epoch_seconds_sql
 
 
 def _cols(x: str | Sequence[str]) -> list[str]:
@@ -82,28 +82,24 @@ def lead_split(df: DataFrame, keys: str | Sequence[str], ts: str, tiebreak: str
     keys = _cols(keys)
     k = offsets
     b_sec = int(bucket.total_seconds())
-    order = [F.col(ts)] + ([F.col(tiebreak)] if tiebreak else [])
-    base = df.withColumn("_b", F.floor(epoch_seconds(ts) / F.lit(b_sec)).cast("long"))
-    w = Window.partitionBy(*[F.col(c) for c in keys], F.col("_b")).orderBy(*order)
-    head = F.struct(F.col(ts).alias("_t"), *([F.col(tiebreak).alias("_tb")] if tiebreak else []),
-                    *[F.col(c).alias(f"_c{j}") for j, c in enumerate(cols)])
-    within = base.select(
-        "*", F.row_number().over(w).alias("_rn"),
-        *[F.lead(F.lit(1), i).over(w).alias(f"_has{i}") for i in range(1, k + 1)],
-        *[F.lead(c, i).over(w).alias(f"_in{i}_{j}") for i in range(1, k + 1) for j, c in enumerate(cols)],
+    order = ", ".join([ts] + ([tiebreak] if tiebreak else []))
+    over = f"OVER (PARTITION BY {', '.join(keys)}, _b ORDER BY {order})"
+    base = df.selectExpr("*", f"CAST(floor({epoch_seconds_sql(ts)} / {b_sec}) AS BIGINT) AS _b")
+    within = base.selectExpr(
+        "*", f"row_number() {over} AS _rn",
+        *[f"lead(1, {i}) {over} AS _has{i}" for i in range(1, k + 1)],
+        *[f"lead({c}, {i}) {over} AS _in{i}_{j}" for i in range(1, k + 1) for j, c in enumerate(cols)],
     )
+    head = ", ".join([f"'_t', {ts}"] + ([f"'_tb', {tiebreak}"] if tiebreak else []) +
+                     [f"'_c{j}', {c}" for j, c in enumerate(cols)])
     # `row_number <= k` is planned as a group limit on both sides of its exchange, so this branch
     # shuffles at most k rows per group and map task, not the data.
-    heads = (within.where(F.col("_rn") <= k).groupBy(*keys, "_b")
-             .agg(F.array_sort(F.collect_list(head)).alias("_heads")))
-    gw = Window.partitionBy(*[F.col(c) for c in keys]).orderBy("_b").rowsBetween(1, k)
-    cont = heads.select(*keys, "_b", F.slice(F.flatten(F.collect_list("_heads").over(gw)), 1, k).alias("_cont"))
+    heads = (within.where(f"_rn <= {k}").groupBy(*keys, "_b")
+             .agg(F.expr(f"array_sort(collect_list(named_struct({head}))) AS _heads")))
+    following = f"OVER (PARTITION BY {', '.join(keys)} ORDER BY _b ROWS BETWEEN 1 FOLLOWING AND {k} FOLLOWING)"
+    cont = heads.selectExpr(*keys, "_b", f"slice(flatten(collect_list(_heads) {following}), 1, {k}) AS _cont")
     joined = within.join(cont, [*keys, "_b"], "left")
-    inside = sum((F.col(f"_has{i}").isNotNull().cast("int") for i in range(1, k + 1)), F.lit(0))
-    leads = []
-    for i in range(1, k + 1):
-        for j, c in enumerate(cols):
-            spill = F.get(F.col("_cont"), F.lit(i - 1) - inside)[f"_c{j}"]
-            leads.append(F.when(F.col(f"_has{i}").isNotNull(), F.col(f"_in{i}_{j}")).otherwise(spill)
-                         .alias(f"{prefix}{i}_{c}"))
-    return joined.select(*df.columns, *leads)
+    inside = " + ".join(f"IF(_has{i} IS NULL, 0, 1)" for i in range(1, k + 1))
+    leads = [f"IF(_has{i} IS NOT NULL, _in{i}_{j}, get(_cont, {i - 1} - ({inside}))._c{j}) AS {prefix}{i}_{c}"
+             for i in range(1, k + 1) for j, c in enumerate(cols)]
+    return joined.selectExpr(*df.columns, *leads)
