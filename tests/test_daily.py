@@ -9,7 +9,7 @@ from conftest import SF_SMALL
 from dayfold.functions import inf
 from dayfold.plans import contract
 from dayfold.plans import fixtures as fx
-from dayfold.plans.daily import DailyInputs, RuleConfig, Warehouse, read_report, run_day
+from dayfold.plans.daily import DailyInputs, RuleConfig, Warehouse, backfill, read_report, run_day
 from dayfold.schemas import BLACKLIST_FILE, TERMINALS, TRANSACTIONS
 from dayfold.sources import read_delimited_drop, read_workbook_drop
 from helpers import spark_rows, write_drop, write_xlsx
@@ -69,8 +69,7 @@ def loaded(spark, tmp_path_factory):
     write_drops(spark, folder, DAYS + [dt.date(2024, 1, 21)], empty={dt.date(2024, 1, 21)})
     wh = Warehouse(str(tmp_path_factory.mktemp("warehouse")))
     inp = inputs(spark, folder)
-    for d in DAYS:
-        run_day(spark, wh, inp, d, CONFIG)
+    assert backfill(spark, wh, inp, DAYS, CONFIG) == DAYS
     return wh, inp
 
 
