@@ -57,3 +57,18 @@ def test_lead_split_equals_plain_window(spark, rows):
     got = lead_split(df, "card_num", "trans_date", "trans_id", cols, 3, dt.timedelta(minutes=20))
     ref = lead_all(df, "card_num", "trans_date", "trans_id", cols, 3)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, ref.select(*got.columns).collect()))
+
+
+def test_epoch_seconds_ignore_session_time_zone_and_dst(spark):
+    from dayfold.functions import epoch_seconds
+
+    vals = [dt.datetime(2021, 3, 14, 1, 59, 59, 500000), dt.datetime(2021, 3, 14, 2, 30),
+            dt.datetime(2021, 3, 14, 3, 0, 1), dt.datetime(2021, 11, 7, 1, 30), dt.datetime(1969, 12, 31, 23, 59, 59)]
+    want = [int((v - dt.datetime(1970, 1, 1)).total_seconds() // 1) for v in vals]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.createDataFrame([(v,) for v in vals], "ts timestamp_ntz")
+        assert [r[0] for r in df.select(epoch_seconds("ts")).collect()] == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
