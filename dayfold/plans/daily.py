@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -97,23 +98,27 @@ def run_day(spark: SparkSession, wh: Warehouse, inputs: DailyInputs, run_date=No
     d = as_date(run_date)
     seed = watermark.SOURCE_SEED
 
+    # 1-3 are independent jobs: submitted together, Spark runs their stages side by side.
     # 1. facts of the day (partition overwrite: a re-run replaces the day)
     drop = inputs.transactions(d)
-    W.write_day_partition(drop, wh.path("fact_transactions"))
-
     # 2. blacklist entries newer than the watermark, filed under the run date
     staged_bl = inputs.blacklist(d)
     new_bl = W.new_entries(staged_bl, wm.get("passport_blacklist", seed)).withColumn("load_date", F.lit(d))
-    W.overwrite_partitions(new_bl, wh.path("fact_passport_blacklist"), "load_date")
-
     # 3. history dimensions: increments against the per-source watermark, keys for delete detection
     marks_out = []
+    loads = []
     for spec, src in ((CARDS, inputs.cards), (ACCOUNTS, inputs.accounts), (CLIENTS, inputs.clients)):
         staged = capture_increment(src, wm.get(spec.name, seed), spec.created, spec.updated)
-        load_dimension(spark, wh, spec, staged, capture_keys(src, spec.key), prev_run, d, config.reopen_deleted)
+        loads.append((spec, staged, capture_keys(src, spec.key)))
         marks_out.append(watermark.advance_source(staged, spec.name, wm.get(spec.name, seed)))
-    terminals = inputs.terminals(d)
-    load_dimension(spark, wh, TERMINALS_DIM, terminals, None, prev_run, d)
+    loads.append((TERMINALS_DIM, inputs.terminals(d), None))
+    with ThreadPoolExecutor(max_workers=len(loads) + 2) as pool:
+        jobs = [pool.submit(W.write_day_partition, drop, wh.path("fact_transactions")),
+                pool.submit(W.overwrite_partitions, new_bl, wh.path("fact_passport_blacklist"), "load_date")]
+        jobs += [pool.submit(load_dimension, spark, wh, spec, staged, keys, prev_run, d,
+                             config.reopen_deleted and keys is not None) for spec, staged, keys in loads]
+        for job in jobs:
+            job.result()
 
     # 4. card profile: card -> account -> client as validity segments, built from the dimensions only,
     #    so the day's facts need one temporal join on the card instead of three chained ones
