@@ -106,16 +106,28 @@ def _overlay(base: DataFrame, base_cols: list[str], join_col: str, view: DataFra
     return j.select(F.inline(F.filter(pieces, lambda x: x.isNotNull())))
 
 
-def card_profile(cards: DataFrame, accounts: DataFrame, clients: DataFrame) -> DataFrame:
+def card_profile(cards: DataFrame, accounts: DataFrame, clients: DataFrame,
+                 window: tuple[dt.datetime, dt.datetime] | None = None) -> DataFrame:
     """Card -> account -> client as validity segments per (trimmed) card number.
 
     For every card and instant t, the segments covering t equal the rows of
     ``card ⟕ account ⟕ client`` (each ``t BETWEEN effective_from AND effective_to``, left outer), NULLs
     included. Facts then need one temporal join on the card number instead of three chained ones, so a
     day's facts are shuffled once for enrichment; the profile is built from the dimensions only.
+
+    ``window`` (inclusive bounds) restricts the profile to the instants a run can look up: only versions
+    valid in it take part and card segments are clipped to it, so the profile holds about one segment per
+    card alive in the window instead of one per overlapping version pair over all history.
     """
-    base = cards.selectExpr("trim(card_num) AS _card", "account_num", "effective_from AS _seg_from",
-                            "effective_to AS _seg_to")
+    cards_ = cards
+    lo = hi = None
+    if window is not None:
+        lo, hi = (f"TIMESTAMP_NTZ '{w.strftime('%Y-%m-%d %H:%M:%S.%f')}'" for w in window)
+        live = f"effective_to >= {lo} AND effective_from <= {hi}"
+        cards_, accounts, clients = cards.where(live), accounts.where(live), clients.where(live)
+    frm = f"greatest(effective_from, {lo})" if lo else "effective_from"
+    to = f"least(effective_to, {hi})" if hi else "effective_to"
+    base = cards_.selectExpr("trim(card_num) AS _card", "account_num", f"{frm} AS _seg_from", f"{to} AS _seg_to")
     acc = accounts.selectExpr("account_num AS _vk", "valid_to", "client", "effective_from AS _vf",
                               "effective_to AS _vt")
     level1 = _overlay(base, ["_card", "account_num"], "account_num", acc, ["valid_to", "client"])

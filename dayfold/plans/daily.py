@@ -120,11 +120,14 @@ def run_day(spark: SparkSession, wh: Warehouse, inputs: DailyInputs, run_date=No
         for job in jobs:
             job.result()
 
-    # 4. card profile: card -> account -> client as validity segments, built from the dimensions only,
-    #    so the day's facts need one temporal join on the card instead of three chained ones
+    # 4. card profile: card -> account -> client as validity segments over the instants this run looks
+    #    up, built from the dimensions only, so the day's facts need one temporal join instead of three
     dims = [read_dimension(spark, wh, n, d) for n in ("cards", "accounts", "clients", "terminals")]
     profile_path = wh.path("dim_card_profile")
-    W.overwrite_partitions(card_profile(*dims[:3]).withColumn("run", F.lit(d)), profile_path, "run")
+    first = dt.datetime.combine(d, dt.time()) - config.probe_within
+    last = dt.datetime.combine(d, dt.time()) + dt.timedelta(days=1) - dt.timedelta(microseconds=1)
+    W.overwrite_partitions(card_profile(*dims[:3], window=(first, last)).withColumn("run", F.lit(d)),
+                           profile_path, "run")
     profile = spark.read.parquet(profile_path).where(F.col("run") == F.lit(d)).drop("run")
 
     # 5. report: facts of the day (and the probing window before it), dimensions as of this run

@@ -48,6 +48,23 @@ COLS = ["trans_id", "trans_date", "card_num", "account_num", "valid_to", "client
         "patronymic", "passport_num", "passport_valid_to", "phone"]
 
 
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(world(), st.sampled_from([(B, B + dt.timedelta(hours=1, microseconds=-1)),
+                                 (B + dt.timedelta(minutes=30), B + dt.timedelta(hours=2, minutes=59)),
+                                 (B - dt.timedelta(days=1), B + dt.timedelta(days=4))]))
+def test_windowed_profile_equals_join_chain_inside_the_window(spark, w, window):
+    from pyspark.sql import functions as F
+
+    cards, accs, cls, facts = w
+    c = spark.createDataFrame(cards, DIM_CARDS)
+    a = spark.createDataFrame(accs, DIM_ACCOUNTS)
+    k = spark.createDataFrame(cls, DIM_CLIENTS)
+    f = spark.createDataFrame(facts, TRANSACTIONS).where(F.col("trans_date").between(*window))
+    chain = enrich(f, c, a, k).select(*COLS)
+    prof = enrich_profile(f, card_profile(c, a, k, window=window)).select(*COLS)
+    assert spark_rows(prof) == spark_rows(chain)
+
+
 @settings(max_examples=30, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(world())
 def test_profile_join_equals_join_chain(spark, w):
