@@ -213,6 +213,12 @@ def build_report(facts: DataFrame, cards: DataFrame, accounts: DataFrame, client
         return _emit(n, blacklist, [], True, None).unionByName(r4)
 
     d = as_date(run_date)
+    # Only versions valid in the run's lookup window can match its facts: filtering the dimensions to
+    # them is exact, reaches their scans, and leaves the joins about one version per key to compare.
+    lo = dt.datetime.combine(d, dt.time()) - probe_within
+    live = (f"effective_to >= TIMESTAMP_NTZ '{lo:%Y-%m-%d %H:%M:%S}'"
+            f" AND effective_from < TIMESTAMP_NTZ '{d + dt.timedelta(days=1)} 00:00:00'")
+    cards, accounts, clients, terminals = (x.where(live) for x in (cards, accounts, clients, terminals))
     if not fuse_probing:
         n = travel_neighbours(enriched_of(facts_of_day(facts, d)), travel_within)
         r4 = amount_probing(facts, cards, accounts, clients, d, probe_within)
