@@ -50,6 +50,18 @@ def _report_dt(run_date, at: str) -> str:
     return f"DATE '{as_date(run_date)}'" if run_date is not None else f"to_date({at})"
 
 
+def dims_for_run(run_date, *dims: DataFrame, since: dt.timedelta = dt.timedelta(0)) -> tuple[DataFrame, ...]:
+    """History dimensions cut to versions valid in ``[run_date - since, run_date + 1 day)``.
+
+    Only those versions can match the run's facts, so the cut is exact; it reaches the dimension scans
+    and leaves a temporal join about one version per key to compare."""
+    d = as_date(run_date)
+    lo = dt.datetime.combine(d, dt.time()) - since
+    live = (f"effective_to >= TIMESTAMP_NTZ '{lo:%Y-%m-%d %H:%M:%S}'"
+            f" AND effective_from < TIMESTAMP_NTZ '{d + dt.timedelta(days=1)} 00:00:00'")
+    return tuple(x.where(live) for x in dims)
+
+
 def facts_of_day(facts: DataFrame, run_date, ts: str = "trans_date") -> DataFrame:
     return facts.where(on_day(ts, run_date))
 
@@ -213,12 +225,7 @@ def build_report(facts: DataFrame, cards: DataFrame, accounts: DataFrame, client
         return _emit(n, blacklist, [], True, None).unionByName(r4)
 
     d = as_date(run_date)
-    # Only versions valid in the run's lookup window can match its facts: filtering the dimensions to
-    # them is exact, reaches their scans, and leaves the joins about one version per key to compare.
-    lo = dt.datetime.combine(d, dt.time()) - probe_within
-    live = (f"effective_to >= TIMESTAMP_NTZ '{lo:%Y-%m-%d %H:%M:%S}'"
-            f" AND effective_from < TIMESTAMP_NTZ '{d + dt.timedelta(days=1)} 00:00:00'")
-    cards, accounts, clients, terminals = (x.where(live) for x in (cards, accounts, clients, terminals))
+    cards, accounts, clients, terminals = dims_for_run(d, cards, accounts, clients, terminals, since=probe_within)
     if not fuse_probing:
         n = travel_neighbours(enriched_of(facts_of_day(facts, d)), travel_within)
         r4 = amount_probing(facts, cards, accounts, clients, d, probe_within)

@@ -197,19 +197,19 @@ def gap_to_next(spark, sf_dir):
 def fraud_passport(spark, sf_dir):
     b = Bank(spark, sf_dir)
     day = rules.facts_of_day(b.tx, D)
-    return rules.expired_or_blocked(enrich(day, *b.dims()), b.blacklist, D)
+    return rules.expired_or_blocked(enrich(day, *rules.dims_for_run(D, *b.dims())), b.blacklist, D)
 
 
 def fraud_contract(spark, sf_dir):
     b = Bank(spark, sf_dir)
     day = rules.facts_of_day(b.tx, D)
-    return rules.contract_expired(enrich(day, *b.dims()), D)
+    return rules.contract_expired(enrich(day, *rules.dims_for_run(D, *b.dims())), D)
 
 
 def fraud_travel(spark, sf_dir):
     b = Bank(spark, sf_dir)
     day = rules.facts_of_day(b.tx, D)
-    return rules.impossible_travel(enrich(day, *b.dims(), b.terminals), D, TRAVEL)
+    return rules.impossible_travel(enrich(day, *rules.dims_for_run(D, *b.dims(), b.terminals)), D, TRAVEL)
 
 
 def fraud_amount_probing(spark, sf_dir):
