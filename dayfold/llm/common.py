@@ -17,7 +17,10 @@ _sent: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send the package to the executors once per application, so tasks can import it where it isn't installed."""
+    """Send the package to the executors once per application, so tasks can import it where it isn't installed, and
+    bound the Arrow batches by bytes: texts are long, and a task holds a batch on both sides."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     sc = spark.sparkContext
     if sc.applicationId not in _sent:
         root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -42,6 +45,12 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal out rows that are about to grow, over as many tasks as the session shuffles to."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys)
+
+
 def written(df: DataFrame, path: str | None = None, codec: str = "zstd") -> DataFrame:
     """Cut lineage: write to the shared folder and read back. Ids drawn before it are fixed from here on."""
     path = path or shared_dir(df.sparkSession)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from . import kernel as K
 from .bitmap import bitmap_of, in_bitmap
-from .common import batch, text_column, written
+from .common import batch, spread, text_column, written
 from .graph import components
 
 RUN = 1 << 19
@@ -168,7 +168,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, rows: int =
     classes = sig.where("set_id is not null").groupBy("set_id").agg(
         F.min("doc_id").alias("label"), F.first("sub_keys").alias("sub_keys"))
     classes = written(classes)
-    keys = _table_keys(classes, t)
+    keys = _table_keys(spread(classes, "set_id"), t)
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     cand = written(keys.join(shared, "key"))
     spark: SparkSession = docs.sparkSession
