@@ -6,9 +6,11 @@ what independent tables need. Pairs that meet in a table are confirmed on the fu
 
 Two documents are linked when 100 * intersection >= percent * union of their shingle sets; classes are the connected
 components. Equal sets are one node from the start (grouped with partial aggregation), so a group of exact copies of
-any size costs one node. Within a table bucket the members are compared with one member (a star) and, in further
-rounds, only members of different components are compared, with another centre each round; what then still differs is
-compared pair by pair. Every pair of a bucket ends compared or already connected: no bucket is capped.
+any size costs one node. Within a table bucket the members are compared with one member (a star). Where a bucket then
+still holds several components, shingles that only one candidate has are counted: they can't be in an intersection,
+which bounds what a set may be linked to, without loss. A second star around the set with the smallest such share (the
+original of a group of edited copies) follows, and at last all pairs of different components that the bound allows.
+Every pair of a bucket ends compared, already connected, or excluded by the bound: no bucket is capped.
 
 Defined results: a null or blank text has no shingles, is its own class and links with nothing; fewer words than
 ``k`` make one shingle; repeated rows are documents of their own; a null doc_id takes part and is ignored as a class
@@ -28,7 +30,6 @@ from .common import batch, spread, text_column, written
 from .graph import components
 
 RUN = 1 << 19
-STAR_ROUNDS = 4
 
 
 def tables_for(percent: int, rows: int, miss: float) -> int:
@@ -141,24 +142,49 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(F.expr(f"100L * shared >= {percent}L * (na + nb - shared)")).select("u", "v")
 
 
-def _star(cand: DataFrame, comp: DataFrame | None, turn: int) -> DataFrame:
-    """Pairs (u < v) of a bucket's centre with its members of other components."""
-    if comp is not None:
-        cand = _unsettled(cand, comp)
-    else:
-        cand = cand.withColumn("root", F.col("node"))
-    centre = cand.groupBy("key").agg(F.min_by(F.struct("node", "root"), F.xxhash64("node", F.lit(turn))).alias("c"))
-    p = cand.join(centre, "key").where("root <> c.root")
-    return p.select(F.least("node", "c.node").alias("u"), F.greatest("node", "c.node").alias("v")).distinct()
-
-
-def _unsettled(cand: DataFrame, comp: DataFrame) -> DataFrame:
-    """Members (with component) of buckets that still hold more than one component."""
+def _unsettled(cand: DataFrame, comp: DataFrame, shape: DataFrame | None, percent: int) -> DataFrame:
+    """Members (key, node, root) of buckets that still hold more than one component. With ``shape(node, n, own)``, n
+    shingles of which ``own`` no other candidate has, members that can't be linked to any set of the bucket's sizes
+    are left out: an intersection has at most n - own shingles."""
     m = cand.join(comp, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    if shape is not None:
+        m = m.join(shape, "node")
+    stats = m.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
+                                 *([F.min("n").alias("n_min")] if shape is not None else [])).where("lo <> hi")
+    m = m.join(stats.drop("lo", "hi"), "key")
+    if shape is None:
+        return m
+    m = m.where(f"100L * (n - own) >= {percent}L * (own + greatest(n_min, n - own))").drop("n_min")
     mixed = m.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
     return m.join(mixed, "key")
 
 
+def _star(members: DataFrame, order) -> DataFrame:
+    """Pairs (u < v) of a bucket's centre, the member that is first in ``order``, with members of other components."""
+    centre = members.groupBy("key").agg(F.min_by(F.struct("node", "root"), order).alias("c"))
+    p = members.join(centre, "key").where("root <> c.root")
+    return p.select(F.least("node", "c.node").alias("u"), F.greatest("node", "c.node").alias("v")).distinct()
+
+
+def _rest(members: DataFrame, percent: int) -> DataFrame:
+    """All pairs (u < v) of a bucket whose components differ and whose sizes allow a link."""
+    o = members.select("key", *(F.col(c).alias(f"{c}2") for c in ("node", "root", "n", "own")))
+    most = "least(n - own, n2 - own2)"
+    return members.join(o, "key").where(
+        f"node < node2 and root <> root2 and 100L * {most} >= {percent}L * (n + n2 - {most})").select(
+        F.col("node").alias("u"), F.col("node2").alias("v")).distinct()
+
+
+def _shape(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, n, own): shingles of a set, and those that no other of ``nodes`` has."""
+    some = sets.join(nodes, "node", "left_semi")
+    own = (some.select("node", F.explode("shingles").alias("s")).groupBy("s")
+           .agg(F.count("*").alias("c"), F.min("node").alias("node")).where("c = 1")
+           .groupBy("node").agg(F.count("*").alias("own")))
+    return some.select("node", F.size("shingles").cast("long").alias("n")).join(own, "node", "left").select(
+        "node", "n", F.coalesce("own", F.lit(0)).alias("own"))
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, rows: int = 3, miss: float = 5e-4,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept, n_links (confirmed links of its class to other classes seen on the way)."""
@@ -178,21 +204,18 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, rows: int =
         wanted = cand.select("node").distinct().join(classes, F.col("node") == F.col("set_id")).select("node", "label")
         wanted = written(wanted)
         sets = written(_shingle_sets(docs, wanted, k))
-        for turn in range(STAR_ROUNDS + 1):
-            if turn < STAR_ROUNDS:
-                pairs = _star(cand, comp, turn)
+        shape = None
+        for turn in ("any centre", "plainest centre", "all"):
+            if comp is None:
+                pairs = _star(cand.withColumn("root", F.col("node")), F.xxhash64("node"))
             else:
-                m = _unsettled(cand, comp)
-                o = m.select("key", F.col("node").alias("other"), F.col("root").alias("its"))
-                pairs = m.join(o, "key").where("node < other and root <> its").select(
-                    F.col("node").alias("u"), F.col("other").alias("v")).distinct()
-            if done is not None:
+                cand = written(_unsettled(cand, comp, shape, percent).select("key", "node"))
+                shape = written(_shape(cand.select("node").distinct(), sets))
+                members = written(_unsettled(cand, comp, shape, percent))
+                pairs = _rest(members, percent) if turn == "all" else _star(
+                    members, F.struct(F.col("own") / F.col("n"), F.xxhash64("node")))
                 pairs = pairs.join(done, ["u", "v"], "left_anti")
             pairs = written(pairs)
-            if not pairs.head(1):
-                if turn < STAR_ROUNDS:
-                    continue
-                break
             done = pairs if done is None else done.union(pairs)
             links = written(links.union(_links(pairs, sets, percent)))
             comp = components(links)

@@ -7,10 +7,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .common import ship, table
+from .common import shared_dir, ship, table, written
 from .minhash import near_duplicates
+from .packing import pack
 from .tokencount import count_tokens
+from .warc import read_archives, transactions, write_archives
 
 
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +25,27 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written to archives in the shared folder, read back, assembled, and reduced to digests."""
+    path = shared_dir(spark)
+    write_archives(table(spark, sf_dir, "pages"), path)
+    captures = transactions(read_archives(spark, path, with_payload=False))
+    page = F.expr("try_cast(metadata.fields['page-id'] as bigint)")
+    rows = captures.select("capture_id", page.alias("page_id"), F.expr("response.payload_bytes"),
+                           F.expr("response.payload_digest"), F.expr("response.kind").alias("record_type"),
+                           F.expr("response.refers_to").alias("named"), F.expr("explode(sequence(1, copies))").alias("copy"))
+    rows = written(rows)
+    first = rows.where("record_type = 'response' and copy = 1").select(F.col("capture_id").alias("named"),
+                                                                      F.col("page_id").alias("refers_to"))
+    first = first.join(rows.select("named").distinct(), "named", "left_semi")
+    return rows.join(first, "named", "left").select("page_id", "payload_bytes", "payload_digest", "record_type",
+                                                    "refers_to")
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +56,15 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: _shipped(f) for f in (op2_token_counts, op10_minhash_near_dedup,)
+    f.__name__: _shipped(f) for f in (op2_token_counts, op4_warc_transactions, op5_packing, op10_minhash_near_dedup,)
+}
+ORACLE_SQL: dict[str, str] = {
+    "op4_warc_transactions": """
+        with p as (select page_id, coalesce(html, '') as body from pages),
+        d as (select page_id, strlen(body) as payload_bytes, sha256(body) as payload_digest from p),
+        f as (select payload_digest, min(page_id) as first_id from d where payload_bytes >= 100 group by 1)
+        select page_id, payload_bytes, d.payload_digest,
+               case when first_id is not null and page_id <> first_id then 'revisit' else 'response' end as record_type,
+               case when page_id <> first_id then first_id end as refers_to
+        from d left join f on d.payload_digest = f.payload_digest and payload_bytes >= 100""",
 }
-ORACLE_SQL: dict[str, str] = {}
