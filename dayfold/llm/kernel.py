@@ -80,6 +80,15 @@ def doc_runs(offs: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
         i = min(j, n)
 
 
+def span_hashes(t: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte spans [s, e)."""
+    p, q = powers(max(SLAB, len(t)) + 1)
+    with np.errstate(over="ignore"):
+        acc = np.zeros(len(t) + 1, np.uint64)
+        np.cumsum(BYTE_CODE[t] * p[:len(t)], out=acc[1:])
+        return mix((acc[e] - acc[s]) * q[s])
+
+
 def words(buf: np.ndarray, offs: np.ndarray, table: np.ndarray = WORD_TABLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, start byte, end byte) of every word, in order. Works in slabs cut at separators, so the extra memory
     does not grow with a long text unless it is one single word."""
@@ -114,12 +123,7 @@ def words(buf: np.ndarray, offs: np.ndarray, table: np.ndarray = WORD_TABLE) ->
         last[:-1] &= ~on[1:]
         last[inner - 1] = on[inner - 1]
         s, e = np.flatnonzero(first), np.flatnonzero(last) + 1
-        p, q = powers(max(SLAB, end - pos) + 1)
-        with np.errstate(over="ignore"):
-            acc = np.zeros(end - pos + 1, np.uint64)
-            np.cumsum(BYTE_CODE[t] * p[:end - pos], out=acc[1:])
-            h = (acc[e] - acc[s]) * q[s]
-        hashes.append(mix(h))
+        hashes.append(span_hashes(t, s, e))
         starts.append(s + pos)
         ends.append(e + pos)
         pos = end

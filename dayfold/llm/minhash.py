@@ -9,7 +9,7 @@ components. Equal sets are one node from the start (grouped with partial aggrega
 any size costs one node. Within a table bucket the members are compared with one member (a star). Where a bucket then
 still holds several components, shingles that only one candidate has are counted: they can't be in an intersection,
 which bounds what a set may be linked to, without loss. A second star around the set with the smallest such share (the
-original of a group of edited copies) follows, and at last all pairs of different components that the bound allows.
+original of a group of edited copies) follows, and at last all pairs of different components, block by block.
 Every pair of a bucket ends compared, already connected, or excluded by the bound: no bucket is capped.
 
 Defined results: a null or blank text has no shingles, is its own class and links with nothing; fewer words than
@@ -30,6 +30,8 @@ from .common import batch, spread, text_column, written
 from .graph import components
 
 RUN = 1 << 19
+#: Sets per block where a family of candidates is compared completely.
+BLOCK = 256
 
 
 def tables_for(percent: int, rows: int, miss: float) -> int:
@@ -166,13 +168,43 @@ def _star(members: DataFrame, order) -> DataFrame:
     return p.select(F.least("node", "c.node").alias("u"), F.greatest("node", "c.node").alias("v")).distinct()
 
 
-def _rest(members: DataFrame, percent: int) -> DataFrame:
-    """All pairs (u < v) of a bucket whose components differ and whose sizes allow a link."""
-    o = members.select("key", *(F.col(c).alias(f"{c}2") for c in ("node", "root", "n", "own")))
-    most = "least(n - own, n2 - own2)"
-    return members.join(o, "key").where(
-        f"node < node2 and root <> root2 and 100L * {most} >= {percent}L * (n + n2 - {most})").select(
-        F.col("node").alias("u"), F.col("node2").alias("v")).distinct()
+def _rest(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between different components of ``members``, all pairs that meet in a bucket included. Buckets mostly
+    repeat each other's pairs, so the members connected through buckets are one family, cut into blocks; a task
+    compares two blocks on their full sets and returns links only."""
+    low = members.groupBy("key").agg(F.min("node").alias("u"))
+    family = components(members.join(low, "key").select("u", F.col("node").alias("v")))
+    some = members.select("node", "root").distinct().join(family.withColumnRenamed("root", "family"), "node")
+    size = some.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    some = some.join(size, "family").withColumn("own", F.expr("cast(pmod(xxhash64(node), blocks) as int)"))
+    some = some.select("family", "node", "root", "own", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"))
+    some = some.select("family", "node", "root", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"),
+                       F.col("own").alias("side")).join(sets, "node")
+    schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+
+    def run(rows: pa.Table) -> pa.Table:
+        node, root, side = (rows[c].to_numpy() for c in ("node", "root", "side"))
+        a, b = rows["a"][0].as_py(), rows["b"][0].as_py()
+        cell = rows["shingles"].combine_chunks()
+        n = np.diff(cell.offsets.to_numpy())
+        shared = np.zeros((len(node), len(node)), np.float32)
+        value, at = cell.values.to_numpy(), np.repeat(np.arange(len(node)), n)
+        distinct, column, times = np.unique(value, return_inverse=True, return_counts=True)
+        column = np.where(times > 1, np.cumsum(times > 1) - 1, -1)[column]
+        for low in range(0, int((times > 1).sum()), 8192):
+            here = (column >= low) & (column < low + 8192)
+            part = np.zeros((len(node), 8192), np.float32)
+            part[at[here], column[here] - low] = 1
+            shared += part @ part.T
+        shared = shared.astype(np.int64)
+        link = 100 * shared >= percent * (n[:, None] + n[None, :] - shared)
+        link &= (root[:, None] != root[None, :]) & (node[:, None] < node[None, :])
+        if a != b:  # pairs inside a block are found by the task that has it twice
+            link &= side[:, None] != side[None, :]
+        u, v = np.nonzero(link)
+        return pa.Table.from_batches([batch(schema, node[u], node[v])])
+
+    return some.groupBy("family", "a", "b").applyInArrow(run, "u long, v long")
 
 
 def _shape(nodes: DataFrame, sets: DataFrame) -> DataFrame:
@@ -212,12 +244,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, rows: int =
                 cand = written(_unsettled(cand, comp, shape, percent).select("key", "node"))
                 shape = written(_shape(cand.select("node").distinct(), sets))
                 members = written(_unsettled(cand, comp, shape, percent))
-                pairs = _rest(members, percent) if turn == "all" else _star(
-                    members, F.struct(F.col("own") / F.col("n"), F.xxhash64("node")))
+                if turn == "all":
+                    links = written(links.union(_rest(members, sets, percent)))
+                    comp = components(links)
+                    break
+                pairs = _star(members, F.struct(F.col("own") / F.col("n"), F.xxhash64("node")))
                 pairs = pairs.join(done, ["u", "v"], "left_anti")
-            pairs = written(pairs)
-            done = pairs if done is None else done.union(pairs)
-            links = written(links.union(_links(pairs, sets, percent)))
+            done = written(pairs)
+            links = written(links.union(_links(done, sets, percent)))
             comp = components(links)
     comp = spark.createDataFrame([], "node long, root long") if comp is None else comp
     degree = links.union(links.select("v", "u")).groupBy(F.col("u").alias("node")).agg(F.count("*").alias("n_links"))

@@ -35,77 +35,145 @@ from .tokencount import SPACE, load
 GROUP_BYTES = 4 << 20
 RUN = 1 << 20
 #: Distinct words whose ids a task keeps; beyond it the list starts anew.
-WORDS_KEPT = 500_000
+WORDS_KEPT = 1_000_000
 
 # The published split pattern of the word BPE (white space dropped), for code points below U+0250.
 LATIN_WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+"
 
 
+LETTER, DIGIT, SIGN, BLANK = 1, 2, 3, 0
+KINDS = np.full(256, SIGN, np.uint8)
+KINDS[[9, 10, 11, 12, 13, 32]] = BLANK
+KINDS[48:58] = DIGIT
+KINDS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = LETTER
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+
+
+def simple(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """Documents of ASCII and the letters U+00C0 to U+00FF only, without the start of an added token: their words can
+    be cut by byte classes."""
+    two = np.zeros(len(buf), bool)
+    two[:-1] = ((buf[:-1] == 0xC3) & ((buf[1:] == 0x97) | (buf[1:] == 0xB7))) | ((buf[:-1] == 60) & (buf[1:] == 124))
+    odd = np.concatenate([[0], np.cumsum(two | (buf > 0xC3) | (buf == 0xC2))])
+    return odd[offs[1:]] == odd[offs[:-1]]
+
+
+def cut_words(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lower-cased bytes of simple documents, and the words' starts and ends: runs of letters, single digits, runs of
+    signs, and the endings 's 't 'm 'd 're 've 'll where an apostrophe stands alone before them."""
+    low = LOWER[buf]
+    low[1:] += np.where((buf[:-1] == 0xC3) & (buf[1:] >= 0x80) & (buf[1:] <= 0x9E), 32, 0).astype(np.uint8)
+    kind = KINDS[low]
+    edge = np.zeros(len(buf) + 1, bool)
+    edge[offs] = True
+    begin = np.ones(len(buf), bool)
+    begin[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
+    begin |= edge[:-1]
+    at = np.flatnonzero((low[:-1] == 39) & begin[:-1] & begin[1:] & ~edge[1:-1])
+    if len(at):
+        pad = np.concatenate([low, np.zeros(3, np.uint8)])
+        x, y = pad[at + 1], pad[at + 2]
+        one = (x == 115) | (x == 116) | (x == 109) | (x == 100)
+        inside = ~edge[np.minimum(at + 2, len(buf))]
+        two = inside & (((x == 114) | (x == 118)) & (y == 101) | (x == 108) & (y == 108))
+        at, more = at[one | two], np.where(one, 2, 3)[one | two]
+        begin[at + 1] = False
+        after = at + more
+        after = after[after < len(buf)]
+        begin[after] |= kind[after] == LETTER
+    begin_or_blank = np.flatnonzero(begin)
+    ends = np.append(begin_or_blank[1:], len(buf))
+    word = kind[begin_or_blank] != BLANK
+    return low, begin_or_blank[word], ends[word]
+
+
 class WordTokenizer:
     """Token ids of whole texts; each distinct word is encoded once, then looked up."""
 
     def __init__(self, path: str):
         self.tok = load(path)
-        added = self.tok.get_added_tokens_decoder()
-        self.special = {t.content: i for i, t in added.items()}
-        self.added = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if added else None
+        self.special = {t.content: i for i, t in self.tok.get_added_tokens_decoder().items()}
+        self.added = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.words = regex.compile(LATIN_WORDS).findall
         self.other = regex.compile(r"[^\x00-ĩı-ɏ]").search
         self.dtype = np.uint16 if self.tok.get_vocab_size() <= 1 << 16 else np.uint32
         self.clear()
 
     def clear(self):
-        self.index: dict[str, int] = {}
-        self.first = np.zeros(1, np.int64)
-        self.flat = np.zeros(0, self.dtype)
+        self.index: dict = {}
+        self.first, self.flat = np.zeros(1, np.int64), np.zeros(0, self.dtype)
 
-    def learn(self, new: list[str]):
-        ids = [e.ids for e in self.tok.encode_batch_fast(new, add_special_tokens=False)]
+    def learn(self, keys: list, ids: list[list[int]]):
+        self.index.update(zip(keys, range(len(self.index), len(self.index) + len(keys))))
         self.flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), self.dtype)])
-        ends = self.first[-1] + np.cumsum([len(x) for x in ids])
-        self.first = np.concatenate([self.first, ends])
-
-    def add(self, ids: list[int], key) -> int:
-        """A text's ids that aren't words (added tokens, other scripts) are entries of their own."""
-        n = self.index[key] = len(self.index)
-        self.flat = np.concatenate([self.flat, np.asarray(ids, self.dtype)])
-        self.first = np.append(self.first, len(self.flat))
-        return n
-
-    def parts(self, text: str) -> list:
-        """Words, and (kind, string) for what has to be encoded as a whole."""
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum([len(x) for x in ids], dtype=np.int64)])
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def of_simple(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the words in the kept list, and the documents' offsets into them."""
+        low, s, e = cut_words(buf, offs)
+        code = pa.array(K.span_hashes(low, s, e)).dictionary_encode()
+        distinct, code = code.dictionary.to_pylist(), code.indices.to_numpy()
+        new = [i for i, h in enumerate(distinct) if h not in self.index]
+        if new:
+            sample = np.zeros(len(distinct), np.int64)
+            sample[code[::-1]] = np.arange(len(code))[::-1]
+            raw = low.tobytes()
+            spans = [(s[i], e[i]) for i in sample[new].tolist()]
+            self.learn([distinct[i] for i in new], self.encode([raw[a:b].decode() for a, b in spans]))
+        place = np.fromiter(map(self.index.__getitem__, distinct), np.int64, len(distinct))[code]
+        return place, np.searchsorted(s, offs)
+
+    def of_other(self, text: str) -> np.ndarray:
         if self.other(text):
-            return [("whole", text)]
-        if self.added is None or "<" not in text or not self.added.search(text):
-            return self.words(text.lower())
-        out = []
-        for i, part in enumerate(self.added.split(text)):
-            out += [("added", part)] if i % 2 else self.words(part.lower())
-        return out
+            keys = [("whole", text)]
+        else:
+            parts = self.added.split(text) if self.added else [text]
+            keys = [w for i, p in enumerate(parts) for w in ([("added", p)] if i % 2 else self.words(p.lower()))]
+        new = [k for k in dict.fromkeys(keys) if k not in self.index]
+        if new:
+            self.learn(new, [[self.special[k[1]]] if k[0] == "added" and type(k) is tuple else
+                             self.encode([k if type(k) is str else k[1]])[0] for k in new])
+        return np.fromiter(map(self.index.__getitem__, keys), np.int64, len(keys))
 
-    def __call__(self, texts: list[str | None], end: int) -> tuple[np.ndarray, np.ndarray]:
-        """All ids and the texts' offsets into them; ``end`` follows each text."""
+    def __call__(self, buf: np.ndarray, offs: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids and the documents' offsets into them; ``end`` follows each document."""
         if len(self.index) > WORDS_KEPT:
             self.clear()
-        parts = [self.parts(t) if t else [] for t in texts]
-        index = self.index
-        new = list(dict.fromkeys(w for p in parts for w in p if w not in index and isinstance(w, str)))
-        if new:
-            index.update(zip(new, range(len(index), len(index) + len(new))))
-            self.learn(new)
-        for p in parts:
-            for w in p if p and not all(map(str.__instancecheck__, p)) else ():
-                if isinstance(w, tuple) and w not in index:
-                    self.add([self.special[w[1]]] if w[0] == "added"
-                             else self.tok.encode(w[1], add_special_tokens=False).ids, w)
-        if ("end", end) not in index:
-            self.add([end], ("end", end))
-        stop = index["end", end]
-        place = np.fromiter((i for p in parts for i in (*map(index.__getitem__, p), stop)), np.int64)
-        doc_first = np.concatenate([[0], np.cumsum([len(p) + 1 for p in parts])])
+        if ("end", end) not in self.index:
+            self.learn([("end", end)], [[end]])
+        stop = np.array([self.index["end", end]])
+        plain = simple(buf, offs)
+        cuts = np.flatnonzero(np.diff(plain, prepend=~plain[:1]))
+        places, counts = [], []
+        for a, b in zip(cuts, [*cuts[1:], len(plain)]):
+            part, o = buf[offs[a]:offs[b]], offs[a:b + 1] - offs[a]
+            if plain[a]:
+                place, first = self.of_simple(part, o)
+                places.append(np.insert(place, first[1:], stop[0]))
+                counts.append(np.diff(first) + 1)
+            else:
+                for i in range(b - a):
+                    place = self.of_other(part[o[i]:o[i + 1]].tobytes().decode())
+                    places += [place, stop]
+                    counts.append([len(place) + 1])
+        place, count = np.concatenate(places), np.concatenate(counts)
         width = np.diff(self.first)[place]
         ids = self.flat[K.ranges(self.first[place], width)]
-        return ids, np.concatenate([[0], np.cumsum(width)])[doc_first]
+        return ids, np.concatenate([[0], np.cumsum(width)])[np.concatenate([[0], np.cumsum(count)])]
+
+
+_tokenizers: dict[str, WordTokenizer] = {}
+
+
+def word_tokenizer(path: str) -> WordTokenizer:
+    """The tokenizer of this worker process; its words are kept from task to task."""
+    if path not in _tokenizers:
+        _tokenizers[path] = WordTokenizer(path)
+    return _tokenizers[path]
 
 
 def tokenised(docs: DataFrame, path: str, end: int) -> DataFrame:
@@ -113,11 +181,11 @@ def tokenised(docs: DataFrame, path: str, end: int) -> DataFrame:
     schema = pa.schema([("pack", pa.int64()), ("doc_id", pa.int64()), ("ids", pa.binary())])
 
     def run(batches):
-        tok = WordTokenizer(path)
+        tok = word_tokenizer(path)
         for rb in batches:
-            _, offs = K.text_buffer(rb.column(2))
+            buf, offs = K.text_buffer(rb.column(2))
             for a, b in K.doc_runs(offs, RUN):
-                ids, first = tok(rb.column(2).slice(a, b - a).to_pylist(), end)
+                ids, first = tok(buf[offs[a]:offs[b]], offs[a:b + 1] - offs[a], end)
                 size = ids.itemsize
                 col = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer((first * size).astype(np.int32)),
                                                                  pa.py_buffer(ids)])
@@ -182,6 +250,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end: int = 1, tiers: tuple[int, .
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = 1 + total // group_bytes
     dealt = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)).alias("pack"), "doc_id", "text")
+    dtype = np.uint16 if load(tokenizer_path).get_vocab_size() <= 1 << 16 else np.uint32
     kinds = [("doc_id", pa.int64(), "long"), ("start", pa.int64(), "long"), ("length", pa.int64(), "long"),
              ("ids_crc32", pa.int64(), "long"), ("doc_tokens", pa.int64(), "long"), ("sequence_id", pa.int64(), "long"),
              ("offset", pa.int64(), "long"), ("sequence_tokens", pa.int64(), "long"), ("step_group", pa.int64(), "long")]
@@ -190,7 +259,6 @@ def pack(docs: DataFrame, tokenizer_path: str, end: int = 1, tiers: tuple[int, .
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         group = key[0].as_py()
-        dtype = np.uint16 if load(tokenizer_path).get_vocab_size() <= 1 << 16 else np.uint32
         found = []
         for doc_id, ids in zip(rows.column(1).to_pylist(), rows.column(2)):
             ids = np.frombuffer(ids.as_buffer(), dtype)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from .common import shared_dir, ship, table, written
 from .minhash import near_duplicates
 from .packing import pack
+from .suffixes import remove_repeats
 from .tokencount import count_tokens
 from .warc import read_archives, transactions, write_archives
 
@@ -46,6 +47,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"), length=50)
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,7 +61,7 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: _shipped(f) for f in (op2_token_counts, op4_warc_transactions, op5_packing, op10_minhash_near_dedup,)
+    f.__name__: _shipped(f) for f in (op2_token_counts, op4_warc_transactions, op5_packing, op7_suffix_dedup, op10_minhash_near_dedup,)
 }
 ORACLE_SQL: dict[str, str] = {
     "op4_warc_transactions": """
