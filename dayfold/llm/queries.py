@@ -10,7 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import shared_dir, ship, table, written
+from .contextmix import score
+from .decontaminate import leaks
+from .langid import identify
+from .licences import scan
 from .minhash import near_duplicates
+from .mtree import top_k
 from .packing import pack
 from .suffixes import remove_repeats
 from .tokencount import count_tokens
@@ -22,10 +27,18 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id", "kept", "n_links")
 
 
+def op1_mtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), k=5, scale=256, query="vec_id % 50 = 0")
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written to archives in the shared folder, read back, assembled, and reduced to digests."""
     path = shared_dir(spark)
@@ -47,10 +60,22 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(table(spark, sf_dir, "documents"))
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), length=50)
 
 
+def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,10 +85,22 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return run
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: _shipped(f) for f in (op2_token_counts, op4_warc_transactions, op5_packing, op7_suffix_dedup, op10_minhash_near_dedup,)
-}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _shipped(f) for f in (
+    op1_mtree_topk, op2_token_counts, op3_benchmark_decontamination, op4_warc_transactions, op5_packing,
+    op6_context_mixing, op7_suffix_dedup, op8_licence_scan, op9_language_id, op10_minhash_near_dedup)}
 ORACLE_SQL: dict[str, str] = {
+    "op1_mtree_topk": """
+        with v as (
+            select vec_id, list_transform(embedding, x -> floor(256 * cast(x as double))) as v from embeddings
+            where embedding is not null and len(embedding) > 0
+              and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+        s as (
+            select q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.v, c.v) as bigint) as score
+            from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0),
+        r as (
+            select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank,
+                   vec_id, score from s)
+        select query_id, rank, vec_id, score from r where rank <= 5""",
     "op4_warc_transactions": """
         with p as (select page_id, coalesce(html, '') as body from pages),
         d as (select page_id, strlen(body) as payload_bytes, sha256(body) as payload_digest from p),

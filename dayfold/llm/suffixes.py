@@ -34,9 +34,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from . import kernel as K
-from .common import batch, shared_dir, text_column, written
+from .common import batch, shared_dir, written
 from .tokencount import planes, unplanes
 
 GRAM = 24
@@ -207,26 +208,27 @@ def smallest_ids(blob: np.ndarray, sizes: np.ndarray, offsets: np.ndarray, ids:
 
 
 def chunk_table(docs: DataFrame) -> DataFrame:
-    """Bucketed table (chunk, ids, ends, digests, text): documents of about ``CHUNK_BYTES`` a row."""
+    """Bucketed table (chunk, ids, ends, digests, text, rest): documents of about ``CHUNK_BYTES`` a row."""
+    rest = docs.schema["rest"].dataType
     schema = pa.schema([("chunk", pa.int64()), ("ids", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())),
-                        ("digests", pa.list_(pa.binary())), ("text", pa.binary())])
+                        ("digests", pa.list_(pa.binary())), ("text", pa.binary()), ("rest", pa.list_(to_arrow_type(rest)))])
 
     def run(batches):
         rows, size = [], 0
 
         def flush():
-            ends = np.cumsum([len(t) for _, t in rows])
-            return batch(schema, [secrets.randbits(63)], [[LAST if i is None else i for i, _ in rows]], [ends.tolist()],
-                         [[hashlib.blake2b(t, digest_size=16).digest() for _, t in rows]],
-                         [b"".join(t for _, t in rows)])
+            ends = np.cumsum([len(t) for _, t, _ in rows])
+            return batch(schema, [secrets.randbits(63)], [[LAST if i is None else i for i, _, _ in rows]], [ends.tolist()],
+                         [[hashlib.blake2b(t, digest_size=16).digest() for _, t, _ in rows]],
+                         [b"".join(t for _, t, _ in rows)], [[r for _, _, r in rows]])
 
         for rb in batches:
-            for doc_id, text in zip(rb.column(0).to_pylist(), rb.column(1)):
+            for doc_id, text, more in zip(rb.column(0).to_pylist(), rb.column(1), rb.column(2).to_pylist()):
                 text = text.as_buffer().to_pybytes() if text.is_valid else b""
                 if rows and size + len(text) > CHUNK_BYTES:
                     yield flush()
                     rows, size = [], 0
-                rows.append((doc_id, text))
+                rows.append((doc_id, text, more))
                 size += len(text)
         if rows:
             yield flush()
@@ -234,7 +236,8 @@ def chunk_table(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     path = shared_dir(spark)
     name = path.rsplit("/", 1)[1].replace("-", "_")
-    made = docs.mapInArrow(run, "chunk long, ids array<long>, ends array<long>, digests array<binary>, text binary")
+    made = docs.mapInArrow(run, "chunk long, ids array<long>, ends array<long>, digests array<binary>, text binary, "
+                                f"rest array<{rest.simpleString()}>")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     made.write.option("compression", "zstd").option("path", path).bucketBy(n, "chunk").format("parquet").saveAsTable(name)
     return spark.table(name)
@@ -249,11 +252,15 @@ def whole_copies(chunks: DataFrame, length: int) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, with_text: bool = False, id_col: str = "doc_id",
-                   text_col: str = "text") -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, and ``kept`` (the remaining bytes) if asked for."""
-    if length < GRAM + 8:
-        raise ValueError(f"length must be at least {GRAM + 8}")
-    docs = text_column(docs, id_col, text_col)
+                   text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256; ``kept`` (the remaining bytes) and ``rest`` (a struct of the
+    columns in ``carry``) if asked for."""
+    if not GRAM + 8 <= length <= 250:
+        raise ValueError(f"length must be between {GRAM + 8} and 250 bytes")
+    rest = F.struct(*(F.col(f"`{c}`") for c in carry)) if carry else F.lit(None).cast("struct<none:int>")
+    docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"),
+                       rest.alias("rest"))
+    rest_sql, rest_arrow = docs.schema["rest"].dataType.simpleString(), to_arrow_type(docs.schema["rest"].dataType)
     spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges, buckets = 1 + total // RANGE_BYTES, 1 + total // BUCKET_BYTES
@@ -318,7 +325,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, with_text: bool = False, i
         return sorted(cell.as_py() or [], key=lambda x: x["place"])
 
     with_copies = chunks.drop("digests").join(copies, "chunk", "left")
-    asked = with_copies.mapInArrow(ask_grams, kind)
+    asked = with_copies.drop("rest").mapInArrow(ask_grams, kind)
     asked = written(asked)
     sample = asked.where("place < 0").select("block").orderBy(F.xxhash64("chunk")).limit(SAMPLE_ALL // SAMPLE_CHUNK)
     lead = np.sort(np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(r.block, np.uint64) for r in sample.collect())]))
@@ -370,8 +377,8 @@ def remove_repeats(docs: DataFrame, length: int = 50, with_text: bool = False, i
             for a, b in zip(cut, [*cut[1:], len(bucket)]):
                 blob = buf[K.ranges(start[a:b], size[a:b])].tobytes()
                 ids = least[a:b].astype(np.int64).view(np.uint8).reshape(-1, 8).T.tobytes()
-                block = (int(b - a).to_bytes(4, "little") + size[a:b].astype(np.uint8).tobytes()
-                         + offset[a:b].astype(np.uint8).tobytes() + ids + blob)
+                block = (int(b - a).to_bytes(4, "little") + size[a:b].astype("<u2").tobytes()
+                         + offset[a:b].astype("<u2").tobytes() + ids + blob)
                 yield batch(asks, [bucket[a]], [row["chunk"].as_py()], [block])
 
     def sort_bucket(rows: pa.Table) -> pa.Table:
@@ -379,10 +386,10 @@ def remove_repeats(docs: DataFrame, length: int = 50, with_text: bool = False, i
         for b in rows.column(2):
             b = np.frombuffer(b.as_buffer(), np.uint8)
             n = int.from_bytes(b[:4].tobytes(), "little")
-            sizes.append(b[4:4 + n].astype(np.int64))
-            offsets.append(b[4 + n:4 + 2 * n].astype(np.int64))
-            ids.append(np.ascontiguousarray(b[4 + 2 * n:4 + 10 * n].reshape(8, -1).T).view(np.int64).reshape(-1))
-            blobs.append(b[4 + 10 * n:])
+            sizes.append(b[4:4 + 2 * n].view("<u2").astype(np.int64))
+            offsets.append(b[4 + 2 * n:4 + 4 * n].view("<u2").astype(np.int64))
+            ids.append(np.ascontiguousarray(b[4 + 4 * n:4 + 12 * n].reshape(8, -1).T).view(np.int64).reshape(-1))
+            blobs.append(b[4 + 12 * n:])
         low, windows = smallest_ids(np.concatenate(blobs), np.concatenate(sizes), np.concatenate(offsets),
                                     np.concatenate(ids), length)
         out, at = [], 0
@@ -397,9 +404,9 @@ def remove_repeats(docs: DataFrame, length: int = 50, with_text: bool = False, i
         return pa.Table.from_batches([batch(asks, *(c.combine_chunks() for c in rows.columns[:2]), out)])
 
     known = with_copies.join(grams, "chunk", "left")
-    found = gathered(known.mapInArrow(send_runs, kind).groupBy("place").applyInArrow(sort_bucket, kind), "found")
+    found = gathered(known.drop("rest").mapInArrow(send_runs, kind).groupBy("place").applyInArrow(sort_bucket, kind), "found")
     fields = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
-              ("kept_sha256", pa.string())] + [("kept", pa.binary())] * with_text
+              ("kept_sha256", pa.string())] + [("kept", pa.binary())] * with_text + [("rest", rest_arrow)] * bool(carry)
     schema = pa.schema(fields)
 
     def finish(batches):
@@ -422,23 +429,24 @@ def remove_repeats(docs: DataFrame, length: int = 50, with_text: bool = False, i
             starts = np.concatenate([[0], ends[:-1]])
             for d in np.flatnonzero(copy & (ends - starts >= length)):
                 cover[starts[d]:ends[d]] = True
-            out = []
-            for i, a, b in zip(ids, starts, ends):
+            out, rest = [], row["rest"].as_py() if carry else ids
+            for i, a, b, more in zip(ids, starts, ends, rest):
                 c = cover[a:b]
                 kept = buf[a:b][~c].tobytes()
                 spans = int(c[0]) + int(np.count_nonzero(c[1:] & ~c[:-1])) if len(c) else 0
                 out.append((None if i == LAST else int(i), b - a, int(c.sum()), spans, hashlib.sha256(kept).hexdigest())
-                           + (kept,) * with_text)
+                           + (kept,) * with_text + (more,) * bool(carry))
             for a in range(0, len(out), 2000):
                 yield batch(schema, *zip(*out[a:a + 2000]))
 
-    done = known.join(found, "chunk", "left").mapInArrow(
-        finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text)
-    return done
+    known = known if carry else known.drop("rest")
+    return known.join(found, "chunk", "left").mapInArrow(
+        finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
+        + f", rest {rest_sql}" * bool(carry))
 
 
 def _span_hash(buf: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """64-bit hashes of spans of at most 255 bytes."""
+    """64-bit hashes of spans of at most 480 bytes."""
     words = words_at(buf)
     out = size.astype(np.uint64) * K.SLOT_CODE[0]
     with np.errstate(over="ignore"):
