@@ -48,13 +48,23 @@ def fingerprints(h: np.ndarray) -> np.ndarray:
     return (up.astype(np.uint64) << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
 
 
+def codes(sorted_rows: np.ndarray, n_words: int) -> np.ndarray:
+    """64-bit hash of each row of sorted shingles and the words it was made for."""
+    out = np.full(len(sorted_rows), n_words, np.uint64)
+    with np.errstate(over="ignore"):
+        for c in range(sorted_rows.shape[1]):
+            out = K.mix(out * K.SLOT_CODE[0] + sorted_rows[:, c])
+    return out
+
+
 def need(n_item: int, n_window: int, percent: int) -> int:
     """Least number of shared shingles for the similarity."""
     return -(-percent * (n_item + n_window) // (100 + percent))
 
 
 def item_table(items: DataFrame, k: int) -> DataFrame:
-    schema = pa.schema([("item_id", pa.int64()), ("n_words", pa.int32()), ("item_print", pa.int64()),
+    """(item_id, item, n_words, item_print, item_shingles); ``item`` is a hash of the words' shingles."""
+    schema = pa.schema([("item_id", pa.int64()), ("item", pa.int64()), ("n_words", pa.int32()), ("item_print", pa.int64()),
                         ("item_shingles", pa.list_(pa.int64()))])
 
     def run(batches):
@@ -63,12 +73,12 @@ def item_table(items: DataFrame, k: int) -> DataFrame:
             h, s, _ = K.words(buf, offs, PLAIN_TABLE)
             first = K.doc_word_offsets(s, offs)
             sh, of = K.shingles(h, first, k)
-            rows = [(i, b - a, int(fingerprints(sh[x:y][None, :]).view(np.int64)[0]), sh[x:y].view(np.int64))
+            rows = [(i, int(codes(np.sort(sh[x:y])[None, :], b - a).view(np.int64)[0]), b - a, int(fingerprints(sh[x:y][None, :]).view(np.int64)[0]), sh[x:y].view(np.int64))
                     for i, a, b, x, y in zip(rb.column(0).to_pylist(), first, first[1:], of, of[1:]) if b > a]
             if rows:
                 yield batch(schema, *zip(*rows))
 
-    return items.mapInArrow(run, "item_id long, n_words int, item_print long, item_shingles array<long>")
+    return items.mapInArrow(run, "item_id long, item long, n_words int, item_print long, item_shingles array<long>")
 
 
 def item_windows(docs: DataFrame, bits, lengths: list[int], k: int, percent: int) -> DataFrame:
@@ -105,24 +115,20 @@ def item_windows(docs: DataFrame, bits, lengths: list[int], k: int, percent: int
                             starts, m = windows(mine, hits, first[d + 1] - first[d], length)
                             for x in range(0, len(starts), 1024):
                                 mm = np.sort(m[x:x + 1024], axis=1)
-                                with np.errstate(over="ignore"):
-                                    code = np.full(len(mm), length, np.uint64)
-                                    for c in range(mm.shape[1]):
-                                        code = K.mix(code * K.SLOT_CODE[0] + mm[:, c])
                                 n = len(mm)
                                 flat = pa.ListArray.from_arrays(
                                     pa.array(np.arange(n + 1) * mm.shape[1], pa.int32()),
                                     pa.array(mm.reshape(-1).view(np.int64)))
                                 doc = pa.array([ids[a + int(d)].as_py()] * n, pa.int64())
                                 yield batch(schema, doc, starts[x:x + 1024], np.full(n, length, np.int32),
-                                            code.view(np.int64), fingerprints(mm).view(np.int64), flat)
+                                            codes(mm, length).view(np.int64), fingerprints(mm).view(np.int64), flat)
 
     return docs.mapInArrow(run, "doc_id long, start long, n_words int, content long, print long, shingles array<long>")
 
 
 def similarity(pairs: DataFrame, percent: int) -> DataFrame:
-    """(content, item_id, similarity, hamming) of the pairs that are similar enough."""
-    schema = pa.schema([("content", pa.int64()), ("item_id", pa.int64()), ("similarity", pa.float64()),
+    """(content, item, similarity, hamming) of the pairs that are similar enough."""
+    schema = pa.schema([("content", pa.int64()), ("item", pa.int64()), ("similarity", pa.float64()),
                         ("hamming", pa.int32())])
 
     def run(batches):
@@ -139,8 +145,8 @@ def similarity(pairs: DataFrame, percent: int) -> DataFrame:
             if out:
                 yield batch(schema, *zip(*out))
 
-    return pairs.select("content", "item_id", "hamming", "shingles", "item_shingles").mapInArrow(
-        run, "content long, item_id long, similarity double, hamming int")
+    return pairs.select("content", "item", "hamming", "shingles", "item_shingles").mapInArrow(
+        run, "content long, item long, similarity double, hamming int")
 
 
 def near_values() -> list[list[int]]:
@@ -169,14 +175,14 @@ def leaks(docs: DataFrame, items: DataFrame, k: int = 5, percent: int = 80, id_c
     probes = contents.select("content", "n_words", F.expr("explode(sequence(0, 7)) as block"), "print").select(
         "content", "n_words", "block", F.expr(block.format("print")).alias("value"), "print")
     near = spark.createDataFrame([(v, n) for v, n in enumerate(near_values())], "own int, value array<int>")
-    listed = known.select("item_id", "n_words", "item_print", F.expr("explode(sequence(0, 7)) as block")).withColumn(
+    distinct = known.groupBy("item").agg(*(F.first(c).alias(c) for c in ("n_words", "item_print", "item_shingles")))
+    listed = distinct.select("item", "n_words", "item_print", F.expr("explode(sequence(0, 7)) as block")).withColumn(
         "own", F.expr(block.format("item_print"))).join(near, "own").withColumn("value", F.explode("value"))
     hamming = F.expr("bit_count(print ^ item_print)").cast("int")
     pairs = (probes.join(listed, ["n_words", "block", "value"]).withColumn("hamming", hamming)
-             .where(F.col("hamming") <= RADIUS).select("content", "item_id", "hamming").distinct())
-    pairs = pairs.join(contents.select("content", "shingles"), "content").join(
-        known.groupBy("item_id").agg(F.first("item_shingles").alias("item_shingles")), "item_id")
-    sure = similarity(pairs, percent)
+             .where(F.col("hamming") <= RADIUS).select("content", "item", "hamming").distinct())
+    pairs = pairs.join(contents.select("content", "shingles"), "content").join(distinct.select("item", "item_shingles"), "item")
+    sure = similarity(pairs, percent).join(known.select("item_id", "item").distinct(), "item")
     best = found.select("doc_id", "start", "n_words", "content").join(sure, "content").groupBy("doc_id", "item_id").agg(
         F.min_by(F.struct("similarity", "hamming", "start", "n_words"),
                  F.struct(-F.col("similarity"), "start")).alias("b"))

@@ -91,9 +91,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _shi
 ORACLE_SQL: dict[str, str] = {
     "op1_mtree_topk": """
         with v as (
-            select vec_id, list_transform(embedding, x -> floor(256 * cast(x as double))) as v from embeddings
+            select vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v from embeddings
             where embedding is not null and len(embedding) > 0
-              and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
         s as (
             select q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.v, c.v) as bigint) as score
             from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0),

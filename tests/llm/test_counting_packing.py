@@ -10,6 +10,7 @@ import pyarrow.parquet as pq
 from tokenizers import Tokenizer
 
 from conftest import SF_SMALL
+from llmcases import no_docs, odd_docs, ready  # noqa: F401
 from dayfold.llm import queries as Q
 from dayfold.llm.packing import pack, pack_rests, step_groups
 from dayfold.llm.tokencount import count_tokens

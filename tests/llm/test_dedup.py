@@ -8,6 +8,7 @@ import pyarrow.parquet as pq
 import pytest
 
 from conftest import SF_SMALL
+from llmcases import no_docs, odd_docs, ready  # noqa: F401
 from dayfold.llm import queries as Q
 from dayfold.llm import minhash, suffixes
 from dayfold.llm.graph import components

@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow.parquet as pq
 
 from conftest import SF_SMALL
+from llmcases import no_docs, odd_docs, ready  # noqa: F401
 from dayfold.llm import licences, mtree
 from dayfold.llm import queries as Q
 from dayfold.llm.common import shared_dir
@@ -128,7 +129,7 @@ def test_leaks_match_brute_force(ready):
     got = leaks(ready.createDataFrame(docs, "doc_id long, text string").repartition(3),
                 ready.createDataFrame(items, "item_id long, text string")).collect()
     want = brute_leaks(docs, items)
-    assert len(want) > 40
+    assert len(want) > 30
     assert {(r.doc_id, r.item_id): (r.similarity, -r.start_word) for r in got} == want
 
 
