@@ -1,23 +1,75 @@
-"""Training-data pipeline: language ID, near-duplicates, repeated passages, benchmark leaks, packing."""
+"""Training-data pipeline: language ID, near-duplicates, repeated passages, benchmark leaks, packing.
+
+Every stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept; all but the last return the columns
+of ``documents``. Rows that share a doc_id are one document to the stages that decide by id (near-duplicates, leaks):
+one copy of equal rows stays, and a leak in one removes all. A null doc_id is never removed by id.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from dayfold.llm.common import ship, table, written
+from dayfold.llm.decontaminate import leaks
+from dayfold.llm.langid import UNKNOWN, identify
 from dayfold.llm.minhash import near_duplicates
+from dayfold.llm.packing import pack
+from dayfold.llm.suffixes import remove_repeats
+
+#: Bytes of a repeated passage; passages of 50 words are longer, chance repetitions in clean prose are shorter.
+PASSAGE_BYTES = 200
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no language can be recognised (null texts, texts without a letter) go."""
+    ship(spark)
+    return identify(docs, with_row=True).where(F.col("lang_pred") != UNKNOWN).select("row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class stays: the one with the smallest doc_id."""
     ship(spark)
-    kept = near_duplicates(docs, k=5, percent=80).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    kept = written(near_duplicates(docs, k=5, percent=80).where("kept").groupBy(F.col("doc_id").alias("id"))
+                   .agg(F.count("*").alias("n")))
+    out = docs.join(kept, docs.doc_id.eqNullSafe(kept.id), "left_semi")
+    again = kept.where("n > 1 and id is not null").select(F.col("id").alias("doc_id"))
+    if again.head(1):
+        out = out.join(again, "doc_id", "left_anti").unionByName(
+            out.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]))
+    return out.select(docs.columns)
+
+
+def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that an earlier document has are cut out (to whole characters); a document of nothing else goes."""
+    ship(spark)
+    cut = remove_repeats(docs, length=PASSAGE_BYTES, with_text=True, carry=tuple(docs.columns))
+    text = F.when(F.col("n_removed") == 0, F.col("rest.text")).otherwise(
+        F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "\ufffd", ""))
+    out = cut.withColumn("cut", text).where("n_removed = 0 or cut rlike '[^ \\t-\\r]'")
+    new = {"text": F.col("cut"), "n_chars": F.when(F.col("n_removed") == 0, F.col("rest.n_chars")).otherwise(
+        F.char_length("cut").cast("long"))}
+    return out.select(*(new.get(c, F.col(f"rest.`{c}`")).alias(c) for c in docs.columns))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item go."""
+    ship(spark)
+    found = leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of packed training sequences."""
+    ship(spark)
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("minhash_near_dedup", near_dedup)]
+STAGES = [("language_id", language_id), ("minhash_near_dedup", near_dedup), ("suffix_dedup", suffix_dedup),
+          ("decontaminate", decontaminate), ("packing", packing)]
 
-ORACLE_SQL = None
+ORACLE_SQL = None  # classes, fingerprints, suffixes and packing are beyond SQL; tests/llm compares with brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
