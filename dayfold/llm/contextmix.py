@@ -120,6 +120,14 @@ class Model:
         self.weights = np.full((ORDERS, ORDERS, LEVELS), 0.25, np.float32)
         self.refine = np.tile(1 / (1 + np.exp(-(np.arange(BUCKETS) - 16) / 2.0)), (256, 1)).astype(np.float32)
 
+    def __getstate__(self):
+        return self.__dict__ | {"tables": (self.tables.shape, pa.compress(self.tables.tobytes(), "zstd", asbytes=True))}
+
+    def __setstate__(self, state):
+        shape, packed = state["tables"]
+        raw = pa.decompress(packed, int(np.prod(shape)) * 2, "zstd", asbytes=True)
+        self.__dict__.update(state, tables=np.frombuffer(raw, np.uint16).reshape(shape))
+
     def inputs(self, g: np.ndarray, bit: int, leave_out: bool):
         """Stretched predictions and count levels [order][gram], the gate, the decision and its node."""
         sym = (g & np.uint64(255)).astype(np.int64)
@@ -197,7 +205,19 @@ class Model:
         return out.reshape(256, BUCKETS, 2)
 
 
-def learn(docs: DataFrame, total_bytes: int) -> Model:
+class Shared:
+    """A model whose tables were broadcast once; its mixer and refinement, which change, travel with the task."""
+
+    def __init__(self, spark, model: Model):
+        self.tables, self.weights, self.refine = spark.sparkContext.broadcast(model), model.weights, model.refine
+
+    def __call__(self) -> Model:
+        m = Model.__new__(Model)
+        m.__dict__.update(self.tables.value.__dict__, weights=self.weights.copy(), refine=self.refine)
+        return m
+
+
+def learn(docs: DataFrame, total_bytes: int) -> Shared:
     """The model of the documents with ``learn`` set, in columns doc_id, learn, text."""
     spark = docs.sparkSession
     ranges = int(min(MOST_RANGES, 1 + total_bytes // RANGE_BYTES))
@@ -255,35 +275,32 @@ def learn(docs: DataFrame, total_bytes: int) -> Model:
     for r in counted.select("place", "region", "pairs").toLocalIterator():
         tables[:, r.place * region:(r.place + 1) * region] = np.frombuffer(r.region, np.uint16).reshape(len(HASHED), region, 2)
         pairs += np.frombuffer(r.pairs, np.int64)
-    model = Model(tables, pairs, ranges)
-
-    def each_range(step, kind: str, weight: bool):
-        shared = spark.sparkContext.broadcast(model)
-        schema = pa.schema([("value", pa.binary()), ("n", pa.float64())])
+    model = Shared(spark, Model(tables, pairs, ranges))
+    del tables
+    result = pa.schema([("value", pa.binary()), ("n", pa.float64())])
 
+    def each_range(step):
+        """Sum of what ``step(model, grams, counts)`` gives for each range, each result times its weight, and weights."""
         def run(batches):
             total = None
             for rb in batches:
                 for b in rb.column(0):
-                    g, n = unblock(b.as_py())
-                    value, w = step(shared.value, g, n)
+                    value, w = step(model(), *unblock(b.as_py()))
                     total = (value * w, w) if total is None else (total[0] + value * w, total[1] + w)
             if total is not None:
-                yield batch(schema, [np.asarray(total[0], np.float64).tobytes()], [float(total[1])])
+                yield batch(result, [np.asarray(total[0], np.float64).tobytes()], [float(total[1])])
 
         parts = counted.select("grams").mapInArrow(run, "value binary, n double").collect()
         return sum(np.frombuffer(r.value, np.float64) for r in parts), sum(r.n for r in parts)
 
     def trained(m: Model, g, n):
-        own = Model.__new__(Model)
-        own.__dict__.update(m.__dict__, weights=m.weights.copy())
-        own.train(g, n)
-        return own.weights.astype(np.float64).reshape(-1), float(n.sum())
+        m.train(g, n)
+        return m.weights.astype(np.float64).reshape(-1), float(n.sum())
 
-    weights, n = each_range(trained, "weights", True)
+    weights, n = each_range(trained)
     if n:
         model.weights = (weights / n).astype(np.float32).reshape(model.weights.shape)
-        hits, _ = each_range(lambda m, g, n: (m.outcomes(g, n).reshape(-1), 1.0), "outcomes", False)
+        hits, _ = each_range(lambda m, g, n: (m.outcomes(g, n).reshape(-1), 1.0))
         ones, all_ = np.moveaxis(hits.reshape(256, BUCKETS, 2), 2, 0)
         model.refine = ((ones + 16 * model.refine) / (all_ + 16)).astype(np.float32)
     return model
@@ -297,21 +314,20 @@ CHUNKS_SQL = ("chunk long, doc_ids array<long>, learn array<boolean>, n_tokens a
               "widths array<long>, places binary, times binary, asked array<int>, blocks array<binary>")
 
 
-def scored_chunks(docs: DataFrame, model: Model, word_ranges: int) -> DataFrame:
+def scored_chunks(docs: DataFrame, model: Shared, word_ranges: int) -> DataFrame:
     """Chunks of scored documents with their word frequencies, and per word range the distinct words with the number
     of their training occurrences in the chunk."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
     def run(batches):
+        scorer = model()
         for rb in batches:
             buf, offs = K.text_buffer(rb.column(2))
             for a, b in K.doc_runs(offs, CHUNK_BYTES):
-                yield chunk(rb.slice(a, b - a), buf[offs[a]:offs[b]], offs[a:b + 1] - offs[a])
+                yield chunk(scorer, rb.slice(a, b - a), buf[offs[a]:offs[b]], offs[a:b + 1] - offs[a])
 
-    def chunk(rb, buf, offs):
+    def chunk(scorer, rb, buf, offs):
         g, first = grams(buf, offs)
         code = pa.array(g).dictionary_encode()
-        cost = shared.value.log10(code.dictionary.to_numpy())[code.indices.to_numpy()]
+        cost = scorer.log10(code.dictionary.to_numpy())[code.indices.to_numpy()]
         score = np.add.reduceat(cost, first[:-1]) if len(cost) else np.zeros(0)
         h, s, _ = K.words(buf, offs)
         first = K.doc_word_offsets(s, offs)

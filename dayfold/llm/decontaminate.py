@@ -4,9 +4,10 @@ A benchmark item of L words is looked for in every window of L words of every do
 is shorter). Windows and items are multisets of k-word shingles; a leak is a weighted Jaccard similarity (sum of the
 smaller counts over sum of the larger) of at least ``percent`` / 100.
 
-1. Item shingles set bits in a bitmap of fixed size, which every task gets. A window can only reach the similarity if
-   enough of its shingles are item shingles, so windows below that count are left out without loss; the bitmap's false
-   positives only let some windows through.
+1. Item shingles set bits in a bitmap of fixed size, which every task gets, alone and together with their item's
+   number of words. A window can only reach the similarity with an item of its length if enough of its shingles are
+   those of such items, so windows below that count are left out without loss; the bitmap's false positives only let
+   some windows through.
 2. Each remaining window gets a 64-bit SimHash. Equal windows are one content from here on, so a passage that a third
    of all documents share is searched once.
 3. The fingerprint is split into 8 blocks of 8 bits. Within a Hamming distance of 23 some block differs in at most 2
@@ -62,10 +63,17 @@ def need(n_item: int, n_window: int, percent: int) -> int:
     return -(-percent * (n_item + n_window) // (100 + percent))
 
 
+def marked(h: np.ndarray, n_words: int) -> np.ndarray:
+    """Hashes of shingles together with an item length."""
+    with np.errstate(over="ignore"):
+        return K.mix(h + np.uint64(n_words) * K.SLOT_CODE[9])
+
+
 def item_table(items: DataFrame, k: int) -> DataFrame:
-    """(item_id, item, n_words, item_print, item_shingles); ``item`` is a hash of the words' shingles."""
+    """(item_id, item, n_words, item_print, item_shingles, marks); ``item`` is a hash of the words' shingles, ``marks``
+    are the values to set in the bitmap."""
     schema = pa.schema([("item_id", pa.int64()), ("item", pa.int64()), ("n_words", pa.int32()), ("item_print", pa.int64()),
-                        ("item_shingles", pa.list_(pa.int64()))])
+                        ("item_shingles", pa.list_(pa.int64())), ("marks", pa.list_(pa.int64()))])
 
     def run(batches):
         for rb in batches:
@@ -73,12 +81,14 @@ def item_table(items: DataFrame, k: int) -> DataFrame:
             h, s, _ = K.words(buf, offs, PLAIN_TABLE)
             first = K.doc_word_offsets(s, offs)
             sh, of = K.shingles(h, first, k)
-            rows = [(i, int(codes(np.sort(sh[x:y])[None, :], b - a).view(np.int64)[0]), b - a, int(fingerprints(sh[x:y][None, :]).view(np.int64)[0]), sh[x:y].view(np.int64))
+            rows = [(i, int(codes(np.sort(sh[x:y])[None, :], b - a).view(np.int64)[0]), b - a, int(fingerprints(sh[x:y][None, :]).view(np.int64)[0]), sh[x:y].view(np.int64),
+                     np.concatenate([sh[x:y], marked(sh[x:y], b - a)]).view(np.int64))
                     for i, a, b, x, y in zip(rb.column(0).to_pylist(), first, first[1:], of, of[1:]) if b > a]
             if rows:
                 yield batch(schema, *zip(*rows))
 
-    return items.mapInArrow(run, "item_id long, item long, n_words int, item_print long, item_shingles array<long>")
+    return items.mapInArrow(run, "item_id long, item long, n_words int, item_print long, item_shingles array<long>, "
+                                 "marks array<long>")
 
 
 def item_windows(docs: DataFrame, bits, lengths: list[int], k: int, percent: int) -> DataFrame:
@@ -87,11 +97,11 @@ def item_windows(docs: DataFrame, bits, lengths: list[int], k: int, percent: int
                         ("print", pa.int64()), ("shingles", pa.list_(pa.int64()))])
     least = min(need(max(1, n - k + 1), min(1, n), percent) for n in lengths)
 
-    def windows(sh, hits, n_words, length):
+    def windows(sh, length):
         """Starts of windows of one document and their shingles as a matrix."""
         n_item = max(1, length - k + 1)
         width = min(n_item, len(sh))
-        total = np.concatenate([[0], np.cumsum(hits)])
+        total = np.concatenate([[0], np.cumsum(in_bitmap(bits, marked(sh, length).view(np.int64)))])
         at = np.flatnonzero(total[width:] - total[:-width] >= need(n_item, width, percent))
         return at, sh[at[:, None] + np.arange(width)]
 
@@ -108,11 +118,11 @@ def item_windows(docs: DataFrame, bits, lengths: list[int], k: int, percent: int
                     hit = in_bitmap(bits, sh.view(np.int64))
                     total = np.concatenate([[0], np.cumsum(hit)])
                     for d in np.flatnonzero(total[of[1:]] - total[of[:-1]] >= max(1, least if kk == k else 1)):
-                        mine, hits = sh[of[d]:of[d + 1]], hit[of[d]:of[d + 1]]
+                        mine = sh[of[d]:of[d + 1]]
                         for length in lengths:
                             if min(k, length) != kk:
                                 continue
-                            starts, m = windows(mine, hits, first[d + 1] - first[d], length)
+                            starts, m = windows(mine, length)
                             for x in range(0, len(starts), 1024):
                                 mm = np.sort(m[x:x + 1024], axis=1)
                                 n = len(mm)
@@ -166,7 +176,7 @@ def leaks(docs: DataFrame, items: DataFrame, k: int = 5, percent: int = 80, id_c
     if not lengths:
         return spark.createDataFrame([], "doc_id long, item_id long, similarity double, hamming int, start_word long, "
                                          "n_words int")
-    bits = bitmap_of(known.select(F.explode("item_shingles").alias("h")))
+    bits = bitmap_of(known.select(F.explode("marks").alias("h")))
     found = written(item_windows(docs, bits, lengths, k, percent))
     contents = found.groupBy("content").agg(F.first("n_words").alias("n_words"), F.first("print").alias("print"),
                                             F.first("shingles").alias("shingles"))
