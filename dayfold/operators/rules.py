@@ -214,9 +214,10 @@ def build_report(facts: DataFrame, cards: DataFrame, accounts: DataFrame, client
     """
 
     def enriched_of(df: DataFrame) -> DataFrame:
-        e = (enrich_profile(df, profile, terminals) if profile is not None
-             else enrich(df, cards, accounts, clients, terminals))
-        return with_blacklist(e, blacklist)
+        if profile is None:
+            return with_blacklist(enrich(df, cards, accounts, clients, terminals), blacklist)
+        # the listing joins the profile, not the facts: one shuffle of the facts less
+        return enrich_profile(df, with_blacklist(profile, blacklist), terminals)
 
     per_day = run_date is None
     if per_day:

@@ -52,16 +52,6 @@ def as_of(history: DataFrame, ts) -> DataFrame:
     return history.where(_ts(ts).between(F.col("effective_from"), F.col("effective_to")))
 
 
-def latest_change(changes: DataFrame, key: str, created: str | None, updated: str | None) -> DataFrame:
-    """One staged row per key, the latest by ``coalesce(updated, created)`` (ties broken by the row itself)."""
-    if created is None:
-        return changes.dropDuplicates([key])
-    order = F.coalesce(F.col(updated), F.col(created)) if updated else F.col(created)
-    rest = [c for c in changes.columns if c != key]
-    agg = changes.groupBy(key).agg(F.max(F.struct(order.alias("_ord"), *rest)).alias("_c"))
-    return agg.select(key, *[F.col("_c")[c].alias(c) for c in rest])
-
-
 def new_keys(history: DataFrame, changes: DataFrame, key: str, attrs: Sequence[str],
              created: str | None = "create_dt", run_ts=None) -> DataFrame:
     """D1: versions opened for staged keys absent from the whole history."""
@@ -152,11 +142,10 @@ def merge_parts(history: DataFrame, changes: DataFrame, keys: DataFrame | None,
         return [k, f"{o} AS _o", f"{y} AS _y", f"{s_} AS _s", f"{seen} AS _seen", f"{alive} AS _alive"]
 
     tracked = f"coalesce(effective_to = {inf_} AND deleted_flg IN ('{FLAG_LIVE}', '{FLAG_DELETED}'), false)"
-    # Current versions travel whole; every other version contributes only its key (column pruning).
-    parts = (history.where(tracked).selectExpr(*tag(f"IF(deleted_flg = '{FLAG_LIVE}', {ver}, {no_ver})",
-                                                    f"IF(deleted_flg = '{FLAG_DELETED}', {ver}, {no_ver})",
-                                                    no_chg, "true", "false"))
-             .unionByName(history.where(f"NOT {tracked}").selectExpr(*tag(no_ver, no_ver, no_chg, "true", "false"))))
+    # One scan of the history: current versions travel whole, every other version only as its key.
+    parts = history.selectExpr(*tag(f"IF({tracked} AND deleted_flg = '{FLAG_LIVE}', {ver}, {no_ver})",
+                                    f"IF({tracked} AND deleted_flg = '{FLAG_DELETED}', {ver}, {no_ver})",
+                                    no_chg, "true", "false"))
     if closed is not None:
         parts = parts.unionByName(closed.selectExpr(*tag(no_ver, no_ver, no_chg, "true", "false")))
     parts = parts.unionByName(changes.selectExpr(*tag(no_ver, no_ver, chg, "false", "false")))

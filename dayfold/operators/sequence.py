@@ -98,7 +98,10 @@ def lead_split(df: DataFrame, keys: str | Sequence[str], ts: str, tiebreak: str
              .agg(F.expr(f"array_sort(collect_list(named_struct({head}))) AS _heads")))
     following = f"OVER (PARTITION BY {', '.join(keys)} ORDER BY _b ROWS BETWEEN 1 FOLLOWING AND {k} FOLLOWING)"
     cont = heads.selectExpr(*keys, "_b", f"slice(flatten(collect_list(_heads) {following}), 1, {k}) AS _cont")
-    joined = within.join(cont, [*keys, "_b"], "left")
+    # null-safe: rows without a key or a time are a group like any other
+    cont = cont.selectExpr(*[f"{c} AS _k{i}" for i, c in enumerate([*keys, "_b"])], "_cont")
+    same = " AND ".join(f"{c} <=> _k{i}" for i, c in enumerate([*keys, "_b"]))
+    joined = within.join(cont, F.expr(same), "left")
     inside = " + ".join(f"IF(_has{i} IS NULL, 0, 1)" for i in range(1, k + 1))
     leads = [f"IF(_has{i} IS NOT NULL, _in{i}_{j}, get(_cont, {i - 1} - ({inside}))._c{j}) AS {prefix}{i}_{c}"
              for i in range(1, k + 1) for j, c in enumerate(cols)]

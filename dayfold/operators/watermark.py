@@ -13,6 +13,7 @@ SCHEMA_NAME = "dwh"
 
 # Fixed seeds of the watermark table: sources start before any data, facts the day before the first drop.
 SOURCE_SEED = dt.date(1800, 1, 1)
+FACT_SEED = dt.date(2021, 2, 28)
 
 
 def row(table_name: str, max_date: Column) -> list[Column]:
@@ -41,9 +42,3 @@ def advance_facts(facts: DataFrame, table_name: str, run_date, at: str = "trans_
     """``greatest(cast(max(at) as date), run_date)``: an empty day still moves the watermark to the run
     date, so the next run does not retry a day whose files were already archived."""
     return facts.agg(*row(table_name, F.greatest(F.to_date(F.max(at)), F.lit(as_date(run_date)))))
-
-
-def watermark_value(watermarks: DataFrame, table_name: str) -> dt.date | None:
-    """One-row lookup to the driver (the only value the daily run collects)."""
-    r = watermarks.where(F.col("table_name") == table_name).select("max_date").first()
-    return r[0] if r else None

@@ -16,12 +16,13 @@ from pyspark.sql import functions as F
 from dayfold.functions import full_name, inf, ntz, one_second, on_day
 from dayfold.operators import rules, scd2, watermark
 from dayfold.operators.sequence import lead_split
-from dayfold.operators.temporal import dim_view, enrich, temporal_join
+from dayfold.operators.temporal import card_profile, dim_view, enrich, temporal_join
 from dayfold.plans import fixtures as fx
 from dayfold.schemas import TRANSACTIONS
-from dayfold.sources import capture_increment, capture_keys, parse_text_columns
+from dayfold.sources import capture_increment, capture_keys, drop_date, parse_text_columns
 
 D = fx.REPORT_DAY
+D4 = dt.date(2024, 1, 18)  # a day with amount probing
 PROBE = dt.timedelta(days=1)
 TRAVEL = rules.TRAVEL_WITHIN
 VERSION = ["k", "a", "b", "effective_from", "effective_to", "deleted_flg"]
@@ -63,13 +64,25 @@ def capture_keys_q(spark, sf_dir):
 
 
 def fact_append(spark, sf_dir):
-    """Re-running day D on a fact table that already holds days up to D replaces D's partition."""
-    from dayfold.sinks import replace_day
+    """Re-running day D on a full fact table: every row was loaded by the run of its day, some of D's rows late by the
+    run of the next day. The corrected drop differs from what it replaces, and carries rows of the day before."""
+    from dayfold.sinks import replace_run
 
-    tx = fx.transactions(spark, sf_dir).withColumn("trans_day", F.to_date("trans_date"))
-    loaded = rules.facts_until(tx, D)
-    drop = rules.facts_of_day(fx.transactions(spark, sf_dir), D)
-    return replace_day(loaded, drop, D)
+    tx = fx.transactions(spark, sf_dir)
+    late = F.expr("CAST(trans_id AS BIGINT) % 7 = 0")
+    run = F.when(late, F.date_add(F.to_date("trans_date"), 1)).otherwise(F.to_date("trans_date"))
+    loaded = tx.withColumn("trans_day", F.to_date("trans_date")).withColumn("run", run)
+    drop = tx.where(F.col("trans_date") >= ntz(D - dt.timedelta(days=1))).where(F.col("trans_date") < ntz(
+        D + dt.timedelta(days=1))).where(~late).withColumn("amt", (F.col("amt") * 2).cast("decimal(18,2)"))
+    return replace_run(loaded, drop, D)
+
+
+def drop_dates(spark, sf_dir):
+    """Dates of file names, one in five without a date."""
+    n = fx.table(spark, sf_dir, "nation")
+    day = F.date_format(F.expr("DATE '2021-03-01' + CAST(n_nationkey AS INT)"), "ddMMyyyy")
+    name = F.concat("n_name", F.lit("_"), F.when(F.col("n_nationkey") % 5 != 0, day).otherwise("2021"), F.lit(".txt"))
+    return n.select(F.concat_ws("_", "n_name", "n_nationkey").alias("file_name"), drop_date(name).alias("drop_date"))
 
 
 def blacklist_increment(spark, sf_dir):
@@ -81,7 +94,7 @@ def blacklist_increment(spark, sf_dir):
 def watermark_advance(spark, sf_dir):
     b = Bank(spark, sf_dir)
     clients = capture_increment(fx.src_clients(spark, sf_dir), "2024-01-15")
-    return (watermark.advance_facts(rules.facts_until(b.tx, D), "fact_transactions", D)
+    return (watermark.advance_facts(b.tx, "fact_transactions", D)
             .unionByName(watermark.advance_entries(b.blacklist, "passport_blacklist", watermark.SOURCE_SEED))
             .unionByName(watermark.advance_source(clients, "clients", watermark.SOURCE_SEED)))
 
@@ -214,7 +227,7 @@ def fraud_travel(spark, sf_dir):
 
 def fraud_amount_probing(spark, sf_dir):
     b = Bank(spark, sf_dir)
-    return rules.amount_probing(b.tx, *b.dims(), D, PROBE)
+    return rules.amount_probing(b.tx, *b.dims(), D4, PROBE)
 
 
 def fraud_report(spark, sf_dir):
@@ -222,6 +235,14 @@ def fraud_report(spark, sf_dir):
     return rules.build_report(b.tx, *b.dims(), b.terminals, b.blacklist, D, TRAVEL, PROBE)
 
 
+def fraud_report_profile(spark, sf_dir):
+    """The report as the daily run makes it: through the card profile, on a day with hits of all rules."""
+    b = Bank(spark, sf_dir)
+    start = dt.datetime.combine(D4, dt.time())
+    profile = card_profile(*b.dims(), window=(start - PROBE, start + dt.timedelta(days=1, microseconds=-1)))
+    return rules.build_report(b.tx, *b.dims(), b.terminals, b.blacklist, D4, TRAVEL, PROBE, profile=profile)
+
+
 def fraud_report_accumulated(spark, sf_dir):
     b = Bank(spark, sf_dir)
     return rules.build_report(b.tx, *b.dims(), b.terminals, b.blacklist, None, TRAVEL, PROBE)
@@ -237,6 +258,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "capture_increment": capture_increment_q,
     "capture_keys": capture_keys_q,
     "fact_append": fact_append,
+    "drop_dates": drop_dates,
     "blacklist_increment": blacklist_increment,
     "processing_date": processing_date,
     "watermark_advance": watermark_advance,
@@ -262,6 +284,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fraud_travel": fraud_travel,
     "fraud_amount_probing": fraud_amount_probing,
     "fraud_report": fraud_report,
+    "fraud_report_profile": fraud_report_profile,
     "fraud_report_accumulated": fraud_report_accumulated,
     "fraud_amount_probing_replay": fraud_amount_probing_replay,
 }

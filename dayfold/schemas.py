@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql.types import (
+    ArrayType,
     DateType,
     DecimalType,
     StringType,
@@ -32,13 +33,8 @@ TERMINALS = _schema(("terminal_id", S), ("terminal_type", S), ("terminal_city",
 BLACKLIST_FILE = _schema(("entry_dt", D), ("passport_num", S))
 BLACKLIST = _schema(("passport_num", S), ("entry_dt", D))
 
-# Operational source tables.
-SRC_CARDS = _schema(("card_num", S), ("account_num", S), ("create_dt", TS), ("update_dt", TS))
-SRC_ACCOUNTS = _schema(("account_num", S), ("valid_to", D), ("client", S), ("create_dt", TS), ("update_dt", TS))
-SRC_CLIENTS = _schema(
-    ("client_id", S), ("last_name", S), ("first_name", S), ("patronymic", S), ("date_of_birth", D),
-    ("passport_num", S), ("passport_valid_to", D), ("phone", S), ("create_dt", TS), ("update_dt", TS),
-)
+FACTS = StructType([*TRANSACTIONS.fields, StructField("trans_day", D, True)])
+REJECTS = StructType([*TRANSACTIONS.fields, StructField("bad_cells", ArrayType(S), True)])
 
 # History dimensions (attributes + validity).
 DIM_CARDS = _schema(("card_num", S), ("account_num", S), *VALIDITY)
@@ -52,7 +48,6 @@ DIM_TERMINALS = _schema(("terminal_id", S), ("terminal_type", S), ("terminal_cit
 REPORT = _schema(
     ("event_dt", TS), ("passport", S), ("fio", S), ("phone", S), ("event_type", S), ("report_dt", D),
 )
-WATERMARKS = _schema(("schema_name", S), ("table_name", S), ("max_date", D))
 
 
 @dataclass(frozen=True)

@@ -1,14 +1,12 @@
-"""Idempotent writers and their pure DataFrame forms."""
+"""Run-keyed tables, commits, and the pure forms of the writers."""
 
 from dayfold.sinks.writers import (  # noqa: F401
-    commit_marker,
+    Attempt,
+    Committed,
     new_entries,
-    overwrite_partitions,
-    read_committed,
+    read_commits,
+    read_current,
     read_history,
-    read_history_parts,
-    replace_day,
-    write_day_partition,
-    write_history,
-    write_report,
+    read_runs,
+    replace_run,
 )

@@ -1,44 +1,44 @@
-"""Idempotent writers on plain Parquet (no MERGE/UPDATE needed) and their pure DataFrame forms.
+"""Run-keyed tables on plain Parquet (no MERGE/UPDATE needed) and their pure DataFrame forms.
 
 Layout under a warehouse root (shared storage, e.g. the cluster's object store):
 
-* ``fact_transactions/trans_day=D``          facts, one partition per day (dynamic overwrite)
-* ``fact_passport_blacklist/load_date=D``    new blacklist entries of run D
-* ``dim_<name>_hist/run=D/state=open|closed``  versions written by run D: ``closed`` holds versions the
-  run closed, ``open`` the complete current set. History as of run R = closed parts of runs <= R plus
-  the open part of run R, so old closed versions are never rewritten.
-* ``dim_card_profile/run=D``                 card -> account -> client validity segments of run D
-* ``rep_fraud/report_dt=D/event_type=k``      report rows
-* ``_watermarks/run_date=D``                  watermark rows, written **last**: the commit marker.
-
-A re-run of day D overwrites exactly D's partitions, and readers only trust runs present in the marker
-table, so a failed run leaves nothing visible and is simply run again.
+* ``<table>/run=D/attempt=A/``   everything an attempt at run D wrote to a table, late rows of other days included
+* ``_commits/run=D/attempt=A/``  written **last**: watermark rows, and one row per table with the bounds of a date
+  column, by which readers choose run directories without listing or opening the others
+
+An attempt never touches what another one wrote. Readers only see directories named by the commits, of each run the
+latest attempt: a failed run or re-run leaves nothing visible, and a re-run replaces the whole run, also when its
+result has fewer partitions or none. Histories keep ``state=open|closed`` below the attempt: ``closed`` holds the
+versions the run closed, ``open`` the complete current set.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import time
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
 from dayfold.functions import as_date, inf
 
-
-def overwrite_partitions(df: DataFrame, path: str, *partition_by: str) -> None:
-    """Replace exactly the partitions present in ``df`` (dynamic overwrite): a re-run rewrites its own."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).parquet(path))
+COMMITS = StructType([StructField("run", DateType()), StructField("attempt", StringType()),
+                      StructField("kind", StringType()), StructField("name", StringType()),
+                      StructField("low", DateType()), StructField("high", DateType()), StructField("rows", LongType())])
 
 
 # --- pure forms ---------------------------------------------------------------------------------------
 
-def replace_day(facts: DataFrame, drop: DataFrame, run_date, day_col: str = "trans_day",
-                at: str = "trans_date") -> DataFrame:
-    """The fact table after loading ``drop`` as day ``run_date``: that day's rows are replaced."""
-    d = as_date(run_date)
-    return facts.where(F.col(day_col) != F.lit(d)).unionByName(drop.withColumn(day_col, F.to_date(at)))
+def replace_run(facts: DataFrame, drop: DataFrame, run_date, day_col: str = "trans_day", at: str = "trans_date",
+                run_col: str = "run") -> DataFrame:
+    """The fact table after loading ``drop`` as run ``run_date``: rows of an earlier attempt at that run go, whatever
+    day they carry; rows of other runs stay, also those of the days in ``drop``; rows without a time are rejects."""
+    d = F.lit(as_date(run_date))
+    new = drop.where(F.col(at).isNotNull()).withColumn(day_col, F.to_date(at)).withColumn(run_col, d)
+    return facts.where(F.col(run_col) != d).unionByName(new)
 
 
 def new_entries(staged: DataFrame, watermark, at: str = "entry_dt") -> DataFrame:
@@ -46,54 +46,113 @@ def new_entries(staged: DataFrame, watermark, at: str = "entry_dt") -> DataFrame
     return staged.where(F.col(at) > F.lit(as_date(watermark))).select("passport_num", at)
 
 
-# --- writers ------------------------------------------------------------------------------------------
-
-def write_day_partition(drop: DataFrame, path: str, at: str = "trans_date", day_col: str = "trans_day") -> None:
-    overwrite_partitions(drop.withColumn(day_col, F.to_date(at)), path, day_col)
-
-
-def write_history(new_versions: DataFrame, path: str, run_date) -> None:
-    """Write the versions a merge produced for run D (newly closed + complete open set)."""
-    state = F.when(F.col("effective_to") == inf(), "open").otherwise("closed")
-    overwrite_partitions(new_versions.withColumn("run", F.lit(as_date(run_date))).withColumn("state", state),
-               path, "run", "state")
-
-
-def read_history(spark: SparkSession, path: str, as_of_run: dt.date | None, schema=None) -> DataFrame | None:
-    """History as of a committed run (partition-pruned); None when nothing was written yet."""
-    parts = read_history_parts(spark, path, as_of_run)
-    return None if parts is None else parts[0].unionByName(parts[1])
-
-
-def read_history_parts(spark: SparkSession, path: str, as_of_run: dt.date | None):
-    """(current versions, closed versions) as of a committed run, each read from its own partitions."""
-    if as_of_run is None:
-        return None
-    r = F.lit(as_of_run)
-    df = spark.read.parquet(path)
-    current = df.where((F.col("state") == "open") & (F.col("run") == r)).drop("run", "state")
-    closed = df.where((F.col("state") == "closed") & (F.col("run") <= r)).drop("run", "state")
-    return current, closed
+# --- runs ---------------------------------------------------------------------------------------------
 
+@dataclass(frozen=True)
+class Committed:
+    """The committed runs: attempt, watermarks, and per table (low, high, rows)."""
 
-def write_report(report: DataFrame, path: str) -> None:
-    overwrite_partitions(report, path, "report_dt", "event_type")
+    attempts: dict[dt.date, str] = field(default_factory=dict)
+    marks: dict[dt.date, dict[str, dt.date]] = field(default_factory=dict)
+    tables: dict[tuple[dt.date, str], tuple[dt.date | None, dt.date | None, int]] = field(default_factory=dict)
 
+    def last(self, before=None) -> dt.date | None:
+        return max((d for d in self.attempts if before is None or d < as_date(before)), default=None)
 
-def commit_marker(watermarks: DataFrame, path: str, run_date) -> None:
-    """Write the run's watermark rows; their presence marks run D as committed."""
-    overwrite_partitions(watermarks.withColumn("run_date", F.lit(as_date(run_date))), path, "run_date")
+    def runs(self, table: str, low: dt.date | None = None, high: dt.date | None = None,
+             up_to: dt.date | None = None) -> list[dt.date]:
+        """Runs up to ``up_to`` that wrote rows of ``table`` with dates in ``[low, high]``."""
+        out = []
+        for (run, name), (a, b, rows) in sorted(self.tables.items(), key=lambda x: x[0]):
+            if name != table or not rows or (up_to is not None and run > up_to):
+                continue
+            if (low is None or b is None or b >= low) and (high is None or a is None or a <= high):
+                out.append(run)
+        return out
 
 
-def read_committed(spark: SparkSession, path: str, before=None) -> tuple[dt.date | None, DataFrame | None]:
-    """The latest committed run (before ``before`` when given) and its watermark rows."""
+def read_commits(spark: SparkSession, root: str) -> Committed:
+    """A few rows per run: the only thing a run brings to the driver."""
     try:
-        marks = spark.read.parquet(path)
+        rows = spark.read.schema(COMMITS).parquet(f"{root}/_commits").collect()
     except AnalysisException:
-        return None, None
-    if before is not None:
-        marks = marks.where(F.col("run_date") < F.lit(as_date(before)))
-    last = marks.agg(F.max("run_date")).first()[0]
-    if last is None:
-        return None, None
-    return last, marks.where(F.col("run_date") == F.lit(last)).drop("run_date")
+        return Committed()
+    attempts: dict[dt.date, str] = {}
+    for r in rows:
+        attempts[r.run] = max(attempts.get(r.run, ""), r.attempt)
+    out = Committed(attempts)
+    for r in rows:
+        if r.attempt == attempts[r.run]:
+            if r.kind == "watermark":
+                out.marks.setdefault(r.run, {})[r.name] = r.high
+            else:
+                out.tables[r.run, r.name] = (r.low, r.high, r.rows)
+    return out
+
+
+def run_path(root: str, table: str, run: dt.date, attempt: str) -> str:
+    return f"{root}/{table}/run={run}/attempt={attempt}"
+
+
+def read_runs(spark: SparkSession, root: str, table: str, schema: StructType, attempts: dict[dt.date, str],
+              runs: list[dt.date]) -> DataFrame:
+    """The rows that these runs wrote, read from their directories only."""
+    if not runs:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*(run_path(root, table, d, attempts[d]) for d in runs))
+
+
+class Attempt:
+    """One attempt at a run: writes into directories of its own, visible once ``commit`` is through."""
+
+    def __init__(self, spark: SparkSession, root: str, run_date):
+        self.spark, self.root, self.run = spark, root, as_date(run_date)
+        self.attempt = f"{time.time_ns():020d}"
+        self.written: dict[str, tuple[dt.date | None, dt.date | None, int]] = {}
+
+    def read(self, table: str, schema: StructType) -> DataFrame:
+        return read_runs(self.spark, self.root, table, schema, {self.run: self.attempt}, [self.run])
+
+    def write(self, table: str, df: DataFrame, date_col: str | None = None, partition_by: tuple[str, ...] = (),
+              counted: str = "true") -> DataFrame:
+        """Write ``df`` and read it back; the commit records the bounds of ``date_col`` over rows with ``counted``."""
+        df.write.partitionBy(*partition_by).parquet(run_path(self.root, table, self.run, self.attempt))
+        back = self.read(table, StructType([f for f in df.schema.fields if f.name not in partition_by]
+                                           + [f for f in df.schema.fields if f.name in partition_by]))
+        at = F.to_date(date_col) if date_col else F.lit(None).cast("date")
+        low, high, rows = back.where(counted).agg(F.min(at), F.max(at), F.count("*")).first()
+        self.written[table] = (low, high, rows)
+        return back
+
+    def write_history(self, table: str, versions: DataFrame) -> DataFrame:
+        state = F.when(F.col("effective_to") == inf(), "open").otherwise("closed")
+        return self.write(table, versions.withColumn("state", state), "effective_to", ("state",), "state = 'closed'")
+
+    def commit(self, watermarks: list[tuple[str, dt.date]]) -> None:
+        rows = [(self.run, self.attempt, "watermark", name, None, value, None) for name, value in watermarks]
+        rows += [(self.run, self.attempt, "table", name, *bounds) for name, bounds in self.written.items()]
+        df = self.spark.createDataFrame(rows, COMMITS).coalesce(1)
+        df.write.parquet(run_path(self.root, "_commits", self.run, self.attempt))
+
+
+def history_schema(dim: StructType) -> StructType:
+    return StructType([*dim.fields, StructField("state", StringType())])
+
+
+def read_current(spark: SparkSession, root: str, table: str, dim: StructType, commits: Committed,
+                 run: dt.date | None) -> DataFrame:
+    """The current versions as of a committed run."""
+    runs = [] if run is None or (run, table) not in commits.tables else [run]
+    df = read_runs(spark, root, table, history_schema(dim), commits.attempts, runs)
+    return df.where(F.col("state") == "open").drop("state")
+
+
+def read_history(spark: SparkSession, root: str, table: str, dim: StructType, commits: Committed, run: dt.date,
+                 since: dt.date | None = None) -> DataFrame:
+    """Versions as of a committed run; with ``since``, only those valid on that day or later, read from the runs whose
+    closed versions reach that far."""
+    closed = read_runs(spark, root, table, history_schema(dim), commits.attempts,
+                       commits.runs(table, low=since, up_to=run)).where(F.col("state") == "closed")
+    if since is not None:
+        closed = closed.where(F.to_date("effective_to") >= F.lit(since))
+    return read_current(spark, root, table, dim, commits, run).unionByName(closed.drop("state"))

@@ -4,19 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dayfold.functions import ntz
 
 
-def read_table(spark: SparkSession, fmt: str, **options) -> DataFrame:
-    """An operational table as a DataFrame. For JDBC pass ``partitionColumn/lowerBound/upperBound/
-    numPartitions`` so the pull runs as parallel range queries; filters applied afterwards are pushed
-    into the source query by Spark."""
-    return spark.read.format(fmt).options(**options).load()
-
-
 def capture_increment(df: DataFrame, watermark: dt.date | str, created: str = "create_dt",
                       updated: str = "update_dt") -> DataFrame:
     """Rows created or updated after the watermark day: ``coalesce(updated, created) > watermark``.
@@ -35,6 +28,6 @@ def capture_keys(df: DataFrame, key: str) -> DataFrame:
 
 
 def drop_date(file_name: Column | str, pattern: str = r"_(\d{8})\.", fmt: str = "ddMMyyyy") -> Column:
-    """The date stamped in a drop's file name, e.g. ``transactions_01032021.txt`` -> 2021-03-01."""
+    """The date stamped in a drop's file name, e.g. ``transactions_01032021.txt`` -> 2021-03-01; NULL without one."""
     c = F.col(file_name) if isinstance(file_name, str) else file_name
-    return F.to_date(F.regexp_extract(c, pattern, 1), fmt)
+    return F.try_to_timestamp(F.regexp_extract(c, pattern, 1), F.lit(fmt)).cast("date")

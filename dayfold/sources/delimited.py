@@ -4,7 +4,7 @@ Every field is read as text under the declared column names (a header that names
 cannot rebind them) and then typed with the declared schema. Amounts are parsed from the decimal-comma
 text into the declared ``decimal`` — never through ``double`` and never with Spark's bare ``decimal``
 (scale 0). A cell that does not parse becomes NULL instead of failing the load (``try_cast``; ANSI mode
-is on by default in Spark 4).
+is on by default in Spark 4), and ``bad_cells`` lists it, so a load can set such rows aside and count them.
 """
 
 from __future__ import annotations
@@ -16,10 +16,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType, FloatType, StringType, StructField, StructType
 
 
+BAD_CELLS = "bad_cells"
+
+
 def parse_text_columns(df: DataFrame, schema: StructType, decimal_comma: bool = True,
-                       keep: Sequence[str] = ()) -> DataFrame:
-    """Type text columns (named as in ``schema``) into ``schema``'s types; ``keep`` columns pass through."""
-    out = []
+                       keep: Sequence[str] = (), bad_cells: bool = False) -> DataFrame:
+    """Type text columns (named as in ``schema``) into ``schema``'s types; ``keep`` columns pass through.
+    ``bad_cells`` adds the ``name=text`` of the cells that are not blank and don't parse."""
+    out, bad = [], []
     for f in schema.fields:
         if isinstance(f.dataType, StringType):
             out.append(F.col(f.name))
@@ -27,12 +31,18 @@ def parse_text_columns(df: DataFrame, schema: StructType, decimal_comma: bool =
         c = F.trim(F.col(f.name))
         if decimal_comma and isinstance(f.dataType, (DecimalType, DoubleType, FloatType)):
             c = F.regexp_replace(F.regexp_replace(c, r"\s", ""), ",", ".")
-        out.append(c.try_cast(f.dataType).alias(f.name))
+        typed = c.try_cast(f.dataType)
+        out.append(typed.alias(f.name))
+        bad.append(F.when(typed.isNull() & (c != ""), F.concat(F.lit(f"{f.name}="), F.col(f.name))))
+    if bad_cells:
+        cells = F.array_compact(F.array(*bad)) if bad else F.array().cast("array<string>")
+        out.append(cells.alias(BAD_CELLS))
     return df.select(*out, *keep)
 
 
 def read_delimited_drop(spark: SparkSession, path: str | list[str], schema: StructType, sep: str = ";",
-                        header: bool = True, decimal_comma: bool = True, with_file: bool = False) -> DataFrame:
+                        header: bool = True, decimal_comma: bool = True, with_file: bool = False,
+                        bad_cells: bool = False) -> DataFrame:
     """Read one or many daily text drops (a path, a glob or a list) into ``schema``.
 
     Files are split and read in parallel; ``with_file`` adds ``source_file`` (from the ``_metadata``
@@ -44,4 +54,4 @@ def read_delimited_drop(spark: SparkSession, path: str | list[str], schema: Stru
     if with_file:
         raw = raw.withColumn("source_file", F.col("_metadata.file_name"))
         keep = ["source_file"]
-    return parse_text_columns(raw, schema, decimal_comma, keep)
+    return parse_text_columns(raw, schema, decimal_comma, keep, bad_cells)

@@ -4,7 +4,9 @@ A file stream over the drop folder replaces the job's own file bookkeeping: the
 which drops were processed, ``Trigger.AvailableNow`` processes everything waiting and stops (run it from
 the scheduler once a day), and ``cleanSource=archive`` moves processed files into the archive folder.
 Several drops can arrive in one micro-batch; the history merge is order-sensitive, so ``foreachBatch``
-runs the days in ascending drop-date order.
+runs the days in ascending drop-date order. A second file of the day loaded last repeats that run with the rows of
+both. Rows of files without a date in their name, or of days before the last run, are kept in ``_stray_files`` and do
+not stop the stream; the latter take a replay.
 """
 
 from __future__ import annotations
@@ -15,9 +17,12 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from dayfold.plans.daily import DailyInputs, RuleConfig, Warehouse, run_day
-from dayfold.schemas import TRANSACTIONS
+from dayfold.schemas import REJECTS, TRANSACTIONS
+from dayfold.sinks import read_commits, read_runs
 from dayfold.sources import drop_date, parse_text_columns
 
+STAGED = REJECTS  # transactions with their bad cells
+
 
 def start_intake(spark: SparkSession, drop_dir: str, wh: Warehouse, inputs: DailyInputs, checkpoint: str,
                  archive_dir: str | None = None, pattern: str = "transactions_*.txt",
@@ -29,14 +34,26 @@ def start_intake(spark: SparkSession, drop_dir: str, wh: Warehouse, inputs: Dail
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     stream = reader.csv(drop_dir).withColumn("drop_date", drop_date(F.col("_metadata.file_name")))
 
-    def process(batch: DataFrame, _epoch: int) -> None:
+    def process(batch: DataFrame, epoch: int) -> None:
         batch = batch.persist()
         try:
             # the distinct drop dates of the batch: a handful of values
             days = sorted(r[0] for r in batch.select("drop_date").distinct().collect() if r[0] is not None)
+            stray = F.col("drop_date").isNull()
             for day in days:
-                rows = parse_text_columns(batch.where(F.col("drop_date") == F.lit(day)), TRANSACTIONS)
+                commits = read_commits(spark, wh.base)
+                last = commits.last()
+                if last is not None and day < last:
+                    stray = stray | (F.col("drop_date") == F.lit(day))
+                    continue
+                rows = parse_text_columns(batch.where(F.col("drop_date") == F.lit(day)), TRANSACTIONS, bad_cells=True)
+                if day == last:  # another file of the day loaded last: its run is repeated with both
+                    earlier = read_runs(spark, wh.base, "_staging/transactions", STAGED, commits.attempts, [day])
+                    rows = earlier.unionByName(rows).distinct()
                 run_day(spark, wh, inputs.with_transactions(rows), day, config)
+            stray = batch.where(stray)
+            if stray.head(1):
+                stray.write.mode("overwrite").parquet(f"{wh.base}/_stray_files/batch={epoch}")
         finally:
             batch.unpersist()
 

@@ -1,5 +1,6 @@
 """The daily run end to end: drop files -> warehouse -> report; re-runs, empty days, stream intake."""
 
+import dataclasses
 import datetime as dt
 
 import pytest
@@ -9,9 +10,11 @@ from conftest import SF_SMALL
 from dayfold.functions import inf
 from dayfold.plans import contract
 from dayfold.plans import fixtures as fx
-from dayfold.plans.daily import DailyInputs, RuleConfig, Warehouse, backfill, read_report, run_day
-from dayfold.schemas import BLACKLIST_FILE, TERMINALS, TRANSACTIONS
-from dayfold.sources import read_delimited_drop, read_workbook_drop
+from dayfold.plans.daily import (DailyInputs, RuleConfig, Warehouse, backfill, read_blacklist, read_dimension,
+                                 read_facts, read_rejects, read_report, run_day)
+from dayfold.schemas import BLACKLIST_FILE, DIM_CARDS, FACTS, TERMINALS, TRANSACTIONS
+from dayfold.sinks import Attempt, read_commits, read_current, read_history
+from dayfold.sources import parse_text_columns, read_delimited_drop, read_workbook_drop
 from helpers import spark_rows, write_drop, write_xlsx
 
 DAYS = [dt.date(2024, 1, 18), dt.date(2024, 1, 19), dt.date(2024, 1, 20)]
@@ -87,25 +90,30 @@ def test_daily_reports_equal_the_accumulated_form(spark, loaded):
     assert spark_rows(read_report(spark, wh).where(keep)) == spark_rows(acc.where(keep))
 
 
-def test_rerun_of_a_day_is_idempotent(spark, loaded):
+def test_rerun_of_the_last_day_is_idempotent(spark, loaded):
     wh, inp = loaded
     before_rep = spark_rows(read_report(spark, wh))
-    facts = spark.read.parquet(wh.path("fact_transactions"))
-    before_n = facts.count()
+    before_facts = spark_rows(read_facts(spark, wh))
+    before_cards = spark_rows(read_dimension(spark, wh, "cards", DAYS[-1]))
     run_day(spark, wh, inp, DAYS[-1], CONFIG)
     assert spark_rows(read_report(spark, wh)) == before_rep
-    assert spark.read.parquet(wh.path("fact_transactions")).count() == before_n
-    hist = spark.read.parquet(wh.path("dim_cards_hist"))
-    assert hist.where(F.col("state") == "open").groupBy("run").count().count() == len(DAYS)
+    assert spark_rows(read_facts(spark, wh)) == before_facts
+    assert spark_rows(read_dimension(spark, wh, "cards", DAYS[-1])) == before_cards
+
+
+def test_an_older_day_is_refused_unless_later_runs_are_replayed(spark, loaded):
+    wh, inp = loaded
+    with pytest.raises(ValueError, match="older than committed run"):
+        run_day(spark, wh, inp, DAYS[0], CONFIG)
+    with pytest.raises(ValueError, match="must include the later runs"):
+        backfill(spark, wh, inp, DAYS[:1], CONFIG, replay=True)
 
 
 def test_next_run_continues_from_watermark_and_empty_day_advances(spark, loaded):
     wh, inp = loaded
     day = run_day(spark, wh, inp, None, CONFIG)
     assert day == dt.date(2024, 1, 21)
-    marks = spark.read.parquet(wh.path("_watermarks")).where(F.col("run_date") == F.lit(day))
-    fact_mark = marks.where(F.col("table_name") == "fact_transactions").first()["max_date"]
-    assert fact_mark == day
+    assert read_commits(spark, wh.base).marks[day]["fact_transactions"] == day
     assert read_report(spark, wh).where(F.col("report_dt") == F.lit(day)).count() == 0
 
 
@@ -121,7 +129,143 @@ def test_stream_intake_processes_waiting_drops_in_date_order(spark, tmp_path):
                      config=CONFIG)
     q.awaitTermination(300)
     assert q.exception() is None
-    marks = spark.read.parquet(wh.path("_watermarks"))
-    assert sorted(r[0] for r in marks.select("run_date").distinct().collect()) == DAYS[1:]
+    assert sorted(read_commits(spark, wh.base).attempts) == DAYS[1:]
     got = read_report(spark, wh).where(F.col("report_dt") == F.lit(DAYS[-1]))
     assert spark_rows(got) == spark_rows(contract.fraud_report(spark, SF_SMALL))
+
+
+# --- the store: late rows, rejects, corrections, failures ------------------------------------------------
+
+def text_drop(spark, rows):
+    cols = [f.name for f in TRANSACTIONS.fields]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in cols))
+    return parse_text_columns(df, TRANSACTIONS, bad_cells=True)
+
+
+def fact_ids(spark, wh, *days):
+    return sorted(r.trans_id for r in read_facts(spark, wh, *days).select("trans_id").collect())
+
+
+def test_late_rows_rejects_and_corrections(spark, tmp_path, loaded):
+    _, inp = loaded
+    wh = Warehouse(str(tmp_path / "w"))
+    day1, day2 = DAYS[0], DAYS[1]
+
+    def row(i, at, amt="1,50", oper="PAYMENT"):
+        return (i, at, amt, "1", oper, "SUCCESS", "1")
+
+    first = text_drop(spark, [row(f"a{i}", "2024-01-18 10:00:00") for i in range(5)])
+    run_day(spark, wh, inp.with_transactions(first), day1, CONFIG)
+    second = text_drop(spark, [row("b0", "2024-01-19 09:00:00"), row("late", "2024-01-18 23:59:00"), row("null", None),
+                               row("time", "01.03.2021 10:00:00"), row("amount", "2024-01-19 09:30:00", "1.234,56")])
+    run_day(spark, wh, inp.with_transactions(second), day2, CONFIG)
+    assert fact_ids(spark, wh) == ["a0", "a1", "a2", "a3", "a4", "b0", "late"]
+    assert fact_ids(spark, wh, day1, day1) == ["a0", "a1", "a2", "a3", "a4", "late"]
+    rejects = {r.trans_id: r.bad_cells for r in read_rejects(spark, wh).collect()}
+    assert rejects == {"null": [], "time": ["trans_date=01.03.2021 10:00:00"], "amount": ["amt=1.234,56"]}
+    # a corrected, empty drop replaces all of the run, and only that run
+    run_day(spark, wh, inp.with_transactions(second.where("false")), day2, CONFIG)
+    assert fact_ids(spark, wh) == ["a0", "a1", "a2", "a3", "a4"]
+    assert read_rejects(spark, wh).count() == 0
+    assert read_report(spark, wh).where(F.col("report_dt") == F.lit(day2)).count() == 0
+
+
+def test_failed_runs_leave_nothing_visible(spark, tmp_path, loaded):
+    _, inp = loaded
+    wh = Warehouse(str(tmp_path / "w"))
+    run_day(spark, wh, inp, DAYS[0], CONFIG)
+    state = lambda: (fact_ids(spark, wh), spark_rows(read_report(spark, wh)), spark_rows(read_blacklist(spark, wh)),
+                     spark_rows(read_dimension(spark, wh, "cards", DAYS[0])))
+    before = state()
+    broken = dataclasses.replace(inp, blacklist=lambda d: (_ for _ in ()).throw(OSError("no file")))
+    for day in DAYS[:2]:  # a failed re-run, and a failed run of the next day
+        with pytest.raises(OSError):
+            run_day(spark, wh, broken, day, CONFIG)
+        assert state() == before
+    run_day(spark, wh, inp, DAYS[2], CONFIG)  # the failed day is skipped: no trace of it
+    versions = read_dimension(spark, wh, "cards", DAYS[2])
+    assert versions.where(F.col("effective_to") == inf()).groupBy("card_num").count().where("count > 1").count() == 0
+
+
+def test_history_keeps_only_committed_versions(spark, tmp_path):
+    root = str(tmp_path / "w")
+    ts = lambda d: dt.datetime(2024, 1, d)
+    end = dt.datetime(9999, 12, 31)
+
+    def write(day, rows, commit=True):
+        run = Attempt(spark, root, dt.date(2024, 1, day))
+        run.write_history("dim_cards_hist", spark.createDataFrame(rows, DIM_CARDS))
+        if commit:
+            run.commit([])
+
+    write(1, [("k", "A", ts(1), end, "n")])
+    write(2, [("k", "A", ts(1), ts(2), "n"), ("k", "B", ts(2), end, "n")], commit=False)
+    write(3, [("k", "A", ts(1), ts(3), "n"), ("k", "C", ts(3), end, "n")])
+    write(3, [("k", "A", ts(1), ts(3), "n"), ("k", "D", ts(3), end, "n")])  # a second attempt replaces the first
+    write(4, [])
+    commits = read_commits(spark, root)
+    got = read_history(spark, root, "dim_cards_hist", DIM_CARDS, commits, dt.date(2024, 1, 3))
+    assert sorted((r.account_num, r.effective_to) for r in got.collect()) == [("A", ts(3)), ("D", end)]
+    later = read_history(spark, root, "dim_cards_hist", DIM_CARDS, commits, dt.date(2024, 1, 3), since=dt.date(2024, 1, 4))
+    assert [r.account_num for r in later.collect()] == ["D"]
+    assert read_current(spark, root, "dim_cards_hist", DIM_CARDS, commits, dt.date(2024, 1, 4)).count() == 0
+
+
+def test_sources_are_staged_before_they_are_used(spark, tmp_path, loaded):
+    """A source that changes while the run is on: what the merge saw is what the watermark counts."""
+    _, inp = loaded
+    wh = Warehouse(str(tmp_path / "w"))
+    path = str(tmp_path / "cards")
+    inp.cards.write.parquet(path)
+    live = spark.read.parquet(path)
+    late = inp.cards.limit(1).withColumn("card_num", F.lit("new")).withColumn(
+        "update_dt", F.lit("2030-01-01 00:00:00").cast("timestamp_ntz"))
+
+    def change(d):
+        late.write.mode("append").parquet(path)
+        spark.catalog.refreshByPath(path)
+        return inp.blacklist(d)
+
+    run_day(spark, wh, dataclasses.replace(inp, cards=live, blacklist=change), DAYS[0], CONFIG)
+    mark = read_commits(spark, wh.base).marks[DAYS[0]]["cards"]
+    cards = read_dimension(spark, wh, "cards", DAYS[0]).where("trim(card_num) = 'new'").count()
+    assert (cards > 0) == (mark.year == 2030)
+
+
+def test_first_run_starts_from_the_seed(spark, tmp_path, loaded):
+    _, inp = loaded
+    wh = Warehouse(str(tmp_path / "w"))
+    config = dataclasses.replace(CONFIG, fact_seed=DAYS[0] - dt.timedelta(days=1))
+    assert run_day(spark, wh, inp, None, config) == DAYS[0]
+    assert read_facts(spark, wh).columns == FACTS.names
+
+
+def test_intake_archives_takes_second_files_and_keeps_strays(spark, tmp_path):
+    from dayfold.streaming import start_intake
+
+    drops = tmp_path / "drops"
+    drops.mkdir()
+    write_drops(spark, drops, DAYS[1:2])
+    wh = Warehouse(str(tmp_path / "warehouse"))
+    inp = inputs(spark, drops)
+    cols = [f.name for f in TRANSACTIONS.fields]
+
+    def intake():
+        q = start_intake(spark, str(drops), wh, inp, str(tmp_path / "chk"), archive_dir=str(tmp_path / "archive"),
+                         config=CONFIG)
+        q.awaitTermination(300)
+        assert q.exception() is None
+
+    intake()
+    before = fact_ids(spark, wh)
+    row = lambda i, at: [i, at, "5", "1", "PAYMENT", "SUCCESS", "1"]
+    write_drop(str(drops / f"transactions_more_{stamp(DAYS[1])}.txt"), cols, [row("second", "2024-01-19 12:00:00")])
+    write_drop(str(drops / "transactions_nodate.txt"), cols, [row("stray", "2024-01-19 12:00:00")])
+    write_drop(str(drops / f"transactions_{stamp(DAYS[0])}.txt"), cols, [row("old", "2024-01-18 12:00:00")])
+    intake()
+    assert fact_ids(spark, wh) == sorted([*before, "second"])
+    strays = spark.read.parquet(f"{wh.base}/_stray_files")
+    assert sorted(r.trans_id for r in strays.select("trans_id").collect()) == ["old", "stray"]
+    assert sorted(read_commits(spark, wh.base).attempts) == [DAYS[1]]
+    moved = {p.name for p in (tmp_path / "archive").rglob("*.txt")}
+    assert f"transactions_{stamp(DAYS[1])}.txt" in moved
