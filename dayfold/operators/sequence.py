@@ -83,8 +83,11 @@ def lead_split(df: DataFrame, keys: str | Sequence[str], ts: str, tiebreak: str
     k = offsets
     b_sec = int(bucket.total_seconds())
     order = ", ".join([ts] + ([tiebreak] if tiebreak else []))
-    over = f"OVER (PARTITION BY {', '.join(keys)}, _b ORDER BY {order})"
-    base = df.selectExpr("*", f"CAST(floor({epoch_seconds_sql(ts)} / {b_sec}) AS BIGINT) AS _b")
+    # A struct is never NULL and compares its fields null-safely, so rows without a key or a time are groups like
+    # any other, and the join below stays an equi-join on the window's own partitioning.
+    group = ", ".join(f"'k{i}', {c}" for i, c in enumerate(keys))
+    over = f"OVER (PARTITION BY _g ORDER BY {order})"
+    base = df.selectExpr("*", f"named_struct({group}, 'b', CAST(floor({epoch_seconds_sql(ts)} / {b_sec}) AS BIGINT)) AS _g")
     within = base.selectExpr(
         "*", f"row_number() {over} AS _rn",
         *[f"lead(1, {i}) {over} AS _has{i}" for i in range(1, k + 1)],
@@ -94,14 +97,12 @@ def lead_split(df: DataFrame, keys: str | Sequence[str], ts: str, tiebreak: str
                      [f"'_c{j}', {c}" for j, c in enumerate(cols)])
     # `row_number <= k` is planned as a group limit on both sides of its exchange, so this branch
     # shuffles at most k rows per group and map task, not the data.
-    heads = (within.where(f"_rn <= {k}").groupBy(*keys, "_b")
+    heads = (within.where(f"_rn <= {k}").groupBy("_g")
              .agg(F.expr(f"array_sort(collect_list(named_struct({head}))) AS _heads")))
-    following = f"OVER (PARTITION BY {', '.join(keys)} ORDER BY _b ROWS BETWEEN 1 FOLLOWING AND {k} FOLLOWING)"
-    cont = heads.selectExpr(*keys, "_b", f"slice(flatten(collect_list(_heads) {following}), 1, {k}) AS _cont")
-    # null-safe: rows without a key or a time are a group like any other
-    cont = cont.selectExpr(*[f"{c} AS _k{i}" for i, c in enumerate([*keys, "_b"])], "_cont")
-    same = " AND ".join(f"{c} <=> _k{i}" for i, c in enumerate([*keys, "_b"]))
-    joined = within.join(cont, F.expr(same), "left")
+    of_key = ", ".join(f"_g.k{i}" for i in range(len(keys)))
+    following = f"OVER (PARTITION BY {of_key} ORDER BY _g.b ROWS BETWEEN 1 FOLLOWING AND {k} FOLLOWING)"
+    cont = heads.selectExpr("_g", f"slice(flatten(collect_list(_heads) {following}), 1, {k}) AS _cont")
+    joined = within.join(cont, "_g", "left")
     inside = " + ".join(f"IF(_has{i} IS NULL, 0, 1)" for i in range(1, k + 1))
     leads = [f"IF(_has{i} IS NOT NULL, _in{i}_{j}, get(_cont, {i - 1} - ({inside}))._c{j}) AS {prefix}{i}_{c}"
              for i in range(1, k + 1) for j, c in enumerate(cols)]

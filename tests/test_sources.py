@@ -4,6 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampNTZType
 
 from dayfold.schemas import BLACKLIST_FILE, TERMINALS, TRANSACTIONS
 from dayfold.sources import capture_increment, capture_keys, drop_date, read_delimited_drop, read_workbook_drop
@@ -56,3 +57,57 @@ def test_write_drop_helper_round_trip(spark, tmp_path):
     r = read_delimited_drop(spark, str(p), TRANSACTIONS).first()
     assert r.amt == Decimal("12.30") and r.trans_id == "9"
     assert read_delimited_drop(spark, str(p), TRANSACTIONS).where(F.col("amt") > 12).count() == 1
+
+
+SHEET = ('<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>{}</sheetData>'
+         '</worksheet>')
+
+
+def write_sheet(path, rows, date1904=False, shared=None):
+    """A workbook with the given row XML (and shared strings), for cells that ``write_xlsx`` doesn't make."""
+    import zipfile
+
+    write_xlsx(path, "s", [])
+    with zipfile.ZipFile(path) as z:
+        files = {n: z.read(n).decode() for n in z.namelist()}
+    files["xl/worksheets/sheet1.xml"] = SHEET.format("".join(f"<row>{r}</row>" for r in rows))
+    if date1904:
+        files["xl/workbook.xml"] = files["xl/workbook.xml"].replace("<sheets>", '<workbookPr date1904="1"/><sheets>')
+    if shared:
+        files["xl/sharedStrings.xml"] = ('<sst xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main">'
+                                         f"{shared}</sst>")
+    with zipfile.ZipFile(path, "w") as z:
+        for n, text in files.items():
+            z.writestr(n, text)
+
+
+def test_workbook_times_are_exact_to_the_second(spark, tmp_path):
+    start = dt.datetime(2021, 3, 1)
+    times = [start + dt.timedelta(seconds=s) for s in range(0, 86400, 37)]
+    serial = [(t - dt.datetime(1899, 12, 30)) / dt.timedelta(days=1) for t in times]
+    write_sheet(str(tmp_path / "w.xlsx"), ["<c><v>h</v></c>", *(f"<c><v>{x!r}</v></c>" for x in serial)])
+    got = read_workbook_drop(spark, str(tmp_path / "w.xlsx"), "s", StructType([StructField("at", TimestampNTZType())]))
+    assert sorted(r["at"] for r in got.collect()) == times
+
+
+def test_workbook_cells_without_reference_1904_dates_phonetics_and_text_dates(spark, tmp_path):
+    schema = StructType([StructField("name", StringType()), StructField("day", DateType()), StructField("at", TimestampNTZType())])
+    path = str(tmp_path / "w.xlsx")
+    write_sheet(path, ["<c/><c/>", '<c t="s"><v>0</v></c><c><v>1</v></c><c r="C2"><v>1.5</v></c>',
+                       '<c t="inlineStr"><is><t>x</t></is></c><c t="str"><v>20210301</v></c>', ""], date1904=True,
+                shared="<si><r><t>Ab</t></r><rPh><t>zz</t></rPh></si>")
+    got = [tuple(r)[:3] for r in read_workbook_drop(spark, path, "s", schema).collect()]
+    assert got == [("Ab", dt.date(1904, 1, 2), dt.datetime(1904, 1, 2, 12)), ("x", None, None), (None, None, None)]
+
+
+def test_bad_cells_are_listed(spark, tmp_path):
+    p = tmp_path / "transactions_01032021.txt"
+    p.write_text("h;h;h;h;h;h;h\n1;01.03.2021 10:00:00;1.234,56;c;P;S;T\n2;2021-03-01 10:00:00;1 234,56;c;P;S;T\n3;;;c;P;S;T\n")
+    rows = read_delimited_drop(spark, str(p), TRANSACTIONS, bad_cells=True).orderBy("trans_id").collect()
+    assert [r.bad_cells for r in rows] == [["trans_date=01.03.2021 10:00:00", "amt=1.234,56"], [], []]
+    assert rows[1].amt == Decimal("1234.56")
+
+
+def test_a_name_without_a_date_gives_null(spark):
+    df = spark.createDataFrame([("transactions_01032021.txt",), ("transactions.txt",), ("x_99999999.txt",), (None,)], "f string")
+    assert [r[0] for r in df.select(drop_date("f")).collect()] == [dt.date(2021, 3, 1), None, None, None]
