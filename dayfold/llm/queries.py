@@ -13,7 +13,7 @@ from .common import shared_dir, ship, table, written
 from .contextmix import score
 from .decontaminate import leaks
 from .langid import identify
-from .licences import scan
+from .licences import NOTICES, scan
 from .minhash import near_duplicates
 from .mtree import top_k
 from .packing import pack
@@ -24,7 +24,7 @@ from .warc import read_archives, transactions, write_archives
 
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85).select(
-        "doc_id", "n_shingles", "component_id", "kept", "n_links")
+        "doc_id", "n_shingles", "component_id", "kept")
 
 
 def op1_mtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,6 +88,8 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _shipped(f) for f in (
     op1_mtree_topk, op2_token_counts, op3_benchmark_decontamination, op4_warc_transactions, op5_packing,
     op6_context_mixing, op7_suffix_dedup, op8_licence_scan, op9_language_id, op10_minhash_near_dedup)}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_NOTICES = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in NOTICES.items())
 ORACLE_SQL: dict[str, str] = {
     "op1_mtree_topk": """
         with v as (
@@ -109,4 +111,53 @@ ORACLE_SQL: dict[str, str] = {
                case when first_id is not null and page_id <> first_id then 'revisit' else 'response' end as record_type,
                case when page_id <> first_id then first_id end as refers_to
         from d left join f on d.payload_digest = f.payload_digest and payload_bytes >= 100""",
+    "op8_licence_scan": f"""
+        with names(licence, body) as (values {_NOTICES}),
+        parts as (
+            select licence, null as doc_id, null as scope, null as line, body from names
+            union all select null, doc_id, 'text', null, text from documents where text is not null
+            union all
+            select null, doc_id, 'line', unnest(range(len(x))), unnest(x)
+            from (select doc_id, string_split(text, chr(10)) as x from documents where text is not null)),
+        words as (
+            select row_number() over () as id, licence, doc_id, scope, line, regexp_extract_all(
+                translate(body, '{_UPPER}', '{_LOWER}'), '(?:[a-z0-9]|[^\\x00-\\x7F])+') as w from parts),
+        sized as (select *, len(w) - cast(len(w) > 1 as bigint) as n from words where len(w) > 0),
+        near as (
+            select * from sized s where licence is not null
+               or exists (select 1 from sized k where k.licence is not null and s.n * 120 >= k.n * 80 and k.n * 120 >= s.n * 80)),
+        grams as (
+            select id, x, count(*) as c from (
+                select id, unnest(case when len(w) = 1 then [w]
+                                       else list_transform(range(1, len(w)), lambda i: [w[i], w[i + 1]]) end) as x from near)
+            group by id, x),
+        met as (
+            select s.id, k.id as k, sum(least(g.c, h.c)) as c
+            from near s join grams g on g.id = s.id join grams h on h.x = g.x join near k on k.id = h.id
+            where s.licence is null and k.licence is not null group by 1, 2),
+        hits as (
+            select s.doc_id, k.licence, cast(2 * c as double) / (s.n + k.n) as dice, s.scope, s.line, s.n as n_bigrams
+            from met join near s on s.id = met.id join near k on k.id = met.k where 200 * c >= 80 * (s.n + k.n)),
+        best as (
+            select *, row_number() over (partition by doc_id, licence
+                                         order by dice desc, n_bigrams desc, coalesce(line, -1)) as rn from hits)
+        select doc_id, licence, dice, scope, line, n_bigrams from best where rn = 1""",
+    "op10_minhash_near_dedup": f"""
+        with recursive t as (
+            select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+') as w
+            from documents),
+        s as (
+            select doc_id, case when len(w) = 0 then [] when len(w) < 3 then [w] else list_distinct(list_transform(
+                range(1, len(w) - 1), lambda i: [w[i], w[i + 1], w[i + 2]])) end as g from t),
+        e as (select doc_id, len(g) as n, unnest(g) as x from s),
+        p as (
+            select a.doc_id as a, b.doc_id as b, any_value(a.n) as na, any_value(b.n) as nb, count(*) as c
+            from e a join e b on a.x = b.x and a.doc_id < b.doc_id group by 1, 2),
+        l as (select a, b from p where 100 * c >= 85 * (na + nb - c)),
+        r as (
+            select doc_id, doc_id as other from s
+            union
+            select r.doc_id, case when l.a = r.other then l.b else l.a end from r join l on r.other in (l.a, l.b))
+        select doc_id, any_value(len(g)) as n_shingles, min(other) as component_id, doc_id = min(other) as kept
+        from r join s using (doc_id) group by doc_id""",
 }

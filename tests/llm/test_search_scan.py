@@ -9,6 +9,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pyarrow.parquet as pq
+import pytest
 
 from conftest import SF_SMALL
 from llmcases import no_docs, odd_docs, ready  # noqa: F401
@@ -43,11 +44,16 @@ def test_top_k_matches_brute_force(ready, monkeypatch):
     assert got == brute_top([(i, np.floor(256 * x).astype(np.int64)) for i, x in rows], 5, lambda i: i % 20 == 0)
 
 
-def test_top_k_query_matches_its_sql(ready):
+@pytest.mark.parametrize("name", sorted(Q.ORACLE_SQL))
+def test_queries_match_their_sql(ready, name):  # noqa: F811
     con = duckdb.connect()
-    con.execute(f"create view embeddings as select * from '{SF_SMALL}/embeddings.parquet'")
-    want = set(con.execute(Q.ORACLE_SQL["op1_mtree_topk"]).fetchall())
-    assert {tuple(r) for r in Q.QUERIES["op1_mtree_topk"](ready, SF_SMALL).collect()} == want
+    for t in ("documents", "embeddings", "pages"):
+        con.execute(f"create view {t} as select * from '{SF_SMALL}/{t}.parquet'")
+    cur = con.execute(Q.ORACLE_SQL[name])
+    df = Q.QUERIES[name](ready, SF_SMALL)
+    assert df.columns == [c[0] for c in cur.description]
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(tuple, df.collect()), key=key) == sorted(cur.fetchall(), key=key)
 
 
 def test_top_k_of_odd_rows(ready):
