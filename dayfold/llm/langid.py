@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 from . import kernel as K
 from .common import batch
@@ -177,8 +178,9 @@ def identify(docs: DataFrame, per_language: int = PER_LANGUAGE, id_col: str = "d
     model = docs.sparkSession.sparkContext.broadcast(net)
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()),
                         ("score", pa.float64()), *[("row", to_arrow_type(docs.schema[0].dataType))] * with_row])
-    kind = "doc_id long, held_out boolean, lang_pred string, score double"
-    kind += f", row {docs.schema[0].dataType.simpleString()}" * with_row
+    kind = StructType.fromDDL("doc_id long, held_out boolean, lang_pred string, score double")
+    if with_row:
+        kind = kind.add("row", docs.schema[0].dataType)
 
     def run(batches):
         net = model.value

@@ -240,7 +240,9 @@ def chunk_table(docs: DataFrame) -> DataFrame:
                                 f"rest array<{rest.simpleString()}>")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     made.write.option("compression", "zstd").option("path", path).bucketBy(n, "chunk").format("parquet").saveAsTable(name)
-    return spark.table(name)
+    table = spark.table(name)
+    spark.sql(f"drop table {name}")  # the name only: the table is external, and the frame keeps its files and buckets
+    return table
 
 
 def whole_copies(chunks: DataFrame, length: int) -> DataFrame:
@@ -257,7 +259,8 @@ def remove_repeats(docs: DataFrame, length: int = 50, with_text: bool = False, i
     columns in ``carry``) if asked for."""
     if not GRAM + 8 <= length <= 250:
         raise ValueError(f"length must be between {GRAM + 8} and 250 bytes")
-    rest = F.struct(*(F.col(f"`{c}`") for c in carry)) if carry else F.lit(None).cast("struct<none:int>")
+    rest = (F.struct(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry))) if carry
+            else F.lit(None).cast("struct<none:int>"))
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"),
                        rest.alias("rest"))
     rest_sql, rest_arrow = docs.schema["rest"].dataType.simpleString(), to_arrow_type(docs.schema["rest"].dataType)
@@ -440,9 +443,11 @@ def remove_repeats(docs: DataFrame, length: int = 50, with_text: bool = False, i
                 yield batch(schema, *zip(*out[a:a + 2000]))
 
     known = known if carry else known.drop("rest")
-    return known.join(found, "chunk", "left").mapInArrow(
+    done = known.join(found, "chunk", "left").mapInArrow(
         finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
         + f", rest {rest_sql}" * bool(carry))
+    named = F.struct(*(F.col(f"rest.c{i}").alias(c) for i, c in enumerate(carry)))
+    return done.withColumn("rest", named) if carry else done
 
 
 def _span_hash(buf: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
