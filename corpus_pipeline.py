@@ -44,9 +44,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that an earlier document has are cut out (to whole characters); a document of nothing else goes."""
     ship(spark)
-    cut = remove_repeats(docs, length=PASSAGE_BYTES, with_text=True, carry=tuple(docs.columns))
-    text = F.when(F.col("n_removed") == 0, F.col("rest.text")).otherwise(
-        F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "\ufffd", ""))
+    others = [c for c in docs.columns if c != "text"]
+    marked = docs.withColumn("no text", F.col("text").isNull())
+    cut = remove_repeats(marked, length=PASSAGE_BYTES, with_text=True, carry=(*others, "no text"))
+    text = F.make_valid_utf8(F.col("kept").cast("string"))
+    text = F.when(~F.col("rest.`no text`"), F.when(F.col("n_removed") == 0, text).otherwise(
+        F.regexp_replace(text, "\ufffd", "")))
     out = cut.withColumn("cut", text).where("n_removed = 0 or cut rlike '[^ \\t-\\r]'")
     new = {"text": F.col("cut"), "n_chars": F.when(F.col("n_removed") == 0, F.col("rest.n_chars")).otherwise(
         F.char_length("cut").cast("long"))}
