@@ -42,7 +42,7 @@ from .tokencount import planes, unplanes
 
 GRAM = 24
 SLAB = 1 << 19
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 #: Bytes of text per hash range of step 2 and per bucket of step 3.
 RANGE_BYTES = 32 << 20
 BUCKET_BYTES = 12 << 20
@@ -428,7 +428,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, with_text: bool = False, i
             edge = np.zeros(len(buf) + 1, np.int32)
             np.add.at(edge, window[gone], 1)
             np.add.at(edge, window[gone] + length, -1)
-            cover = np.cumsum(edge[:-1]) > 0
+            cover = np.cumsum(edge[:-1], dtype=np.int32) > 0
             starts = np.concatenate([[0], ends[:-1]])
             for d in np.flatnonzero(copy & (ends - starts >= length)):
                 cover[starts[d]:ends[d]] = True
