@@ -8,7 +8,7 @@ context has. The result is refined adaptively: a table over (partial byte, proba
 
 Learning. Every training document counts: tasks reduce their texts to distinct 6-byte grams, which are exchanged in
 blocks by a hash of the order-2 context, so all contexts of a range are in one place, and each range fills its region
-of the tables. The mixer is then trained online on every gram of every range, each counted as often as it occurs and
+of the tables (a large corpus' blocks are first merged in parts of a range, whose number grows with it). The mixer is then trained online on every gram of every range, each counted as often as it occurs and
 with its own occurrence left out of the counts it is predicted from; ranges start from the same weights and are
 averaged. A further pass gathers the refinement table. What reaches the driver is the model, whose size is fixed.
 
@@ -42,6 +42,7 @@ SLOTS = 1 << 22
 MOST_RANGES = 2048
 RANGE_BYTES = 24 << 20
 CHUNK_BYTES = 8 << 20
+RUN = 1 << 20
 WORD_RANGE_BYTES = 32 << 20
 LEVELS = 12
 BUCKETS = 33
@@ -222,21 +223,20 @@ def learn(docs: DataFrame, total_bytes: int) -> Shared:
     spark = docs.sparkSession
     ranges = int(min(MOST_RANGES, 1 + total_bytes // RANGE_BYTES))
     region = SLOTS // ranges
-    blocks = pa.schema([("place", pa.int32()), ("block", pa.binary())])
+    parts = -(-(1 + total_bytes // RANGE_BYTES) // ranges)  # of each range, to be merged before it
+    blocks = pa.schema([("place", pa.int64()), ("block", pa.binary())])
 
     def send(batches):
         kept, size = [], 0
 
         def flush():
             g, n = merged(*(np.concatenate(x) for x in zip(*kept)))
-            of = range_of(g, ranges)
+            of = range_of(g, ranges) * parts + (_code(g, 43) % np.uint64(parts)).astype(np.int64)
             order = np.lexsort((g, of))
             g, n, of = g[order], n[order], of[order]
             cut = np.flatnonzero(np.diff(of, prepend=-1))
             for a, b in zip(cut, [*cut[1:], len(of)]):
-                step = np.diff(g[a:b], prepend=np.uint64(0))
-                yield batch(blocks, [of[a]], [planes(step & np.uint64(0xFFFFFFFF)) + planes(step >> np.uint64(32))
-                                              + planes(n[a:b])])
+                yield batch(blocks, [of[a]], [block(g[a:b], n[a:b])])
 
         for rb in batches:
             buf, offs = K.text_buffer(rb.column(0))
@@ -260,16 +260,24 @@ def learn(docs: DataFrame, total_bytes: int) -> Shared:
         step = np.diff(g, prepend=np.uint64(0))
         return planes(step & np.uint64(0xFFFFFFFF)) + planes(step >> np.uint64(32)) + planes(np.minimum(n, 2**32 - 1))
 
-    made = pa.schema([("place", pa.int32()), ("grams", pa.binary()), ("region", pa.binary()), ("pairs", pa.binary())])
+    made = pa.schema([("place", pa.int64()), ("grams", pa.binary()), ("region", pa.binary()), ("pairs", pa.binary())])
+
+    def all_of(rows: pa.Table):
+        return merged(*(np.concatenate(x) for x in zip(*(unblock(b.as_py()) for b in rows.column(1)))))
+
+    def merge(rows: pa.Table) -> pa.Table:
+        return pa.Table.from_batches([batch(blocks, [rows.column(0)[0].as_py() // parts], [block(*all_of(rows))])])
 
     def gather(rows: pa.Table) -> pa.Table:
-        g, n = merged(*(np.concatenate(x) for x in zip(*(unblock(b.as_py()) for b in rows.column(1)))))
+        g, n = all_of(rows)
         pairs = np.bincount((g & np.uint64(0xFFFF)).astype(np.int64), n, 65536).astype(np.int64)
         return pa.Table.from_batches([batch(made, [rows.column(0)[0].as_py()], [block(g, n)],
                                             [fill_region(g, n, region).tobytes()], [pairs.tobytes()])])
 
-    sent = docs.where("learn").select("text").mapInArrow(send, "place int, block binary")
-    counted = written(sent.groupBy("place").applyInArrow(gather, "place int, grams binary, region binary, pairs binary"))
+    sent = docs.where("learn").select("text").mapInArrow(send, "place long, block binary")
+    if parts > 1:
+        sent = sent.groupBy("place").applyInArrow(merge, "place long, block binary")
+    counted = written(sent.groupBy("place").applyInArrow(gather, "place long, grams binary, region binary, pairs binary"))
     tables = np.zeros((len(HASHED), region * ranges, 2), np.uint16)
     pairs = np.zeros(65536, np.int64)
     for r in counted.select("place", "region", "pairs").toLocalIterator():
@@ -325,10 +333,13 @@ def scored_chunks(docs: DataFrame, model: Shared, word_ranges: int) -> DataFrame
                 yield chunk(scorer, rb.slice(a, b - a), buf[offs[a]:offs[b]], offs[a:b + 1] - offs[a])
 
     def chunk(scorer, rb, buf, offs):
-        g, first = grams(buf, offs)
-        code = pa.array(g).dictionary_encode()
-        cost = scorer.log10(code.dictionary.to_numpy())[code.indices.to_numpy()]
-        score = np.add.reduceat(cost, first[:-1]) if len(cost) else np.zeros(0)
+        parts = [grams(buf[offs[a]:offs[b]], offs[a:b + 1] - offs[a]) for a, b in K.doc_runs(offs, RUN)]
+        code = pa.array(np.concatenate([g for g, _ in parts])).dictionary_encode()
+        cost, code, score = scorer.log10(code.dictionary.to_numpy()), code.indices.to_numpy(), []
+        for g, first in parts:
+            score.append(np.add.reduceat(cost[code[:len(g)]], first[:-1]))
+            code = code[len(g):]
+        score = np.concatenate(score)
         h, s, _ = K.words(buf, offs)
         first = K.doc_word_offsets(s, offs)
         h = np.insert(h, first[1:], END_WORD)

@@ -101,13 +101,16 @@ class WordTokenizer:
         self.clear()
 
     def clear(self):
-        self.index: dict = {}
+        self.index: dict = {}  # places of strings that aren't cut by byte classes, and of the end
+        self.hash, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # of words, by their sorted hashes
         self.first, self.flat = np.zeros(1, np.int64), np.zeros(0, self.dtype)
 
-    def learn(self, keys: list, ids: list[list[int]]):
-        self.index.update(zip(keys, range(len(self.index), len(self.index) + len(keys))))
+    def learn(self, ids: list[list[int]]) -> np.ndarray:
+        """Keep these ids; returns their places."""
+        at = len(self.first) - 1
         self.flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), self.dtype)])
         self.first = np.concatenate([self.first, self.first[-1] + np.cumsum([len(x) for x in ids], dtype=np.int64)])
+        return np.arange(at, at + len(ids), dtype=np.int32)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
@@ -116,15 +119,22 @@ class WordTokenizer:
         """Places of the words in the kept list, and the documents' offsets into them."""
         low, s, e = cut_words(buf, offs)
         code = pa.array(K.span_hashes(low, s, e)).dictionary_encode()
-        distinct, code = code.dictionary.to_pylist(), code.indices.to_numpy()
-        new = [i for i, h in enumerate(distinct) if h not in self.index]
-        if new:
+        distinct, code = code.dictionary.to_numpy(), code.indices.to_numpy()
+        at = np.searchsorted(self.hash, distinct)
+        if len(self.hash):
+            new = np.flatnonzero(self.hash[np.minimum(at, len(self.hash) - 1)] != distinct)
+        else:
+            new = np.arange(len(distinct))
+        if len(new):
             sample = np.zeros(len(distinct), np.int64)
             sample[code[::-1]] = np.arange(len(code))[::-1]
             raw = low.tobytes()
-            spans = [(s[i], e[i]) for i in sample[new].tolist()]
-            self.learn([distinct[i] for i in new], self.encode([raw[a:b].decode() for a, b in spans]))
-        place = np.fromiter(map(self.index.__getitem__, distinct), np.int64, len(distinct))[code]
+            places = self.learn(self.encode([raw[s[i]:e[i]].decode() for i in sample[new].tolist()]))
+            order = np.argsort(distinct[new])
+            at = np.searchsorted(self.hash, distinct[new][order])
+            self.hash = np.insert(self.hash, at, distinct[new][order])
+            self.place = np.insert(self.place, at, places[order])
+        place = self.place[np.searchsorted(self.hash, distinct)][code]
         return place, np.searchsorted(s, offs)
 
     def of_other(self, text: str) -> np.ndarray:
@@ -135,16 +145,17 @@ class WordTokenizer:
             keys = [w for i, p in enumerate(parts) for w in ([("added", p)] if i % 2 else self.words(p.lower()))]
         new = [k for k in dict.fromkeys(keys) if k not in self.index]
         if new:
-            self.learn(new, [[self.special[k[1]]] if k[0] == "added" and type(k) is tuple else
-                             self.encode([k if type(k) is str else k[1]])[0] for k in new])
+            self.index.update(zip(new, self.learn([
+                [self.special[k[1]]] if k[0] == "added" and type(k) is tuple else
+                self.encode([k if type(k) is str else k[1]])[0] for k in new]).tolist()))
         return np.fromiter(map(self.index.__getitem__, keys), np.int64, len(keys))
 
     def __call__(self, buf: np.ndarray, offs: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids and the documents' offsets into them; ``end`` follows each document."""
-        if len(self.index) > WORDS_KEPT:
+        if len(self.first) > WORDS_KEPT:
             self.clear()
         if ("end", end) not in self.index:
-            self.learn([("end", end)], [[end]])
+            self.index["end", end] = int(self.learn([[end]])[0])
         stop = np.array([self.index["end", end]])
         plain = simple(buf, offs)
         cuts = np.flatnonzero(np.diff(plain, prepend=~plain[:1]))

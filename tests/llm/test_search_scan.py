@@ -13,7 +13,7 @@ import pytest
 
 from conftest import SF_SMALL
 from llmcases import no_docs, odd_docs, ready  # noqa: F401
-from dayfold.llm import licences, mtree
+from dayfold.llm import contextmix, licences, mtree
 from dayfold.llm import queries as Q
 from dayfold.llm.common import shared_dir
 from dayfold.llm.contextmix import Model, score
@@ -232,6 +232,16 @@ def test_scores(ready):
     assert bits / size < 3.2
 
 
+def test_parts_of_ranges_do_not_change_the_model(ready, monkeypatch):  # noqa: F811
+    docs = ready.createDataFrame([(i, f"some text {i % 7} and {i * i} more") for i in range(60)], "doc_id long, text string")
+    monkeypatch.setattr(contextmix, "MOST_RANGES", 2)
+    one = sorted(map(tuple, score(docs).collect()))
+    monkeypatch.setattr(contextmix, "RANGE_BYTES", 150)
+    monkeypatch.setattr(contextmix, "CHUNK_BYTES", 100)
+    many = sorted(map(tuple, score(docs).collect()))
+    assert [r[:5] for r in one] == [r[:5] for r in many] and all(r[6] < 0 for r in many)
+
+
 def test_byte_probabilities_sum_to_one():
     rng = np.random.default_rng(1)
     m = Model(rng.integers(0, 9, (4, 64, 2)).astype(np.uint16), rng.integers(0, 9, 65536), 2)
