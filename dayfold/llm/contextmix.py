@@ -2,18 +2,22 @@
 
 A text is its UTF-8 bytes and one end byte 0xFF, which UTF-8 never uses; a byte is eight binary decisions, so the
 probabilities of all texts sum to one. For each decision, predictors of orders 0 to 5 look up how often it went either
-way after the last 0 to 5 bytes of context; orders 2 to 5 do so in hashed tables of fixed size. A mixer turns them into
-one probability: a logistic unit whose weights are gated by the highest order that has been seen and by how often each
+way after the last 0 to 5 bytes of context; every context and node that occurs has a counter of its own, so the
+counters grow with the corpus. A mixer turns them into one probability: a logistic unit whose weights are gated by the highest order that has been seen and by how often each
 context has. The result is refined adaptively: a table over (partial byte, probability) holds what really followed.
 
-Learning. Every training document counts: tasks reduce their texts to distinct 6-byte grams, which are exchanged in
-blocks by a hash of the order-2 context, so all contexts of a range are in one place, and each range fills its region
-of the tables (a large corpus' blocks are first merged in parts of a range, whose number grows with it). The mixer is then trained online on every gram of every range, each counted as often as it occurs and
-with its own occurrence left out of the counts it is predicted from; ranges start from the same weights and are
-averaged. A further pass gathers the refinement table. What reaches the driver is the model, whose size is fixed.
+Exchange. A task reduces a chunk of texts to its distinct 6-byte grams and how often training documents have them, and
+sends them in blocks by a hash of the order-2 context, so all contexts of a range are in one place (a large corpus'
+blocks are first merged in parts of a range, whose number grows with it). A range writes its distinct grams once; the
+counters of orders 2 to 5 are sums over them, made where they are needed and held by no other range.
 
-Scoring. A decision depends on the last five bytes only, so a task scores the distinct grams of a chunk of text once
-and adds them up per document. The unigram baseline needs the corpus count of every word: chunks send their distinct
+Learning. Every training document counts: the mixer is trained online on every gram of every range, each counted as
+often as it occurs and with its own occurrence left out of the counts it is predicted from; ranges start from the same
+weights and are averaged. A further pass gathers the refinement table. What reaches the driver is the counts of byte
+pairs, the mixer and the refinement, whose sizes are fixed.
+
+Scoring. A decision depends on the last five bytes only, so a range scores each of its distinct grams once and answers
+the blocks it was sent; a chunk finds its grams in the answers and adds them up per document. The unigram baseline needs the corpus count of every word: chunks send their distinct
 words in blocks by hash range and get the counts back (see ``tokencount`` for the pattern).
 
 Defined results: a null text is empty and scored as its end alone; a null doc_id is not learned from and counts as
@@ -37,8 +41,7 @@ from .tokencount import planes, unplanes
 
 ORDERS = 6
 HASHED = (2, 3, 4, 5)
-#: Counters per hashed order, and ranges they are dealt over.
-SLOTS = 1 << 22
+#: Ranges of order-2 contexts; of a larger corpus, each is merged and asked in parts.
 MOST_RANGES = 2048
 RANGE_BYTES = 24 << 20
 CHUNK_BYTES = 8 << 20
@@ -86,28 +89,87 @@ def _context(g: np.ndarray, order: int) -> np.ndarray:
     return _code((g >> np.uint64(8)) & np.uint64((1 << 8 * order) - 1), order)
 
 
-def fill_region(g: np.ndarray, n: np.ndarray, region: int) -> np.ndarray:
-    """Counters [hashed order][slot][bit] of a range's grams, scaled into 16 bits."""
-    out = np.zeros((len(HASHED), region, 2), np.uint16)
-    for i, order in enumerate(HASHED):
-        part, times = merged(g & np.uint64((1 << 8 * (order + 1)) - 1), n)
-        code, sym = _context(part, order), (part & np.uint64(255)).astype(np.int64)
-        counts = np.zeros((2, region))
-        for bit in range(8):
-            node, value = (1 << bit) | sym >> (8 - bit), sym >> (7 - bit) & 1
-            slot = _slots(code, node, region)
-            for v in (0, 1):
-                counts[v] += np.bincount(slot[value == v], times[value == v], region)
-        scale = np.minimum(1, 65535 / np.maximum(counts.max(axis=0), 1))
-        out[i] = np.where(counts > 0, np.maximum(np.round(counts * scale), 1), 0).T
-    return out
+def place_of(g: np.ndarray, ranges: int, parts: int) -> np.ndarray:
+    """Part of a range that a gram is sent to."""
+    return range_of(g, ranges) * parts + (_code(g.copy(), 43) % np.uint64(parts)).astype(np.int64)
 
 
-class Model:
-    """Counters and mixer. ``tables[order]``: counters of all ranges, one region after the other."""
+def block(g: np.ndarray, n: np.ndarray) -> bytes:
+    step = np.diff(g, prepend=np.uint64(0))
+    return planes(step & np.uint64(0xFFFFFFFF)) + planes(step >> np.uint64(32)) + planes(np.minimum(n, 2**32 - 1))
+
+
+def unblock(b: bytes) -> tuple[np.ndarray, np.ndarray]:
+    x = len(b) // 3
+    low, high, n = unplanes(b[:x]), unplanes(b[x:2 * x]), unplanes(b[2 * x:])
+    return np.cumsum(low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32)), n.astype(np.int64)
+
+
+def fit16(counts: np.ndarray) -> np.ndarray:
+    """Pairs of counts (last axis), scaled into 16 bits where they are larger."""
+    top = np.maximum(counts.max(axis=-1, keepdims=True), 1)
+    return np.where(counts > 0, np.maximum(np.round(counts * np.minimum(1, 65535 / top)), 1), 0).astype(np.uint16)
+
+
+class Hashed:
+    """Counters in given tables [order][slot][decision], one region of slots for each range."""
 
-    def __init__(self, tables: np.ndarray, pairs: np.ndarray, ranges: int):
+    def __init__(self, tables: np.ndarray, ranges: int):
         self.tables, self.ranges, self.region = tables, ranges, tables.shape[1] // ranges
+
+    def find(self, g: np.ndarray):
+        return range_of(g, self.ranges) * self.region, [_context(g, order) for order in HASHED]
+
+    def counts(self, found, bit: int, node: np.ndarray) -> list[np.ndarray]:
+        base, codes = found
+        return [t[base + _slots(c, node, self.region)] for t, c in zip(self.tables, codes)]
+
+
+class Counters:
+    """One counter for each context of orders 2 to 5 and node among a range's grams (distinct and sorted, of which
+    those with n = 0 are only asked about). No two contexts share one."""
+
+    def __init__(self, g: np.ndarray, n: np.ndarray):
+        self.g, self.at, self.tables = g, [], []
+        for order in HASHED:
+            keys, back = np.unique(g & np.uint64((1 << 8 * (order + 1)) - 1), return_inverse=True)
+            times = np.bincount(back, n, len(keys)).astype(np.int64)
+            self.at.append(back.astype(np.int32))
+            self.tables.append(self.decisions(keys, times))
+
+    @staticmethod
+    def decisions(keys: np.ndarray, times: np.ndarray) -> np.ndarray:
+        """[bit][key][decision]: how often each decision was taken at the nodes on the way to a key's last byte. Keys
+        that share a context and node are neighbours."""
+        def sums(shift):
+            k = keys >> np.uint64(shift)
+            first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+            return np.repeat(np.add.reduceat(times, first), np.diff(first, append=len(k)))
+
+        out = np.zeros((8, len(keys), 2), np.uint16)
+        if len(keys):
+            every, row = sums(8), np.arange(len(keys))
+            for bit in range(8):
+                taken = sums(7 - bit)
+                value = (keys >> np.uint64(7 - bit) & np.uint64(1)).astype(np.int64)
+                both = fit16(np.stack([every - taken, taken], axis=1))
+                out[bit, row, 1 - value], out[bit, row, value] = both[:, 0], both[:, 1]
+                every = taken
+        return out
+
+    def find(self, g: np.ndarray):
+        at = np.searchsorted(self.g, g)
+        return [a[at] for a in self.at]
+
+    def counts(self, found, bit: int, node: np.ndarray) -> list[np.ndarray]:
+        return [t[bit, at] for t, at in zip(self.tables, found)]
+
+
+class Model:
+    """Counters and mixer. ``pairs``: counts of all byte pairs, for orders 0 and 1."""
+
+    def __init__(self, tables: Counters | np.ndarray, pairs: np.ndarray, ranges: int = 1):
+        self.high = tables if isinstance(tables, Counters) else Hashed(tables, ranges)
         self.low = np.zeros((2, 256, 256, 2))  # orders 0 and 1: [order][context][node][bit]
         times = pairs.reshape(256, 256)
         sym = np.arange(256)
@@ -116,29 +178,18 @@ class Model:
             for s in range(256):
                 self.low[1][:, node[s], value[s]] += times[:, s]
         self.low[0] = self.low[1].sum(axis=0)
-        top = np.maximum(self.low.max(axis=3, keepdims=True), 1)
-        self.low = np.where(self.low > 0, np.maximum(np.round(self.low * np.minimum(1, 65535 / top)), 1), 0).astype(np.uint16)
+        self.low = fit16(self.low)
         self.weights = np.full((ORDERS, ORDERS, LEVELS), 0.25, np.float32)
         self.refine = np.tile(1 / (1 + np.exp(-(np.arange(BUCKETS) - 16) / 2.0)), (256, 1)).astype(np.float32)
 
-    def __getstate__(self):
-        return self.__dict__ | {"tables": (self.tables.shape, pa.compress(self.tables.tobytes(), "zstd", asbytes=True))}
-
-    def __setstate__(self, state):
-        shape, packed = state["tables"]
-        raw = pa.decompress(packed, int(np.prod(shape)) * 2, "zstd", asbytes=True)
-        self.__dict__.update(state, tables=np.frombuffer(raw, np.uint16).reshape(shape))
-
     def inputs(self, g: np.ndarray, bit: int, leave_out: bool):
         """Stretched predictions and count levels [order][gram], the gate, the decision and its node."""
         sym = (g & np.uint64(255)).astype(np.int64)
         node, value = (1 << bit) | sym >> (8 - bit), sym >> (7 - bit) & 1
         if bit == 0:
-            self._base = range_of(g, self.ranges) * self.region
-            self._codes = [_context(g, order) for order in HASHED]
+            self._found = self.high.find(g)
         counts = [self.low[0][0, node], self.low[1][(g >> np.uint64(8) & np.uint64(255)).astype(np.int64), node]]
-        counts += [t[self._base + _slots(c, node, self.region)] for t, c in zip(self.tables, self._codes)]
-        counts = np.stack(counts)
+        counts = np.stack(counts + self.high.counts(self._found, bit, node))
         if leave_out:
             mine = counts[:, np.arange(len(g)), value]
             counts[:, np.arange(len(g)), value] = np.maximum(mine, 1) - 1
@@ -206,61 +257,28 @@ class Model:
         return out.reshape(256, BUCKETS, 2)
 
 
-class Shared:
-    """A model whose tables were broadcast once; its mixer and refinement, which change, travel with the task."""
+class Learned:
+    """What all ranges share: counts of byte pairs, mixer and refinement. Called with a range's grams, their model."""
 
-    def __init__(self, spark, model: Model):
-        self.tables, self.weights, self.refine = spark.sparkContext.broadcast(model), model.weights, model.refine
+    def __init__(self, spark, pairs: np.ndarray):
+        empty = Model(Counters(np.zeros(0, np.uint64), np.zeros(0, np.int64)), pairs)
+        self.pairs, self.weights, self.refine = spark.sparkContext.broadcast(pairs), empty.weights, empty.refine
 
-    def __call__(self) -> Model:
-        m = Model.__new__(Model)
-        m.__dict__.update(self.tables.value.__dict__, weights=self.weights.copy(), refine=self.refine)
+    def __call__(self, g: np.ndarray, n: np.ndarray) -> Model:
+        m = Model(Counters(g, n), self.pairs.value)
+        m.weights, m.refine = self.weights.copy(), self.refine
         return m
 
 
-def learn(docs: DataFrame, total_bytes: int) -> Shared:
-    """The model of the documents with ``learn`` set, in columns doc_id, learn, text."""
-    spark = docs.sparkSession
-    ranges = int(min(MOST_RANGES, 1 + total_bytes // RANGE_BYTES))
-    region = SLOTS // ranges
-    parts = -(-(1 + total_bytes // RANGE_BYTES) // ranges)  # of each range, to be merged before it
-    blocks = pa.schema([("place", pa.int64()), ("block", pa.binary())])
+def blocks_of(chunks: DataFrame) -> DataFrame:
+    return chunks.select("chunk", F.explode(F.arrays_zip("places_asked", "grams")).alias("a")).select(
+        F.col("a.places_asked").alias("place"), "chunk", F.col("a.grams").alias("block"))
 
-    def send(batches):
-        kept, size = [], 0
 
-        def flush():
-            g, n = merged(*(np.concatenate(x) for x in zip(*kept)))
-            of = range_of(g, ranges) * parts + (_code(g, 43) % np.uint64(parts)).astype(np.int64)
-            order = np.lexsort((g, of))
-            g, n, of = g[order], n[order], of[order]
-            cut = np.flatnonzero(np.diff(of, prepend=-1))
-            for a, b in zip(cut, [*cut[1:], len(of)]):
-                yield batch(blocks, [of[a]], [block(g[a:b], n[a:b])])
-
-        for rb in batches:
-            buf, offs = K.text_buffer(rb.column(0))
-            for a, b in K.doc_runs(offs, 2 << 20):
-                g, _ = grams(buf[offs[a]:offs[b]], offs[a:b + 1] - offs[a])
-                g, n = np.unique(g, return_counts=True)
-                kept.append((g, n))
-                size += offs[b] - offs[a]
-                if size > CHUNK_BYTES * 4:
-                    yield from flush()
-                    kept, size = [], 0
-        if kept:
-            yield from flush()
-
-    def unblock(b: bytes) -> tuple[np.ndarray, np.ndarray]:
-        x = len(b) // 3
-        low, high, n = unplanes(b[:x]), unplanes(b[x:2 * x]), unplanes(b[2 * x:])
-        return np.cumsum(low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32)), n.astype(np.int64)
-
-    def block(g: np.ndarray, n: np.ndarray) -> bytes:
-        step = np.diff(g, prepend=np.uint64(0))
-        return planes(step & np.uint64(0xFFFFFFFF)) + planes(step >> np.uint64(32)) + planes(np.minimum(n, 2**32 - 1))
-
-    made = pa.schema([("place", pa.int64()), ("grams", pa.binary()), ("region", pa.binary()), ("pairs", pa.binary())])
+def gathered(chunks: DataFrame, parts: int) -> DataFrame:
+    """(place, block, pairs): each range's distinct grams with their training counts, and its counts of byte pairs."""
+    blocks = pa.schema([("place", pa.int64()), ("block", pa.binary())])
+    made = pa.schema([("place", pa.int64()), ("block", pa.binary()), ("pairs", pa.binary())])
 
     def all_of(rows: pa.Table):
         return merged(*(np.concatenate(x) for x in zip(*(unblock(b.as_py()) for b in rows.column(1)))))
@@ -270,21 +288,29 @@ def learn(docs: DataFrame, total_bytes: int) -> Shared:
 
     def gather(rows: pa.Table) -> pa.Table:
         g, n = all_of(rows)
-        pairs = np.bincount((g & np.uint64(0xFFFF)).astype(np.int64), n, 65536).astype(np.int64)
-        return pa.Table.from_batches([batch(made, [rows.column(0)[0].as_py()], [block(g, n)],
-                                            [fill_region(g, n, region).tobytes()], [pairs.tobytes()])])
+        pairs = block(*merged(g & np.uint64(0xFFFF), n))
+        return pa.Table.from_batches([batch(made, [rows.column(0)[0].as_py()], [block(g, n)], [pairs])])
 
-    sent = docs.where("learn").select("text").mapInArrow(send, "place long, block binary")
+    sent = blocks_of(chunks).select("place", "block")
     if parts > 1:
         sent = sent.groupBy("place").applyInArrow(merge, "place long, block binary")
-    counted = written(sent.groupBy("place").applyInArrow(gather, "place long, grams binary, region binary, pairs binary"))
-    tables = np.zeros((len(HASHED), region * ranges, 2), np.uint16)
+    return written(sent.groupBy("place").applyInArrow(gather, "place long, block binary, pairs binary"))
+
+
+def learn(counted: DataFrame) -> Learned:
+    """The mixer and refinement of the ranges' grams."""
+    def add_up(batches):
+        total = np.zeros(65536, np.int64)
+        for rb in batches:
+            for b in rb.column(0):
+                pair, n = unblock(b.as_py())
+                total[pair.astype(np.int64)] += n
+        yield batch(pa.schema([("pairs", pa.binary())]), [total.tobytes()])
+
     pairs = np.zeros(65536, np.int64)
-    for r in counted.select("place", "region", "pairs").toLocalIterator():
-        tables[:, r.place * region:(r.place + 1) * region] = np.frombuffer(r.region, np.uint16).reshape(len(HASHED), region, 2)
+    for r in counted.select("pairs").mapInArrow(add_up, "pairs binary").toLocalIterator():
         pairs += np.frombuffer(r.pairs, np.int64)
-    model = Shared(spark, Model(tables, pairs, ranges))
-    del tables
+    model = Learned(counted.sparkSession, pairs)
     result = pa.schema([("value", pa.binary()), ("n", pa.float64())])
 
     def each_range(step):
@@ -293,12 +319,14 @@ def learn(docs: DataFrame, total_bytes: int) -> Shared:
             total = None
             for rb in batches:
                 for b in rb.column(0):
-                    value, w = step(model(), *unblock(b.as_py()))
+                    g, n = unblock(b.as_py())
+                    m = model(g, n)
+                    value, w = step(m, g[n > 0], n[n > 0])
                     total = (value * w, w) if total is None else (total[0] + value * w, total[1] + w)
             if total is not None:
                 yield batch(result, [np.asarray(total[0], np.float64).tobytes()], [float(total[1])])
 
-        parts = counted.select("grams").mapInArrow(run, "value binary, n double").collect()
+        parts = counted.select("block").mapInArrow(run, "value binary, n double").collect()
         return sum(np.frombuffer(r.value, np.float64) for r in parts), sum(r.n for r in parts)
 
     def trained(m: Model, g, n):
@@ -314,32 +342,69 @@ def learn(docs: DataFrame, total_bytes: int) -> Shared:
     return model
 
 
-CHUNKS = pa.schema([("chunk", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("learn", pa.list_(pa.bool_())),
-                    ("n_tokens", pa.list_(pa.int64())), ("scores", pa.list_(pa.float64())),
-                    ("widths", pa.list_(pa.int64())), ("places", pa.binary()), ("times", pa.binary()),
-                    ("asked", pa.list_(pa.int32())), ("blocks", pa.list_(pa.binary()))])
-CHUNKS_SQL = ("chunk long, doc_ids array<long>, learn array<boolean>, n_tokens array<long>, scores array<double>, "
-              "widths array<long>, places binary, times binary, asked array<int>, blocks array<binary>")
+def gram_costs(chunks: DataFrame, counted: DataFrame, parts: int, model: Learned) -> DataFrame:
+    """(chunk, place, cost): log probabilities of the grams of each block, in its order."""
+    schema = pa.schema([("chunk", pa.int64()), ("place", pa.int64()), ("cost", pa.binary())])
+
+    def answer(rows: pa.Table) -> pa.Table:
+        asks = [r for r in zip(*(c.to_pylist() for c in rows.columns))]
+        g, n = next(unblock(b) for _, chunk, b in asks if chunk is None)
+        asks = [(chunk, place, unblock(b)[0]) for place, chunk, b in asks if chunk is not None]
+        asked = np.zeros(len(g), bool)
+        at = [np.searchsorted(g, a) for _, _, a in asks]
+        for x in at:
+            asked[x] = True
+        cost = np.zeros(len(g), np.float32)
+        cost[asked] = model(g, n).log10(g[asked])
+        return pa.Table.from_batches([batch(schema, [c for c, _, _ in asks], [p for _, p, _ in asks],
+                                            [planes(cost[x].view(np.uint32)) for x in at])])
 
+    table = counted.select(F.explode(F.sequence(F.col("place") * parts, F.col("place") * parts + parts - 1)).alias("place"),
+                           F.lit(None).cast("long").alias("chunk"), "block")
+    return written(blocks_of(chunks).unionByName(table).groupBy("place").applyInArrow(
+        answer, "chunk long, place long, cost binary"))
 
-def scored_chunks(docs: DataFrame, model: Shared, word_ranges: int) -> DataFrame:
-    """Chunks of scored documents with their word frequencies, and per word range the distinct words with the number
-    of their training occurrences in the chunk."""
+
+CHUNKS = pa.schema([("chunk", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("learn", pa.list_(pa.bool_())),
+                    ("n_tokens", pa.list_(pa.int64())), ("texts", pa.list_(pa.binary())),
+                    ("widths", pa.list_(pa.int64())), ("places", pa.binary()), ("times", pa.binary()),
+                    ("asked", pa.list_(pa.int32())), ("blocks", pa.list_(pa.binary())),
+                    ("places_asked", pa.list_(pa.int64())), ("grams", pa.list_(pa.binary()))])
+CHUNKS_SQL = ("chunk long, doc_ids array<long>, learn array<boolean>, n_tokens array<long>, texts array<binary>, "
+              "widths array<long>, places binary, times binary, asked array<int>, blocks array<binary>, "
+              "places_asked array<long>, grams array<binary>")
+
+
+def chunk_grams(buf: np.ndarray, offs: np.ndarray, ranges: int, parts: int):
+    """A chunk's distinct grams ordered by place and gram, their places, and which of them each byte and end is."""
+    code = pa.array(np.concatenate([grams(buf[offs[a]:offs[b]], offs[a:b + 1] - offs[a])[0]
+                                    for a, b in K.doc_runs(offs, RUN)])).dictionary_encode()
+    g = code.dictionary.to_numpy()
+    place = place_of(g, ranges, parts)
+    order = np.lexsort((g, place))
+    rank = np.empty(len(order), np.int32)
+    rank[order] = np.arange(len(order), dtype=np.int32)
+    return g[order], place[order], rank[code.indices.to_numpy()]
+
+
+def chunked(docs: DataFrame, ranges: int, parts: int, word_ranges: int) -> DataFrame:
+    """Chunks of documents with their word frequencies; per word range the distinct words and per place the distinct
+    grams, with the number of their training occurrences in the chunk."""
     def run(batches):
-        scorer = model()
         for rb in batches:
             buf, offs = K.text_buffer(rb.column(2))
             for a, b in K.doc_runs(offs, CHUNK_BYTES):
-                yield chunk(scorer, rb.slice(a, b - a), buf[offs[a]:offs[b]], offs[a:b + 1] - offs[a])
-
-    def chunk(scorer, rb, buf, offs):
-        parts = [grams(buf[offs[a]:offs[b]], offs[a:b + 1] - offs[a]) for a, b in K.doc_runs(offs, RUN)]
-        code = pa.array(np.concatenate([g for g, _ in parts])).dictionary_encode()
-        cost, code, score = scorer.log10(code.dictionary.to_numpy()), code.indices.to_numpy(), []
-        for g, first in parts:
-            score.append(np.add.reduceat(cost[code[:len(g)]], first[:-1]))
-            code = code[len(g):]
-        score = np.concatenate(score)
+                yield chunk(rb.slice(a, b - a), buf[offs[a]:offs[b]], offs[a:b + 1] - offs[a])
+
+    def chunk(rb, buf, offs):
+        learn = rb.column(1).to_numpy(zero_copy_only=False)
+        g, place, code = chunk_grams(buf, offs, ranges, parts)
+        times = np.bincount(code[np.repeat(learn, np.diff(offs) + 1)], minlength=len(g))
+        cut = np.flatnonzero(np.diff(place, prepend=-1))
+        sent = [block(g[x:y], times[x:y]) for x, y in zip(cut, [*cut[1:], len(g)])]
+        to = place[cut]
+        texts = [buf[x:y].tobytes() for x, y in zip(offs[:-1], offs[1:])]
+        del g, place, code, times
         h, s, _ = K.words(buf, offs)
         first = K.doc_word_offsets(s, offs)
         h = np.insert(h, first[1:], END_WORD)
@@ -351,7 +416,6 @@ def scored_chunks(docs: DataFrame, model: Shared, word_ranges: int) -> DataFrame
         order = np.argsort(of, kind="stable")
         rank = np.empty_like(order)
         rank[order] = np.arange(len(order))
-        learn = rb.column(1).to_numpy(zero_copy_only=False)
         seen = np.bincount(rank[code], learn[doc].astype(np.float64), len(order)).astype(np.int64)
         key, times = np.unique(doc << 32 | rank[code], return_counts=True)
         widths = np.bincount(key >> 32, minlength=len(n))
@@ -361,8 +425,8 @@ def scored_chunks(docs: DataFrame, model: Shared, word_ranges: int) -> DataFrame
         step[starts] = place[starts]
         asked, cut = np.unique(of[order], return_index=True)
         blocks = [distinct[order[x:y]].tobytes() + planes(seen[x:y]) for x, y in zip(cut, [*cut[1:], len(order)])]
-        return batch(CHUNKS, [secrets.randbits(63)], [rb.column(0).to_pylist()], [learn.tolist()], [n], [score], [widths],
-                     [planes(step)], [planes(times)], [asked], [blocks])
+        return batch(CHUNKS, [secrets.randbits(63)], [rb.column(0).to_pylist()], [learn.tolist()], [n], [texts], [widths],
+                     [planes(step)], [planes(times)], [asked], [blocks], [to], [sent])
 
     return written(docs.select("doc_id", "learn", "text").mapInArrow(run, CHUNKS_SQL))
 
@@ -401,18 +465,23 @@ def score(docs: DataFrame, holdout: int = 10, id_col: str = "doc_id", text_col:
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(rest != 0, F.lit(False)).alias("learn"),
                        F.col(f"`{text_col}`").cast("string").alias("text"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    chunks = scored_chunks(docs, learn(docs, total), 1 + total // WORD_RANGE_BYTES)
+    ranges = int(min(MOST_RANGES, 1 + total // RANGE_BYTES))
+    parts = int(-(-(1 + total // RANGE_BYTES) // ranges))  # of each range, to be merged before it
+    chunks = chunked(docs, ranges, parts, 1 + total // WORD_RANGE_BYTES)
+    counted = gathered(chunks, parts)
+    costs = gram_costs(chunks, counted, parts, learn(counted))
     counts = word_counts(chunks)
     sums = counts.agg(F.sum("n"), F.sum("v")).first()
     n, v = sums[0] or 0, sums[1] or 0
     found = counts.groupBy("chunk").agg(F.collect_list(F.struct("asked", "found")).alias("found"))
+    costs = costs.groupBy("chunk").agg(F.collect_list(F.struct("place", "cost")).alias("costs"))
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
                         ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
     def run(batches):
         for rb in batches:
             for i in range(rb.num_rows):
-                ids, learn_, n_tokens, scores, widths = (rb.column(c)[i].values for c in range(1, 6))
+                ids, learn_, n_tokens, texts, widths = (rb.column(c)[i].values for c in range(1, 6))
                 widths = widths.to_numpy().astype(np.int64)
                 first = np.concatenate([[0], np.cumsum(widths)])
                 run_up = np.concatenate([[0], np.cumsum(unplanes(rb.column(6)[i].as_py()).astype(np.int64))])
@@ -422,10 +491,15 @@ def score(docs: DataFrame, holdout: int = 10, id_col: str = "doc_id", text_col:
                      for x in sorted(rb.column(8)[i].as_py(), key=lambda x: x["asked"])]
                 c = np.concatenate(c)[place]
                 cost = np.log10((c + 0.1) / (n + 0.1 * (v + 1))) * times
+                buf, offs = K.text_buffer(texts)
+                of_gram = np.concatenate([unplanes(x["cost"]).view(np.float32) for x in sorted(
+                    rb.column(9)[i].as_py(), key=lambda x: x["place"])])
+                score_ = np.add.reduceat(of_gram[chunk_grams(buf, offs, ranges, parts)[2]].astype(np.float64),
+                                         offs[:-1] + np.arange(len(offs) - 1))
                 yield batch(schema, ids, [not x for x in learn_.to_pylist()], n_tokens,
                             np.add.reduceat(times * (c > 0), first[:-1]), np.full(len(ids), n),
-                            np.add.reduceat(cost, first[:-1]), scores)
+                            np.add.reduceat(cost, first[:-1]), score_)
 
-    return chunks.drop("asked", "blocks").join(found, "chunk").mapInArrow(
+    return chunks.drop("asked", "blocks", "places_asked", "grams").join(found, "chunk").join(costs, "chunk").mapInArrow(
         run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
              "score double")

@@ -242,6 +242,24 @@ def test_parts_of_ranges_do_not_change_the_model(ready, monkeypatch):  # noqa: F
     assert [r[:5] for r in one] == [r[:5] for r in many] and all(r[6] < 0 for r in many)
 
 
+def test_counters_are_those_of_every_context():
+    rng = np.random.default_rng(3)
+    g = np.unique(rng.integers(0, 4, (3000, 6)) @ (1 << 8 * np.arange(6)) + 97).astype(np.uint64)
+    n = rng.integers(0, 3, len(g))
+    high, want = contextmix.Counters(g, n), Counter()
+    for x, times in zip(g.tolist(), n.tolist()):
+        for order in contextmix.HASHED:
+            for bit in range(8):
+                context = x >> 8 & (1 << 8 * order) - 1
+                want[order, context, (1 << bit) | (x & 255) >> 8 - bit, x >> 7 - bit & 1] += times
+    found = high.find(g)
+    for bit in range(8):
+        for order, got in zip(contextmix.HASHED, high.counts(found, bit, None)):
+            for x, pair in zip(g.tolist(), got.tolist()):
+                key = (order, x >> 8 & (1 << 8 * order) - 1, (1 << bit) | (x & 255) >> 8 - bit)
+                assert pair == [want[*key, 0], want[*key, 1]]
+
+
 def test_byte_probabilities_sum_to_one():
     rng = np.random.default_rng(1)
     m = Model(rng.integers(0, 9, (4, 64, 2)).astype(np.uint16), rng.integers(0, 9, 65536), 2)
