@@ -13,7 +13,7 @@ from .common import shared_dir, ship, table, written
 from .contextmix import score
 from .decontaminate import leaks
 from .langid import identify
-from .licences import NOTICES, scan
+from .licences import NOTICES, TEXTS, scan
 from .minhash import near_duplicates
 from .mtree import top_k
 from .packing import pack
@@ -72,6 +72,11 @@ def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
 
 
+def op8_licence_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scan with windows over the whole text, for notices, licence texts and file headers."""
+    return scan(table(spark, sf_dir, "documents"), NOTICES | TEXTS, windows=True)
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
@@ -87,7 +92,8 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _shipped(f) for f in (
     op1_mtree_topk, op2_token_counts, op3_benchmark_decontamination, op4_warc_transactions, op5_packing,
-    op6_context_mixing, op7_suffix_dedup, op8_licence_scan, op9_language_id, op10_minhash_near_dedup)}
+    op6_context_mixing, op7_suffix_dedup, op8_licence_scan, op8_licence_passages, op9_language_id,
+    op10_minhash_near_dedup)}
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _NOTICES = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in NOTICES.items())
 ORACLE_SQL: dict[str, str] = {

@@ -184,6 +184,50 @@ def test_licences_match_brute_force(ready):
     assert {(r.doc_id, r.licence): (r.dice, r.n_bigrams, -1 if r.line is None else r.line, r.scope) for r in got} == want
 
 
+def brute_windows(docs, templates, percent=80):
+    def grams(w):
+        return Counter(zip(w, w[1:])) if len(w) > 1 else Counter([tuple(w)] * len(w))
+
+    out = {}
+    for d, text in docs:
+        text = text or ""
+        w, lines = plain_words(text), [i for i, x in enumerate(text.split("\n")) for _ in plain_words(x)]
+        for name, t in templates.items():
+            x = plain_words(t)
+            g = grams(x)
+            for s in range(len(w) - len(x) + 1):
+                both = sum((g & grams(w[s:s + len(x)])).values())
+                if 100 * both >= percent * sum(g.values()):
+                    out[d, name] = max(out.get((d, name), (0, 0)), (both / sum(g.values()), -lines[s]))
+    return out
+
+
+def test_licence_windows_match_brute_force(ready):
+    rng = random.Random(8)
+    templates = licences.NOTICES | licences.TEXTS | {"twice": "a b a b a b c a b"}
+    docs = [(0, None), (1, "Some words of another kind.\nLicensed under the Apache License,\nVersion 2.0.\nAnd more words after it."),
+            (2, "It has no price at all. Released under the MIT License. So take it, use it and give it on."),
+            (3, "a b " * 9 + "c a b"), (4, "Sum of it.\n\n" + licences.TEXTS["MIT text"] + "\n" + "more words " * 300)]
+    for d in range(5, 100):
+        w = [rng.choice("a b c the of this work is licensed under License to use".split()) for _ in range(rng.randint(0, 60))]
+        for _ in range(rng.choice([0, 1, 2])):
+            x = templates[rng.choice(list(templates))].split()
+            for _ in range(rng.choice([0, 0, 1, 2])):
+                x[rng.randrange(len(x))] = "other"
+            at = rng.randint(0, len(w))
+            w[at:at] = x
+        docs.append((d, "".join(x + rng.choice("  \n") for x in w)))
+    df = ready.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {(r.doc_id, r.licence): r for r in scan(df, templates, windows=True).collect()}
+    want, other = brute_windows(docs, templates), brute_licences(docs, templates)
+    assert len(want) > 60 and {(1, "Apache-2.0"), (2, "MIT"), (4, "MIT text")} <= want.keys() - other.keys()
+    assert got.keys() == want.keys() | other.keys()
+    for key, r in got.items():
+        assert r.dice == max(x[key][0] for x in (want, other) if key in x)
+        if r.scope == "window":
+            assert (r.dice, -r.line) == want[key]
+
+
 def test_licences_of_odd_rows(odd_docs, no_docs):
     assert scan(odd_docs).collect() == [] and scan(no_docs).collect() == []
     rows = scan(odd_docs, {"s": "short", "none": " ", "n": "one two three four five six seven"}).collect()
