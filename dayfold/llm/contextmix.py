@@ -459,8 +459,8 @@ def word_counts(chunks: DataFrame) -> DataFrame:
 
 
 def score(docs: DataFrame, holdout: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte. Learns from documents whose
-    crc32(doc_id as text) modulo ``holdout`` is not 0."""
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte. A document's bytes include
+    its end. Learns from documents whose crc32(doc_id as text) modulo ``holdout`` is not 0."""
     rest = F.crc32(F.col(f"`{id_col}`").cast("string")) % holdout
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(rest != 0, F.lit(False)).alias("learn"),
                        F.col(f"`{text_col}`").cast("string").alias("text"))
@@ -476,7 +476,8 @@ def score(docs: DataFrame, holdout: int = 10, id_col: str = "doc_id", text_col:
     found = counts.groupBy("chunk").agg(F.collect_list(F.struct("asked", "found")).alias("found"))
     costs = costs.groupBy("chunk").agg(F.collect_list(F.struct("place", "cost")).alias("costs"))
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
-                        ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
+                        ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()),
+                        ("bits_per_byte", pa.float64())])
 
     def run(batches):
         for rb in batches:
@@ -498,8 +499,9 @@ def score(docs: DataFrame, holdout: int = 10, id_col: str = "doc_id", text_col:
                                          offs[:-1] + np.arange(len(offs) - 1))
                 yield batch(schema, ids, [not x for x in learn_.to_pylist()], n_tokens,
                             np.add.reduceat(times * (c > 0), first[:-1]), np.full(len(ids), n),
-                            np.add.reduceat(cost, first[:-1]), score_)
+                            np.add.reduceat(cost, first[:-1]), score_,
+                            -score_ / np.log10(2) / (np.diff(offs) + 1))
 
     return chunks.drop("asked", "blocks", "places_asked", "grams").join(found, "chunk").join(costs, "chunk").mapInArrow(
         run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
-             "score double")
+             "score double, bits_per_byte double")

@@ -276,6 +276,14 @@ def test_scores(ready):
     assert bits / size < 3.2
 
 
+def test_bits_per_byte(ready):
+    texts = [None, "", "é", "some text and more", "x" * 500]
+    rows = score(ready.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    for r in rows:
+        size = len((texts[r.doc_id] or "").encode()) + 1
+        assert abs(r.bits_per_byte * size + r.score / math.log10(2)) < 1e-6
+
+
 def test_parts_of_ranges_do_not_change_the_model(ready, monkeypatch):  # noqa: F811
     docs = ready.createDataFrame([(i, f"some text {i % 7} and {i * i} more") for i in range(60)], "doc_id long, text string")
     monkeypatch.setattr(contextmix, "MOST_RANGES", 2)
