@@ -23,7 +23,7 @@ PASSAGE_BYTES = 200
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no language can be recognised (null texts, texts without a letter) go."""
+    """Null texts and texts without a letter go; which language is recognised has no effect here."""
     ship(spark)
     return identify(docs, with_row=True).where(F.col("lang_pred") != UNKNOWN).select("row.*")
 
