@@ -17,6 +17,7 @@ from dayfold.functions import full_name, inf, ntz, one_second, on_day
 from dayfold.operators import rules, scd2, watermark
 from dayfold.operators.sequence import lead_split
 from dayfold.operators.temporal import card_profile, dim_view, enrich, temporal_join
+from dayfold.operators.timeline import merge_timeline
 from dayfold.plans import fixtures as fx
 from dayfold.schemas import TRANSACTIONS
 from dayfold.sources import capture_increment, capture_keys, drop_date, parse_text_columns
@@ -143,6 +144,18 @@ def scd2_two_day_replay(spark, sf_dir):
                       fx.SCD2_RUN_2)
 
 
+def scd2_timeline(spark, sf_dir):
+    """Several, repeated and backdated changes per key, deleted and new keys."""
+    return merge_timeline(fx.timeline_history(spark, sf_dir), fx.timeline_changes(spark, sf_dir),
+                          fx.scd2_keys(spark, sf_dir), "k", ["a", "b"], fx.TIMELINE_RUN)
+
+
+def scd2_timeline_reopened(spark, sf_dir):
+    """The same with changes of deleted keys that reopen them, without delete detection."""
+    return merge_timeline(fx.timeline_history(spark, sf_dir), fx.timeline_changes(spark, sf_dir), None, "k", ["a", "b"],
+                          fx.TIMELINE_RUN, reopen=True)
+
+
 def temporal_join_q(spark, sf_dir):
     tx = fx.transactions(spark, sf_dir)
     view = dim_view(fx.cards_hist(spark, sf_dir), "card_num", ["account_num"], "_cd", trim_key=True)
@@ -270,6 +283,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd2_current": scd2_current,
     "scd2_as_of": scd2_as_of,
     "scd2_two_day_replay": scd2_two_day_replay,
+    "scd2_timeline": scd2_timeline,
+    "scd2_timeline_reopened": scd2_timeline_reopened,
     "temporal_join": temporal_join_q,
     "enriched_transactions": enriched_transactions,
     "transactions_of_day": transactions_of_day,

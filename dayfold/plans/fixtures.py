@@ -226,3 +226,44 @@ def scd2_changes_2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_memo
 def scd2_keys_2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _customer(spark, sf_dir).where(F.col("c_custkey") % 29 != 0).select(F.col("c_custkey").alias("k"))
+
+
+# --- several and backdated changes per key ------------------------------------------------------------
+
+TIMELINE_RUN = "2024-03-01 00:00:00"
+
+
+def _day_of(day: Column, hour: Column | None = None) -> Column:
+    """2023-01-01 plus days and hours."""
+    return ntz("2023-01-01 00:00:00") + F.make_dt_interval(day.cast("int"), (F.lit(0) if hour is None else hour).cast("int"))
+
+
+@_memo
+def timeline_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One to four versions per key, 60 days apart; the last one is open, or closed after 30 days and deleted. One key
+    in ten has no history yet."""
+    k, i = F.col("k"), F.col("i")
+    v = _customer(spark, sf_dir).where(F.col("c_custkey") % 10 != 0).select(
+        F.col("c_custkey").alias("k"), "c_mktsegment", "c_acctbal", F.explode(F.expr("sequence(0L, c_custkey % 4)")).alias("i"))
+    frm = 60 * i + k % 7
+    last = i == k % 4
+    gone = k % 13 == 0
+    a = F.when((k + i) % 11 == 0, F.lit(None).cast("string")).otherwise(F.col("c_mktsegment"))
+    live = v.select("k", a.alias("a"), (F.col("c_acctbal") + i).alias("b"), *_validity(
+        _day_of(frm), F.when(last & ~gone, inf()).otherwise(
+            _day_of(F.when(last, frm + 30).otherwise(frm + 60)) - F.expr("INTERVAL 1 SECOND"))))
+    tomb = v.where(last & gone).select("k", a.alias("a"), (F.col("c_acctbal") + i).alias("b"),
+                                       *_validity(_day_of(frm + 30), inf(), FLAG_DELETED))
+    return live.unionByName(tomb)
+
+
+@_memo
+def timeline_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An order is a staged change of its customer, at a time of the 14 months from 2023 on; one in nine has no update."""
+    n = F.col("o_orderkey")
+    day = n * 37 % 420
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("k"),
+        F.when(n % 7 == 0, F.lit(None).cast("string")).otherwise(F.col("o_orderstatus")).alias("a"),
+        (n % 2).cast("double").alias("b"), (_day_of(day) - F.expr("INTERVAL 1 DAY")).alias("create_dt"),
+        F.when(n % 9 != 0, _day_of(day, n % 24)).alias("update_dt"))
