@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayfold.functions import full_name, inf, ntz, one_second, on_day
-from dayfold.operators import rules, scd2, watermark
+from dayfold.operators import keydigest, rules, scd2, watermark
 from dayfold.operators.sequence import lead_split
+from dayfold.operators.sweep import sweep_join
 from dayfold.operators.temporal import card_profile, dim_view, enrich, temporal_join
 from dayfold.operators.timeline import merge_timeline
 from dayfold.plans import fixtures as fx
@@ -121,6 +122,13 @@ def scd2_deleted_keys(spark, sf_dir):
                              fx.SCD2_RUN)
 
 
+def scd2_deleted_by_digest(spark, sf_dir):
+    """Deletions through digests of key buckets; the keys that the run opens are expected on both sides."""
+    history = fx.scd2_history(spark, sf_dir)
+    opened = scd2.new_keys(history, fx.scd2_changes(spark, sf_dir), "k", ["a", "b"])
+    return keydigest.deleted_keys(history, fx.scd2_keys(spark, sf_dir), "k", ["a", "b"], fx.SCD2_RUN, opened=opened)
+
+
 def scd2_merge(spark, sf_dir):
     return _merge1(spark, sf_dir)
 
@@ -163,6 +171,13 @@ def temporal_join_q(spark, sf_dir):
         "trans_id", "trans_date", "card_num", "account_num")
 
 
+def temporal_sweep(spark, sf_dir):
+    """A card with half of all facts and a thousand versions, by a sweep over (card, day)."""
+    view = dim_view(fx.hot_cards_hist(spark, sf_dir), "card_num", ["account_num"], "_cd", trim_key=True)
+    return sweep_join(fx.hot_transactions(spark, sf_dir), view, "card_num", "trans_date", "_cd").select(
+        "trans_id", "trans_date", "card_num", "account_num")
+
+
 def enriched_transactions(spark, sf_dir):
     b = Bank(spark, sf_dir)
     e = enrich(b.tx, *b.dims(), b.terminals)
@@ -278,6 +293,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd2_new_keys": scd2_new_keys,
     "scd2_changed_keys": scd2_changed_keys,
     "scd2_deleted_keys": scd2_deleted_keys,
+    "scd2_deleted_by_digest": scd2_deleted_by_digest,
     "scd2_merge": scd2_merge,
     "scd2_merge_snapshot": scd2_merge_snapshot,
     "scd2_current": scd2_current,
@@ -286,6 +302,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd2_timeline": scd2_timeline,
     "scd2_timeline_reopened": scd2_timeline_reopened,
     "temporal_join": temporal_join_q,
+    "temporal_sweep": temporal_sweep,
     "enriched_transactions": enriched_transactions,
     "transactions_of_day": transactions_of_day,
     "lead_next_event": lead_next_event,

@@ -267,3 +267,27 @@ def timeline_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(n % 7 == 0, F.lit(None).cast("string")).otherwise(F.col("o_orderstatus")).alias("a"),
         (n % 2).cast("double").alias("b"), (_day_of(day) - F.expr("INTERVAL 1 DAY")).alias("create_dt"),
         F.when(n % 9 != 0, _day_of(day, n % 24)).alias("update_dt"))
+
+
+# --- a card with half of all facts and a thousand versions --------------------------------------------
+
+HOT_VERSIONS, HOT_SECONDS = 1000, 2592
+
+
+@_memo
+def hot_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every second transaction is made with one card."""
+    hot = F.col("trans_id").cast("long") % 2 == 0
+    return transactions(spark, sf_dir).withColumn("card_num", F.when(hot, F.lit("HOT")).otherwise(F.col("card_num")))
+
+
+@_memo
+def hot_cards_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cards, and a thousand versions of that card over January 2024; each fiftieth ends early and leaves a gap."""
+    i = F.col("id")
+    start = ntz("2024-01-01 00:00:00") + F.expr(f"make_dt_interval(0, 0, 0, id * {HOT_SECONDS})")
+    to = F.when(i == HOT_VERSIONS - 1, inf()).otherwise(start + F.expr(
+        f"make_dt_interval(0, 0, 0, IF(id % 50 = 7, 1000, {HOT_SECONDS} - 1))"))
+    hot = spark.range(HOT_VERSIONS).select(F.lit("HOT").alias("card_num"), F.concat(F.lit("H"), _str(i)).alias("account_num"),
+                                           *_validity(start, to))
+    return cards_hist(spark, sf_dir).unionByName(hot)
