@@ -8,6 +8,9 @@ minutes finds nothing in the synthetic events (the library default stays 20 minu
 from __future__ import annotations
 
 import datetime as dt
+import os
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +24,8 @@ from dayfold.operators.temporal import card_profile, dim_view, enrich, temporal_
 from dayfold.operators.timeline import merge_timeline
 from dayfold.plans import fixtures as fx
 from dayfold.schemas import TRANSACTIONS
+from dayfold.sinks.deltas import BucketedHistory
+from dayfold.sinks.writers import Attempt, read_commits
 from dayfold.sources import capture_increment, capture_keys, drop_date, parse_text_columns
 
 D = fx.REPORT_DAY
@@ -152,6 +157,27 @@ def scd2_two_day_replay(spark, sf_dir):
                       fx.SCD2_RUN_2)
 
 
+def _scratch(spark) -> str:
+    """A new folder in the cluster's shared one (spark.checkpoint.dir); a local one only where none is set."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "dayfold")
+    return f"{root.rstrip('/')}/warehouse-{uuid.uuid4().hex}"
+
+
+def history_base_delta(spark, sf_dir):
+    """Two daily runs on the bucketed layout: a base of the starting history, what each run changed, folded buckets."""
+    root, history = _scratch(spark), fx.scd2_history(spark, sf_dir)
+    store = BucketedHistory(spark, root, "dim_customer_hist", "k", history.schema, buckets=16)
+    run = Attempt(spark, root, dt.date(2024, 1, 2))
+    store.start(run, history)
+    run.commit([])
+    for day, changes, keys in ((fx.SCD2_RUN, fx.scd2_changes, fx.scd2_keys), (fx.SCD2_RUN_2, fx.scd2_changes_2, fx.scd2_keys_2)):
+        commits, run = read_commits(spark, root), Attempt(spark, root, dt.date.fromisoformat(day[:10]))
+        store.load(run, commits, commits.last(), changes(spark, sf_dir), keys(spark, sf_dir), ["a", "b"])
+        run.commit([])
+    commits = read_commits(spark, root)
+    return store.history(commits, commits.last()).select(*VERSION)
+
+
 def scd2_timeline(spark, sf_dir):
     """Several, repeated and backdated changes per key, deleted and new keys."""
     return merge_timeline(fx.timeline_history(spark, sf_dir), fx.timeline_changes(spark, sf_dir),
@@ -299,6 +325,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd2_current": scd2_current,
     "scd2_as_of": scd2_as_of,
     "scd2_two_day_replay": scd2_two_day_replay,
+    "history_base_delta": history_base_delta,
     "scd2_timeline": scd2_timeline,
     "scd2_timeline_reopened": scd2_timeline_reopened,
     "temporal_join": temporal_join_q,

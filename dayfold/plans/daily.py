@@ -22,16 +22,23 @@ from dayfold.operators.temporal import card_profile
 from dayfold.schemas import ACCOUNTS, BLACKLIST, CARDS, CLIENTS, DIM_ACCOUNTS, DIM_CARDS, DIM_CLIENTS, \
     DIM_TERMINALS, FACTS, REJECTS, REPORT, TERMINALS_DIM, DimSpec
 from dayfold.sinks import writers as W
+from dayfold.sinks.deltas import BucketedHistory
 from dayfold.sources import BAD_CELLS, capture_increment, capture_keys
 
 DIM_SCHEMAS = {"cards": DIM_CARDS, "accounts": DIM_ACCOUNTS, "clients": DIM_CLIENTS, "terminals": DIM_TERMINALS}
+SPECS = {spec.name: spec for spec in (CARDS, ACCOUNTS, CLIENTS, TERMINALS_DIM)}
 
 
 @dataclass(frozen=True)
 class Warehouse:
-    """A warehouse root on shared storage (object store / HDFS), never a machine-local folder."""
+    """A warehouse root on shared storage (object store / HDFS), never a machine-local folder.
+
+    ``layout``: ``complete`` writes the complete current set of every dimension with each run, ``buckets`` only what the
+    run changed (``sinks.deltas``). A root keeps the layout (and number of buckets) it began with."""
 
     root: str
+    layout: str = "complete"
+    buckets: int = 64
 
     @property
     def base(self) -> str:
@@ -78,9 +85,15 @@ def _staged(run: W.Attempt, inputs: DailyInputs, seen: dict[str, dt.date], pool:
     return {name: job.result() for name, job in jobs.items()}
 
 
+def bucketed(spark: SparkSession, wh: Warehouse, name: str) -> BucketedHistory:
+    return BucketedHistory(spark, wh.base, f"dim_{name}_hist", SPECS[name].key, DIM_SCHEMAS[name], wh.buckets)
+
+
 def read_dimension(spark: SparkSession, wh: Warehouse, name: str, run: dt.date, commits: W.Committed | None = None,
                    since: dt.date | None = None) -> DataFrame:
     commits = commits or W.read_commits(spark, wh.base)
+    if wh.layout == "buckets":
+        return bucketed(spark, wh, name).history(commits, run, since)
     return W.read_history(spark, wh.base, f"dim_{name}_hist", DIM_SCHEMAS[name], commits, run, since)
 
 
@@ -158,6 +171,10 @@ def _run(spark: SparkSession, wh: Warehouse, inputs: DailyInputs, d: dt.date, co
         #    closed versions are not read
         for spec in (CARDS, ACCOUNTS, CLIENTS, TERMINALS_DIM):
             changes, keys = staged[spec.name] if spec.created else (staged["terminals"], None)
+            if wh.layout == "buckets":
+                jobs.append(pool.submit(bucketed(spark, wh, spec.name).load, run, commits, prev, changes, keys, spec.attrs,
+                                        spec.created, spec.updated, config.reopen_deleted))
+                continue
             table = f"dim_{spec.name}_hist"
             current = W.read_current(spark, wh.base, table, DIM_SCHEMAS[spec.name], commits, prev)
             cols = [spec.key, *spec.attrs] + ([spec.created, spec.updated] if spec.created else [])

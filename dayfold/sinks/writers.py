@@ -18,7 +18,7 @@ import datetime as dt
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
@@ -115,14 +115,17 @@ class Attempt:
 
     def write(self, table: str, df: DataFrame, date_col: str | None = None, partition_by: tuple[str, ...] = (),
               counted: str = "true") -> DataFrame:
-        """Write ``df`` and read it back; the commit records the bounds of ``date_col`` over rows with ``counted``."""
-        df.write.partitionBy(*partition_by).parquet(run_path(self.root, table, self.run, self.attempt))
-        back = self.read(table, StructType([f for f in df.schema.fields if f.name not in partition_by]
-                                           + [f for f in df.schema.fields if f.name in partition_by]))
+        """Write ``df`` and read it back; the commit records the bounds of ``date_col`` over rows with ``counted``, which
+        are observed while they are written."""
         at = F.to_date(date_col) if date_col else F.lit(None).cast("date")
-        low, high, rows = back.where(counted).agg(F.min(at), F.max(at), F.count("*")).first()
-        self.written[table] = (low, high, rows)
-        return back
+        seen, own = Observation(), F.expr(counted)
+        watched = df.observe(seen, F.min(F.when(own, at)).alias("low"), F.max(F.when(own, at)).alias("high"),
+                             F.count(F.when(own, F.lit(1))).alias("rows"))
+        watched.write.partitionBy(*partition_by).parquet(run_path(self.root, table, self.run, self.attempt))
+        bounds = seen.get
+        self.written[table] = (bounds["low"], bounds["high"], bounds["rows"])
+        return self.read(table, StructType([f for f in df.schema.fields if f.name not in partition_by]
+                                           + [f for f in df.schema.fields if f.name in partition_by]))
 
     def write_history(self, table: str, versions: DataFrame) -> DataFrame:
         state = F.when(F.col("effective_to") == inf(), "open").otherwise("closed")

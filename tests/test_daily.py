@@ -269,3 +269,14 @@ def test_intake_archives_takes_second_files_and_keeps_strays(spark, tmp_path):
     assert sorted(read_commits(spark, wh.base).attempts) == [DAYS[1]]
     moved = {p.name for p in (tmp_path / "archive").rglob("*.txt")}
     assert f"transactions_{stamp(DAYS[1])}.txt" in moved
+
+
+def test_bucketed_layout_holds_the_same_warehouse(spark, loaded, tmp_path):
+    wh, inp = loaded
+    other = Warehouse(str(tmp_path), layout="buckets", buckets=4)
+    backfill(spark, other, inp, DAYS[:2], CONFIG)
+    for name in ("cards", "accounts", "clients", "terminals"):
+        want = read_dimension(spark, wh, name, DAYS[1])
+        assert spark_rows(read_dimension(spark, other, name, DAYS[1]).select(*want.columns)) == spark_rows(want)
+    want = read_report(spark, wh).where(F.col("report_dt").isin(DAYS[:2]))
+    assert spark_rows(read_report(spark, other)) == spark_rows(want)
