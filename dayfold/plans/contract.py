@@ -19,11 +19,12 @@ from pyspark.sql import functions as F
 from dayfold.functions import full_name, inf, ntz, one_second, on_day
 from dayfold.operators import keydigest, rules, scd2, watermark
 from dayfold.operators.sequence import lead_split
+from dayfold.operators.profile import refresh_profile
 from dayfold.operators.sweep import sweep_join
-from dayfold.operators.temporal import card_profile, dim_view, enrich, temporal_join
+from dayfold.operators.temporal import card_profile, dim_view, enrich, enrich_profile, temporal_join
 from dayfold.operators.timeline import merge_timeline
 from dayfold.plans import fixtures as fx
-from dayfold.schemas import TRANSACTIONS
+from dayfold.schemas import ACCOUNTS, CARDS, CLIENTS, TRANSACTIONS
 from dayfold.sinks.deltas import BucketedHistory
 from dayfold.sinks.writers import Attempt, read_commits
 from dayfold.sources import capture_increment, capture_keys, drop_date, parse_text_columns
@@ -302,6 +303,18 @@ def fraud_report_accumulated(spark, sf_dir):
     return rules.build_report(b.tx, *b.dims(), b.terminals, b.blacklist, None, TRAVEL, PROBE)
 
 
+def card_profile_incremental(spark, sf_dir):
+    """Facts through a profile that a run refreshed after changes of cards, accounts and clients."""
+    b = Bank(spark, sf_dir)
+    staged = fx.changed_cards(spark, sf_dir), fx.changed_accounts(spark, sf_dir), fx.changed_clients(spark, sf_dir)
+    after = [scd2.merge(h, s, None, spec.key, spec.attrs, fx.CHAIN_RUN)
+             for h, s, spec in zip(b.dims(), staged, (CARDS, ACCOUNTS, CLIENTS))]
+    keys = [s.select(spec.key) for s, spec in zip(staged, (CARDS, ACCOUNTS, CLIENTS))]
+    profile = refresh_profile(card_profile(*b.dims()), *after, *keys)
+    return enrich_profile(b.tx, profile).select("trans_id", "trans_date", "card_num", "account_num", "valid_to", "client",
+                                                "passport_num", full_name().alias("fio"), "phone")
+
+
 def fraud_amount_probing_replay(spark, sf_dir):
     b = Bank(spark, sf_dir)
     return rules.amount_probing(b.tx, *b.dims(), None, PROBE)
@@ -345,5 +358,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fraud_report": fraud_report,
     "fraud_report_profile": fraud_report_profile,
     "fraud_report_accumulated": fraud_report_accumulated,
+    "card_profile_incremental": card_profile_incremental,
     "fraud_amount_probing_replay": fraud_amount_probing_replay,
 }

@@ -291,3 +291,40 @@ def hot_cards_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
     hot = spark.range(HOT_VERSIONS).select(F.lit("HOT").alias("card_num"), F.concat(F.lit("H"), _str(i)).alias("account_num"),
                                            *_validity(start, to))
     return cards_hist(spark, sf_dir).unionByName(hot)
+
+
+# --- one run's changes of cards, accounts and clients -------------------------------------------------
+
+CHAIN_RUN = "2024-01-19 00:00:00"
+CHAIN_CHANGES = {"cards": (20, "2024-01-16 10:00:00"), "accounts": (25, "2024-01-17 09:00:00"),
+                 "clients": (30, "2024-01-18 12:00:00")}  # every n-th key, changed at
+
+
+def _chain_change(spark: SparkSession, sf_dir: str, name: str, *cols: Column) -> DataFrame:
+    each, at = CHAIN_CHANGES[name]
+    return _customer(spark, sf_dir).where(F.col("c_custkey") % each == 0).select(
+        *cols, ntz(T0).alias("create_dt"), ntz(at).alias("update_dt"))
+
+
+@_memo
+def changed_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey")
+    return _chain_change(spark, sf_dir, "cards", F.concat(_str(k), F.lit("  ")).alias("card_num"),
+                         F.concat(F.lit("A"), _str(k + 2)).alias("account_num"))
+
+
+@_memo
+def changed_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey")
+    return _chain_change(spark, sf_dir, "accounts", F.concat(F.lit("A"), _str(k)).alias("account_num"),
+                         _plus_days("2024-01-01", k % 60).alias("valid_to"),
+                         F.concat(F.lit("C"), _str(k + 1)).alias("client"))
+
+
+@_memo
+def changed_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    each, at = CHAIN_CHANGES["clients"]
+    now = clients_hist(spark, sf_dir).drop("effective_from", "effective_to", "deleted_flg")
+    some = F.expr(f"CAST(substring(client_id, 2) AS BIGINT) % {each} = 0")
+    return now.where(some).withColumn("phone", F.concat(F.lit("N"), F.expr("substring(client_id, 2)"))).select(
+        "*", ntz(T0).alias("create_dt"), ntz(at).alias("update_dt"))

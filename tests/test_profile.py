@@ -83,3 +83,51 @@ def test_profile_on_the_fixture(spark):
     dims = fx.cards_hist(spark, SF_SMALL), fx.accounts_hist(spark, SF_SMALL), fx.clients_hist(spark, SF_SMALL)
     assert spark_rows(enrich_profile(tx, card_profile(*dims)).select(*COLS)) == \
         spark_rows(enrich(tx, *dims).select(*COLS))
+
+
+def test_refreshed_profile_equals_the_full_rebuild(spark):
+    """Ten runs of random changes, each refreshing the profile of the run before."""
+    import random
+
+    from dayfold.operators import scd2
+    from dayfold.operators.profile import changed_between, reached_cards, refresh_profile
+    from dayfold.schemas import ACCOUNTS, CARDS, CLIENTS
+
+    rng = random.Random(11)
+    ts = "create_dt timestamp_ntz, update_dt timestamp_ntz"
+    pick = lambda p, n: f"{p}{rng.randrange(n)}"
+
+    def card():
+        return pick("c", 12) + "  ", rng.choice([None, pick("A", 9)])
+
+    def account():
+        return pick("A", 9), dt.date(2021, 1, rng.randint(1, 9)), rng.choice([None, pick("K", 7)])
+
+    def client():
+        return pick("K", 7), "L", "F", rng.choice([None, "M"]), None, pick("P", 4), None, pick("+", 3)
+
+    make = {CARDS: (card, DIM_CARDS), ACCOUNTS: (account, DIM_ACCOUNTS), CLIENTS: (client, DIM_CLIENTS)}
+    dims = {s: spark.createDataFrame([], schema) for s, (_, schema) in make.items()}
+    profile = card_profile(*dims.values()).checkpoint()
+    untouched = 0
+    for n in range(10):
+        run = B + dt.timedelta(days=n + 1)
+        after = {}
+        for spec, (row, schema) in make.items():
+            k = 14 if n == 0 else rng.choice([0, 1, 1, 2])
+            at = run - dt.timedelta(hours=rng.randint(1, 20))
+            staged = [(*row(), at, rng.choice([None, at])) for _ in range(k)]
+            cols = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields[:-3])
+            staged = spark.createDataFrame(staged, f"{cols}, {ts}")
+            alive = dims[spec].select(spec.key).union(staged.select(spec.key)).distinct().where(
+                f"abs(hash({spec.key}, {n})) % 20 <> 0")
+            after[spec] = scd2.merge(dims[spec], staged, alive, spec.key, spec.attrs, run).checkpoint()
+        changed = [changed_between(dims[s], after[s], s.key) for s in make]
+        cards = reached_cards(profile, *changed)
+        untouched += profile.join(cards, profile["_pf_key"] == cards["card"], "left_anti").count()
+        profile = refresh_profile(profile, *after.values(), *changed).checkpoint()
+        dims = after
+        want = card_profile(*dims.values())
+        if n % 3 == 0:
+            assert spark_rows(profile) == spark_rows(want.select(*profile.columns))
+    assert untouched > 0
