@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from dayfold.functions import full_name, inf, ntz, one_second, on_day
 from dayfold.operators import keydigest, rules, scd2, watermark
 from dayfold.operators.sequence import lead_split
+from dayfold.operators.patterns import probing_chains
 from dayfold.operators.profile import refresh_profile
 from dayfold.operators.sweep import sweep_join
 from dayfold.operators.temporal import card_profile, dim_view, enrich, enrich_profile, temporal_join
@@ -303,6 +304,12 @@ def fraud_report_accumulated(spark, sf_dir):
     return rules.build_report(b.tx, *b.dims(), b.terminals, b.blacklist, None, TRAVEL, PROBE)
 
 
+def probing_chains_q(spark, sf_dir):
+    """Chains of falling rejections of any length within a week, each once."""
+    return probing_chains(fx.probing_transactions(spark, sf_dir), dt.timedelta(days=7)).select(
+        "trans_id", "card_num", "chain_start", F.col("trans_date").alias("chain_end"), "chain_rows")
+
+
 def card_profile_incremental(spark, sf_dir):
     """Facts through a profile that a run refreshed after changes of cards, accounts and clients."""
     b = Bank(spark, sf_dir)
@@ -358,6 +365,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fraud_report": fraud_report,
     "fraud_report_profile": fraud_report_profile,
     "fraud_report_accumulated": fraud_report_accumulated,
+    "probing_chains": probing_chains_q,
     "card_profile_incremental": card_profile_incremental,
     "fraud_amount_probing_replay": fraud_amount_probing_replay,
 }

@@ -328,3 +328,12 @@ def changed_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     some = F.expr(f"CAST(substring(client_id, 2) AS BIGINT) % {each} = 0")
     return now.where(some).withColumn("phone", F.concat(F.lit("N"), F.expr("substring(client_id, 2)"))).select(
         "*", ntz(T0).alias("create_dt"), ntz(at).alias("update_dt"))
+
+
+@_memo
+def probing_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The transactions, a third of the cards with amounts that fall all month: long chains of rejections."""
+    t = transactions(spark, sf_dir)
+    fall = F.expr("CAST(3000000 - (CAST(dayofmonth(trans_date) AS BIGINT) * 86400 + hour(trans_date) * 3600"
+                  " + minute(trans_date) * 60 + floor(second(trans_date))) AS DECIMAL(18, 2))")
+    return t.withColumn("amt", F.when(F.col("card_num").cast("long") % 3 == 0, fall).otherwise(F.col("amt")))
