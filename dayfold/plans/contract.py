@@ -314,10 +314,17 @@ def card_profile_incremental(spark, sf_dir):
     """Facts through a profile that a run refreshed after changes of cards, accounts and clients."""
     b = Bank(spark, sf_dir)
     staged = fx.changed_cards(spark, sf_dir), fx.changed_accounts(spark, sf_dir), fx.changed_clients(spark, sf_dir)
-    after = [scd2.merge(h, s, None, spec.key, spec.attrs, fx.CHAIN_RUN)
-             for h, s, spec in zip(b.dims(), staged, (CARDS, ACCOUNTS, CLIENTS))]
-    keys = [s.select(spec.key) for s, spec in zip(staged, (CARDS, ACCOUNTS, CLIENTS))]
-    profile = refresh_profile(card_profile(*b.dims()), *after, *keys)
+    root = _scratch(spark)
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{root}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{root}/{name}")
+
+    specs = (CARDS, ACCOUNTS, CLIENTS)
+    profile = stored(card_profile(*b.dims()), "profile")  # a warehouse has both as tables
+    after = [stored(scd2.merge(h, s, None, spec.key, spec.attrs, fx.CHAIN_RUN), spec.name)
+             for h, s, spec in zip(b.dims(), staged, specs)]
+    profile = refresh_profile(profile, *after, *[s.select(spec.key) for s, spec in zip(staged, specs)])
     return enrich_profile(b.tx, profile).select("trans_id", "trans_date", "card_num", "account_num", "valid_to", "client",
                                                 "passport_num", full_name().alias("fio"), "phone")
 
