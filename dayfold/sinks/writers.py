@@ -72,10 +72,13 @@ class Committed:
 
 
 def read_commits(spark: SparkSession, root: str) -> Committed:
-    """A few rows per run: the only thing a run brings to the driver."""
+    """A few rows per run: the only thing a run brings to the driver. A warehouse without commits is an empty one; any
+    other error in reading them is raised, lest an existing warehouse be taken for empty."""
     try:
         rows = spark.read.schema(COMMITS).parquet(f"{root}/_commits").collect()
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return Committed()
     attempts: dict[dt.date, str] = {}
     for r in rows:

@@ -5,7 +5,8 @@ which drops were processed, ``Trigger.AvailableNow`` processes everything waitin
 the scheduler once a day), and ``cleanSource=archive`` moves processed files into the archive folder.
 Several drops can arrive in one micro-batch; the history merge is order-sensitive, so ``foreachBatch``
 runs the days in ascending drop-date order. A second file of the day loaded last repeats that run with the rows of
-both. Rows of files without a date in their name, or of days before the last run, are kept in ``_stray_files`` and do
+both: staged rows carry their file's name, a file that comes again (a replayed batch, a corrected file of that name)
+replaces its own rows, and equal rows of one file stay as many as they are. Rows of files without a date in their name, or of days before the last run, are kept in ``_stray_files`` and do
 not stop the stream; the latter take a replay.
 """
 
@@ -21,7 +22,18 @@ from dayfold.schemas import REJECTS, TRANSACTIONS
 from dayfold.sinks import read_commits, read_runs
 from dayfold.sources import drop_date, parse_text_columns
 
-STAGED = REJECTS  # transactions with their bad cells
+FILE = "source_file"
+STAGED = StructType([*REJECTS.fields, StructField(FILE, StringType(), True)])  # transactions, bad cells, file
+
+
+def with_new_files(earlier: DataFrame, rows: DataFrame) -> DataFrame:
+    """Staged rows of a day after ``rows`` of one or more files came. Rows staged without a file's name (loaded by hand)
+    are kept but for those that ``rows`` has too."""
+    files = rows.select(FILE).distinct()
+    named = earlier.where(F.col(FILE).isNotNull()).join(files, FILE, "left_anti").select(*rows.columns)
+    none = F.lit(None).cast("string")
+    unnamed = earlier.where(F.col(FILE).isNull()).select(*rows.columns).exceptAll(rows.withColumn(FILE, none))
+    return named.unionByName(unnamed).unionByName(rows)
 
 
 def start_intake(spark: SparkSession, drop_dir: str, wh: Warehouse, inputs: DailyInputs, checkpoint: str,
@@ -32,7 +44,7 @@ def start_intake(spark: SparkSession, drop_dir: str, wh: Warehouse, inputs: Dail
               .option("pathGlobFilter", pattern))
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    stream = reader.csv(drop_dir).withColumn("drop_date", drop_date(F.col("_metadata.file_name")))
+    stream = reader.csv(drop_dir).withColumn(FILE, F.col("_metadata.file_name")).withColumn("drop_date", drop_date(F.col(FILE)))
 
     def process(batch: DataFrame, epoch: int) -> None:
         batch = batch.persist()
@@ -46,10 +58,11 @@ def start_intake(spark: SparkSession, drop_dir: str, wh: Warehouse, inputs: Dail
                 if last is not None and day < last:
                     stray = stray | (F.col("drop_date") == F.lit(day))
                     continue
-                rows = parse_text_columns(batch.where(F.col("drop_date") == F.lit(day)), TRANSACTIONS, bad_cells=True)
+                rows = parse_text_columns(batch.where(F.col("drop_date") == F.lit(day)), TRANSACTIONS, keep=[FILE],
+                                          bad_cells=True).select(*STAGED.names)
                 if day == last:  # another file of the day loaded last: its run is repeated with both
                     earlier = read_runs(spark, wh.base, "_staging/transactions", STAGED, commits.attempts, [day])
-                    rows = earlier.unionByName(rows).distinct()
+                    rows = with_new_files(earlier, rows)
                 run_day(spark, wh, inputs.with_transactions(rows), day, config)
             stray = batch.where(stray)
             if stray.head(1):

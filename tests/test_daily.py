@@ -280,3 +280,28 @@ def test_bucketed_layout_holds_the_same_warehouse(spark, loaded, tmp_path):
         assert spark_rows(read_dimension(spark, other, name, DAYS[1]).select(*want.columns)) == spark_rows(want)
     want = read_report(spark, wh).where(F.col("report_dt").isin(DAYS[:2]))
     assert spark_rows(read_report(spark, other)) == spark_rows(want)
+
+
+def test_files_of_a_day_are_united_by_name(spark):
+    from dayfold.streaming.intake import STAGED, with_new_files
+
+    def rows(*some):
+        return spark.createDataFrame([(i, None, None, "1", None, "SUCCESS", "1", [], f) for i, f in some], STAGED)
+
+    def ids(df):
+        return sorted(((r.trans_id, r.source_file) for r in df.collect()), key=str)
+
+    earlier = rows(("a", "one"), ("a", "one"), ("b", "two"), ("c", None), ("c", None), ("d", None))
+    got = with_new_files(earlier, rows(("b", "two"), ("b2", "two"), ("c", "three")))
+    assert ids(got) == sorted([("a", "one"), ("a", "one"), ("b", "two"), ("b2", "two"), ("c", "three"),
+                                                ("c", None), ("d", None)], key=str)
+    again = with_new_files(rows(("a", "one"), ("a", "one")), rows(("a", "one"), ("a", "one")))
+    assert ids(again) == [("a", "one"), ("a", "one")]  # a replayed batch
+
+
+def test_only_a_missing_folder_means_no_commits(spark, tmp_path):
+    assert read_commits(spark, str(tmp_path)).last() is None
+    (tmp_path / "_commits").mkdir()
+    (tmp_path / "_commits" / "part-0.parquet").write_bytes(b"not a table")
+    with pytest.raises(Exception):
+        read_commits(spark, str(tmp_path))
