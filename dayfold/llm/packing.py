@@ -36,6 +36,8 @@ GROUP_BYTES = 4 << 20
 RUN = 1 << 20
 #: Distinct words whose ids a task keeps; beyond it the list starts anew.
 WORDS_KEPT = 1_000_000
+#: Their characters and their ids, likewise.
+CHARS_KEPT = 1 << 24
 
 # The published split pattern of the word BPE (white space dropped), for code points below U+0250.
 LATIN_WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+"
@@ -101,16 +103,28 @@ class WordTokenizer:
         self.clear()
 
     def clear(self):
-        self.index: dict = {}  # places of strings that aren't cut by byte classes, and of the end
+        self.index: dict = {}  # places of words that aren't cut by byte classes, of added tokens, and of the end
+        self.held = 0  # characters of these
         self.hash, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # of words, by their sorted hashes
-        self.first, self.flat = np.zeros(1, np.int64), np.zeros(0, self.dtype)
+        self.n = 0  # lists of ids kept: list i is flat[first[i]:first[i + 1]], both arrays have room to grow
+        self.first, self.flat = np.zeros(1024, np.int64), np.zeros(4096, self.dtype)
 
     def learn(self, ids: list[list[int]]) -> np.ndarray:
         """Keep these ids; returns their places."""
-        at = len(self.first) - 1
-        self.flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), self.dtype)])
-        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum([len(x) for x in ids], dtype=np.int64)])
-        return np.arange(at, at + len(ids), dtype=np.int32)
+        at, start = self.n, int(self.first[self.n])
+        ends = start + np.cumsum([len(x) for x in ids], dtype=np.int64)
+        self.n += len(ids)
+        end = int(ends[-1]) if len(ids) else start
+        if self.n >= len(self.first):
+            self.first = np.concatenate([self.first, np.zeros(self.n, np.int64)])
+        if end > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(end, self.dtype)])
+        self.first[at + 1:self.n + 1] = ends
+        self.flat[start:end] = np.fromiter((i for x in ids for i in x), self.dtype, end - start)
+        return np.arange(at, self.n, dtype=np.int32)
+
+    def full(self) -> bool:
+        return self.n > WORDS_KEPT or self.held > CHARS_KEPT or int(self.first[self.n]) > CHARS_KEPT
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
@@ -138,28 +152,28 @@ class WordTokenizer:
         return place, np.searchsorted(s, offs)
 
     def of_other(self, text: str) -> np.ndarray:
-        if self.other(text):
-            keys = [("whole", text)]
-        else:
-            parts = self.added.split(text) if self.added else [text]
-            keys = [w for i, p in enumerate(parts) for w in ([("added", p)] if i % 2 else self.words(p.lower()))]
+        """Places of the words and added tokens of a text without other scripts."""
+        parts = self.added.split(text) if self.added else [text]
+        keys = [w for i, p in enumerate(parts) for w in ([("added", p)] if i % 2 else self.words(p.lower()))]
         new = [k for k in dict.fromkeys(keys) if k not in self.index]
         if new:
-            self.index.update(zip(new, self.learn([
-                [self.special[k[1]]] if k[0] == "added" and type(k) is tuple else
-                self.encode([k if type(k) is str else k[1]])[0] for k in new]).tolist()))
+            words = [k for k in new if type(k) is str]
+            found = dict(zip(words, self.encode(words)))
+            self.index.update(zip(new, self.learn([found[k] if type(k) is str else [self.special[k[1]]] for k in new]).tolist()))
+            self.held += sum(map(len, words))
         return np.fromiter(map(self.index.__getitem__, keys), np.int64, len(keys))
 
     def __call__(self, buf: np.ndarray, offs: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
-        """All ids and the documents' offsets into them; ``end`` follows each document."""
-        if len(self.first) > WORDS_KEPT:
+        """All ids and the documents' offsets into them; ``end`` follows each document. Words are kept from call to call,
+        texts of other scripts are encoded whole and forgotten."""
+        if self.full():
             self.clear()
         if ("end", end) not in self.index:
             self.index["end", end] = int(self.learn([[end]])[0])
         stop = np.array([self.index["end", end]])
         plain = simple(buf, offs)
         cuts = np.flatnonzero(np.diff(plain, prepend=~plain[:1]))
-        places, counts = [], []
+        places, counts, whole = [], [], []
         for a, b in zip(cuts, [*cuts[1:], len(plain)]):
             part, o = buf[offs[a]:offs[b]], offs[a:b + 1] - offs[a]
             if plain[a]:
@@ -168,12 +182,22 @@ class WordTokenizer:
                 counts.append(np.diff(first) + 1)
             else:
                 for i in range(b - a):
-                    place = self.of_other(part[o[i]:o[i + 1]].tobytes().decode())
+                    text = part[o[i]:o[i + 1]].tobytes().decode()
+                    if self.other(text):
+                        whole.append((len(places), text))
+                        place = stop
+                    else:
+                        place = self.of_other(text)
                     places += [place, stop]
                     counts.append([len(place) + 1])
+        kept = self.n
+        if whole:
+            for (at, _), place in zip(whole, self.learn(self.encode([text for _, text in whole]))):
+                places[at] = np.array([place])
         place, count = np.concatenate(places), np.concatenate(counts)
-        width = np.diff(self.first)[place]
+        width = self.first[place + 1] - self.first[place]
         ids = self.flat[K.ranges(self.first[place], width)]
+        self.n = kept
         return ids, np.concatenate([[0], np.cumsum(width)])[np.concatenate([[0], np.cumsum(count)])]
 
 

@@ -114,3 +114,38 @@ def test_packing_of_odd_rows(odd_docs, no_docs):
     assert [r.ids for r in rows if r.doc_id == 3] == [[1]]
     assert all(len(r.ids) == r.length for r in rows)
     assert pack(no_docs, WORDS).collect() == []
+
+
+def test_texts_of_other_scripts_are_not_kept():
+    """The same ids as the library's, and neither time nor memory grows with the texts seen before."""
+    import random
+    import time
+
+    import numpy as np
+    import public_tokenizers
+    import pyarrow as pa
+
+    from dayfold.llm import kernel as K
+    from dayfold.llm.packing import WordTokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tok, rng = WordTokenizer(path), random.Random(4)
+    tok.clear()
+    spent, kept = [], []
+    for turn in range(10):
+        texts = ["".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(300)) for _ in range(500)]
+        texts += ["plain words 12 it's", "\u0131 x\u0131y", "", "mixed \u4e00 and <|endoftext|> Latin"]
+        buf, offs = K.text_buffer(pa.array(texts))
+        at = time.process_time()
+        ids, first = tok(buf, offs, 1)
+        spent.append(time.process_time() - at)
+        kept.append((tok.n, sum(map(len, (k for k in tok.index if type(k) is str)))))
+        if turn in (0, 9):
+            want = [tok.tok.encode(t, add_special_tokens=False).ids + [1] for t in texts]
+            assert [ids[a:b].tolist() for a, b in zip(first, first[1:])] == want
+    assert len(set(kept)) == 1 and kept[0][0] < 50
+    assert min(spent[5:]) < 3 * min(spent[:5])
+    tok.clear()
+    assert tok.learn([]).tolist() == [] and tok.learn([[5], [], [6, 7]]).tolist() == [0, 1, 2]
+    big = tok.learn([list(range(3000))] * 5)
+    assert tok.first[big[-1] + 1] - tok.first[big[-1]] == 3000 and np.array_equal(tok.flat[:3], [5, 6, 7])
