@@ -8,20 +8,24 @@ smaller counts over sum of the larger) of at least ``percent`` / 100.
    number of words. A window can only reach the similarity with an item of its length if enough of its shingles are
    those of such items, so windows below that count are left out without loss; the bitmap's false positives only let
    some windows through.
-2. Each remaining window gets a 64-bit SimHash. Equal windows are one content from here on, so a passage that a third
+2. Each remaining window gets a 128-bit SimHash. Equal windows are one content from here on, so a passage that a third
    of all documents share is searched once.
-3. The fingerprint is split into 8 blocks of 8 bits. Within a Hamming distance of 23 some block differs in at most 2
-   bits, so items list the 37 values around each block, and the equi-join on (words, block, value) meets every item
-   within that radius. At the threshold the expected distance is 10 with a deviation of 3.
-4. Pairs within the radius are confirmed on their shingles, and joined back to the documents.
+3. The fingerprint is split into 8 blocks of 16 bits. Within a Hamming distance of 31 some block differs in at most 3
+   bits, so items list the 697 values around each block, and the equi-join on (words, block, value) meets every item
+   within that radius, but only 8 % of the items that have nothing to do with a window. At the threshold the expected
+   distance is 19 with a deviation of 4; pairs that meet are kept up to 40, where unrelated ones (64, 6) hardly come.
+4. These pairs are confirmed on their shingles, and joined back to the documents.
 
 Words are runs of ASCII letters and digits and all non-ASCII bytes, A-Z lower-cased. Defined results: null and blank
-texts and items match nothing; items of fewer than k words are one shingle; a repeated (doc_id, item_id) is reported
+texts and items match nothing; an empty table of either kind gives no rows; very long texts are cut into words whole and
+looked at window by window; items of fewer than k words are one shingle; a repeated (doc_id, item_id) is reported
 once with its best window, the first among equals; a null id is a value like any other; other columns are ignored.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,22 +35,33 @@ from . import kernel as K
 from .bitmap import bitmap_of, in_bitmap
 from .common import batch, text_column, written
 
-BLOCKS, BLOCK_BITS, BLOCK_RADIUS = 8, 8, 2
+BLOCKS, BLOCK_BITS, BLOCK_RADIUS = 8, 16, 3
+#: Every pair within this distance meets in a block.
 RADIUS = BLOCKS * (BLOCK_RADIUS + 1) - 1
+#: Pairs that meet are compared in full up to this distance.
+CONFIRM = 40
 RUN = 1 << 19
+PRINT, ITEM_PRINT = ("print", "print2"), ("item_print", "item_print2")
 
 PLAIN_TABLE = np.zeros(256, np.uint8)
 PLAIN_TABLE[[*range(48, 58), *range(97, 123), *range(128, 256)]] = [*range(48, 58), *range(97, 123), *range(128, 256)]
 PLAIN_TABLE[65:91] = np.arange(97, 123)
 
 
-def fingerprints(h: np.ndarray) -> np.ndarray:
-    """SimHash of each row of a matrix of shingle hashes."""
-    ones = np.zeros((len(h), 64), np.int32)
-    for bit in range(64):
-        ones[:, bit] = ((h >> np.uint64(bit)) & np.uint64(1)).sum(axis=1)
-    up = 2 * ones > h.shape[1]
-    return (up.astype(np.uint64) << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
+def fingerprints(h: np.ndarray) -> list[np.ndarray]:
+    """SimHash of each row of a matrix of shingle hashes, as two columns of 64 bits. A bit that half of the shingles
+    have is that of the least one: with a fixed value unrelated fingerprints would be alike."""
+    out = []
+    with np.errstate(over="ignore"):
+        words = h, K.mix(h * K.SLOT_CODE[10] + K.SLOT_CODE[11])
+    for x in words:
+        up, least = np.zeros(len(h), np.uint64), x.min(axis=1)
+        for bit in np.arange(64, dtype=np.uint64):
+            one = np.uint64(1)
+            ones = 2 * ((x >> bit) & one).sum(axis=1).astype(np.int64) + ((least >> bit) & one).astype(np.int64)
+            up |= (ones > h.shape[1]).astype(np.uint64) << bit
+        out.append(up.view(np.int64))
+    return out
 
 
 def codes(sorted_rows: np.ndarray, n_words: int) -> np.ndarray:
@@ -70,9 +85,10 @@ def marked(h: np.ndarray, n_words: int) -> np.ndarray:
 
 
 def item_table(items: DataFrame, k: int) -> DataFrame:
-    """(item_id, item, n_words, item_print, item_shingles, marks); ``item`` is a hash of the words' shingles, ``marks``
+    """(item_id, item, n_words, item_print, item_print2, item_shingles, marks); ``item`` is a hash of the words' shingles, ``marks``
     are the values to set in the bitmap."""
-    schema = pa.schema([("item_id", pa.int64()), ("item", pa.int64()), ("n_words", pa.int32()), ("item_print", pa.int64()),
+    schema = pa.schema([("item_id", pa.int64()), ("item", pa.int64()), ("n_words", pa.int32()),
+                        *((c, pa.int64()) for c in ITEM_PRINT),
                         ("item_shingles", pa.list_(pa.int64())), ("marks", pa.list_(pa.int64()))])
 
     def run(batches):
@@ -81,20 +97,21 @@ def item_table(items: DataFrame, k: int) -> DataFrame:
             h, s, _ = K.words(buf, offs, PLAIN_TABLE)
             first = K.doc_word_offsets(s, offs)
             sh, of = K.shingles(h, first, k)
-            rows = [(i, int(codes(np.sort(sh[x:y])[None, :], b - a).view(np.int64)[0]), b - a, int(fingerprints(sh[x:y][None, :]).view(np.int64)[0]), sh[x:y].view(np.int64),
+            rows = [(i, int(codes(np.sort(sh[x:y])[None, :], b - a).view(np.int64)[0]), b - a,
+                     *(int(p[0]) for p in fingerprints(sh[x:y][None, :])), sh[x:y].view(np.int64),
                      np.concatenate([sh[x:y], marked(sh[x:y], b - a)]).view(np.int64))
                     for i, a, b, x, y in zip(rb.column(0).to_pylist(), first, first[1:], of, of[1:]) if b > a]
             if rows:
                 yield batch(schema, *zip(*rows))
 
-    return items.mapInArrow(run, "item_id long, item long, n_words int, item_print long, item_shingles array<long>, "
-                                 "marks array<long>")
+    return items.mapInArrow(run, "item_id long, item long, n_words int, item_print long, item_print2 long, "
+                                 "item_shingles array<long>, marks array<long>")
 
 
 def item_windows(docs: DataFrame, bits, lengths: list[int], k: int, percent: int) -> DataFrame:
-    """(doc_id, start, n_words, content, print, shingles) of the windows that may reach the similarity."""
+    """(doc_id, start, n_words, content, print, print2, shingles) of the windows that may reach the similarity."""
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_words", pa.int32()), ("content", pa.int64()),
-                        ("print", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+                        *((c, pa.int64()) for c in PRINT), ("shingles", pa.list_(pa.int64()))])
     least = min(need(max(1, n - k + 1), min(1, n), percent) for n in lengths)
 
     def windows(sh, length):
@@ -131,9 +148,10 @@ def item_windows(docs: DataFrame, bits, lengths: list[int], k: int, percent: int
                                     pa.array(mm.reshape(-1).view(np.int64)))
                                 doc = pa.array([ids[a + int(d)].as_py()] * n, pa.int64())
                                 yield batch(schema, doc, starts[x:x + 1024], np.full(n, length, np.int32),
-                                            codes(mm, length).view(np.int64), fingerprints(mm).view(np.int64), flat)
+                                            codes(mm, length).view(np.int64), *fingerprints(mm), flat)
 
-    return docs.mapInArrow(run, "doc_id long, start long, n_words int, content long, print long, shingles array<long>")
+    return docs.mapInArrow(run, "doc_id long, start long, n_words int, content long, print long, print2 long, "
+                                "shingles array<long>")
 
 
 def similarity(pairs: DataFrame, percent: int) -> DataFrame:
@@ -159,9 +177,26 @@ def similarity(pairs: DataFrame, percent: int) -> DataFrame:
         run, "content long, item long, similarity double, hamming int")
 
 
-def near_values() -> list[list[int]]:
-    """For each value of a block the values within its radius."""
-    return [[w for w in range(1 << BLOCK_BITS) if (v ^ w).bit_count() <= BLOCK_RADIUS] for v in range(1 << BLOCK_BITS)]
+def near_masks() -> list[int]:
+    """Differences of two values of a block within its radius."""
+    return [sum(1 << b for b in bits) for r in range(BLOCK_RADIUS + 1) for bits in combinations(range(BLOCK_BITS), r)]
+
+
+def _blocks(df: DataFrame, prints: tuple[str, str]) -> DataFrame:
+    """Rows of ``df`` once per block, with the block's number and value."""
+    value = f"explode(transform(sequence(0, {BLOCKS - 1}), b -> struct(b as block, cast(shiftright(if(b < {BLOCKS // 2}, " \
+            f"{prints[0]}, {prints[1]}), {BLOCK_BITS} * (b % {BLOCKS // 2})) & {(1 << BLOCK_BITS) - 1} as int) as value)))"
+    return df.withColumn("b", F.expr(value)).select(*df.columns, "b.block", "b.value")
+
+
+def meetings(contents: DataFrame, items: DataFrame) -> DataFrame:
+    """(content, item, hamming) of the pairs of one number of words that meet in a block, once per block."""
+    masks = ",".join(map(str, near_masks()))
+    listed = _blocks(items.select("item", "n_words", *ITEM_PRINT), ITEM_PRINT).withColumn(
+        "value", F.expr(f"explode(transform(array({masks}), m -> m ^ value))"))
+    met = _blocks(contents.select("content", "n_words", *PRINT), PRINT).join(listed, ["n_words", "block", "value"])
+    return met.select("content", "item", F.expr(
+        "cast(bit_count(print ^ item_print) + bit_count(print2 ^ item_print2) as int)").alias("hamming"))
 
 
 def leaks(docs: DataFrame, items: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
@@ -178,19 +213,11 @@ def leaks(docs: DataFrame, items: DataFrame, k: int = 5, percent: int = 80, id_c
                                          "n_words int")
     bits = bitmap_of(known.select(F.explode("marks").alias("h")))
     found = written(item_windows(docs, bits, lengths, k, percent))
-    contents = found.groupBy("content").agg(F.first("n_words").alias("n_words"), F.first("print").alias("print"),
-                                            F.first("shingles").alias("shingles"))
-    block = "cast(shiftright({0}, 8 * block) & 255 as int)"
+    contents = found.groupBy("content").agg(F.first("n_words").alias("n_words"), F.first("shingles").alias("shingles"),
+                                            *(F.first(c).alias(c) for c in PRINT))
     contents = written(contents)
-    probes = contents.select("content", "n_words", F.expr("explode(sequence(0, 7)) as block"), "print").select(
-        "content", "n_words", "block", F.expr(block.format("print")).alias("value"), "print")
-    near = spark.createDataFrame([(v, n) for v, n in enumerate(near_values())], "own int, value array<int>")
-    distinct = known.groupBy("item").agg(*(F.first(c).alias(c) for c in ("n_words", "item_print", "item_shingles")))
-    listed = distinct.select("item", "n_words", "item_print", F.expr("explode(sequence(0, 7)) as block")).withColumn(
-        "own", F.expr(block.format("item_print"))).join(near, "own").withColumn("value", F.explode("value"))
-    hamming = F.expr("bit_count(print ^ item_print)").cast("int")
-    pairs = (probes.join(listed, ["n_words", "block", "value"]).withColumn("hamming", hamming)
-             .where(F.col("hamming") <= RADIUS).select("content", "item", "hamming").distinct())
+    distinct = known.groupBy("item").agg(*(F.first(c).alias(c) for c in ("n_words", *ITEM_PRINT, "item_shingles")))
+    pairs = meetings(contents, distinct).where(F.col("hamming") <= CONFIRM).distinct()
     pairs = pairs.join(contents.select("content", "shingles"), "content").join(distinct.select("item", "item_shingles"), "item")
     sure = similarity(pairs, percent).join(known.select("item_id", "item").distinct(), "item")
     best = found.select("doc_id", "start", "n_words", "content").join(sure, "content").groupBy("doc_id", "item_id").agg(

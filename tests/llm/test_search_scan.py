@@ -13,7 +13,10 @@ import pytest
 
 from conftest import SF_SMALL
 from llmcases import no_docs, odd_docs, ready  # noqa: F401
+from pyspark.sql import functions as F
+
 from dayfold.llm import contextmix, licences, mtree
+from dayfold.llm import decontaminate as D
 from dayfold.llm import queries as Q
 from dayfold.llm.common import shared_dir
 from dayfold.llm.contextmix import Model, score
@@ -147,6 +150,32 @@ def test_leaks_of_odd_rows(ready, odd_docs, no_docs):
     assert leaks(no_docs, items).collect() == [] and leaks(odd_docs, items.where("false")).collect() == []
 
 
+def test_unrelated_windows_rarely_meet_an_item(ready):
+    """Of all pairs of one length below a tenth meet in a block, and nearly none is left to confirm."""
+    rng = random.Random(8)
+    texts = [(i, " ".join(f"w{rng.randint(0, 50_000)}" for _ in range(40))) for i in range(900)]
+    known = D.item_table(ready.createDataFrame(texts, "item_id long, text string"), 5)
+    items = known.where("item_id < 200")
+    contents = known.where("item_id >= 200").selectExpr(
+        "item as content", "n_words", "item_print as print", "item_print2 as print2")
+    met = D.meetings(contents, items).agg(
+        F.count("*").alias("n"), F.sum(F.expr(f"int(hamming <= {D.CONFIRM})")).alias("left")).first()
+    assert 0 < met.n < 0.1 * 200 * 700 and met.left < 20
+
+
+@pytest.mark.parametrize("n", [4, 9, 12, 20, 36, 100, 400])
+def test_recall_of_the_blocks_at_the_threshold(n):
+    """Item and window of n shingles that share just enough of them for 80 %: the pair meets and is confirmed."""
+    rng = np.random.default_rng(n)
+    share = D.need(n, n, 80)
+    a = rng.integers(0, 2**63, (800, n), dtype=np.uint64) * np.uint64(2)
+    b = np.concatenate([a[:, :share], rng.integers(0, 2**63, (800, n - share), dtype=np.uint64) * np.uint64(2) + np.uint64(1)], axis=1)
+    apart = np.stack([x ^ y for x, y in zip(D.fingerprints(a), D.fingerprints(b))], axis=1).view(np.uint16)
+    bits = np.bitwise_count(apart)
+    found = (bits <= D.BLOCK_RADIUS).any(axis=1) & (bits.sum(axis=1) <= D.CONFIRM)
+    assert found.mean() >= 0.99
+
+
 def brute_licences(docs, templates, percent=80):
     def grams(t):
         w = plain_words(t)
