@@ -9,8 +9,13 @@ components. Equal sets are one node from the start (grouped with partial aggrega
 any size costs one node. Within a table bucket the members are compared with one member (a star). Where a bucket then
 still holds several components, shingles that only one candidate has are counted: they can't be in an intersection,
 which bounds what a set may be linked to, without loss. A second star around the set with the smallest such share (the
-original of a group of edited copies) follows, and at last all pairs of different components, block by block.
-Every pair of a bucket ends compared, already connected, or excluded by the bound: no bucket is capped.
+original of a group of edited copies) follows. Of what is left only the rarest shingles tell sets apart (the prefix: as
+many of a set as the threshold lets it lose, and one; shingles that one candidate has left out), so stars follow in
+tensored tables over prefixes, where the members of a bucket agree in what a template's letters differ in, as long as
+they connect many. What then still lies in different components meets in an exact prefix-filter join: a linked pair
+shares a shingle of both prefixes, so sets with a common one are compared, but not those of a shingle's most frequent
+component with each other. Every pair of a bucket ends compared, already connected, or excluded by these bounds: no bucket is
+capped.
 
 Defined results: a null or blank text has no shingles, is its own class and links with nothing; fewer words than
 ``k`` make one shingle; repeated rows are documents of their own; a null doc_id takes part and is ignored as a class
@@ -22,6 +27,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from . import kernel as K
@@ -30,8 +36,12 @@ from .common import batch, spread, text_column, written
 from .graph import components
 
 RUN = 1 << 19
-#: Sets per block where a family of candidates is compared completely.
+#: Sets per block where the sets of a common rare shingle are compared.
 BLOCK = 256
+#: Another star follows while the last one left at most this part of the components, and more than BLOCK of them.
+MERGING = 0.75
+#: Sub-keys per collection of a table over prefixes, one minhash each.
+SHARP = 8
 
 
 def tables_for(percent: int, rows: int, miss: float) -> int:
@@ -168,16 +178,41 @@ def _star(members: DataFrame, order) -> DataFrame:
     return p.select(F.least("node", "c.node").alias("u"), F.greatest("node", "c.node").alias("v")).distinct()
 
 
-def _rest(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between different components of ``members``, all pairs that meet in a bucket included. Buckets mostly
-    repeat each other's pairs, so the members connected through buckets are one family, cut into blocks; a task
-    compares two blocks on their full sets and returns links only."""
-    low = members.groupBy("key").agg(F.min("node").alias("u"))
-    family = components(members.join(low, "key").select("u", F.col("node").alias("v")))
-    some = members.select("node", "root").distinct().join(family.withColumnRenamed("root", "family"), "node")
-    size = some.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    some = some.join(size, "family").withColumn("own", F.expr("cast(pmod(xxhash64(node), blocks) as int)"))
-    some = some.select("family", "node", "root", "own", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"))
+def _prefixes(some: DataFrame, percent: int) -> DataFrame:
+    """(node, root, n, s): the shingles s of each set's prefix, its n - ceil(n * percent / 100) + 1 rarest among
+    ``some(node, root, shingles)``, that other sets have too. Linked sets share a shingle of both prefixes: the smaller
+    intersection they may have is larger than what either set holds outside its prefix."""
+    each = some.select("node", "root", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
+    often = each.groupBy("s").agg(F.count("*").alias("c"))
+    rarest = F.row_number().over(Window.partitionBy("node").orderBy("c", "s"))
+    return (each.join(often, "s").withColumn("rank", rarest)
+            .where(F.expr(f"rank <= n - ceil(n * {percent} / 100) + 1")).where("c > 1").select("node", "root", "n", "s"))
+
+
+def _sharp_keys(prefix: DataFrame, turn: int) -> DataFrame:
+    """(key, node, root): pairs of one of ``SHARP`` minhashes over the prefix and one of as many others."""
+    least = [F.min(F.xxhash64("s", F.lit(1000 * turn + j))).alias(f"m{j}") for j in range(2 * SHARP)]
+    left, right = (F.array(*(F.xxhash64(F.col(f"m{j}"), F.lit(j)) for j in half))
+                   for half in (range(SHARP), range(SHARP, 2 * SHARP)))
+    node = prefix.groupBy("node", "root").agg(*least)
+    return (node.select("node", "root", F.explode(left).alias("l"), right.alias("r"))
+            .select("node", "root", "l", F.explode("r").alias("r")).select(F.xxhash64("l", "r").alias("key"), "node", "root"))
+
+
+def _rest(prefix: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between different components of ``prefix``, all linked pairs included: sets that have a shingle of their
+    prefixes in common are compared on their full sets, in blocks where it is frequent. Blocks hold sets of a shingle's
+    most frequent component, which aren't compared with each other, or the others. A task compares two blocks and
+    returns links only."""
+    parts = prefix.groupBy("s", "root").agg(F.count("*").alias("m"))
+    group = (parts.groupBy("s").agg(F.max_by("root", F.struct("m", "root")).alias("main"), F.max("m").alias("most"),
+                                    F.sum("m").alias("all")).where("all > most")
+             .select("s", "main", F.expr(f"cast(ceil((all - most) / {BLOCK}) as int)").alias("others"),
+                     F.expr(f"cast(ceil(most / {BLOCK}) as int)").alias("mains")))
+    some = prefix.select("s", "node", "root").join(group, "s").withColumn("own", F.expr(
+        "cast(if(root = main, others + pmod(xxhash64(node), mains), pmod(xxhash64(node), others)) as int)"))
+    some = some.select(F.col("s").alias("family"), "node", "root", "own", F.explode(F.expr(
+        "sequence(0, if(root = main, others, others + mains) - 1)")).alias("other"))
     some = some.select("family", "node", "root", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"),
                        F.col("own").alias("side")).join(sets, "node")
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
@@ -204,7 +239,7 @@ def _rest(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         u, v = np.nonzero(link)
         return pa.Table.from_batches([batch(schema, node[u], node[v])])
 
-    return some.groupBy("family", "a", "b").applyInArrow(run, "u long, v long")
+    return some.groupBy("family", "a", "b").applyInArrow(run, "u long, v long").distinct()
 
 
 def _shape(nodes: DataFrame, sets: DataFrame) -> DataFrame:
@@ -236,23 +271,34 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, rows: int =
         wanted = cand.select("node").distinct().join(classes, F.col("node") == F.col("set_id")).select("node", "label")
         wanted = written(wanted)
         sets = written(_shingle_sets(docs, wanted, k))
-        shape = None
-        for turn in ("any centre", "plainest centre", "all"):
-            if comp is None:
+        shape, before, turn = None, None, 0
+        while True:
+            if turn == 0:
                 pairs = _star(cand.withColumn("root", F.col("node")), F.xxhash64("node"))
             else:
-                cand = written(_unsettled(cand, comp, shape, percent).select("key", "node"))
-                shape = written(_shape(cand.select("node").distinct(), sets))
+                if turn <= 2:  # a bound stays right when fewer candidates are left
+                    cand = written(_unsettled(cand, comp, shape, percent).select("key", "node"))
+                    shape = written(_shape(cand.select("node").distinct(), sets))
                 members = written(_unsettled(cand, comp, shape, percent))
-                if turn == "all":
-                    links = written(links.union(_rest(members, sets, percent)))
-                    comp = components(links)
-                    break
-                pairs = _star(members, F.struct(F.col("own") / F.col("n"), F.xxhash64("node")))
+                if turn == 1:
+                    pairs = _star(members, F.struct(F.col("own") / F.col("n"), F.xxhash64("node")))
+                else:
+                    some = members.select("node", "root").distinct().join(sets, "node")
+                    roots = members.select("root").distinct().count()
+                    prefix = written(_prefixes(some, percent)) if roots else None
+                    if roots <= BLOCK or before and roots > MERGING * before:
+                        if roots:
+                            links = written(links.union(_rest(prefix, sets, percent)))
+                            comp = components(links)
+                        break
+                    before = roots
+                    pairs = _star(_sharp_keys(prefix, turn), F.xxhash64("node", F.lit(turn)))
                 pairs = pairs.join(done, ["u", "v"], "left_anti")
-            done = written(pairs)
-            links = written(links.union(_links(done, sets, percent)))
+            new = written(pairs)
+            done = new if done is None else done.union(new)
+            links = written(links.union(_links(new, sets, percent)))
             comp = components(links)
+            turn += 1
     comp = spark.createDataFrame([], "node long, root long") if comp is None else comp
     degree = links.union(links.select("v", "u")).groupBy(F.col("u").alias("node")).agg(F.count("*").alias("n_links"))
     member = classes.select("set_id", "label").join(comp, classes.set_id == comp.node, "left").select(

@@ -9,6 +9,8 @@ import pytest
 
 from conftest import SF_SMALL
 from llmcases import no_docs, odd_docs, ready  # noqa: F401
+from pyspark.sql import functions as F
+
 from dayfold.llm import queries as Q
 from dayfold.llm import minhash, suffixes
 from dayfold.llm.graph import components
@@ -68,6 +70,61 @@ def test_classes_of_edited_copies(ready, monkeypatch, k, percent):
     assert got == brute_classes(rows, k, percent)
 
 
+def form_letters(n, seed, slots, values):
+    """Letters of 120 words that differ only in ``slots`` words of ``values`` each: nothing in them is rare."""
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(120)]
+    out = []
+    for i in range(n):
+        w = list(words)
+        for q in range(slots):
+            w[7 + q * 113 // slots] = f"s{q}x{rng.randrange(values)}"
+        out.append((i, " ".join(w)))
+    return out
+
+
+@pytest.mark.parametrize("slots,values", [(4, 41), (5, 3), (8, 6)])
+def test_form_letters_match_brute_force(ready, monkeypatch, slots, values):
+    """Pairs on both sides of the threshold that meet nearly always; with the parameters of the pipeline and the query."""
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    rows = form_letters(160, slots, slots, values)
+    df = ready.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for k, percent in ((5, 80), (3, 85)):
+        got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_duplicates(df, k, percent).collect()}
+        want = brute_classes(rows, k, percent)
+        assert got == want
+
+
+def test_prefix_join_finds_every_link(ready, monkeypatch):
+    """All linked pairs of different components, and only these, whatever the blocks."""
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    rng = random.Random(4)
+    sets = [(i, sorted(rng.sample(range(26), rng.randint(1, 24)))) for i in range(150)]
+    df = ready.createDataFrame(sets, "node long, shingles array<long>").repartition(3)
+    some = df.withColumn("root", F.when(df.node % 3 > 0, 100).otherwise(df.node % 50))
+    got = {(r.u, r.v) for r in minhash._rest(minhash._prefixes(some, 70), df, 70).collect()}
+    want = {(i, j) for i, a in sets for j, b in sets
+            if i < j and (i % 3 == 0 and (j % 3 > 0 or i % 50 != j % 50) or i % 3 > 0 and j % 3 == 0) and 100 * len({*a} & {*b}) >= 70 * len({*a} | {*b})}
+    assert got == want and len(want) > 20
+
+
+def test_few_form_letters_reach_the_prefix_join(ready, monkeypatch):
+    """4,000 letters that all end in one class: the stars connect them, and the last turn compares next to nothing."""
+    left = []
+    rest = minhash._rest
+
+    def counted(prefix, sets, percent):
+        parts = prefix.groupBy("s", "root").count().groupBy("s").agg(F.sum("count").alias("n"), F.max("count").alias("most"))
+        left.append(parts.agg(F.sum(F.expr("n * (n - most)"))).first()[0] or 0)
+        return rest(prefix, sets, percent)
+
+    monkeypatch.setattr(minhash, "_rest", counted)
+    df = ready.createDataFrame(form_letters(4000, 4, 4, 41), "doc_id long, text string").repartition(4)
+    rows = near_duplicates(df).collect()
+    assert {r.component_id for r in rows} == {0} and len(rows) == 4000
+    assert sum(left) < 4000 * 50
+
+
 def test_query_matches_brute_force(ready):
     t = pq.read_table(f"{SF_SMALL}/documents.parquet")
     rows = list(zip(t["doc_id"].to_pylist(), t["text"].to_pylist()))
