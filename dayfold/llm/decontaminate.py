@@ -190,11 +190,12 @@ def _blocks(df: DataFrame, prints: tuple[str, str]) -> DataFrame:
 
 
 def meetings(contents: DataFrame, items: DataFrame) -> DataFrame:
-    """(content, item, hamming) of the pairs of one number of words that meet in a block, once per block."""
+    """(content, item, hamming) of the pairs of one number of words that meet in a block, once per block. An item lists
+    5,576 rows, which Spark's estimate of the items' size doesn't see: neither side may be broadcast on it."""
     masks = ",".join(map(str, near_masks()))
     listed = _blocks(items.select("item", "n_words", *ITEM_PRINT), ITEM_PRINT).withColumn(
         "value", F.expr(f"explode(transform(array({masks}), m -> m ^ value))"))
-    met = _blocks(contents.select("content", "n_words", *PRINT), PRINT).join(listed, ["n_words", "block", "value"])
+    met = _blocks(contents.select("content", "n_words", *PRINT), PRINT).join(listed.hint("merge"), ["n_words", "block", "value"])
     return met.select("content", "item", F.expr(
         "cast(bit_count(print ^ item_print) + bit_count(print2 ^ item_print2) as int)").alias("hamming"))
 
