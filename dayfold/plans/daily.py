@@ -22,6 +22,7 @@ from dayfold.operators.temporal import card_profile
 from dayfold.schemas import ACCOUNTS, BLACKLIST, CARDS, CLIENTS, DIM_ACCOUNTS, DIM_CARDS, DIM_CLIENTS, \
     DIM_TERMINALS, FACTS, REJECTS, REPORT, TERMINALS_DIM, DimSpec
 from dayfold.sinks import writers as W
+from dayfold.sinks.archive import input_files
 from dayfold.sinks.deltas import BucketedHistory
 from dayfold.sources import BAD_CELLS, capture_increment, capture_keys
 
@@ -81,7 +82,9 @@ def _staged(run: W.Attempt, inputs: DailyInputs, seen: dict[str, dt.date], pool:
     jobs = {spec.name: pool.submit(source, spec, src) for spec, src in (
         (CARDS, inputs.cards), (ACCOUNTS, inputs.accounts), (CLIENTS, inputs.clients))}
     drops = {"transactions": inputs.transactions, "terminals": inputs.terminals, "blacklist": inputs.blacklist}
-    jobs |= {name: pool.submit(lambda n=name, f=f: run.write(f"_staging/{n}", f(run.run))) for name, f in drops.items()}
+    drops = {name: drop(run.run) for name, drop in drops.items()}
+    run.files |= input_files(*drops.values(), apart_from=run.root)
+    jobs |= {name: pool.submit(run.write, f"_staging/{name}", df) for name, df in drops.items()}
     return {name: job.result() for name, job in jobs.items()}
 
 

@@ -1,5 +1,6 @@
 """Run-keyed tables, commits, and the pure forms of the writers."""
 
+from dayfold.sinks.archive import archive_committed, input_files  # noqa: F401
 from dayfold.sinks.writers import (  # noqa: F401
     Attempt,
     Committed,

@@ -50,11 +50,12 @@ def new_entries(staged: DataFrame, watermark, at: str = "entry_dt") -> DataFrame
 
 @dataclass(frozen=True)
 class Committed:
-    """The committed runs: attempt, watermarks, and per table (low, high, rows)."""
+    """The committed runs: attempt, watermarks, per table (low, high, rows), and the drop files read (time written)."""
 
     attempts: dict[dt.date, str] = field(default_factory=dict)
     marks: dict[dt.date, dict[str, dt.date]] = field(default_factory=dict)
     tables: dict[tuple[dt.date, str], tuple[dt.date | None, dt.date | None, int]] = field(default_factory=dict)
+    files: dict[dt.date, dict[str, int]] = field(default_factory=dict)
 
     def last(self, before=None) -> dt.date | None:
         return max((d for d in self.attempts if before is None or d < as_date(before)), default=None)
@@ -88,6 +89,8 @@ def read_commits(spark: SparkSession, root: str) -> Committed:
         if r.attempt == attempts[r.run]:
             if r.kind == "watermark":
                 out.marks.setdefault(r.run, {})[r.name] = r.high
+            elif r.kind == "file":
+                out.files.setdefault(r.run, {})[r.name] = r.rows
             else:
                 out.tables[r.run, r.name] = (r.low, r.high, r.rows)
     return out
@@ -112,6 +115,7 @@ class Attempt:
         self.spark, self.root, self.run = spark, root, as_date(run_date)
         self.attempt = f"{time.time_ns():020d}"
         self.written: dict[str, tuple[dt.date | None, dt.date | None, int]] = {}
+        self.files: dict[str, int] = {}  # drop files that the run reads, and when each was last written
 
     def read(self, table: str, schema: StructType) -> DataFrame:
         return read_runs(self.spark, self.root, table, schema, {self.run: self.attempt}, [self.run])
@@ -137,6 +141,7 @@ class Attempt:
     def commit(self, watermarks: list[tuple[str, dt.date]]) -> None:
         rows = [(self.run, self.attempt, "watermark", name, None, value, None) for name, value in watermarks]
         rows += [(self.run, self.attempt, "table", name, *bounds) for name, bounds in self.written.items()]
+        rows += [(self.run, self.attempt, "file", name, None, None, at) for name, at in self.files.items()]
         df = self.spark.createDataFrame(rows, COMMITS).coalesce(1)
         df.write.parquet(run_path(self.root, "_commits", self.run, self.attempt))
 
