@@ -52,7 +52,7 @@ def bitmap_of(values: DataFrame, log2_bits: int = LOG2_BITS):
     pages = values.select(F.col("h").cast("long")).mapInArrow(run, kind)
     pages = pages.repartition(F.col("page")).mapInArrow(merge, kind)
     whole = np.zeros((1 << log2_bits) // 8, np.uint8)
-    for row in pages.toLocalIterator():
+    for row in pages.collect():  # each page once, so no more than the map; an iterator would take a job per partition
         whole[row.page * page:(row.page + 1) * page] |= np.frombuffer(row.bits, np.uint8)
     return values.sparkSession.sparkContext.broadcast(whole)
 

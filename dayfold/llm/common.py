@@ -9,7 +9,7 @@ import uuid
 from collections.abc import Iterable
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -58,6 +58,13 @@ def written(df: DataFrame, path: str | None = None, codec: str = "zstd") -> Data
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written_observed(df: DataFrame, *measures: Column) -> tuple[DataFrame, dict]:
+    """As ``written``, and the values of aggregates that are observed over all rows on the way."""
+    seen = Observation()
+    out = written(df.observe(seen, *measures))
+    return out, seen.get
+
+
 def text_column(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Just the key and the text under fixed names, whatever else the input carries."""
     return df.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))

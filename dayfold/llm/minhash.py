@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 
 from . import kernel as K
 from .bitmap import bitmap_of, in_bitmap
-from .common import batch, spread, text_column, written
-from .graph import components
+from .common import batch, spread, text_column, written, written_observed
+from .graph import parents
 
 RUN = 1 << 19
 #: Sets per block where the sets of a common rare shingle are compared.
@@ -154,23 +154,21 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(F.expr(f"100L * shared >= {percent}L * (na + nb - shared)")).select("u", "v")
 
 
-def _unsettled(cand: DataFrame, comp: DataFrame, shape: DataFrame | None, percent: int) -> DataFrame:
-    """Members (key, node, root) of buckets that still hold more than one component. With ``shape(node, n, own)``, n
-    shingles of which ``own`` no other candidate has, members that can't be linked to any set of the bucket's sizes
-    are left out: an intersection has at most n - own shingles."""
-    m = cand.join(comp, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    if shape is not None:
-        m = m.join(shape, "node")
-    stats = m.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
-                                 *([F.min("n").alias("n_min")] if shape is not None else [])).where("lo <> hi")
-    m = m.join(stats.drop("lo", "hi"), "key")
-    if shape is None:
-        return m
-    m = m.where(f"100L * (n - own) >= {percent}L * (own + greatest(n_min, n - own))").drop("n_min")
+def _mixed(members: DataFrame, comp: DataFrame) -> DataFrame:
+    """Members (key, node, root, ...) of the buckets that still hold more than one component of ``comp(node, root)``."""
+    m = members.join(comp, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = m.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
     return m.join(mixed, "key")
 
 
+def _possible(members: DataFrame, shape: DataFrame, percent: int) -> DataFrame:
+    """Of mixed buckets the members that may be linked to a set of the bucket's sizes, as far as ``shape(node, n, own)``
+    tells, n shingles of which ``own`` no other candidate has: an intersection has at most n - own shingles."""
+    m = members.join(shape, "node")
+    return (m.join(m.groupBy("key").agg(F.min("n").alias("n_min")), "key")
+            .where(f"100L * (n - own) >= {percent}L * (own + greatest(n_min, n - own))").drop("n_min"))
+
+
 def _star(members: DataFrame, order) -> DataFrame:
     """Pairs (u < v) of a bucket's centre, the member that is first in ``order``, with members of other components."""
     centre = members.groupBy("key").agg(F.min_by(F.struct("node", "root"), order).alias("c"))
@@ -199,6 +197,13 @@ def _sharp_keys(prefix: DataFrame, turn: int) -> DataFrame:
             .select("node", "root", "l", F.explode("r").alias("r")).select(F.xxhash64("l", "r").alias("key"), "node", "root"))
 
 
+def _between(prefix: DataFrame, comp: DataFrame) -> DataFrame:
+    """``prefix`` with the roots of ``comp``, without shingles whose sets are all in one component by now."""
+    p = prefix.drop("root").join(comp, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = p.groupBy("s").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("s")
+    return p.join(mixed, "s").select("node", "root", "n", "s")
+
+
 def _rest(prefix: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between different components of ``prefix``, all linked pairs included: sets that have a shingle of their
     prefixes in common are compared on their full sets, in blocks where it is frequent. Blocks hold sets of a shingle's
@@ -263,43 +268,42 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, rows: int =
     classes = written(classes)
     keys = _table_keys(spread(classes, "set_id"), t)
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    cand = written(keys.join(shared, "key"))
+    cand, seen = written_observed(keys.join(shared, "key"), F.count("*").alias("n"))
     spark: SparkSession = docs.sparkSession
     links = spark.createDataFrame([], "u long, v long")
-    comp, done = None, None
-    if cand.head(1):
+    comp = spark.createDataFrame([], "node long, root long")
+
+    def joined(new: DataFrame) -> None:
+        """Takes links between different components over into ``links`` and ``comp``."""
+        nonlocal links, comp
+        new, found = written_observed(new, F.count("*").alias("n"))
+        if found["n"]:
+            comp = parents(new.union(comp))
+            links = links.union(new)
+
+    if seen["n"]:
         wanted = cand.select("node").distinct().join(classes, F.col("node") == F.col("set_id")).select("node", "label")
         wanted = written(wanted)
         sets = written(_shingle_sets(docs, wanted, k))
-        shape, before, turn = None, None, 0
+        joined(_links(_star(cand.withColumn("root", F.col("node")), F.xxhash64("node")), sets, percent))
+        for turn in (1, 2):  # the bounds get closer when fewer candidates are left
+            cand = written(_mixed(cand.select("key", "node"), comp))
+            cand = written(_possible(cand, _shape(cand.select("node").distinct(), sets), percent))
+            if turn == 1:
+                joined(_links(_star(cand, F.struct(F.col("own") / F.col("n"), F.xxhash64("node"))), sets, percent))
+        left, before = cand.select("node", "root").distinct(), None
         while True:
-            if turn == 0:
-                pairs = _star(cand.withColumn("root", F.col("node")), F.xxhash64("node"))
-            else:
-                if turn <= 2:  # a bound stays right when fewer candidates are left
-                    cand = written(_unsettled(cand, comp, shape, percent).select("key", "node"))
-                    shape = written(_shape(cand.select("node").distinct(), sets))
-                members = written(_unsettled(cand, comp, shape, percent))
-                if turn == 1:
-                    pairs = _star(members, F.struct(F.col("own") / F.col("n"), F.xxhash64("node")))
-                else:
-                    some = members.select("node", "root").distinct().join(sets, "node")
-                    roots = members.select("root").distinct().count()
-                    prefix = written(_prefixes(some, percent)) if roots else None
-                    if roots <= BLOCK or before and roots > MERGING * before:
-                        if roots:
-                            links = written(links.union(_rest(prefix, sets, percent)))
-                            comp = components(links)
-                        break
-                    before = roots
-                    pairs = _star(_sharp_keys(prefix, turn), F.xxhash64("node", F.lit(turn)))
-                pairs = pairs.join(done, ["u", "v"], "left_anti")
-            new = written(pairs)
-            done = new if done is None else done.union(new)
-            links = written(links.union(_links(new, sets, percent)))
-            comp = components(links)
+            prefix, seen = written_observed(_between(_prefixes(left.join(sets, "node"), percent), comp),
+                                            F.approx_count_distinct("root").alias("roots"))
+            roots = seen["roots"]
+            if not roots:
+                break
+            if roots <= BLOCK or before and roots > MERGING * before:
+                joined(_rest(prefix, sets, percent))
+                break
             turn += 1
-    comp = spark.createDataFrame([], "node long, root long") if comp is None else comp
+            joined(_links(_star(_sharp_keys(prefix, turn), F.xxhash64("node", F.lit(turn))), sets, percent))
+            left, before = prefix.select("node", "root").distinct(), roots
     degree = links.union(links.select("v", "u")).groupBy(F.col("u").alias("node")).agg(F.count("*").alias("n_links"))
     member = classes.select("set_id", "label").join(comp, classes.set_id == comp.node, "left").select(
         "set_id", "label", F.coalesce("root", "set_id").alias("root"))

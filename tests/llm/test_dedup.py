@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pyarrow.parquet as pq
 import pytest
 
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from dayfold.llm import queries as Q
 from dayfold.llm import minhash, suffixes
+from dayfold.llm import bitmap, graph
 from dayfold.llm.graph import components
 from dayfold.llm.minhash import near_duplicates
 from dayfold.llm.suffixes import remove_repeats
@@ -211,3 +213,40 @@ def test_an_id_that_repeats_is_one_document(ready):
     text = "".join(chr(97 + i * i % 26) for i in range(90))
     df = ready.createDataFrame([(5, text), (5, text), (None, text), (6, text)], "doc_id long, text string")
     assert sorted((r.doc_id or 99, r.n_removed) for r in remove_repeats(df).collect()) == [(5, 0), (5, 0), (6, 90), (99, 90)]
+
+
+def test_a_round_of_components_is_one_query(ready, monkeypatch):
+    """A forest of stars takes one round, one write; a round has no second query that looks for changes."""
+    rounds, seen = [], graph.written_observed
+    monkeypatch.setattr(graph, "written_observed", lambda *a: rounds.append(1) or seen(*a))
+    star = ready.createDataFrame([(i, i % 3) for i in range(3, 90)] + [(5, 5), (None, 1)], "u long, v long")
+    sc = ready.sparkContext
+    sc.setJobGroup("one star", "")
+    got = graph.parents(star)
+    jobs = sc.statusTracker().getJobIdsForGroup("one star")
+    sc.setJobGroup("other", "")
+    assert {(r.node, r.root) for r in got.collect()} == {(i, i % 3) for i in range(3, 90)} and got.count() == 87
+    assert len(rounds) == 1 and len(jobs) <= 8
+    assert graph.parents(star.limit(0)).collect() == []
+
+
+def test_bounds_of_candidates_are_not_joined_by_every_star(ready, monkeypatch):
+    """However many stars follow: the join that bounds a bucket's members is made twice."""
+    calls, possible = [], minhash._possible
+    monkeypatch.setattr(minhash, "_possible", lambda *a: calls.append(1) or possible(*a))
+    monkeypatch.setattr(minhash, "BLOCK", 4)
+    rows = form_letters(120, 8, 8, 6)
+    got = {r.doc_id: r.component_id for r in near_duplicates(
+        ready.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()}
+    assert got == {i: c for i, (_, c, _) in brute_classes(rows, 3, 85).items()}
+    assert len(calls) == 2
+
+
+def test_bitmap_takes_no_job_per_partition(ready):
+    """Its pages come in one go, whatever the number of partitions."""
+    sc = ready.sparkContext
+    sc.setJobGroup("bitmap", "")
+    bits = bitmap.bitmap_of(ready.range(0, 4000, 7).withColumnRenamed("id", "h"))
+    jobs = sc.statusTracker().getJobIdsForGroup("bitmap")
+    sc.setJobGroup("other", "")
+    assert bitmap.in_bitmap(bits, np.arange(0, 4000, 7)).all() and len(jobs) <= 3
