@@ -11,6 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dayfold.llm.bitmap import split_by_id
 from dayfold.llm.common import ship, table, written
 from dayfold.llm.decontaminate import leaks
 from dayfold.llm.langid import UNKNOWN, identify
@@ -31,14 +32,15 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class stays: the one with the smallest doc_id."""
     ship(spark)
-    kept = written(near_duplicates(docs, k=5, percent=80).where("kept").groupBy(F.col("doc_id").alias("id"))
-                   .agg(F.count("*").alias("n")))
-    out = docs.join(kept, docs.doc_id.eqNullSafe(kept.id), "left_semi")
-    again = kept.where("n > 1 and id is not null").select(F.col("id").alias("doc_id"))
-    if again.head(1):
-        out = out.join(again, "doc_id", "left_anti").unionByName(
-            out.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]))
-    return out.select(docs.columns)
+    left = near_duplicates(docs, k=5, percent=80).groupBy(F.col("doc_id").alias("its id")).agg(F.count_if("kept").alias("n left"))
+    left = written(left.where("`n left` <> 1 or `its id` is null"))
+    clear, others = split_by_id(docs, left.select(F.col("its id").alias("h")))
+    found = others.join(left, others.doc_id.eqNullSafe(left["its id"]), "left").where("coalesce(`n left`, 1) > 0")
+    out = clear.unionByName(found.where("`its id` is null").select(docs.columns))
+    if left.where("`n left` > 1 and `its id` is not null").head(1):
+        again = found.where("`its id` is not null").dropDuplicates(["doc_id", "text"])
+        out = out.unionByName(again.select(docs.columns))
+    return out
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,8 +61,9 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain a benchmark item go."""
     ship(spark)
-    found = leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+    found = written(leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct())
+    clear, others = split_by_id(docs, found.withColumnRenamed("doc_id", "h"))
+    return clear.unionByName(others.join(found, "doc_id", "left_anti").select(docs.columns))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

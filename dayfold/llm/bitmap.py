@@ -7,6 +7,7 @@ positives only cost work, the exact join that follows removes them.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,3 +61,17 @@ def bitmap_of(values: DataFrame, log2_bits: int = LOG2_BITS):
 def in_bitmap(bits, values: np.ndarray, log2_bits: int = LOG2_BITS) -> np.ndarray:
     slot = _slot(values, log2_bits)
     return (bits.value[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+def split_by_id(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """The rows of ``docs`` whose id is surely none of column ``h`` of ``ids``, and the others, a null id among them. So
+    a join on few ids moves few texts, whatever the number of documents."""
+    bits = bitmap_of(ids)
+
+    @F.pandas_udf("boolean")
+    def maybe(x: pd.Series) -> pd.Series:
+        return pd.Series(in_bitmap(bits, x.to_numpy()))
+
+    given = F.col(f"`{id_col}`").cast("long")
+    hit = given.isNull() | maybe(F.coalesce(given, F.lit(0)))
+    return docs.where(~hit), docs.where(hit)

@@ -15,13 +15,19 @@ from pyspark.sql import functions as F
 
 _sent: set[str] = set()
 
+#: Workers serve one stage after another; without these, they keep the largest arrays of each after they are freed.
+WORKER_MEMORY = {"MALLOC_MMAP_THRESHOLD_": str(4 << 20), "MALLOC_TRIM_THRESHOLD_": str(16 << 20), "MALLOC_ARENA_MAX": "2",
+                 "ARROW_DEFAULT_MEMORY_POOL": "system"}
+
 
 def ship(spark: SparkSession) -> None:
-    """Send the package to the executors once per application, so tasks can import it where it isn't installed, and
-    bound the Arrow batches by bytes: texts are long, and a task holds a batch on both sides."""
+    """Send the package to the executors once per application, so tasks can import it where it isn't installed, bound
+    the Arrow batches by bytes: texts are long, and a task holds a batch on both sides; and let Python workers give
+    freed memory back."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     sc = spark.sparkContext
+    sc.environment.update(WORKER_MEMORY)
     if sc.applicationId not in _sent:
         root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
         name = os.path.join(tempfile.mkdtemp(prefix="dayfold-"), "dayfold")

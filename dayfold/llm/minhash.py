@@ -154,19 +154,21 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(F.expr(f"100L * shared >= {percent}L * (na + nb - shared)")).select("u", "v")
 
 
-def _mixed(members: DataFrame, comp: DataFrame) -> DataFrame:
-    """Members (key, node, root, ...) of the buckets that still hold more than one component of ``comp(node, root)``."""
-    m = members.join(comp, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = m.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
+def _mixed(members: DataFrame, sizes: DataFrame, comp: DataFrame) -> DataFrame:
+    """Members (key, node, root, n, n_min) of the buckets that still hold more than one component of ``comp(node, root)``,
+    with the shingles n of ``sizes(node, n)`` and of their bucket's smallest set."""
+    m = members.join(sizes.join(comp, "node", "left").withColumn("root", F.coalesce("root", "node")), "node")
+    mixed = (m.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("n").alias("n_min"))
+             .where("lo <> hi").select("key", "n_min"))
     return m.join(mixed, "key")
 
 
-def _possible(members: DataFrame, shape: DataFrame, percent: int) -> DataFrame:
-    """Of mixed buckets the members that may be linked to a set of the bucket's sizes, as far as ``shape(node, n, own)``
-    tells, n shingles of which ``own`` no other candidate has: an intersection has at most n - own shingles."""
-    m = members.join(shape, "node")
-    return (m.join(m.groupBy("key").agg(F.min("n").alias("n_min")), "key")
-            .where(f"100L * (n - own) >= {percent}L * (own + greatest(n_min, n - own))").drop("n_min"))
+def _possible(members: DataFrame, own: DataFrame, percent: int) -> DataFrame:
+    """Of mixed buckets the members that may be linked to a set of the bucket's sizes, as far as ``own(node, own)``
+    tells, the shingles that no other candidate has: an intersection has at most n - own shingles. One row a member at
+    most; both sides are asked for by node, so however large a bucket is, its members are dealt evenly."""
+    m = members.join(own, "node", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+    return m.where(f"100L * (n - own) >= {percent}L * (own + greatest(n_min, n - own))").drop("n_min")
 
 
 def _star(members: DataFrame, order) -> DataFrame:
@@ -204,11 +206,20 @@ def _between(prefix: DataFrame, comp: DataFrame) -> DataFrame:
     return p.join(mixed, "s").select("node", "root", "n", "s")
 
 
+def _once(prefix: DataFrame) -> DataFrame:
+    """``prefix`` with one of the shingles that the very same sets have: long sets share many, but are to be moved and
+    compared once."""
+    same = [F.count("*"), F.bit_xor(F.xxhash64("node")), F.bit_xor(F.xxhash64("node", F.lit(1)))]
+    one = prefix.groupBy("s").agg(F.struct(*same).alias("same")).groupBy("same").agg(F.min("s").alias("s"))
+    return prefix.join(one.select("s"), "s")
+
+
 def _rest(prefix: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between different components of ``prefix``, all linked pairs included: sets that have a shingle of their
     prefixes in common are compared on their full sets, in blocks where it is frequent. Blocks hold sets of a shingle's
     most frequent component, which aren't compared with each other, or the others. A task compares two blocks and
     returns links only."""
+    prefix = _once(prefix)
     parts = prefix.groupBy("s", "root").agg(F.count("*").alias("m"))
     group = (parts.groupBy("s").agg(F.max_by("root", F.struct("m", "root")).alias("main"), F.max("m").alias("most"),
                                     F.sum("m").alias("all")).where("all > most")
@@ -247,14 +258,12 @@ def _rest(prefix: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return some.groupBy("family", "a", "b").applyInArrow(run, "u long, v long").distinct()
 
 
-def _shape(nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """(node, n, own): shingles of a set, and those that no other of ``nodes`` has."""
+def _own(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, own): of the sets that have such, the number of shingles that no other of ``nodes`` has."""
     some = sets.join(nodes, "node", "left_semi")
-    own = (some.select("node", F.explode("shingles").alias("s")).groupBy("s")
-           .agg(F.count("*").alias("c"), F.min("node").alias("node")).where("c = 1")
-           .groupBy("node").agg(F.count("*").alias("own")))
-    return some.select("node", F.size("shingles").cast("long").alias("n")).join(own, "node", "left").select(
-        "node", "n", F.coalesce("own", F.lit(0)).alias("own"))
+    return (some.select("node", F.explode("shingles").alias("s")).groupBy("s")
+            .agg(F.count("*").alias("c"), F.min("node").alias("node")).where("c = 1")
+            .groupBy("node").agg(F.count("*").alias("own")))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, rows: int = 3, miss: float = 5e-4,
@@ -285,13 +294,15 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, rows: int =
         wanted = cand.select("node").distinct().join(classes, F.col("node") == F.col("set_id")).select("node", "label")
         wanted = written(wanted)
         sets = written(_shingle_sets(docs, wanted, k))
+        sizes = written(sets.select("node", F.size("shingles").cast("long").alias("n")))
         joined(_links(_star(cand.withColumn("root", F.col("node")), F.xxhash64("node")), sets, percent))
         for turn in (1, 2):  # the bounds get closer when fewer candidates are left
-            cand = written(_mixed(cand.select("key", "node"), comp))
-            cand = written(_possible(cand, _shape(cand.select("node").distinct(), sets), percent))
+            cand = written(_mixed(cand.select("key", "node"), sizes, comp))
+            cand = _possible(cand, _own(cand.select("node").distinct(), sets), percent)
             if turn == 1:
+                cand = written(cand)
                 joined(_links(_star(cand, F.struct(F.col("own") / F.col("n"), F.xxhash64("node"))), sets, percent))
-        left, before = cand.select("node", "root").distinct(), None
+        left, before = written(cand.select("node", "root").distinct()), None
         while True:
             prefix, seen = written_observed(_between(_prefixes(left.join(sets, "node"), percent), comp),
                                             F.approx_count_distinct("root").alias("roots"))

@@ -54,8 +54,12 @@ LAST = np.iinfo(np.int64).max
 
 def words_at(buf: np.ndarray) -> np.ndarray:
     """The 8 bytes from each position as a big-endian number (zeros behind the end)."""
-    wide = np.concatenate([buf, np.zeros(8, np.uint8)])
-    return np.ndarray(len(buf), ">u8", wide, strides=(1,)).astype(np.uint64)
+    return words_view(buf).astype(np.uint64)
+
+
+def words_view(buf: np.ndarray) -> np.ndarray:
+    """As ``words_at``, over a copy of the bytes: words are made where it is indexed."""
+    return np.ndarray(len(buf), ">u8", np.concatenate([buf, np.zeros(8, np.uint8)]), strides=(1,))
 
 
 def runs(buf: np.ndarray, ends: np.ndarray, length: int):
@@ -167,14 +171,14 @@ def smallest_ids(blob: np.ndarray, sizes: np.ndarray, offsets: np.ndarray, ids:
     n = len(sizes)
     first = np.cumsum(sizes) - sizes
     anchor = first + offsets
-    right, back = words_at(blob), words_at(blob[::-1].copy())
+    right, back = words_view(blob), words_view(blob[::-1])
     end, total = first + sizes, len(blob)
 
     def cut(words, start, room):  # zero the bytes that belong to another run
         keep = np.clip(room, 0, 8).astype(np.uint64)
         with np.errstate(over="ignore"):
             mask = np.where(keep == 0, np.uint64(0), ~np.uint64(0) << (np.uint64(64) - np.uint64(8) * np.maximum(keep, 1)))
-        return words[np.clip(start, 0, max(total - 1, 0))] & mask
+        return words[np.clip(start, 0, max(total - 1, 0))].astype(np.uint64) & mask
 
     def to_right(t, which):
         return cut(right, anchor[which] + 8 * t, end[which] - anchor[which] - 8 * t)
@@ -185,22 +189,32 @@ def smallest_ids(blob: np.ndarray, sizes: np.ndarray, offsets: np.ndarray, ids:
     levels = -(-length // 8)
     part = []
     windows = sizes - length + 1
-    run = np.repeat(np.arange(n), windows)
+    run = np.repeat(np.arange(n, dtype=np.int32), windows)
     before = np.repeat(offsets, windows) - K.ranges(np.zeros(n, np.int64), windows)  # bytes left of the anchor
-    for level, depth in ((to_right, length - before), (to_left, before)):
+    before = before.astype(np.int32)
+    for level, left in ((to_right, False), (to_left, True)):
+        depth = before if left else length - before
         order, split = multikey(level, n, levels)
         lcp = common_prefix(level, order, split, levels)
-        number = np.zeros(len(run), np.int64)
+        number = np.zeros(len(run), np.int32)
         rank = np.empty(n, np.int64)
         rank[order] = np.arange(n)
         for d in np.unique(depth):
             here = depth == d
             number[here] = np.cumsum(lcp < d)[rank[run[here]]]
         part.append(number)
-    key = (part[0] * (n + 1) + part[1]) * (length + 1) + before
+    del right, back, number, depth
+    key = part.pop(0).astype(np.int64)
+    key *= n + 1
+    key += part.pop()
+    key *= length + 1
+    key += before
+    del before
     by = np.argsort(key, kind="stable")
+    key = key[by]
     new = np.ones(len(by), bool)
-    new[1:] = key[by][1:] != key[by][:-1]
+    new[1:] = key[1:] != key[:-1]
+    del key
     low = np.minimum.reduceat(ids[run[by]], np.flatnonzero(new)) if len(by) else ids[:0]
     out = np.empty(len(by), np.int64)
     out[by] = low[np.cumsum(new) - 1]

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow.parquet as pq
@@ -250,3 +251,50 @@ def test_bitmap_takes_no_job_per_partition(ready):
     jobs = sc.statusTracker().getJobIdsForGroup("bitmap")
     sc.setJobGroup("other", "")
     assert bitmap.in_bitmap(bits, np.arange(0, 4000, 7)).all() and len(jobs) <= 3
+
+
+def test_shingles_of_the_same_sets_are_compared_once(ready):
+    """Two long sets that share 400 shingles, and a third that has 5 of them: two families, and the same links."""
+    rows = [(1, 10, s) for s in range(400)] + [(2, 20, s) for s in range(400)] + [(3, 30, s) for s in range(5)]
+    prefix = ready.createDataFrame([(u, r, 400, s) for u, r, s in rows], "node long, root long, n int, s long").repartition(3)
+    got = minhash._once(prefix)
+    families = {frozenset(r.nodes) for r in got.groupBy("s").agg(F.collect_list("node").alias("nodes")).collect()}
+    assert families == {frozenset({1, 2, 3}), frozenset({1, 2})} and got.count() == 5
+
+
+def test_bounds_of_a_bucket_give_each_member_once(ready):
+    """However large a bucket is, its bound adds no rows; members that can't be linked to any size in it go."""
+    rng = random.Random(8)
+    members = [(key, node) for key in range(6) for node in rng.sample(range(60), 30)]
+    n = {i: rng.randint(10, 40) for i in range(60)}
+    own = {i: rng.randint(1, 9) for i in range(0, 60, 2)}
+    root = {i: i % 7 if i > 6 else i for i in range(60)}
+    m = ready.createDataFrame(members, "key long, node long")
+    mixed = minhash._mixed(m, ready.createDataFrame([*n.items()], "node long, n long"),
+                           ready.createDataFrame([x for x in root.items() if x[0] > 6], "node long, root long"))
+    got = minhash._possible(mixed, ready.createDataFrame([*own.items()], "node long, own long"), 80)
+    least = {key: min(n[i] for k, i in members if k == key) for key in range(6)}
+    want = [(k, i, root[i], n[i], own.get(i, 0)) for k, i in members
+            if 100 * (n[i] - own.get(i, 0)) >= 80 * (own.get(i, 0) + max(least[k], n[i] - own.get(i, 0)))]
+    assert sorted((r.key, r.node, r.root, r.n, r.own) for r in got.collect()) == sorted(want) and 0 < len(want) < len(members)
+
+
+def test_a_bucket_of_windows_takes_few_times_its_bytes():
+    """Where frequent leading bytes are sent window by window, each window comes with all its bytes."""
+    n, length = 10_000, 200
+    rng = np.random.default_rng(5)
+    blob = np.tile(rng.integers(0, 256, 100 * length, dtype=np.uint8), n // 100)
+    tracemalloc.start()
+    low, windows = suffixes.smallest_ids(blob, np.full(n, length), np.full(n, 40), np.arange(n), length)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert low.tolist() == [i % 100 for i in range(n)] and windows.tolist() == [1] * n
+    assert peak < 8 * len(blob)
+
+
+def test_rows_are_split_by_a_bitmap_of_ids(ready):
+    docs = ready.createDataFrame([(None if i == 7 else i, f"t{i}") for i in range(3000)], "doc_id long, text string")
+    clear, others = bitmap.split_by_id(docs.repartition(3), ready.range(0, 3000, 100).withColumnRenamed("id", "h"))
+    left, gone = ({r.text for r in x.collect()} for x in (clear, others))
+    assert not left & gone and len(left | gone) == 3000 and {"t7", *(f"t{i}" for i in range(0, 3000, 100))} <= gone
+    assert len(gone) < 60

@@ -112,3 +112,20 @@ def test_stages_on_odd_tables(ready, odd_docs, no_docs, name, stage):  # noqa: F
                    "minhash_near_dedup": [0, 0, 1, 3, 4, 5, 6, 7, 8, 9, 11, 12]}.get(name, ids)
     if name == "decontaminate":
         assert len(rows) == 15
+
+
+@pytest.mark.parametrize("name", ["minhash_near_dedup", "decontaminate"])
+def test_texts_that_stay_are_not_moved(ready, monkeypatch, name):
+    """Only the rows that a decision may concern reach its join, with the texts; the others stay where they are."""
+    seen, split = [], P.split_by_id
+    monkeypatch.setattr(P, "split_by_id", lambda *a: seen.append(split(*a)) or seen[-1])
+    item = pq.read_table(f"{SF_SMALL}/benchmark.parquet")["text"][0].as_py()
+    some = [(i, f"a{i} b{i} c{i} d{i} e{i} f{i}") for i in range(500)]
+    docs = frame(ready, [*some, (500, "a1 b1 c1 d1 e1 f1"), (501, item), (501, item),
+                         (502, "x y z"), (502, "u v w"), (None, "o p q"), (None, "a2 b2 c2 d2 e2 f2")])
+    rows = dict(P.STAGES)[name](ready, docs, SF_SMALL).collect()
+    ids = sorted(-1 if r.doc_id is None else r.doc_id for r in rows)
+    assert ids == {"minhash_near_dedup": [-1, -1, *range(500), 501, 502, 502],
+                   "decontaminate": [-1, -1, *range(501), 502, 502]}[name]
+    clear, others = seen[0]
+    assert clear.count() > 490 and others.count() < 20
