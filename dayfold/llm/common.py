@@ -64,6 +64,17 @@ def written(df: DataFrame, path: str | None = None, codec: str = "zstd") -> Data
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written_buckets(df: DataFrame, key: str, codec: str = "zstd") -> DataFrame:
+    """As ``written``, bucketed by a key: what is dealt by that key meets these rows without moving them."""
+    spark, path = df.sparkSession, shared_dir(df.sparkSession)
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.option("compression", codec).option("path", path).bucketBy(n, key).format("parquet").saveAsTable(name)
+    out = spark.table(name)
+    spark.sql(f"drop table {name}")  # the name only: the table is external, and the frame keeps its files and buckets
+    return out
+
+
 def written_observed(df: DataFrame, *measures: Column) -> tuple[DataFrame, dict]:
     """As ``written``, and the values of aggregates that are observed over all rows on the way."""
     seen = Observation()

@@ -7,18 +7,22 @@ counters grow with the corpus. A mixer turns them into one probability: a logist
 context has. The result is refined adaptively: a table over (partial byte, probability) holds what really followed.
 
 Exchange. A task reduces a chunk of texts to its distinct 6-byte grams and how often training documents have them, and
-sends them in blocks by a hash of the order-2 context, so all contexts of a range are in one place (a large corpus'
-blocks are first merged in parts of a range, whose number grows with it). A range writes its distinct grams once; the
-counters of orders 2 to 5 are sums over them, made where they are needed and held by no other range.
-
-Learning. Every training document counts: the mixer is trained online on every gram of every range, each counted as
-often as it occurs and with its own occurrence left out of the counts it is predicted from; ranges start from the same
+sends them in blocks to places: a hash of the order-2 context is the range, and in a corpus of more than ``MOST_RANGES``
+of them each range is dealt by a hash of the order-4 context into parts, whose number grows with the corpus. So a byte
+pair that is everywhere is in every part of its range, and no place grows with the corpus. A place streams what it is
+sent and writes its distinct grams once; the counters of orders 4 and 5 are sums over them, and so are those of orders 2
+and 3 where a range is one place. The parts of a range exchange their sums of these two orders (three- and four-byte
+grams), each learning the whole counts of the contexts that it has.
+
+Learning. Every training document counts: the mixer is trained online on every gram of every place, each counted as
+often as it occurs and with its own occurrence left out of the counts it is predicted from; places start from the same
 weights and are averaged. A further pass gathers the refinement table. What reaches the driver is the counts of byte
 pairs, the mixer and the refinement, whose sizes are fixed.
 
-Scoring. A decision depends on the last five bytes only, so a range scores each of its distinct grams once and answers
-the blocks it was sent; a chunk finds its grams in the answers and adds them up per document. The unigram baseline needs the corpus count of every word: chunks send their distinct
-words in blocks by hash range and get the counts back (see ``tokencount`` for the pattern).
+Scoring. A decision depends on the last five bytes only, so a place scores each of its distinct grams once and answers
+the blocks it was sent; a chunk, whose texts stay where they were written (a table bucketed by chunk), finds its grams in
+the answers and adds them up per document. The unigram baseline needs the corpus count of every word: chunks send their
+distinct words in blocks by hash range and get the counts back (see ``tokencount`` for the pattern).
 
 Defined results: a null text is empty and scored as its end alone; a null doc_id is not learned from and counts as
 held out; repeated rows count and are scored each; without training documents all bits cost one bit; other columns
@@ -35,18 +39,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernel as K
-from .common import batch, written
+from .common import batch, spread, written, written_buckets
 from .suffixes import words_at
 from .tokencount import planes, unplanes
 
 ORDERS = 6
 HASHED = (2, 3, 4, 5)
-#: Ranges of order-2 contexts; of a larger corpus, each is merged and asked in parts.
-MOST_RANGES = 2048
+#: Orders whose contexts lie in several parts of a range.
+SHARED = (2, 3)
+#: Ranges of order-2 contexts; of a larger corpus, each is dealt in parts.
+MOST_RANGES = 16
 RANGE_BYTES = 24 << 20
 CHUNK_BYTES = 8 << 20
 RUN = 1 << 20
 WORD_RANGE_BYTES = 32 << 20
+#: Grams that a place gathers before it adds them up, and bytes of blocks in an Arrow batch.
+GATHER, SEND_BYTES = 1 << 19, 1 << 20
 LEVELS = 12
 BUCKETS = 33
 LOG_COUNT = np.log(np.arange(1 << 16, dtype=np.float32) + np.float32(0.4))
@@ -90,8 +98,9 @@ def _context(g: np.ndarray, order: int) -> np.ndarray:
 
 
 def place_of(g: np.ndarray, ranges: int, parts: int) -> np.ndarray:
-    """Part of a range that a gram is sent to."""
-    return range_of(g, ranges) * parts + (_code(g.copy(), 43) % np.uint64(parts)).astype(np.int64)
+    """Part of a range that a gram is sent to; all of an order-4 context are in one."""
+    part = _code((g >> np.uint64(8)) & np.uint64(0xFFFFFFFF), 43) % np.uint64(parts)
+    return range_of(g, ranges) * parts + part.astype(np.int64)
 
 
 def block(g: np.ndarray, n: np.ndarray) -> bytes:
@@ -99,12 +108,42 @@ def block(g: np.ndarray, n: np.ndarray) -> bytes:
     return planes(step & np.uint64(0xFFFFFFFF)) + planes(step >> np.uint64(32)) + planes(np.minimum(n, 2**32 - 1))
 
 
-def unblock(b: bytes) -> tuple[np.ndarray, np.ndarray]:
+def unblock(b: bytes | pa.Buffer) -> tuple[np.ndarray, np.ndarray]:
     x = len(b) // 3
     low, high, n = unplanes(b[:x]), unplanes(b[x:2 * x]), unplanes(b[2 * x:])
     return np.cumsum(low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32)), n.astype(np.int64)
 
 
+def sums_block(k: np.ndarray, n: np.ndarray) -> bytes:
+    """As ``block``, for sums that may be larger than 32 bits."""
+    return block(k, n & 0xFFFFFFFF) + planes(n >> 32)
+
+
+def unblock_sums(b: bytes | pa.Buffer) -> tuple[np.ndarray, np.ndarray]:
+    x = len(b) // 4
+    k, n = unblock(b[:3 * x])
+    return k, n + (unplanes(b[3 * x:]).astype(np.int64) << 32)
+
+
+class Gathered:
+    """Distinct grams and their counts, of blocks that are added one by one."""
+
+    def __init__(self):
+        self.g, self.n, self.more, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], 0
+
+    def add(self, g: np.ndarray, n: np.ndarray):
+        self.more.append((g, n))
+        self.size += len(g)
+        if self.size >= max(GATHER, len(self.g)):
+            self.all()
+
+    def all(self) -> tuple[np.ndarray, np.ndarray]:
+        if self.more:
+            both, self.more, self.size = [(self.g, self.n), *self.more], [], 0
+            self.g, self.n = merged(*(np.concatenate(x) for x in zip(*both)))
+        return self.g, self.n
+
+
 def fit16(counts: np.ndarray) -> np.ndarray:
     """Pairs of counts (last axis), scaled into 16 bits where they are larger."""
     top = np.maximum(counts.max(axis=-1, keepdims=True), 1)
@@ -126,14 +165,20 @@ class Hashed:
 
 
 class Counters:
-    """One counter for each context of orders 2 to 5 and node among a range's grams (distinct and sorted, of which
-    those with n = 0 are only asked about). No two contexts share one."""
+    """One counter for each context of orders 2 to 5 and node among a place's grams (distinct and sorted, of which
+    those with n = 0 are only asked about). No two contexts share one. ``near``: of an order, all grams of the contexts
+    and their sums, where other places have some too."""
 
-    def __init__(self, g: np.ndarray, n: np.ndarray):
+    def __init__(self, g: np.ndarray, n: np.ndarray, near: dict[int, tuple[np.ndarray, np.ndarray]] | None = None):
         self.g, self.at, self.tables = g, [], []
         for order in HASHED:
-            keys, back = np.unique(g & np.uint64((1 << 8 * (order + 1)) - 1), return_inverse=True)
-            times = np.bincount(back, n, len(keys)).astype(np.int64)
+            short = g & np.uint64((1 << 8 * (order + 1)) - 1)
+            if order in (near or {}):
+                keys, times = near[order]
+                back = np.searchsorted(keys, short)
+            else:
+                keys, back = np.unique(short, return_inverse=True)
+                times = np.bincount(back, n, len(keys)).astype(np.int64)
             self.at.append(back.astype(np.int32))
             self.tables.append(self.decisions(keys, times))
 
@@ -258,47 +303,97 @@ class Model:
 
 
 class Learned:
-    """What all ranges share: counts of byte pairs, mixer and refinement. Called with a range's grams, their model."""
+    """What all places share: counts of byte pairs, mixer and refinement. Called with a place's grams, their model."""
 
     def __init__(self, spark, pairs: np.ndarray):
         empty = Model(Counters(np.zeros(0, np.uint64), np.zeros(0, np.int64)), pairs)
         self.pairs, self.weights, self.refine = spark.sparkContext.broadcast(pairs), empty.weights, empty.refine
 
-    def __call__(self, g: np.ndarray, n: np.ndarray) -> Model:
-        m = Model(Counters(g, n), self.pairs.value)
+    def __call__(self, g: np.ndarray, n: np.ndarray, near: dict | None = None) -> Model:
+        m = Model(Counters(g, n, near), self.pairs.value)
         m.weights, m.refine = self.weights.copy(), self.refine
         return m
 
 
 def blocks_of(chunks: DataFrame) -> DataFrame:
-    return chunks.select("chunk", F.explode(F.arrays_zip("places_asked", "grams")).alias("a")).select(
-        F.col("a.places_asked").alias("place"), "chunk", F.col("a.grams").alias("block"))
+    return chunks.where("place is not null").select("place", "chunk", "block")
 
 
 def gathered(chunks: DataFrame, parts: int) -> DataFrame:
-    """(place, block, pairs): each range's distinct grams with their training counts, and its counts of byte pairs."""
-    blocks = pa.schema([("place", pa.int64()), ("block", pa.binary())])
+    """(place, block, pairs, near): each place's distinct grams with their training counts, its counts of byte pairs, and
+    what its range has of the shared orders (null if the range is one place)."""
     made = pa.schema([("place", pa.int64()), ("block", pa.binary()), ("pairs", pa.binary())])
 
-    def all_of(rows: pa.Table):
-        return merged(*(np.concatenate(x) for x in zip(*(unblock(b.as_py()) for b in rows.column(1)))))
+    def run(batches):
+        def done():
+            g, n = held.all()
+            return batch(made, [place], [block(g, n)], [block(*merged(g & np.uint64(0xFFFF), n))])
 
-    def merge(rows: pa.Table) -> pa.Table:
-        return pa.Table.from_batches([batch(blocks, [rows.column(0)[0].as_py() // parts], [block(*all_of(rows))])])
+        place, held = None, None
+        for rb in batches:
+            for to, b in zip(rb.column(0).to_pylist(), rb.column(1)):
+                if to != place:
+                    if held is not None:
+                        yield done()
+                    place, held = to, Gathered()
+                held.add(*unblock(b.as_buffer()))
+        if held is not None:
+            yield done()
+
+    sent = spread(blocks_of(chunks).select("place", "block"), "place").sortWithinPartitions("place")
+    counted = written(sent.mapInArrow(run, "place long, block binary, pairs binary"))
+    if parts > 1:
+        return written(counted.join(shared_sums(counted, parts), "place"))
+    return counted.withColumn("near", F.lit(None).cast("array<struct<order:int,block:binary>>"))
 
-    def gather(rows: pa.Table) -> pa.Table:
-        g, n = all_of(rows)
-        pairs = block(*merged(g & np.uint64(0xFFFF), n))
-        return pa.Table.from_batches([batch(made, [rows.column(0)[0].as_py()], [block(g, n)], [pairs])])
 
-    sent = blocks_of(chunks).select("place", "block")
-    if parts > 1:
-        sent = sent.groupBy("place").applyInArrow(merge, "place long, block binary")
-    return written(sent.groupBy("place").applyInArrow(gather, "place long, block binary, pairs binary"))
+def shared_sums(counted: DataFrame, parts: int) -> DataFrame:
+    """(place, near): for each shared order, all grams of the contexts that a place has and their sums over its range.
+    Sums meet by a hash of their context, each context's in one of the range's parts."""
+    asks = pa.schema([("at", pa.int64()), ("order", pa.int32()), ("place", pa.int64()), ("block", pa.binary())])
+    answers = pa.schema([("place", pa.int64()), ("order", pa.int32()), ("block", pa.binary())])
+
+    def send(batches):
+        for rb in batches:
+            for place, b in zip(rb.column(0).to_pylist(), rb.column(1)):
+                g, n = unblock(b.as_buffer())
+                for order in SHARED:
+                    k, times = merged(g & np.uint64((1 << 8 * (order + 1)) - 1), n)
+                    at = place // parts * parts + (_code(k >> np.uint64(8), 44) % np.uint64(parts)).astype(np.int64)
+                    by = np.argsort(at, kind="stable")
+                    k, times, at = k[by], times[by], at[by]
+                    cut = np.flatnonzero(np.diff(at, prepend=-1))
+                    yield batch(asks, at[cut], [order] * len(cut), [place] * len(cut),
+                                [sums_block(k[x:y], times[x:y]) for x, y in zip(cut, [*cut[1:], len(k)])])
+
+    def add_up(rows: pa.Table) -> pa.Table:
+        each = [unblock_sums(b.as_buffer()) for b in rows.column(3)]
+        k, n = merged(*(np.concatenate(x) for x in zip(*each)))
+        contexts, back = np.unique(k >> np.uint64(8), return_inverse=True)
+        out = []
+        for mine, _ in each:
+            has = np.zeros(len(contexts), bool)
+            has[np.searchsorted(contexts, mine >> np.uint64(8))] = True
+            out.append(sums_block(k[has[back]], n[has[back]]))
+        return pa.Table.from_batches([batch(answers, rows.column(2).to_pylist(), rows.column(1).to_pylist(), out)])
+
+    sent = counted.select("place", "block").mapInArrow(send, "at long, order int, place long, block binary")
+    sums = sent.groupBy("at", "order").applyInArrow(add_up, "place long, order int, block binary")
+    return sums.groupBy("place").agg(F.collect_list(F.struct("order", "block")).alias("near"))
+
+
+def near_of(cell) -> dict[int, tuple[np.ndarray, np.ndarray]] | None:
+    """The shared orders' grams and sums of a row of ``gathered``, each order's sorted."""
+    if not cell.is_valid:
+        return None
+    found = {order: [] for order in SHARED}
+    for x in cell:
+        found[x["order"].as_py()].append(unblock_sums(x["block"].as_buffer()))
+    return {order: merged(*(np.concatenate(x) for x in zip(*blocks))) for order, blocks in found.items()}
 
 
 def learn(counted: DataFrame) -> Learned:
-    """The mixer and refinement of the ranges' grams."""
+    """The mixer and refinement of the places' grams."""
     def add_up(batches):
         total = np.zeros(65536, np.int64)
         for rb in batches:
@@ -313,111 +408,139 @@ def learn(counted: DataFrame) -> Learned:
     model = Learned(counted.sparkSession, pairs)
     result = pa.schema([("value", pa.binary()), ("n", pa.float64())])
 
-    def each_range(step):
-        """Sum of what ``step(model, grams, counts)`` gives for each range, each result times its weight, and weights."""
+    def each_place(step):
+        """Sum of what ``step(model, grams, counts)`` gives for each place, each result times its weight, and weights."""
         def run(batches):
             total = None
             for rb in batches:
-                for b in rb.column(0):
-                    g, n = unblock(b.as_py())
-                    m = model(g, n)
+                for b, near in zip(rb.column(0), rb.column(1)):
+                    g, n = unblock(b.as_buffer())
+                    m = model(g, n, near_of(near))
                     value, w = step(m, g[n > 0], n[n > 0])
                     total = (value * w, w) if total is None else (total[0] + value * w, total[1] + w)
             if total is not None:
                 yield batch(result, [np.asarray(total[0], np.float64).tobytes()], [float(total[1])])
 
-        parts = counted.select("block").mapInArrow(run, "value binary, n double").collect()
+        parts = counted.select("block", "near").mapInArrow(run, "value binary, n double").collect()
         return sum(np.frombuffer(r.value, np.float64) for r in parts), sum(r.n for r in parts)
 
     def trained(m: Model, g, n):
         m.train(g, n)
         return m.weights.astype(np.float64).reshape(-1), float(n.sum())
 
-    weights, n = each_range(trained)
+    weights, n = each_place(trained)
     if n:
         model.weights = (weights / n).astype(np.float32).reshape(model.weights.shape)
-        hits, _ = each_range(lambda m, g, n: (m.outcomes(g, n).reshape(-1), 1.0))
+        hits, _ = each_place(lambda m, g, n: (m.outcomes(g, n).reshape(-1), 1.0))
         ones, all_ = np.moveaxis(hits.reshape(256, BUCKETS, 2), 2, 0)
         model.refine = ((ones + 16 * model.refine) / (all_ + 16)).astype(np.float32)
     return model
 
 
-def gram_costs(chunks: DataFrame, counted: DataFrame, parts: int, model: Learned) -> DataFrame:
+def gram_costs(chunks: DataFrame, counted: DataFrame, model: Learned) -> DataFrame:
     """(chunk, place, cost): log probabilities of the grams of each block, in its order."""
     schema = pa.schema([("chunk", pa.int64()), ("place", pa.int64()), ("cost", pa.binary())])
 
-    def answer(rows: pa.Table) -> pa.Table:
-        asks = [r for r in zip(*(c.to_pylist() for c in rows.columns))]
-        g, n = next(unblock(b) for _, chunk, b in asks if chunk is None)
-        asks = [(chunk, place, unblock(b)[0]) for place, chunk, b in asks if chunk is not None]
-        asked = np.zeros(len(g), bool)
-        at = [np.searchsorted(g, a) for _, _, a in asks]
-        for x in at:
-            asked[x] = True
-        cost = np.zeros(len(g), np.float32)
-        cost[asked] = model(g, n).log10(g[asked])
-        return pa.Table.from_batches([batch(schema, [c for c, _, _ in asks], [p for _, p, _ in asks],
-                                            [planes(cost[x].view(np.uint32)) for x in at])])
-
-    table = counted.select(F.explode(F.sequence(F.col("place") * parts, F.col("place") * parts + parts - 1)).alias("place"),
-                           F.lit(None).cast("long").alias("chunk"), "block")
-    return written(blocks_of(chunks).unionByName(table).groupBy("place").applyInArrow(
-        answer, "chunk long, place long, cost binary"))
-
-
+    def run(batches):
+        for rb in batches:
+            out, size = [], 0
+            for place, chunk, b, near in zip(rb.column(0).to_pylist(), rb.column(1).to_pylist(), *rb.columns[2:]):
+                if chunk is None:  # the place's own grams come first
+                    g, n = unblock(b.as_buffer())
+                    cost = model(g, n, near_of(near)).log10(g).astype(np.float32).view(np.uint32)
+                    continue
+                out.append((chunk, place, planes(cost[np.searchsorted(g, unblock(b.as_buffer())[0])])))
+                size += len(out[-1][2])
+                if size >= SEND_BYTES:
+                    yield batch(schema, *zip(*out))
+                    out, size = [], 0
+            if out:
+                yield batch(schema, *zip(*out))
+
+    table = counted.select("place", F.lit(None).cast("long").alias("chunk"), "block", "near")
+    asked = spread(blocks_of(chunks).unionByName(table, allowMissingColumns=True), "place")
+    return written(asked.sortWithinPartitions("place", F.col("chunk").asc_nulls_first()).mapInArrow(
+        run, "chunk long, place long, cost binary"))
+
+
+#: A chunk has one row with its texts, one for each range of words it asks (``asked``) and one for each place.
 CHUNKS = pa.schema([("chunk", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("learn", pa.list_(pa.bool_())),
                     ("n_tokens", pa.list_(pa.int64())), ("texts", pa.list_(pa.binary())),
                     ("widths", pa.list_(pa.int64())), ("places", pa.binary()), ("times", pa.binary()),
-                    ("asked", pa.list_(pa.int32())), ("blocks", pa.list_(pa.binary())),
-                    ("places_asked", pa.list_(pa.int64())), ("grams", pa.list_(pa.binary()))])
+                    ("asked", pa.int32()), ("words", pa.binary()), ("place", pa.int64()), ("block", pa.binary())])
 CHUNKS_SQL = ("chunk long, doc_ids array<long>, learn array<boolean>, n_tokens array<long>, texts array<binary>, "
-              "widths array<long>, places binary, times binary, asked array<int>, blocks array<binary>, "
-              "places_asked array<long>, grams array<binary>")
+              "widths array<long>, places binary, times binary, asked int, words binary, place long, block binary")
 
 
 def chunk_grams(buf: np.ndarray, offs: np.ndarray, ranges: int, parts: int):
-    """A chunk's distinct grams ordered by place and gram, their places, and which of them each byte and end is."""
-    code = pa.array(np.concatenate([grams(buf[offs[a]:offs[b]], offs[a:b + 1] - offs[a])[0]
-                                    for a, b in K.doc_runs(offs, RUN)])).dictionary_encode()
-    g = code.dictionary.to_numpy()
+    """A chunk's distinct grams ordered by place and gram, their places, and which of them each byte and end is. Grams
+    of all bytes are held for one run at a time."""
+    code, runs, own = np.empty(len(buf) + len(offs) - 1, np.int32), [], []
+    for a, b in K.doc_runs(offs, RUN):
+        x = pa.array(grams(buf[offs[a]:offs[b]], offs[a:b + 1] - offs[a])[0]).dictionary_encode()
+        runs.append(slice(offs[a] + a, offs[b] + b))
+        own.append(x.dictionary)
+        code[runs[-1]] = x.indices.to_numpy()
+        del x
+    own = pa.chunked_array(own).dictionary_encode().chunks
+    g = own[-1].dictionary.to_numpy()  # the last one has all
     place = place_of(g, ranges, parts)
     order = np.lexsort((g, place))
     rank = np.empty(len(order), np.int32)
     rank[order] = np.arange(len(order), dtype=np.int32)
-    return g[order], place[order], rank[code.indices.to_numpy()]
+    for run, x in zip(runs, own):
+        code[run] = rank[x.indices.to_numpy()][code[run]]
+    return g[order], place[order], code
 
 
 def chunked(docs: DataFrame, ranges: int, parts: int, word_ranges: int) -> DataFrame:
-    """Chunks of documents with their word frequencies; per word range the distinct words and per place the distinct
-    grams, with the number of their training occurrences in the chunk."""
+    """Chunks of documents with their word frequencies, bucketed by chunk; per word range the distinct words and per place
+    the distinct grams, with the number of their training occurrences in the chunk."""
+    def rows(chunk: int, **cells):
+        """Rows of these cells, as batches of bounded size; the columns that are not named are null."""
+        a, n = 0, len(next(iter(cells.values())))
+        while a < n:
+            b, size = a + 1, 0
+            while b < n and size < SEND_BYTES:
+                size += sum(len(c[b]) for c in cells.values() if isinstance(c[b], bytes))
+                b += 1
+            yield batch(CHUNKS, [chunk] * (b - a), *(cells[f.name][a:b] if f.name in cells else pa.nulls(b - a, f.type)
+                                                     for f in [*CHUNKS][1:]))
+            a = b
+
     def run(batches):
         for rb in batches:
             buf, offs = K.text_buffer(rb.column(2))
             for a, b in K.doc_runs(offs, CHUNK_BYTES):
-                yield chunk(rb.slice(a, b - a), buf[offs[a]:offs[b]], offs[a:b + 1] - offs[a])
+                yield from chunk(rb.slice(a, b - a), buf[offs[a]:offs[b]], offs[a:b + 1] - offs[a])
 
     def chunk(rb, buf, offs):
+        number = secrets.randbits(63)
         learn = rb.column(1).to_numpy(zero_copy_only=False)
         g, place, code = chunk_grams(buf, offs, ranges, parts)
-        times = np.bincount(code[np.repeat(learn, np.diff(offs) + 1)], minlength=len(g))
+        times, known = np.zeros(len(g), np.int64), np.repeat(learn, np.diff(offs) + 1)
+        for x in range(0, len(code), RUN):
+            times += np.bincount(code[x:x + RUN][known[x:x + RUN]], minlength=len(g))
+        del code, known
         cut = np.flatnonzero(np.diff(place, prepend=-1))
-        sent = [block(g[x:y], times[x:y]) for x, y in zip(cut, [*cut[1:], len(g)])]
-        to = place[cut]
-        texts = [buf[x:y].tobytes() for x, y in zip(offs[:-1], offs[1:])]
-        del g, place, code, times
-        h, s, _ = K.words(buf, offs)
-        first = K.doc_word_offsets(s, offs)
-        h = np.insert(h, first[1:], END_WORD)
+        yield from rows(number, place=place[cut].tolist(),
+                        block=[block(g[x:y], times[x:y]) for x, y in zip(cut, [*cut[1:], len(g)])])
+        del g, place, times
+        h, first = K.words(buf, offs)[:2]
+        first = K.doc_word_offsets(first, offs)
         n = np.diff(first) + 1
-        doc = np.repeat(np.arange(len(n)), n)
-        code = pa.array(h).dictionary_encode()
-        distinct, code = code.dictionary.to_numpy(), code.indices.to_numpy().astype(np.int64)
+        code = pa.array(np.insert(h, first[1:], END_WORD)).dictionary_encode()
+        distinct, code = code.dictionary.to_numpy(), code.indices.to_numpy()
+        del h, first
         of = ((distinct >> np.uint64(20)) % np.uint64(word_ranges)).astype(np.int64)
         order = np.argsort(of, kind="stable")
         rank = np.empty_like(order)
         rank[order] = np.arange(len(order))
-        seen = np.bincount(rank[code], learn[doc].astype(np.float64), len(order)).astype(np.int64)
-        key, times = np.unique(doc << 32 | rank[code], return_counts=True)
+        code = rank[code]
+        seen = np.bincount(code[np.repeat(learn, n)], minlength=len(order))
+        code |= np.repeat(np.arange(len(n)) << 32, n)
+        key, times = np.unique(code, return_counts=True)
+        del code
         widths = np.bincount(key >> 32, minlength=len(n))
         place = key & 0xFFFFFFFF
         step = np.diff(place, prepend=0)
@@ -425,10 +548,12 @@ def chunked(docs: DataFrame, ranges: int, parts: int, word_ranges: int) -> DataF
         step[starts] = place[starts]
         asked, cut = np.unique(of[order], return_index=True)
         blocks = [distinct[order[x:y]].tobytes() + planes(seen[x:y]) for x, y in zip(cut, [*cut[1:], len(order)])]
-        return batch(CHUNKS, [secrets.randbits(63)], [rb.column(0).to_pylist()], [learn.tolist()], [n], [texts], [widths],
-                     [planes(step)], [planes(times)], [asked], [blocks], [to], [sent])
+        yield from rows(number, asked=asked.tolist(), words=blocks)
+        yield from rows(number, doc_ids=[rb.column(0).to_pylist()], learn=[learn.tolist()], n_tokens=[n],
+                        texts=[[buf[x:y].tobytes() for x, y in zip(offs[:-1], offs[1:])]], widths=[widths],
+                        places=[planes(step)], times=[planes(times)])
 
-    return written(docs.select("doc_id", "learn", "text").mapInArrow(run, CHUNKS_SQL))
+    return written_buckets(docs.select("doc_id", "learn", "text").mapInArrow(run, CHUNKS_SQL), "chunk")
 
 
 def word_counts(chunks: DataFrame) -> DataFrame:
@@ -453,8 +578,7 @@ def word_counts(chunks: DataFrame) -> DataFrame:
         return pa.Table.from_batches([batch(schema, *(c.combine_chunks() for c in rows.columns[:2]), found,
                                             np.where(once, count.sum(), 0), np.where(once, (count > 0).sum(), 0))])
 
-    asks = chunks.select("chunk", F.explode(F.arrays_zip("asked", "blocks")).alias("a")).select(
-        "chunk", "a.asked", F.col("a.blocks").alias("block"))
+    asks = chunks.where("asked is not null").select("chunk", "asked", F.col("words").alias("block"))
     return written(asks.groupBy("asked").applyInArrow(run, "chunk long, asked int, found binary, n long, v long"))
 
 
@@ -465,43 +589,49 @@ def score(docs: DataFrame, holdout: int = 10, id_col: str = "doc_id", text_col:
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(rest != 0, F.lit(False)).alias("learn"),
                        F.col(f"`{text_col}`").cast("string").alias("text"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    ranges = int(min(MOST_RANGES, 1 + total // RANGE_BYTES))
-    parts = int(-(-(1 + total // RANGE_BYTES) // ranges))  # of each range, to be merged before it
+    places = int(1 + total // RANGE_BYTES)
+    parts = -(-places // MOST_RANGES)  # of each range
+    ranges = -(-places // parts)
     chunks = chunked(docs, ranges, parts, 1 + total // WORD_RANGE_BYTES)
     counted = gathered(chunks, parts)
-    costs = gram_costs(chunks, counted, parts, learn(counted))
+    costs = gram_costs(chunks, counted, learn(counted))
     counts = word_counts(chunks)
     sums = counts.agg(F.sum("n"), F.sum("v")).first()
     n, v = sums[0] or 0, sums[1] or 0
-    found = counts.groupBy("chunk").agg(F.collect_list(F.struct("asked", "found")).alias("found"))
-    costs = costs.groupBy("chunk").agg(F.collect_list(F.struct("place", "cost")).alias("costs"))
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
                         ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()),
                         ("bits_per_byte", pa.float64())])
 
-    def run(batches):
-        for rb in batches:
-            for i in range(rb.num_rows):
-                ids, learn_, n_tokens, texts, widths = (rb.column(c)[i].values for c in range(1, 6))
-                widths = widths.to_numpy().astype(np.int64)
-                first = np.concatenate([[0], np.cumsum(widths)])
-                run_up = np.concatenate([[0], np.cumsum(unplanes(rb.column(6)[i].as_py()).astype(np.int64))])
-                place = run_up[1:] - np.repeat(run_up[first[:-1]], widths)
-                times = unplanes(rb.column(7)[i].as_py()).astype(np.int64)
-                c = [np.ascontiguousarray(np.frombuffer(x["found"], np.uint8).reshape(8, -1).T).view("<i8").reshape(-1)
-                     for x in sorted(rb.column(8)[i].as_py(), key=lambda x: x["asked"])]
-                c = np.concatenate(c)[place]
-                cost = np.log10((c + 0.1) / (n + 0.1 * (v + 1))) * times
-                buf, offs = K.text_buffer(texts)
-                of_gram = np.concatenate([unplanes(x["cost"]).view(np.float32) for x in sorted(
-                    rb.column(9)[i].as_py(), key=lambda x: x["place"])])
-                score_ = np.add.reduceat(of_gram[chunk_grams(buf, offs, ranges, parts)[2]].astype(np.float64),
-                                         offs[:-1] + np.arange(len(offs) - 1))
-                yield batch(schema, ids, [not x for x in learn_.to_pylist()], n_tokens,
-                            np.add.reduceat(times * (c > 0), first[:-1]), np.full(len(ids), n),
-                            np.add.reduceat(cost, first[:-1]), score_,
-                            -score_ / np.log10(2) / (np.diff(offs) + 1))
-
-    return chunks.drop("asked", "blocks", "places_asked", "grams").join(found, "chunk").join(costs, "chunk").mapInArrow(
-        run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
-             "score double, bits_per_byte double")
+    def finish(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        ids, learn_, n_tokens, texts, widths, places, times = (chunk.column(c)[0] for c in range(1, 8))
+        widths = widths.values.to_numpy().astype(np.int64)
+        first = np.concatenate([[0], np.cumsum(widths)])
+        run_up = np.concatenate([[0], np.cumsum(unplanes(places.as_buffer()).astype(np.int64))])
+        place = run_up[1:] - np.repeat(run_up[first[:-1]], widths)
+        times = unplanes(times.as_buffer()).astype(np.int64)
+        c = [np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(8, -1).T).view("<i8").reshape(-1)
+             for x in ordered(answers, "asked", "found")]
+        c = np.concatenate(c)[place]
+        base = np.add.reduceat(np.log10((c + 0.1) / (n + 0.1 * (v + 1))) * times, first[:-1])
+        known = np.add.reduceat(times * (c > 0), first[:-1])
+        del c, place, run_up, times
+        buf, offs = K.text_buffer(texts.values)
+        of_gram = np.concatenate([unplanes(x).view(np.float32) for x in ordered(answers, "place", "cost")])
+        code = chunk_grams(buf, offs, ranges, parts)[2]
+        starts, score_ = offs + np.arange(len(offs)), np.empty(len(widths))
+        for a, b in K.doc_runs(offs, RUN):
+            cost = of_gram[code[starts[a]:starts[b]]].astype(np.float64)
+            score_[a:b] = np.add.reduceat(cost, starts[a:b] - starts[a])
+        return pa.Table.from_batches([batch(
+            schema, ids.values, [not x for x in learn_.values.to_pylist()], n_tokens.values, known,
+            np.full(len(widths), n), base, score_, -score_ / np.log10(2) / (np.diff(offs) + 1))])
+
+    def ordered(answers: pa.Table, key: str, value: str) -> list[pa.Buffer]:
+        found = [(k, x) for k, x in zip(answers.column(key).to_pylist(), answers.column(value)) if k is not None]
+        return [x.as_buffer() for _, x in sorted(found, key=lambda x: x[0])]
+
+    answers = counts.select("chunk", "asked", "found").unionByName(costs, allowMissingColumns=True)
+    texts = chunks.where("asked is null and place is null").drop("asked", "words", "place", "block")
+    return texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
+        finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
+                "score double, bits_per_byte double")

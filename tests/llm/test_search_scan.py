@@ -358,3 +358,77 @@ def test_scores_of_odd_rows(odd_docs, no_docs):
     assert score(no_docs).collect() == []
     nothing = score(odd_docs.selectExpr("cast(null as long) as doc_id", "text")).collect()
     assert {r.train_tokens for r in nothing} == {0}
+
+
+def dealt(g, ranges, parts):
+    place = contextmix.place_of(g, ranges, parts)
+    return np.bincount(place, minlength=ranges * parts)
+
+
+def test_no_place_holds_a_frequent_byte_pair():
+    rng = np.random.default_rng(5)
+    g = np.unique(rng.integers(0, 2**48, 400_000, dtype=np.uint64))
+    hot = rng.random(len(g)) < 0.5  # half of all grams have one byte pair before their last byte
+    g[hot] = g[hot] & ~np.uint64(0xFFFF00) | np.uint64(0x206500)
+    g = np.unique(g)
+    for parts in (8, 32):  # as the corpus grows, so does the number of parts, and the largest place shrinks
+        assert dealt(g, 16, parts).max() < 0.6 * len(g) / parts
+    assert len(np.unique(contextmix.place_of(g, 16, 1))) == 16
+
+
+def test_places_are_bounded_when_the_corpus_grows(ready, monkeypatch):  # noqa: F811
+    monkeypatch.setattr(contextmix, "CHUNK_BYTES", 2000)
+    monkeypatch.setattr(contextmix, "GATHER", 100)
+    words = "the then there these them they their thence other others mother father weather whether".split()
+    rng = np.random.default_rng(2)
+    rows = [(i, True, " ".join(rng.choice(words, 40))) for i in range(150)]
+    docs = ready.createDataFrame(rows, "doc_id long, learn boolean, text string")
+    every, size = Counter(), {}
+    for _, _, text in rows:
+        b = b"\xff" * 5 + text.encode() + b"\xff"
+        every.update(int.from_bytes(b[i:i + 6]) for i in range(len(b) - 5))
+    for parts in (1, 16):
+        chunks = contextmix.chunked(docs, 2, parts, 1)
+        sent = chunks.where("place is not null").groupBy("place").agg({"block": "count"}).collect()
+        assert {r.place // parts for r in sent} == {0, 1}
+        counted = contextmix.gathered(chunks, parts).collect()
+        got, size[parts] = Counter(), max(len(r.block) for r in counted)
+        for r in counted:
+            g, n = contextmix.unblock(r.block)
+            assert (np.diff(g.astype(np.int64)) > 0).all() and (r.near is None) == (parts == 1)
+            got.update(dict(zip(g.tolist(), n.tolist())))
+        assert got == every
+    assert size[16] < size[1] / 2
+
+
+def test_parts_have_the_counters_of_their_whole_range(ready, monkeypatch):  # noqa: F811
+    docs = ready.createDataFrame([(i, i % 5 > 0, f"other texts {i % 7} and {i * i} more, the others é {i}") for i in range(80)],
+                                 "doc_id long, learn boolean, text string")
+    monkeypatch.setattr(contextmix, "CHUNK_BYTES", 300)
+    chunks = contextmix.chunked(docs, 2, 5, 1)
+    t = contextmix.gathered(chunks, 5).toArrow()
+    rows = [(place.as_py(), *contextmix.unblock(b.as_buffer()), contextmix.near_of(near))
+            for place, b, near in zip(t["place"], t["block"], t["near"])]
+    whole = {}
+    for half in (0, 1):
+        g, n = contextmix.merged(*(np.concatenate(x) for x in zip(*[(g, n) for p, g, n, _ in rows if p // 5 == half])))
+        whole[half] = g, contextmix.Counters(g, n)
+    assert len(rows) > 5 and any(n.sum() for _, _, n, _ in rows)
+    for place, g, n, near in rows:
+        mine, theirs = contextmix.Counters(g, n, near), whole[place // 5][1]
+        at, found = mine.find(g), theirs.find(g)
+        for bit in range(8):
+            for a, b in zip(mine.counts(at, bit, None), theirs.counts(found, bit, None)):
+                assert (a == b).all()
+
+
+def test_sums_of_more_than_32_bits():
+    k, n = np.array([3, 2**33, 2**47], np.uint64), np.array([0, 2**32 + 5, 2**50], np.int64)
+    assert [x.tolist() for x in contextmix.unblock_sums(contextmix.sums_block(k, n))] == [k.tolist(), n.tolist()]
+
+
+def test_texts_of_chunks_stay_where_they_were_written(ready):  # noqa: F811
+    docs = ready.createDataFrame([(i, f"some text {i}") for i in range(20)], "doc_id long, text string")
+    plan = score(docs)._jdf.queryExecution().executedPlan().toString()
+    exchanged = [x for x in re.split(r"\n", plan) if "Exchange" in x]
+    assert len(exchanged) == 1 and "texts" not in "".join(exchanged)
