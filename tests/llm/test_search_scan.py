@@ -50,7 +50,7 @@ def test_top_k_matches_brute_force(ready, monkeypatch):
 @pytest.mark.parametrize("name", sorted(Q.ORACLE_SQL))
 def test_queries_match_their_sql(ready, name):  # noqa: F811
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "conversations"):
         con.execute(f"create view {t} as select * from '{SF_SMALL}/{t}.parquet'")
     cur = con.execute(Q.ORACLE_SQL[name])
     df = Q.QUERIES[name](ready, SF_SMALL)
